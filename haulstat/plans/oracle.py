@@ -13,8 +13,8 @@ R = 6
 _W = WEATHER_COLS
 
 
-def _rnd(expr: str, name: str) -> str:
-    return f"round(({expr}) * 1e{R}) / 1e{R} AS {name}"
+def _rnd(expr: str, name: str, places: int = R) -> str:
+    return f"round(({expr}) * 1e{places}) / 1e{places} AS {name}"
 
 
 # ---------------------------------------------------------------- fragments
@@ -56,7 +56,7 @@ def _asof_ctes(left: str, key: str, t: str, prefix: str) -> list[tuple[str, str]
     ]
 
 
-def _trip_dataset_ctes() -> str:
+def _trip_dataset_ctes(more: list[tuple[str, str]] | tuple = ()) -> str:
     extra = [
         ("tr", """SELECT t.*, r.origin_id, r.destination_id, r.distance, r.average_hours
                   FROM trips t LEFT JOIN routes r ON t.route_id = r.route_id"""),
@@ -79,6 +79,7 @@ def _trip_dataset_ctes() -> str:
             LEFT JOIN destination_pick d ON d.trip_id = tr.trip_id
             LEFT JOIN drivers dr ON dr.vehicle_no = tr.truck_id
             LEFT JOIN trucks tk ON tk.truck_id = tr.truck_id"""),
+        *more,
     ]
     return with_ctes("trips", "readings", "city_series", "routes", "drivers", "trucks", extra=extra)
 
@@ -172,3 +173,200 @@ SQL["trip_dataset"] = _trip_dataset_ctes() + f"""
 SELECT {", ".join(_DS_OTHER)}, {", ".join(_rnd(c, c) for c in _DS_DOUBLES)} FROM ds"""
 
 SQL["trip_features"] = _trip_dataset_ctes() + _features_select("ds")
+
+
+# ---------------------------------------------------------------- features
+
+SQL["bad_weather_flags"] = with_ctes("readings") + f"""
+SELECT route_id, ts, precip, visibility, wind_speed, {_bad("")} AS bad_weather FROM readings"""
+
+SQL["high_quantile_flag"] = with_ctes("readings") + """
+SELECT route_id, ts, no_of_vehicles,
+       CAST(coalesce(no_of_vehicles > (SELECT quantile_cont(no_of_vehicles, 0.75) FROM readings), false)
+            AS INTEGER) AS high_traffic
+FROM readings"""
+
+SQL["flag_rates"] = _trip_dataset_ctes([("feat", _features_select("ds"))]) + f"""
+SELECT {_rnd("avg(any_bad_weather)", "any_bad_weather_rate")}, {_rnd("avg(high_traffic)", "high_traffic_rate")},
+       {_rnd("avg(is_weekend_departure)", "weekend_rate")}
+FROM feat"""
+
+SQL["calendar_features"] = with_ctes("trips") + """
+SELECT trip_id, CAST(isodow(departure_date) - 1 AS INTEGER) AS departure_day_of_week,
+       CAST(isodow(departure_date) IN (6, 7) AS INTEGER) AS is_weekend_departure
+FROM trips"""
+
+SQL["latest_trips"] = with_ctes("trips") + """
+SELECT trip_id, truck_id, route_id, departure_date, estimated_arrival
+FROM trips ORDER BY departure_date DESC, trip_id DESC LIMIT 5"""
+
+SQL["duration_profile"] = with_ctes("trips") + f"""
+SELECT count(*) AS trips, {_rnd("min(h)", "min_hours")}, {_rnd("avg(h)", "mean_hours")},
+       {_rnd("max(h)", "max_hours")}
+FROM (SELECT date_diff('microsecond', departure_date, estimated_arrival) / 3.6e9 AS h FROM trips)"""
+
+SQL["daily_rate"] = with_ctes("trips") + f"""
+SELECT CAST(CAST(departure_date AS DATE) AS TIMESTAMP) AS day, count(*) AS trips, {_rnd("avg(delay)", "delay_rate")}
+FROM trips WHERE departure_date IS NOT NULL GROUP BY 1"""
+
+# ---------------------------------------------------------------- load fixes
+
+SQL["normalize_hour"] = """
+SELECT l_orderkey, l_linenumber, l_linenumber * 100 AS raw_hour,
+       CAST(floor(l_linenumber * 100 / 100) AS INTEGER) AS hour,
+       l_shipdate + to_hours(CAST(floor(l_linenumber * 100 / 100) AS INTEGER)) AS reading_ts
+FROM lineitem"""
+
+SQL["parse_coerce"] = """
+SELECT l_orderkey, l_linenumber, date_text, TRY_CAST(date_text AS TIMESTAMP) AS date
+FROM (SELECT l_orderkey, l_linenumber,
+             CASE WHEN l_orderkey % 7 = 0 THEN 'not a date'
+                  ELSE strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') END AS date_text
+      FROM lineitem)"""
+
+# ---------------------------------------------------------------- null filling
+
+_EVENTS_NULLS = "SELECT event_id, user_id, nullif(event_type, 'error') AS event_type FROM events"
+_LINEITEM_NULLS = """
+    SELECT l_orderkey, l_linenumber, l_suppkey,
+           CASE WHEN l_linenumber = 1 THEN NULL ELSE l_quantity END AS l_quantity,
+           CASE WHEN l_linenumber = 1 OR l_suppkey % 10 = 0 THEN NULL ELSE l_quantity END AS l_quantity_g,
+           CASE WHEN l_orderkey % 5 = 0 THEN NULL ELSE l_discount END AS l_discount,
+           CASE WHEN l_returnflag = 'A' THEN NULL ELSE l_returnflag END AS l_returnflag,
+           l_shipdate
+    FROM lineitem"""
+_LI_NULL_COLS = ["l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_quantity_g",
+                 "l_discount", "l_returnflag", "l_shipdate"]
+
+SQL["fill_mode"] = f"""
+WITH e AS ({_EVENTS_NULLS}),
+m AS (SELECT event_type FROM e WHERE event_type IS NOT NULL
+      GROUP BY event_type ORDER BY count(*) DESC, event_type ASC LIMIT 1)
+SELECT event_id, coalesce(e.event_type, (SELECT event_type FROM m)) AS event_type FROM e"""
+
+SQL["fill_median"] = f"""
+WITH li AS ({_LINEITEM_NULLS})
+SELECT l_orderkey, l_linenumber, l_suppkey,
+       coalesce(l_quantity, (SELECT median(l_quantity) FROM li)) AS l_quantity
+FROM li"""
+
+SQL["fill_group_median"] = f"""
+WITH li AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity_g AS l_quantity FROM ({_LINEITEM_NULLS})),
+g AS (SELECT l_suppkey, median(l_quantity) AS gm FROM li WHERE l_suppkey IS NOT NULL GROUP BY l_suppkey),
+s1 AS (SELECT li.l_orderkey, li.l_linenumber, li.l_suppkey, coalesce(li.l_quantity, g.gm) AS l_quantity
+       FROM li LEFT JOIN g ON g.l_suppkey = li.l_suppkey)
+SELECT l_orderkey, l_linenumber, l_suppkey,
+       coalesce(l_quantity, (SELECT median(l_quantity) FROM s1 WHERE l_suppkey IS NOT NULL)) AS l_quantity
+FROM s1"""
+
+# ---------------------------------------------------------------- profiling
+
+SQL["null_report"] = f"""
+WITH li AS ({_LINEITEM_NULLS})
+SELECT * FROM (
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS n_null, count({c}) AS non_null FROM li"
+    for c in _LI_NULL_COLS) + """
+) WHERE n_null > 0 ORDER BY n_null DESC, 1"""
+
+SQL["dup_rows"] = """
+SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(n - 1) AS BIGINT) AS duplicate_rows,
+       (SELECT CAST(sum(n - 1) AS BIGINT)
+        FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)) AS duplicate_keys
+FROM (SELECT *, count(*) AS n FROM lineitem GROUP BY ALL)"""
+
+SQL["table_profile"] = """
+SELECT 'lineitem' AS table_name, count(*) AS n_rows, 11 AS n_cols, count(DISTINCT l_suppkey) AS n_keys FROM lineitem
+UNION ALL
+SELECT 'orders', count(*), 6, count(DISTINCT o_custkey) FROM orders
+UNION ALL
+SELECT 'customer', count(*), 5, count(DISTINCT c_nationkey) FROM customer"""
+
+
+def _per_key(name: str, src: str, key: str) -> str:
+    return (f"SELECT '{name}' AS series, count(*) AS n_keys, min(n) AS min_rows, "
+            f"{_rnd('avg(n)', 'mean_rows')}, max(n) AS max_rows "
+            f"FROM (SELECT {key}, count(*) AS n FROM {src} WHERE {key} IS NOT NULL GROUP BY {key})")
+
+
+SQL["rows_per_key"] = with_ctes("trips", "readings") + "\nUNION ALL\n".join([
+    _per_key("readings_per_route", "readings", "route_id"),
+    _per_key("trips_per_route", "trips", "route_id"),
+    _per_key("trips_per_truck", "trips", "truck_id")])
+
+SQL["key_coverage"] = with_ctes("trips", "drivers", "trucks") + """
+SELECT (SELECT count(DISTINCT truck_id) FROM trips) AS schedule_trucks,
+       (SELECT count(DISTINCT truck_id) FROM trucks) AS trucks,
+       (SELECT count(DISTINCT vehicle_no) FROM drivers) AS drivers"""
+
+_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+SQL["describe"] = "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", count({c}) AS count, {_rnd(f"avg({c})", "mean", 4)},
+       {_rnd(f"stddev_samp({c})", "std", 4)}, {_rnd(f"min({c})", "min")},
+       {_rnd(f"quantile_cont({c}, 0.25)", "q25")}, {_rnd(f"quantile_cont({c}, 0.5)", "q50")},
+       {_rnd(f"quantile_cont({c}, 0.75)", "q75")}, {_rnd(f"max({c})", "max")}
+FROM lineitem""" for c in _NUM)
+
+SQL["histogram"] = "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", bin, {_rnd("lo + (bin - 1) * (hi - lo) / 30", "bin_lo")},
+       {_rnd("lo + bin * (hi - lo) / 30", "bin_hi")}, count(*) AS count
+FROM (SELECT CAST(CASE WHEN hi - lo = 0 THEN 1
+                       ELSE least(floor((x - lo) * (30.0::DOUBLE / (hi - lo))) + 1, 30) END AS INTEGER) AS bin,
+             lo, hi
+      FROM (SELECT CAST({c} AS DOUBLE) AS x FROM lineitem WHERE {c} IS NOT NULL),
+           (SELECT min(CAST({c} AS DOUBLE)) AS lo, max(CAST({c} AS DOUBLE)) AS hi FROM lineitem))
+GROUP BY bin, lo, hi""" for c in _NUM)
+
+SQL["kde_curve"] = "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", point, {_rnd("lo + point * (hi - lo) / 199.0::DOUBLE", "x")},
+       {_rnd("s / (n * bw * sqrt(2 * pi())) * n * (hi - lo) / 30.0::DOUBLE", "count_density", 4)}
+FROM (SELECT CAST(g.point AS INTEGER) AS point, p.lo, p.hi, p.n, p.bw,
+             sum(exp(-0.5 * ((p.lo + g.point * ((p.hi - p.lo) / 199.0::DOUBLE) - d.x) / p.bw)
+                           * ((p.lo + g.point * ((p.hi - p.lo) / 199.0::DOUBLE) - d.x) / p.bw))) AS s
+      FROM (SELECT CAST({c} AS DOUBLE) AS x FROM lineitem WHERE {c} IS NOT NULL) d,
+           (SELECT lo, hi, n, sd * pow(CAST(n AS DOUBLE), -0.2) AS bw
+            FROM (SELECT min(CAST({c} AS DOUBLE)) AS lo, max(CAST({c} AS DOUBLE)) AS hi,
+                         stddev_samp(CAST({c} AS DOUBLE)) AS sd, count({c}) AS n FROM lineitem)) p,
+           (SELECT range AS point FROM range(200)) g
+      GROUP BY g.point, p.lo, p.hi, p.n, p.bw)""" for c in _NUM)
+
+SQL["boxplot_stats"] = f"""
+WITH long AS (
+  SELECT l_returnflag AS class, 'l_quantity' AS "column", CAST(l_quantity AS DOUBLE) AS x FROM lineitem
+  UNION ALL
+  SELECT l_returnflag, 'l_extendedprice', CAST(l_extendedprice AS DOUBLE) FROM lineitem),
+q AS (SELECT "column", class, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median,
+             quantile_cont(x, 0.75) AS q3
+      FROM long WHERE x IS NOT NULL GROUP BY "column", class),
+f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
+SELECT f."column", f.class, {_rnd("f.q1", "q1")}, {_rnd("f.median", "median")}, {_rnd("f.q3", "q3")},
+       {_rnd("f.iqr", "iqr")},
+       {_rnd("min(l.x) FILTER (WHERE l.x >= f.lo AND l.x <= f.hi)", "whisker_lo")},
+       {_rnd("max(l.x) FILTER (WHERE l.x >= f.lo AND l.x <= f.hi)", "whisker_hi")},
+       count(*) FILTER (WHERE NOT (l.x >= f.lo AND l.x <= f.hi)) AS n_outliers, count(*) AS n
+FROM long l JOIN f ON f."column" = l."column" AND f.class = l.class
+WHERE l.x IS NOT NULL
+GROUP BY f."column", f.class, f.q1, f.median, f.q3, f.iqr"""
+
+_LI_NUMERIC = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+               "l_extendedprice", "l_discount", "l_tax"]
+SQL["corr_matrix"] = "\nUNION ALL\n".join(
+    f"""SELECT '{a}' AS column_a, '{b}' AS column_b,
+       {_rnd(f"corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))", "corr")} FROM lineitem"""
+    for a in _LI_NUMERIC for b in _LI_NUMERIC)
+
+SQL["value_counts"] = with_ctes("trips") + f"""
+SELECT delay, count(*) AS count,
+       {_rnd("count(*) / (SELECT count(*) FROM trips WHERE delay IS NOT NULL)", "share")}
+FROM trips WHERE delay IS NOT NULL GROUP BY delay ORDER BY delay"""
+
+SQL["rate_by_category"] = with_ctes("trips") + f"""
+SELECT o.o_orderpriority, count(*) AS trips, {_rnd("avg(t.delay)", "delay_rate")}
+FROM trips t LEFT JOIN orders o ON o.o_orderkey = t.trip_id
+WHERE o.o_orderpriority IS NOT NULL GROUP BY o.o_orderpriority ORDER BY avg(t.delay) DESC, 1"""
+
+SQL["top_routes_delay"] = with_ctes("trips") + f"""
+SELECT route_id, count(*) AS trips, {_rnd("avg(delay)", "delay_rate")}
+FROM trips WHERE route_id IS NOT NULL GROUP BY route_id HAVING count(*) >= 5
+ORDER BY avg(delay) DESC, route_id LIMIT 7"""

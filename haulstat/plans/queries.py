@@ -12,17 +12,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from haulstat.functions.columns import (
+    any_of,
+    bad_weather,
+    coerce_timestamp,
+    is_weekend,
+    normalize_hour,
+    reading_timestamp,
+    weekday_mon0,
+)
+from haulstat.operators import clean as C
+from haulstat.operators import profile as PR
 from haulstat.operators.asof import asof_nearest
-from haulstat.operators.interval import attach_interval_aggregate
+from haulstat.operators.features import high_quantile_flag
 from haulstat.plans import bindings as B
 from haulstat.plans import trips as P
 
 R = 6  # decimal places of every floating output
 
 
-def _r(c: str) -> F.Column:
-    """Round to ``R`` places the way the SQL side does: round(x * 10^R) / 10^R."""
-    scale = float(10 ** R)
+def _r(c: str, places: int = R) -> F.Column:
+    """Round to ``places`` decimals the way the SQL side does: round(x * 10^p) / 10^p."""
+    scale = float(10 ** places)
     return (F.round(F.col(c) * F.lit(scale), 0) / F.lit(scale)).alias(c)
 
 
@@ -98,6 +109,193 @@ def q_trip_features(spark: SparkSession, sf: str) -> DataFrame:
     return _round_doubles(P.engineer_features(trip_dataset(spark, sf)))
 
 
+# ---------------------------------------------------------------- features
+
+def q_bad_weather_flags(spark: SparkSession, sf: str) -> DataFrame:
+    r = B.readings(spark, sf)
+    return r.select("route_id", "ts", "precip", "visibility", "wind_speed",
+                    bad_weather("").alias("bad_weather"))
+
+
+def q_high_quantile_flag(spark: SparkSession, sf: str) -> DataFrame:
+    r = B.readings(spark, sf).select("route_id", "ts", "no_of_vehicles")
+    return high_quantile_flag(r, "no_of_vehicles", "high_traffic", q=0.75)
+
+
+def q_flag_rates(spark: SparkSession, sf: str) -> DataFrame:
+    f = P.engineer_features(trip_dataset(spark, sf))
+    return f.agg(F.avg("any_bad_weather").alias("any_bad_weather_rate"),
+                 F.avg("high_traffic").alias("high_traffic_rate"),
+                 F.avg("is_weekend_departure").alias("weekend_rate")).select(
+        _r("any_bad_weather_rate"), _r("high_traffic_rate"), _r("weekend_rate"))
+
+
+def q_calendar_features(spark: SparkSession, sf: str) -> DataFrame:
+    t = B.trips(spark, sf)
+    return t.select("trip_id", weekday_mon0("departure_date").alias("departure_day_of_week"),
+                    is_weekend("departure_date").alias("is_weekend_departure"))
+
+
+def q_latest_trips(spark: SparkSession, sf: str) -> DataFrame:
+    t = B.trips(spark, sf)
+    return (t.orderBy(F.desc("departure_date"), F.desc("trip_id")).limit(5)
+            .select("trip_id", "truck_id", "route_id", "departure_date", "estimated_arrival"))
+
+
+def q_duration_profile(spark: SparkSession, sf: str) -> DataFrame:
+    d = PR.duration_profile(B.trips(spark, sf), "departure_date", "estimated_arrival")
+    return d.select("trips", _r("min_hours"), _r("mean_hours"), _r("max_hours"))
+
+
+def q_daily_rate(spark: SparkSession, sf: str) -> DataFrame:
+    day = F.to_date("departure_date").cast("timestamp_ntz")
+    d = PR.rate_by(B.trips(spark, sf), day, "delay", name="day")
+    return d.select("day", "trips", _r("delay_rate"))
+
+
+# ---------------------------------------------------------------- load fixes
+
+def q_normalize_hour(spark: SparkSession, sf: str) -> DataFrame:
+    li = B.table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_shipdate", (F.col("l_linenumber") * 100).alias("raw_hour"))
+    return li.select("l_orderkey", "l_linenumber", "raw_hour",
+                     normalize_hour("raw_hour").alias("hour"),
+                     reading_timestamp("l_shipdate", normalize_hour("raw_hour")).alias("reading_ts"))
+
+
+def _date_text(spark: SparkSession, sf: str) -> DataFrame:
+    li = B.table(spark, sf, "lineitem")
+    return li.select("l_orderkey", "l_linenumber",
+                     F.when(F.col("l_orderkey") % 7 == 0, F.lit("not a date"))
+                     .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")).alias("date_text"))
+
+
+def q_parse_coerce(spark: SparkSession, sf: str) -> DataFrame:
+    return _date_text(spark, sf).withColumn("date", coerce_timestamp("date_text"))
+
+
+# ---------------------------------------------------------------- null filling
+
+def _events_with_nulls(spark: SparkSession, sf: str) -> DataFrame:
+    ev = B.table(spark, sf, "events")
+    return ev.select("event_id", "user_id", F.nullif(F.col("event_type"), F.lit("error")).alias("event_type"))
+
+
+def _lineitem_with_nulls(spark: SparkSession, sf: str) -> DataFrame:
+    li = B.table(spark, sf, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", "l_suppkey",
+                     F.when(F.col("l_linenumber") == 1, None).otherwise(F.col("l_quantity")).alias("l_quantity"),
+                     F.when((F.col("l_linenumber") == 1) | (F.col("l_suppkey") % 10 == 0), None)
+                     .otherwise(F.col("l_quantity")).alias("l_quantity_g"),
+                     F.when(F.col("l_orderkey") % 5 == 0, None).otherwise(F.col("l_discount")).alias("l_discount"),
+                     F.when(F.col("l_returnflag") == "A", None).otherwise(F.col("l_returnflag")).alias("l_returnflag"),
+                     "l_shipdate")
+
+
+def q_fill_mode(spark: SparkSession, sf: str) -> DataFrame:
+    return C.fill_mode(_events_with_nulls(spark, sf), ["event_type"]).select("event_id", "event_type")
+
+
+def q_fill_median(spark: SparkSession, sf: str) -> DataFrame:
+    li = _lineitem_with_nulls(spark, sf).select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity")
+    return C.fill_median(li, ["l_quantity"])
+
+
+def q_fill_group_median(spark: SparkSession, sf: str) -> DataFrame:
+    li = _lineitem_with_nulls(spark, sf).select("l_orderkey", "l_linenumber", "l_suppkey",
+                                                F.col("l_quantity_g").alias("l_quantity"))
+    return C.fill_group_median(li, "l_quantity", "l_suppkey")
+
+
+# ---------------------------------------------------------------- profiling
+
+def q_null_report(spark: SparkSession, sf: str) -> DataFrame:
+    return PR.null_report(_lineitem_with_nulls(spark, sf))
+
+
+def q_dup_rows(spark: SparkSession, sf: str) -> DataFrame:
+    li = B.table(spark, sf, "lineitem")
+    keys = PR.duplicate_rows(li, ["l_orderkey", "l_linenumber"]).select("duplicate_rows").scalar()
+    return PR.duplicate_rows(li).withColumn("duplicate_keys", keys)
+
+
+def q_table_profile(spark: SparkSession, sf: str) -> DataFrame:
+    li = PR.table_size(B.table(spark, sf, "lineitem"), "lineitem", "l_suppkey")
+    od = PR.table_size(B.table(spark, sf, "orders"), "orders", "o_custkey")
+    cu = PR.table_size(B.table(spark, sf, "customer"), "customer", "c_nationkey")
+    return li.unionByName(od).unionByName(cu)
+
+
+def q_rows_per_key(spark: SparkSession, sf: str) -> DataFrame:
+    r = PR.rows_per_key(B.readings(spark, sf), "route_id", "readings_per_route")
+    t = B.trips(spark, sf)
+    a = PR.rows_per_key(t, "route_id", "trips_per_route")
+    b = PR.rows_per_key(t, "truck_id", "trips_per_truck")
+    return r.unionByName(a).unionByName(b).select("series", "n_keys", "min_rows", _r("mean_rows"), "max_rows")
+
+
+def q_key_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    return PR.distinct_counts({
+        "schedule_trucks": (B.trips(spark, sf), "truck_id"),
+        "trucks": (B.trucks(spark, sf), "truck_id"),
+        "drivers": (B.drivers(spark, sf), "vehicle_no"),
+    })
+
+
+NUM_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _round_cols(df: DataFrame, cols) -> DataFrame:
+    return df.select(*[_r(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def q_describe(spark: SparkSession, sf: str) -> DataFrame:
+    d = PR.describe(B.table(spark, sf, "lineitem"), NUM_COLS)
+    d = d.withColumns({"mean": _r("mean", 4), "std": _r("std", 4)})
+    return _round_cols(d, ["min", "q25", "q50", "q75", "max"])
+
+
+def q_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    h = PR.histogram(B.table(spark, sf, "lineitem"), NUM_COLS, bins=30)
+    return _round_cols(h, ["bin_lo", "bin_hi"])
+
+
+def q_kde_curve(spark: SparkSession, sf: str) -> DataFrame:
+    k = PR.kde_curve(B.table(spark, sf, "lineitem"), NUM_COLS, grid=200, bins=30)
+    k = k.withColumn("count_density", _r("count_density", 4))
+    return _round_cols(k, ["x"]).drop("density")
+
+
+def q_boxplot_stats(spark: SparkSession, sf: str) -> DataFrame:
+    b = PR.boxplot_stats(B.table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice"], "l_returnflag")
+    return _round_cols(b, ["q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi"])
+
+
+def q_corr_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    li = B.table(spark, sf, "lineitem")
+    return _round_cols(PR.corr_matrix(li, PR.numeric_columns(li)), ["corr"])
+
+
+def q_value_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return PR.value_counts(B.trips(spark, sf), "delay").select("delay", "count", _r("share"))
+
+
+def _trips_with_priority(spark: SparkSession, sf: str) -> DataFrame:
+    o = B.table(spark, sf, "orders").select(F.col("o_orderkey").alias("trip_id"), "o_orderpriority")
+    return B.trips(spark, sf).join(o, "trip_id", "left")
+
+
+def q_rate_by_category(spark: SparkSession, sf: str) -> DataFrame:
+    r = PR.rate_by(_trips_with_priority(spark, sf), "o_orderpriority", "delay")
+    return r.orderBy(F.desc("delay_rate"), "o_orderpriority").select("o_orderpriority", "trips", _r("delay_rate"))
+
+
+def q_top_routes_delay(spark: SparkSession, sf: str) -> DataFrame:
+    r = PR.rate_by(B.trips(spark, sf), "route_id", "delay", min_count=5)
+    return (r.orderBy(F.desc("delay_rate"), "route_id").limit(7)
+            .select("route_id", "trips", _r("delay_rate")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "interval_traffic": q_interval_traffic,
     "interval_weather": q_interval_weather,
@@ -106,4 +304,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lookup_join": q_lookup_join,
     "trip_dataset": q_trip_dataset,
     "trip_features": q_trip_features,
+    "bad_weather_flags": q_bad_weather_flags,
+    "high_quantile_flag": q_high_quantile_flag,
+    "flag_rates": q_flag_rates,
+    "calendar_features": q_calendar_features,
+    "latest_trips": q_latest_trips,
+    "duration_profile": q_duration_profile,
+    "daily_rate": q_daily_rate,
+    "normalize_hour": q_normalize_hour,
+    "parse_coerce": q_parse_coerce,
+    "fill_mode": q_fill_mode,
+    "fill_median": q_fill_median,
+    "fill_group_median": q_fill_group_median,
+    "null_report": q_null_report,
+    "dup_rows": q_dup_rows,
+    "table_profile": q_table_profile,
+    "rows_per_key": q_rows_per_key,
+    "key_coverage": q_key_coverage,
+    "describe": q_describe,
+    "histogram": q_histogram,
+    "kde_curve": q_kde_curve,
+    "boxplot_stats": q_boxplot_stats,
+    "corr_matrix": q_corr_matrix,
+    "value_counts": q_value_counts,
+    "rate_by_category": q_rate_by_category,
+    "top_routes_delay": q_top_routes_delay,
 }
