@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from haulstat.functions.columns import value_map
+from haulstat.functions.columns import value_map  # noqa: F401  (re-exported)
 
 LABELS = {0: "On Time", 1: "Delayed"}
 

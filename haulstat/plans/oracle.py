@@ -370,3 +370,118 @@ SQL["top_routes_delay"] = with_ctes("trips") + f"""
 SELECT route_id, count(*) AS trips, {_rnd("avg(delay)", "delay_rate")}
 FROM trips WHERE route_id IS NOT NULL GROUP BY route_id HAVING count(*) >= 5
 ORDER BY avg(delay) DESC, route_id LIMIT 7"""
+
+
+# ---------------------------------------------------------------- model matrix
+
+_SPLIT = """split AS (
+    SELECT trip_id,
+           CASE WHEN row_number() OVER (ORDER BY departure_date, trip_id)
+                     <= (SELECT CAST(floor(count(*) * (1 - 0.2::DOUBLE)) AS BIGINT) FROM trips)
+                THEN 'train' ELSE 'test' END AS split
+    FROM trips),
+so AS (SELECT s.trip_id, s.split, o.o_orderpriority, o.o_totalprice, o.o_orderstatus
+       FROM split s JOIN orders o ON o.o_orderkey = s.trip_id)"""
+
+SQL["time_split"] = with_ctes("trips") + ", " + _SPLIT + """
+SELECT trip_id, split FROM split"""
+
+# the four levels after the first, as fitted on the training rows
+_LEVELS = ["2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+SQL["one_hot"] = with_ctes("trips") + ", " + _SPLIT + """
+SELECT trip_id, """ + ", ".join(
+    f"CAST(coalesce(o_orderpriority = '{v}', false) AS INTEGER) AS \"o_orderpriority_{v}\"" for v in _LEVELS) + """
+FROM so"""
+
+SQL["align_columns"] = with_ctes("trips") + ", " + _SPLIT + """
+SELECT trip_id, o_totalprice, 0 AS "o_orderpriority_2-HIGH", """ + ", ".join(
+    f"CAST(coalesce(o_orderpriority = '{v}', false) AS INTEGER) AS \"o_orderpriority_{v}\"" for v in _LEVELS[1:]) + """
+FROM so WHERE split = 'test' AND o_orderpriority <> '1-URGENT'"""
+
+SQL["standardize"] = with_ctes("trips") + ", " + _SPLIT + f"""
+SELECT trip_id, split,
+       {_rnd("(o_totalprice - (SELECT avg(o_totalprice) FROM so WHERE split = 'train')) / "
+             "(SELECT CASE WHEN coalesce(stddev_pop(o_totalprice), 0) = 0 THEN 1 ELSE stddev_pop(o_totalprice) END "
+             "FROM so WHERE split = 'train')", "o_totalprice")}
+FROM so"""
+
+# ---------------------------------------------------------------- scoring and metrics
+
+_SCORED = """scored AS (SELECT *, CAST(probability >= 0.5 AS INTEGER) AS predicted_delay FROM scores)"""
+
+
+def _lbl(c: str) -> str:
+    return f"CASE WHEN {c} = 0 THEN 'On Time' WHEN {c} = 1 THEN 'Delayed' END"
+
+
+SQL["label_map"] = with_ctes("scores") + ", " + _SCORED + f"""
+SELECT trip_id, predicted_delay, round_even(probability, 3) AS delay_probability,
+       {_lbl("predicted_delay")} AS predicted_delay_label
+FROM scored"""
+
+_COUNTS = """counts AS (
+    SELECT count(*) FILTER (WHERE delay = 1 AND predicted_delay = 1) AS tp,
+           count(*) FILTER (WHERE delay = 0 AND predicted_delay = 1) AS fp,
+           count(*) FILTER (WHERE delay = 1 AND predicted_delay = 0) AS fn,
+           count(*) FILTER (WHERE delay = 0 AND predicted_delay = 0) AS tn
+    FROM scored)"""
+
+
+def _div(a: str, b: str) -> str:
+    return f"coalesce(CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0), 0.0)"
+
+
+SQL["confusion_metrics"] = with_ctes("scores") + ", " + _SCORED + ", " + _COUNTS + f"""
+SELECT tp, fp, fn, tn, {_rnd(_div("tp + tn", "tp + fp + fn + tn"), "accuracy")},
+       {_rnd(_div("tp", "tp + fp"), "precision")}, {_rnd(_div("tp", "tp + fn"), "recall")},
+       {_rnd(_div("2 * tp", "2 * tp + fp + fn"), "f1")}
+FROM counts"""
+
+SQL["class_report"] = with_ctes("scores") + ", " + _SCORED + ", " + _COUNTS + f""",
+per AS (
+    SELECT '0' AS class, {_div("tn", "tn + fn")} AS precision, {_div("tn", "tn + fp")} AS recall,
+           {_div("2 * tn", "2 * tn + fn + fp")} AS f1, CAST(tn + fp AS BIGINT) AS support FROM counts
+    UNION ALL
+    SELECT '1', {_div("tp", "tp + fp")}, {_div("tp", "tp + fn")}, {_div("2 * tp", "2 * tp + fp + fn")},
+           CAST(tp + fn AS BIGINT) FROM counts),
+allr AS (
+    SELECT * FROM per
+    UNION ALL
+    SELECT 'macro avg', avg(precision), avg(recall), avg(f1), CAST(sum(support) AS BIGINT) FROM per
+    UNION ALL
+    SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+           sum(f1 * support) / sum(support), CAST(sum(support) AS BIGINT) FROM per)
+SELECT class, {_rnd("precision", "precision")}, {_rnd("recall", "recall")}, {_rnd("f1", "f1")}, support
+FROM allr"""
+
+SQL["roc_auc"] = with_ctes("scores") + f""",
+s AS (SELECT probability AS s, count(*) FILTER (WHERE delay = 1) AS pos, count(*) FILTER (WHERE delay <> 1) AS neg
+      FROM scores WHERE probability IS NOT NULL AND delay IS NOT NULL GROUP BY probability),
+c AS (SELECT s, pos, neg,
+             coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+      FROM s)
+SELECT {_rnd("sum(CAST(pos AS DOUBLE) * (CAST(below AS DOUBLE) + neg / 2.0)) / "
+             "(CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE))", "roc_auc")}
+FROM c"""
+
+SQL["pred_vs_actual"] = with_ctes("trips", "scores") + f""",
+recent AS (SELECT * FROM trips ORDER BY departure_date DESC, trip_id DESC LIMIT 5),
+preds AS (SELECT r.truck_id, r.route_id, r.departure_date,
+                 {_lbl("CAST(s.probability >= 0.5 AS INTEGER)")} AS predicted_delay_label,
+                 round_even(s.probability, 3) AS delay_probability
+          FROM recent r JOIN scores s ON s.trip_id = r.trip_id),
+actual AS (SELECT truck_id, route_id, departure_date, {_lbl("delay")} AS actual_label FROM recent)
+SELECT p.truck_id, p.route_id, p.departure_date, p.predicted_delay_label, p.delay_probability, a.actual_label
+FROM preds p JOIN actual a
+  ON a.truck_id = p.truck_id AND a.route_id = p.route_id AND a.departure_date = p.departure_date"""
+
+# ---------------------------------------------------------------- feature store
+
+SQL["feature_store_latest"] = f"""
+WITH b AS (
+    SELECT o_orderkey, o_custkey, o_totalprice, 0 AS batch_id FROM orders
+    UNION ALL
+    SELECT o_orderkey, o_custkey, o_totalprice * 1.1::DOUBLE, 1 FROM orders WHERE o_orderkey % 10 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY batch_id DESC) AS rn FROM b)
+SELECT o_orderkey, o_custkey, {_rnd("o_totalprice", "o_totalprice")}, batch_id FROM r WHERE rn = 1"""

@@ -24,7 +24,10 @@ from haulstat.functions.columns import (
 from haulstat.operators import clean as C
 from haulstat.operators import profile as PR
 from haulstat.operators.asof import asof_nearest
-from haulstat.operators.features import high_quantile_flag
+from haulstat.operators import metrics as M
+from haulstat.operators.features import align_columns, fit_categories, high_quantile_flag, one_hot, standardize_with
+from haulstat.operators.split import time_split
+from haulstat.sources.feature_store import latest_per_key
 from haulstat.plans import bindings as B
 from haulstat.plans import trips as P
 
@@ -296,6 +299,92 @@ def q_top_routes_delay(spark: SparkSession, sf: str) -> DataFrame:
             .select("route_id", "trips", _r("delay_rate")))
 
 
+# ---------------------------------------------------------------- model matrix
+
+def _split_trips(spark: SparkSession, sf: str) -> DataFrame:
+    return time_split(B.trips(spark, sf), "departure_date", ["trip_id"], test_size=0.2)
+
+
+def q_time_split(spark: SparkSession, sf: str) -> DataFrame:
+    return _split_trips(spark, sf).select("trip_id", "split")
+
+
+def _split_orders(spark: SparkSession, sf: str) -> DataFrame:
+    o = B.table(spark, sf, "orders").select(F.col("o_orderkey").alias("trip_id"), "o_orderpriority",
+                                            "o_totalprice", "o_orderstatus")
+    return _split_trips(spark, sf).select("trip_id", "split").join(o, "trip_id", "inner")
+
+
+def q_one_hot(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _split_orders(spark, sf)
+    cats = fit_categories(rows.where(F.col("split") == "train"), ["o_orderpriority"])
+    return one_hot(rows.select("trip_id", "o_orderpriority"), ["o_orderpriority"], categories=cats)
+
+
+def q_align_columns(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _split_orders(spark, sf)
+    cats = fit_categories(rows.where(F.col("split") == "train"), ["o_orderpriority"])
+    expected = ["trip_id", "o_totalprice", *[f"o_orderpriority_{v}" for v in cats["o_orderpriority"][1:]]]
+    batch = rows.where((F.col("split") == "test") & (F.col("o_orderpriority") != "1-URGENT"))
+    encoded = one_hot(batch.select("trip_id", "o_totalprice", "o_orderstatus", "o_orderpriority"),
+                      ["o_orderpriority"])
+    return align_columns(encoded, expected)
+
+
+def q_standardize(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _split_orders(spark, sf).select("trip_id", "split", "o_totalprice")
+    out = standardize_with(rows, rows.where(F.col("split") == "train"), ["o_totalprice"])
+    return out.select("trip_id", "split", _r("o_totalprice"))
+
+
+# ---------------------------------------------------------------- scoring and metrics
+
+def _scored(spark: SparkSession, sf: str) -> DataFrame:
+    return M.predict_label(B.scores(spark, sf), "probability")
+
+
+def q_label_map(spark: SparkSession, sf: str) -> DataFrame:
+    return M.label_predictions(_scored(spark, sf)).select(
+        "trip_id", "predicted_delay", "delay_probability", "predicted_delay_label")
+
+
+def q_confusion_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    m = M.confusion_metrics(_scored(spark, sf), "delay", "predicted_delay")
+    return _round_cols(m, ["accuracy", "precision", "recall", "f1"])
+
+
+def q_class_report(spark: SparkSession, sf: str) -> DataFrame:
+    return _round_cols(M.class_report(_scored(spark, sf), "delay", "predicted_delay"),
+                       ["precision", "recall", "f1"])
+
+
+def q_roc_auc(spark: SparkSession, sf: str) -> DataFrame:
+    return M.roc_auc(B.scores(spark, sf), "delay", "probability").select(_r("roc_auc"))
+
+
+def q_pred_vs_actual(spark: SparkSession, sf: str) -> DataFrame:
+    t = B.trips(spark, sf)
+    recent = t.orderBy(F.desc("departure_date"), F.desc("trip_id")).limit(5)
+    scores = B.scores(spark, sf).select("trip_id", "probability")
+    preds = M.label_predictions(M.predict_label(recent.join(scores, "trip_id"), "probability"))
+    preds = preds.select("truck_id", "route_id", "departure_date", "predicted_delay_label", "delay_probability")
+    actual = recent.select("truck_id", "route_id", "departure_date",
+                           M.value_map("delay", M.LABELS).alias("actual_label"))
+    return preds.join(actual, ["truck_id", "route_id", "departure_date"], "inner")
+
+
+# ---------------------------------------------------------------- feature store
+
+def q_feature_store_latest(spark: SparkSession, sf: str) -> DataFrame:
+    o = B.table(spark, sf, "orders")
+    b0 = o.select("o_orderkey", "o_custkey", "o_totalprice", F.lit(0).alias("batch_id"))
+    b1 = (o.where(F.col("o_orderkey") % 10 == 0)
+          .select("o_orderkey", "o_custkey", (F.col("o_totalprice") * 1.1).alias("o_totalprice"),
+                  F.lit(1).alias("batch_id")))
+    latest = latest_per_key(b0.unionByName(b1), ["o_orderkey"])
+    return latest.select("o_orderkey", "o_custkey", _r("o_totalprice"), "batch_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "interval_traffic": q_interval_traffic,
     "interval_weather": q_interval_weather,
@@ -329,4 +418,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "value_counts": q_value_counts,
     "rate_by_category": q_rate_by_category,
     "top_routes_delay": q_top_routes_delay,
+    "time_split": q_time_split,
+    "one_hot": q_one_hot,
+    "align_columns": q_align_columns,
+    "standardize": q_standardize,
+    "label_map": q_label_map,
+    "confusion_metrics": q_confusion_metrics,
+    "class_report": q_class_report,
+    "roc_auc": q_roc_auc,
+    "pred_vs_actual": q_pred_vs_actual,
+    "feature_store_latest": q_feature_store_latest,
 }
