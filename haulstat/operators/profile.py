@@ -99,6 +99,12 @@ def distinct_counts(named: dict[str, tuple[DataFrame, str]]) -> DataFrame:
 
 # ------------------------------------------------------------------ distributions
 
+def _quartiles(c: Column, accuracy: int | None) -> Column:
+    """Array of the 25/50/75% quantiles from one aggregation buffer."""
+    qs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    return F.percentile(c, qs) if accuracy is None else F.percentile_approx(c, qs, accuracy)
+
+
 def describe(df: DataFrame, cols: Sequence[str], accuracy: int | None = None) -> DataFrame:
     """count, mean, std (sample), min, 25%, 50%, 75%, max per column, one pass."""
     aggs = []
@@ -106,9 +112,12 @@ def describe(df: DataFrame, cols: Sequence[str], accuracy: int | None = None) ->
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 _q(x, 0.25, accuracy).alias(f"{c}__q25"), _q(x, 0.5, accuracy).alias(f"{c}__q50"),
-                 _q(x, 0.75, accuracy).alias(f"{c}__q75"), F.max(x).alias(f"{c}__max")]
-    return _unpivot(df.agg(*aggs), cols, ["count", "mean", "std", "min", "q25", "q50", "q75", "max"])
+                 _quartiles(x, accuracy).alias(f"{c}__qs"), F.max(x).alias(f"{c}__max")]
+    row = df.agg(*aggs)
+    for c in cols:
+        row = row.withColumns({f"{c}__q25": F.col(f"{c}__qs")[0], f"{c}__q50": F.col(f"{c}__qs")[1],
+                               f"{c}__q75": F.col(f"{c}__qs")[2]})
+    return _unpivot(row, cols, ["count", "mean", "std", "min", "q25", "q50", "q75", "max"])
 
 
 def _bounds(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -142,9 +151,11 @@ def kde_curve(df: DataFrame, cols: Sequence[str], grid: int = 200, bins: int = 3
     """Gaussian density on ``grid`` points from min to max, Scott bandwidth (std * n^-1/5).
 
     ``density`` is the probability density; ``count_density`` scales it by
-    n * bin width, the height a histogram of ``bins`` bins is drawn at. Each
-    row meets each grid point once inside a partial aggregate, so the work is
-    rows x grid and only grid-sized partial results are shuffled.
+    n * bin width, the height a histogram of ``bins`` bins is drawn at.
+    Values are first reduced to (column, distinct value, weight), so repeated
+    values cost one kernel evaluation per grid point; the grid (``grid`` rows
+    per column, a fixed bound) is broadcast and met through an equi-join on
+    the column index, and the per-point sums are partial aggregates.
     """
     stats = df.agg(*[F.min(F.col(c).cast("double")).alias(f"{c}__lo") for c in cols],
                    *[F.max(F.col(c).cast("double")).alias(f"{c}__hi") for c in cols],
@@ -152,20 +163,19 @@ def kde_curve(df: DataFrame, cols: Sequence[str], grid: int = 200, bins: int = 3
                    *[F.count(F.col(c)).alias(f"{c}__n") for c in cols])
     params = (_unpivot(stats, cols, ["lo", "hi", "sd", "n"])
               .withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))))
-    long = _long(df, cols).join(F.broadcast(params), "column")
-    step = (F.col("hi") - F.col("lo")) / F.lit(float(grid - 1))
-    pts = long.select("column", "x", "lo", "hi", "bw", "n",
-                      F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
-    gx = F.col("lo") + F.col("point") * step
-    z = (gx - F.col("x")) / F.col("bw")
-    dens = (pts.groupBy("column", "point")
-            .agg(F.sum(F.exp(-0.5 * z * z)).alias("__s"), F.first("lo").alias("lo"),
-                 F.first("hi").alias("hi"), F.first("bw").alias("bw"), F.first("n").alias("n")))
+    points = (params.select("column", "lo", "hi", "bw", "n",
+                            F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
+              .withColumn("gx", F.col("lo") + F.col("point") * ((F.col("hi") - F.col("lo")) / F.lit(float(grid - 1)))))
+    values = _long(df, cols).groupBy("column", "x").agg(F.count(F.lit(1)).alias("w"))
+    z = (F.col("gx") - F.col("x")) / F.col("bw")
+    sums = (values.join(F.broadcast(points.select("column", "point", "gx", "bw")), "column")
+            .groupBy("column", "point").agg(F.sum(F.col("w") * F.exp(-0.5 * z * z)).alias("__s")))
+    out = sums.join(F.broadcast(points.select("column", "point", "lo", "hi", "bw", "n")), ["column", "point"])
     density = F.col("__s") / (F.col("n") * F.col("bw") * F.lit(math.sqrt(2 * math.pi)))
-    return dens.select("column", "point",
-                       (F.col("lo") + F.col("point") * (F.col("hi") - F.col("lo")) / F.lit(float(grid - 1))).alias("x"),
-                       density.alias("density"),
-                       (density * F.col("n") * (F.col("hi") - F.col("lo")) / F.lit(float(bins))).alias("count_density"))
+    return out.select("column", "point",
+                      (F.col("lo") + F.col("point") * (F.col("hi") - F.col("lo")) / F.lit(float(grid - 1))).alias("x"),
+                      density.alias("density"),
+                      (density * F.col("n") * (F.col("hi") - F.col("lo")) / F.lit(float(bins))).alias("count_density"))
 
 
 def boxplot_stats(df: DataFrame, cols: Sequence[str], by: str, whis: float = 1.5,
@@ -175,9 +185,9 @@ def boxplot_stats(df: DataFrame, cols: Sequence[str], by: str, whis: float = 1.5
                       F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x"))
                                           for c in cols])).alias("__v"))
             .select("class", "__v.*").where(F.col("x").isNotNull()))
-    quart = (long.groupBy("column", "class")
-             .agg(_q(F.col("x"), 0.25, accuracy).alias("q1"), _q(F.col("x"), 0.5, accuracy).alias("median"),
-                  _q(F.col("x"), 0.75, accuracy).alias("q3")))
+    quart = (long.groupBy("column", "class").agg(_quartiles(F.col("x"), accuracy).alias("__qs"))
+             .select("column", "class", F.col("__qs")[0].alias("q1"), F.col("__qs")[1].alias("median"),
+                     F.col("__qs")[2].alias("q3")))
     fences = (quart.withColumn("iqr", F.col("q3") - F.col("q1"))
               .withColumn("__lo", F.col("q1") - whis * F.col("iqr"))
               .withColumn("__hi", F.col("q3") + whis * F.col("iqr")))
@@ -192,30 +202,25 @@ def boxplot_stats(df: DataFrame, cols: Sequence[str], by: str, whis: float = 1.5
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Pairwise-complete Pearson correlation of every column pair, one aggregation pass.
+    """Pairwise-complete Pearson correlation of every column pair (full symmetric matrix).
 
-    A constant column gives null (no division error under ANSI mode).
+    Rows are turned into one (pair, x, y) row per column pair where both are
+    present, then three aggregates per pair: a narrow aggregate that stays in
+    generated code, where one wide row of n^2 co-moments would not. A constant
+    column gives null (no division error under ANSI mode).
     """
     cols = list(cols or numeric_columns(df))
-    aggs = []
-    pairs = []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            xa = F.col(a).cast("double")
-            xb = F.col(b).cast("double")
-            both = xa.isNotNull() & xb.isNotNull()
-            ma = F.when(both, xa)
-            mb = F.when(both, xb)
-            name = f"__c{len(pairs)}"
-            aggs.append(F.try_divide(F.covar_samp(ma, mb), F.stddev_samp(ma) * F.stddev_samp(mb)).alias(name))
-            pairs.append((a, b, name))
-    row = df.agg(*aggs)
-    structs = []
-    for a, b, name in pairs:
-        structs.append(F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(name).alias("corr")))
-        if a != b:
-            structs.append(F.struct(F.lit(b).alias("column_a"), F.lit(a).alias("column_b"), F.col(name).alias("corr")))
-    return row.select(F.explode(F.array(*structs)).alias("__r")).select("__r.*")
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    structs = [F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
+                        F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+               for a, b in pairs]
+    long = (df.select(F.explode(F.array(*structs)).alias("__p")).select("__p.*")
+            .where(F.col("x").isNotNull() & F.col("y").isNotNull()))
+    upper = long.groupBy("column_a", "column_b").agg(
+        F.try_divide(F.covar_samp("x", "y"), F.stddev_samp("x") * F.stddev_samp("y")).alias("corr"))
+    lower = (upper.where(F.col("column_a") != F.col("column_b"))
+             .select(F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"), "corr"))
+    return upper.unionByName(lower)
 
 
 # ------------------------------------------------------------------ rates

@@ -109,7 +109,7 @@ def q_trip_dataset(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_trip_features(spark: SparkSession, sf: str) -> DataFrame:
-    return _round_doubles(P.engineer_features(trip_dataset(spark, sf)))
+    return _round_doubles(P.engineer_features(P.materialize(trip_dataset(spark, sf))))
 
 
 # ---------------------------------------------------------------- features
@@ -126,7 +126,7 @@ def q_high_quantile_flag(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_flag_rates(spark: SparkSession, sf: str) -> DataFrame:
-    f = P.engineer_features(trip_dataset(spark, sf))
+    f = P.engineer_features(P.materialize(trip_dataset(spark, sf)))
     return f.agg(F.avg("any_bad_weather").alias("any_bad_weather_rate"),
                  F.avg("high_traffic").alias("high_traffic_rate"),
                  F.avg("is_weekend_departure").alias("weekend_rate")).select(

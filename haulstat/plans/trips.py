@@ -17,6 +17,7 @@ from haulstat.operators.asof import asof_nearest
 from haulstat.operators.features import drop_columns, high_quantile_flag, one_hot
 from haulstat.operators.interval import attach_interval_aggregate
 from haulstat.operators.lookup import lookup
+from haulstat.session import ensure_checkpoint_dir
 from haulstat.plans.bindings import (
     CATEGORICAL_COLUMNS,
     ID_COLUMNS,
@@ -114,6 +115,24 @@ def model_matrix(df: DataFrame, categories: Mapping[str, Sequence[str]] | None =
     return one_hot(out, list(categorical), categories=categories, drop_first=True)
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the cluster's checkpoint directory and continue from it.
+
+    Used where one result feeds several consumers (rows and a fitted statistic
+    over the same rows): the merged trip set is computed once, and its lineage
+    is cut, so a lost executor re-reads the checkpoint instead of re-running
+    every join.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def build_final_dataset(tables: Mapping[str, DataFrame], **kwargs) -> tuple[DataFrame, DataFrame]:
+    """Merged trips with features (ids kept) and the encoded model matrix."""
+    full = engineer_features(materialize(build_trips(tables, **kwargs)))
+    return full, model_matrix(full)
+
+
 def new_trip_frame(trips: DataFrame) -> DataFrame:
     """Schedule rows without a label, as scoring receives them."""
     return trips.select(*[c for c in trips.columns if c != "delay"])
