@@ -68,12 +68,20 @@ def asof_nearest(left: DataFrame, right: DataFrame, *, left_by: str, right_by: s
     valid = F.col(left_by).isNotNull() & F.col(left_on).isNotNull()
     lft = left.select(F.struct(*[F.col(c) for c in left_cols]).alias("__l"),
                       F.col(left_by).alias("__k"), F.col(left_on).alias("__t"), valid.alias("__ok"))
-    l_ok = (lft.where("__ok").drop("__ok")
-            .withColumn("__b", time_bucket(F.col("__t"), bucket_hours)))
-    l_bad = lft.where(~F.col("__ok"))
-    k_type = l_ok.schema["__k"].dataType
+    k_type = lft.schema["__k"].dataType
     if k_type != r_schema["__k"]:
         r = r.withColumn("__k", F.col("__k").cast(k_type))
+    # Rows that cannot match (null key or time) get a spread-out negative bucket
+    # so they do not pile into one partition; they carry no candidates.
+    spread = -1 - F.pmod(F.xxhash64(F.col("__l")), F.lit(1024))
+    lft = lft.withColumn("__b", F.when(F.col("__ok"), time_bucket(F.col("__t"), bucket_hours))
+                         .otherwise(spread))
+    # One exchange per side on (key, bucket); every consumer below reads it, so
+    # neither input plan is computed twice.
+    lx = lft.repartition("__k", "__b")
+    r = r.repartition("__k", "__b")
+    l_ok = lx.where("__ok").drop("__ok")
+    l_bad = lx.where(~F.col("__ok"))
 
     cand_type = T.StructType([T.StructField("t", r_schema["__t"]),
                               T.StructField("p", r_schema["__p"])])

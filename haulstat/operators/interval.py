@@ -42,6 +42,39 @@ def _agg_exprs(aggs: Mapping[str, tuple[str, str]]) -> list[Column]:
     return out
 
 
+def _prepared_readings(readings: DataFrame, readings_by: str, ts: str, value_cols: Sequence[str],
+                       bucket_hours: int) -> DataFrame:
+    """Readings keyed by (key, bucket) and shuffled on it once.
+
+    Readings with a null time get a spread-out negative bucket: they never
+    join a window but still count in the key's fallback mean.
+    """
+    spread = -1 - F.pmod(F.xxhash64(*[F.col(c) for c in value_cols]), F.lit(1024))
+    return (readings
+            .where(F.col(readings_by).isNotNull())
+            .select(F.col(readings_by).alias("__k"), F.col(ts).alias("__t"),
+                    F.coalesce(time_bucket(ts, bucket_hours), spread).alias("__b"), *value_cols)
+            .repartition("__k", "__b"))
+
+
+def _window_pairs(left: DataFrame, r: DataFrame, *, by: str, start: str, end: str,
+                  keys: Sequence[str], bucket_hours: int) -> DataFrame:
+    lw = (left
+          .where(F.col(by).isNotNull() & F.col(start).isNotNull() & F.col(end).isNotNull()
+                 & (F.col(end) >= F.col(start)))
+          .select(*[F.col(k) for k in keys], F.col(by).alias("__lk"),
+                  F.col(start).alias("__s"), F.col(end).alias("__e"),
+                  F.explode(F.sequence(time_bucket(start, bucket_hours),
+                                       time_bucket(end, bucket_hours))).alias("__lb")))
+    rt = r.where(F.col("__t").isNotNull())
+    return lw.join(
+        rt,
+        (lw["__lk"] == rt["__k"]) & (lw["__lb"] == rt["__b"])
+        & (rt["__t"] >= lw["__s"]) & (rt["__t"] <= lw["__e"]),
+        "inner",
+    )
+
+
 def interval_aggregate(left: DataFrame, readings: DataFrame, *, by: str, start: str, end: str,
                        ts: str, aggs: Mapping[str, tuple[str, str]], keys: Sequence[str],
                        readings_by: str | None = None, bucket_hours: int = 24) -> DataFrame:
@@ -56,26 +89,8 @@ def interval_aggregate(left: DataFrame, readings: DataFrame, *, by: str, start:
     readings_by = readings_by or by
     keys = list(keys)
     value_cols = sorted({col for _, col in aggs.values()})
-
-    r = (readings
-         .where(F.col(readings_by).isNotNull() & F.col(ts).isNotNull())
-         .select(F.col(readings_by).alias("__k"), F.col(ts).alias("__t"),
-                 time_bucket(ts, bucket_hours).alias("__b"), *value_cols))
-
-    lw = (left
-          .where(F.col(by).isNotNull() & F.col(start).isNotNull() & F.col(end).isNotNull()
-                 & (F.col(end) >= F.col(start)))
-          .select(*[F.col(k) for k in keys], F.col(by).alias("__lk"),
-                  F.col(start).alias("__s"), F.col(end).alias("__e"),
-                  F.explode(F.sequence(time_bucket(start, bucket_hours),
-                                       time_bucket(end, bucket_hours))).alias("__lb")))
-
-    pairs = lw.join(
-        r,
-        (lw["__lk"] == r["__k"]) & (lw["__lb"] == r["__b"])
-        & (r["__t"] >= lw["__s"]) & (r["__t"] <= lw["__e"]),
-        "inner",
-    )
+    r = _prepared_readings(readings, readings_by, ts, value_cols, bucket_hours)
+    pairs = _window_pairs(left, r, by=by, start=start, end=end, keys=keys, bucket_hours=bucket_hours)
     return pairs.groupBy(*keys).agg(*_agg_exprs(aggs))
 
 
@@ -97,18 +112,26 @@ def attach_interval_aggregate(left: DataFrame, readings: DataFrame, *, by: str,
     reading, to the mean of the named reading column over the whole key
     (each column on its own); ``constant_fill`` fills the rest with constants.
     A key without readings at all keeps null for its fallback columns.
+
+    Plan: the left rows are shuffled once by ``keys``; that one exchange feeds
+    both the window explosion and the join-back (which is then co-partitioned
+    with the aggregate), so the left plan is computed once however long the
+    chain of operators before it. The readings are shuffled once by
+    (key, bucket); the window join and the fallback means both read it.
     """
     readings_by = readings_by or by
-    agg = interval_aggregate(left, readings, by=by, start=start, end=end, ts=ts, aggs=aggs,
-                             keys=keys, readings_by=readings_by, bucket_hours=bucket_hours)
+    keys = list(keys)
     out_cols = list(aggs.keys())
     clash = [c for c in out_cols if c in left.columns]
-    base = left.drop(*clash) if clash else left
-    result = base.join(agg, list(keys), "left")
+    base = (left.drop(*clash) if clash else left).repartition(*keys)
+    value_cols = sorted({col for _, col in aggs.values()})
+    r = _prepared_readings(readings, readings_by, ts, value_cols, bucket_hours)
+    pairs = _window_pairs(base, r, by=by, start=start, end=end, keys=keys, bucket_hours=bucket_hours)
+    agg = pairs.groupBy(*keys).agg(*_agg_exprs(aggs))
+    result = base.join(agg, keys, "left")
     if fallback_mean:
         src = {name: aggs[name][1] for name in fallback_mean}
-        fb = (readings.where(F.col(readings_by).isNotNull())
-              .groupBy(F.col(readings_by).alias("__fk"))
+        fb = (r.groupBy(F.col("__k").alias("__fk"))
               .agg(*[F.avg(col).alias(f"__fb_{name}") for name, col in src.items()]))
         result = result.join(fb, result[by] == fb["__fk"], "left")
         for name in fallback_mean:

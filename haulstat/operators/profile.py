@@ -49,6 +49,11 @@ def null_report(df: DataFrame, only_missing: bool = True) -> DataFrame:
     return out.orderBy(F.desc("n_null"), "column")
 
 
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` rows, as a head() preview (a limit, not a sample)."""
+    return df.limit(n)
+
+
 def type_tally(df: DataFrame) -> dict[str, int]:
     """Count of columns per data type (schema only, no job)."""
     tally: dict[str, int] = {}

@@ -44,3 +44,9 @@ def time_split(df: DataFrame, ts: str, keys: Sequence[str], test_size: float = 0
     inside = (inside.withColumn(out, F.when(F.col("__rk") + F.lit(before) <= F.lit(cutoff), "train")
                                 .otherwise("test")).drop("__rk"))
     return outside.unionByName(inside).drop("__d")
+
+
+def split_periods(split: DataFrame, ts: str, out: str = "split") -> DataFrame:
+    """Per split: first and last time and the number of rows (the printed train/test periods)."""
+    return (split.groupBy(out)
+            .agg(F.min(ts).alias("first"), F.max(ts).alias("last"), F.count(F.lit(1)).alias("rows")))

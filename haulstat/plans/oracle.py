@@ -386,6 +386,10 @@ so AS (SELECT s.trip_id, s.split, o.o_orderpriority, o.o_totalprice, o.o_orderst
 SQL["time_split"] = with_ctes("trips") + ", " + _SPLIT + """
 SELECT trip_id, split FROM split"""
 
+SQL["split_periods"] = with_ctes("trips") + ", " + _SPLIT + """
+SELECT s.split, min(t.departure_date) AS first, max(t.departure_date) AS last, count(*) AS rows
+FROM split s JOIN trips t ON t.trip_id = s.trip_id GROUP BY s.split"""
+
 # the four levels after the first, as fitted on the training rows
 _LEVELS = ["2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 

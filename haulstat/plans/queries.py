@@ -26,7 +26,7 @@ from haulstat.operators import profile as PR
 from haulstat.operators.asof import asof_nearest
 from haulstat.operators import metrics as M
 from haulstat.operators.features import align_columns, fit_categories, high_quantile_flag, one_hot, standardize_with
-from haulstat.operators.split import time_split
+from haulstat.operators.split import split_periods, time_split
 from haulstat.sources.feature_store import latest_per_key
 from haulstat.plans import bindings as B
 from haulstat.plans import trips as P
@@ -309,6 +309,10 @@ def q_time_split(spark: SparkSession, sf: str) -> DataFrame:
     return _split_trips(spark, sf).select("trip_id", "split")
 
 
+def q_split_periods(spark: SparkSession, sf: str) -> DataFrame:
+    return split_periods(_split_trips(spark, sf), "departure_date")
+
+
 def _split_orders(spark: SparkSession, sf: str) -> DataFrame:
     o = B.table(spark, sf, "orders").select(F.col("o_orderkey").alias("trip_id"), "o_orderpriority",
                                             "o_totalprice", "o_orderstatus")
@@ -419,6 +423,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rate_by_category": q_rate_by_category,
     "top_routes_delay": q_top_routes_delay,
     "time_split": q_time_split,
+    "split_periods": q_split_periods,
     "one_hot": q_one_hot,
     "align_columns": q_align_columns,
     "standardize": q_standardize,

@@ -83,7 +83,6 @@ def train_and_evaluate(full: DataFrame, *, test_size: float = 0.2, kinds: Sequen
 
     Returns (models by kind, artifacts, metrics DataFrame with one row per model).
     """
-    spark = full.sparkSession
     split = time_split(full, "departure_date", list(keys), test_size=test_size)
     split = P.materialize(split)
     cats = {k: list(v) for k, v in (categories or fit_categories(split, CATEGORICAL_COLUMNS)).items()}
@@ -101,7 +100,10 @@ def train_and_evaluate(full: DataFrame, *, test_size: float = 0.2, kinds: Sequen
         model = Pipeline(stages=[assembler, make_classifier(kind, n_train, num_trees=num_trees,
                                                              max_depth=max_depth)]).fit(train_s)
         models[kind] = model
-        rows.append(evaluate(_with_probability(model.transform(test_s))).withColumn("model", F.lit(kind)))
+        train_acc = (_with_probability(model.transform(train_s))
+                     .agg(F.avg((F.col("predicted_delay") == F.col(TARGET)).cast("double"))).scalar())
+        rows.append(evaluate(_with_probability(model.transform(test_s)))
+                    .withColumn("model", F.lit(kind)).withColumn("train_accuracy", train_acc))
     metrics = rows[0]
     for r in rows[1:]:
         metrics = metrics.unionByName(r)
@@ -125,6 +127,15 @@ def load(spark: SparkSession, path: str, kind: str = "random_forest") -> tuple[P
     return model, Artifacts(**json.loads(text))
 
 
+def load_reference_tables(spark: SparkSession, paths) -> dict[str, DataFrame]:
+    """Cleaned static tables that new trips are joined against (every table but the schedule)."""
+    from haulstat.operators.clean import clean_tables
+    from haulstat.sources.tables import load_all
+    tables = clean_tables(load_all(spark, paths))
+    tables.pop("truck_schedule", None)
+    return tables
+
+
 def build_features_for_new_trips(new_trips: DataFrame, tables: Mapping[str, DataFrame],
                                  art: Artifacts, **kwargs) -> DataFrame:
     """New schedule rows through the same joins and features, with the training threshold."""

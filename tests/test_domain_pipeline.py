@@ -94,6 +94,7 @@ def test_train_save_load_score(spark, raw_dir, tmp_path):
     rows = {r["model"]: r for r in TR.results_table(metrics).collect()}
     assert set(rows) == {"logistic_regression", "random_forest"}
     assert all(0.0 <= rows[m]["accuracy"] <= 1.0 for m in rows)
+    assert all(0.0 <= r["train_accuracy"] <= 1.0 for r in metrics.collect())
     imp = TR.feature_importances(spark, models["random_forest"], art.feature_columns)
     assert imp.count() == 39
     assert abs(imp.agg(F.sum("importance")).first()[0] - 1.0) < 1e-9
