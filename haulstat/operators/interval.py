@@ -12,6 +12,12 @@ Plan shape, chosen for very large reading tables:
 * each reading lies in exactly one bucket, so no reading is counted twice.
 * the aggregate after the join runs map-side first (partial aggregation), so
   only one partial row per (left key, bucket partition) is shuffled.
+* size check: when the caller passes a proven bound on the exploded left
+  side (``window_size_bound``: rows x widest window in buckets, one aggregate
+  over the schedule) whose estimated bytes fit the session's
+  ``spark.sql.autoBroadcastJoinThreshold``, the exploded windows are
+  broadcast and the reading table is streamed without any shuffle. Above the
+  bound, or without one, both sides are shuffled on (key, bucket).
 """
 
 from __future__ import annotations
@@ -42,23 +48,49 @@ def _agg_exprs(aggs: Mapping[str, tuple[str, str]]) -> list[Column]:
     return out
 
 
+EXPLODED_ROW_BYTES = 64  # keys, series key, two bounds, bucket and row overhead
+
+
+def window_size_bound(left: DataFrame, start: str, end: str, bucket_hours: int = 24) -> tuple[int, int]:
+    """(rows, widest window in buckets) of a schedule: one aggregate, two numbers to the driver.
+
+    ``rows * widest`` bounds the exploded window side of the join.
+    """
+    span = time_bucket(end, bucket_hours) - time_bucket(start, bucket_hours) + 1
+    row = left.agg(F.count(F.lit(1)).alias("n"), F.max(span).alias("w")).first()
+    return int(row["n"]), int(row["w"] or 0)
+
+
+def broadcast_limit_rows(spark) -> int:
+    """Exploded window rows that fit the session's broadcast threshold (0 when disabled)."""
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return max(int(limit), 0) // EXPLODED_ROW_BYTES
+
+
+def _use_broadcast(spark, bound: tuple[int, int] | None, broadcast_max_rows: int | None) -> bool:
+    if bound is None:
+        return False
+    cap = broadcast_limit_rows(spark) if broadcast_max_rows is None else broadcast_max_rows
+    return bound[0] * max(bound[1], 1) <= cap
+
+
 def _prepared_readings(readings: DataFrame, readings_by: str, ts: str, value_cols: Sequence[str],
-                       bucket_hours: int) -> DataFrame:
-    """Readings keyed by (key, bucket) and shuffled on it once.
+                       bucket_hours: int, shuffle: bool = True) -> DataFrame:
+    """Readings keyed by (key, bucket), shuffled on it once unless the windows are broadcast.
 
     Readings with a null time get a spread-out negative bucket: they never
     join a window but still count in the key's fallback mean.
     """
     spread = -1 - F.pmod(F.xxhash64(*[F.col(c) for c in value_cols]), F.lit(1024))
-    return (readings
-            .where(F.col(readings_by).isNotNull())
-            .select(F.col(readings_by).alias("__k"), F.col(ts).alias("__t"),
-                    F.coalesce(time_bucket(ts, bucket_hours), spread).alias("__b"), *value_cols)
-            .repartition("__k", "__b"))
+    r = (readings
+         .where(F.col(readings_by).isNotNull())
+         .select(F.col(readings_by).alias("__k"), F.col(ts).alias("__t"),
+                 F.coalesce(time_bucket(ts, bucket_hours), spread).alias("__b"), *value_cols))
+    return r.repartition("__k", "__b") if shuffle else r
 
 
 def _window_pairs(left: DataFrame, r: DataFrame, *, by: str, start: str, end: str,
-                  keys: Sequence[str], bucket_hours: int) -> DataFrame:
+                  keys: Sequence[str], bucket_hours: int, broadcast: bool = False) -> DataFrame:
     lw = (left
           .where(F.col(by).isNotNull() & F.col(start).isNotNull() & F.col(end).isNotNull()
                  & (F.col(end) >= F.col(start)))
@@ -67,6 +99,8 @@ def _window_pairs(left: DataFrame, r: DataFrame, *, by: str, start: str, end: st
                   F.explode(F.sequence(time_bucket(start, bucket_hours),
                                        time_bucket(end, bucket_hours))).alias("__lb")))
     rt = r.where(F.col("__t").isNotNull())
+    if broadcast:
+        lw = F.broadcast(lw)
     return lw.join(
         rt,
         (lw["__lk"] == rt["__k"]) & (lw["__lb"] == rt["__b"])
@@ -77,7 +111,9 @@ def _window_pairs(left: DataFrame, r: DataFrame, *, by: str, start: str, end: st
 
 def interval_aggregate(left: DataFrame, readings: DataFrame, *, by: str, start: str, end: str,
                        ts: str, aggs: Mapping[str, tuple[str, str]], keys: Sequence[str],
-                       readings_by: str | None = None, bucket_hours: int = 24) -> DataFrame:
+                       readings_by: str | None = None, bucket_hours: int = 24,
+                       window_size_bound: tuple[int, int] | None = None,
+                       broadcast_max_rows: int | None = None) -> DataFrame:
     """One row per distinct ``keys`` value that has at least one reading in its window.
 
     ``aggs`` maps output name to ``(function, reading column)``; functions are
@@ -89,8 +125,10 @@ def interval_aggregate(left: DataFrame, readings: DataFrame, *, by: str, start:
     readings_by = readings_by or by
     keys = list(keys)
     value_cols = sorted({col for _, col in aggs.values()})
-    r = _prepared_readings(readings, readings_by, ts, value_cols, bucket_hours)
-    pairs = _window_pairs(left, r, by=by, start=start, end=end, keys=keys, bucket_hours=bucket_hours)
+    bc = _use_broadcast(left.sparkSession, window_size_bound, broadcast_max_rows)
+    r = _prepared_readings(readings, readings_by, ts, value_cols, bucket_hours, shuffle=not bc)
+    pairs = _window_pairs(left, r, by=by, start=start, end=end, keys=keys, bucket_hours=bucket_hours,
+                          broadcast=bc)
     return pairs.groupBy(*keys).agg(*_agg_exprs(aggs))
 
 
@@ -105,7 +143,9 @@ def attach_interval_aggregate(left: DataFrame, readings: DataFrame, *, by: str,
                               keys: Sequence[str], readings_by: str | None = None,
                               fallback_mean: Sequence[str] = (),
                               constant_fill: Mapping[str, object] | None = None,
-                              bucket_hours: int = 24) -> DataFrame:
+                              bucket_hours: int = 24,
+                              window_size_bound: tuple[int, int] | None = None,
+                              broadcast_max_rows: int | None = None) -> DataFrame:
     """Left rows with their window aggregates joined back on ``keys``.
 
     Columns listed in ``fallback_mean`` fall back, when the window had no
@@ -117,7 +157,10 @@ def attach_interval_aggregate(left: DataFrame, readings: DataFrame, *, by: str,
     both the window explosion and the join-back (which is then co-partitioned
     with the aggregate), so the left plan is computed once however long the
     chain of operators before it. The readings are shuffled once by
-    (key, bucket); the window join and the fallback means both read it.
+    (key, bucket) and the window join and the fallback means both read it;
+    or, under a proven ``window_size_bound``, the windows are broadcast and
+    the readings are not shuffled at all (the fallback means are then a
+    partial aggregate over a second scan).
     """
     readings_by = readings_by or by
     keys = list(keys)
@@ -125,8 +168,10 @@ def attach_interval_aggregate(left: DataFrame, readings: DataFrame, *, by: str,
     clash = [c for c in out_cols if c in left.columns]
     base = (left.drop(*clash) if clash else left).repartition(*keys)
     value_cols = sorted({col for _, col in aggs.values()})
-    r = _prepared_readings(readings, readings_by, ts, value_cols, bucket_hours)
-    pairs = _window_pairs(base, r, by=by, start=start, end=end, keys=keys, bucket_hours=bucket_hours)
+    bc = _use_broadcast(left.sparkSession, window_size_bound, broadcast_max_rows)
+    r = _prepared_readings(readings, readings_by, ts, value_cols, bucket_hours, shuffle=not bc)
+    pairs = _window_pairs(base, r, by=by, start=start, end=end, keys=keys, bucket_hours=bucket_hours,
+                          broadcast=bc)
     agg = pairs.groupBy(*keys).agg(*_agg_exprs(aggs))
     result = base.join(agg, keys, "left")
     if fallback_mean:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from haulstat.functions.columns import any_of, bad_weather, is_weekend, weekday_mon0
 from haulstat.operators.asof import asof_nearest
 from haulstat.operators.features import drop_columns, high_quantile_flag, one_hot
-from haulstat.operators.interval import attach_interval_aggregate
+from haulstat.operators.interval import attach_interval_aggregate, window_size_bound
 from haulstat.operators.lookup import lookup
 from haulstat.session import ensure_checkpoint_dir
 from haulstat.plans.bindings import (
@@ -32,23 +32,24 @@ def add_route_info(trips: DataFrame, routes: DataFrame) -> DataFrame:
 
 
 def add_traffic(trips: DataFrame, traffic: DataFrame, *, keys: Sequence[str] = TRIP_KEYS,
-                ts: str = "timestamp", bucket_hours: int = 24) -> DataFrame:
+                ts: str = "timestamp", bucket_hours: int = 24,
+                size_bound: tuple[int, int] | None = None) -> DataFrame:
     """Mean vehicles and any accident per trip window; route mean and 0 as fallbacks."""
     return attach_interval_aggregate(
         trips, traffic, by="route_id", start="departure_date", end="estimated_arrival", ts=ts,
         aggs={"no_of_vehicles": ("avg", "no_of_vehicles"), "accident": ("max", "accident")},
         keys=keys, fallback_mean=["no_of_vehicles"], constant_fill={"accident": 0},
-        bucket_hours=bucket_hours)
+        bucket_hours=bucket_hours, window_size_bound=size_bound)
 
 
 def add_route_weather(trips: DataFrame, weather: DataFrame, *, keys: Sequence[str] = TRIP_KEYS,
                       ts: str = "date", cols: Sequence[str] = WEATHER_COLS,
-                      bucket_hours: int = 24) -> DataFrame:
+                      bucket_hours: int = 24, size_bound: tuple[int, int] | None = None) -> DataFrame:
     """Mean of every weather metric per trip window; each falls back to its route mean."""
     return attach_interval_aggregate(
         trips, weather, by="route_id", start="departure_date", end="estimated_arrival", ts=ts,
         aggs={c: ("avg", c) for c in cols}, keys=keys, fallback_mean=list(cols),
-        bucket_hours=bucket_hours)
+        bucket_hours=bucket_hours, window_size_bound=size_bound)
 
 
 def add_city_weather(trips: DataFrame, city: DataFrame, *, city_key: str = "city_id",
@@ -71,11 +72,18 @@ def add_driver_and_truck(trips: DataFrame, drivers: DataFrame, trucks: DataFrame
 def build_trips(tables: Mapping[str, DataFrame], *, keys: Sequence[str] = TRIP_KEYS,
                 traffic_ts: str = "timestamp", weather_ts: str = "date",
                 city_ts: str = "timestamp", bucket_hours: int = 24) -> DataFrame:
-    """One row per trip: routes, traffic, route weather, city weather, drivers and trucks."""
-    df = add_route_info(tables["truck_schedule"], tables["routes"])
-    df = add_traffic(df, tables["traffic"], keys=keys, ts=traffic_ts, bucket_hours=bucket_hours)
+    """One row per trip: routes, traffic, route weather, city weather, drivers and trucks.
+
+    The schedule is measured once (rows, widest window): the bound decides
+    whether the window joins broadcast the trips or shuffle both sides.
+    """
+    schedule = tables["truck_schedule"]
+    bound = window_size_bound(schedule, "departure_date", "estimated_arrival", bucket_hours)
+    df = add_route_info(schedule, tables["routes"])
+    df = add_traffic(df, tables["traffic"], keys=keys, ts=traffic_ts, bucket_hours=bucket_hours,
+                     size_bound=bound)
     df = add_route_weather(df, tables["routes_weather"], keys=keys, ts=weather_ts,
-                           bucket_hours=bucket_hours)
+                           bucket_hours=bucket_hours, size_bound=bound)
     df = add_city_weather(df, tables["city_weather"], ts=city_ts)
     return add_driver_and_truck(df, tables["drivers"], tables["trucks"])
 
