@@ -486,6 +486,6 @@ SQL["feature_store_latest"] = f"""
 WITH b AS (
     SELECT o_orderkey, o_custkey, o_totalprice, 0 AS batch_id FROM orders
     UNION ALL
-    SELECT o_orderkey, o_custkey, o_totalprice * 1.1::DOUBLE, 1 FROM orders WHERE o_orderkey % 10 = 0),
+    SELECT o_orderkey, o_custkey, o_totalprice * 1.1::DOUBLE, 1 FROM orders WHERE o_orderstatus = 'O'),
 r AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY batch_id DESC) AS rn FROM b)
 SELECT o_orderkey, o_custkey, {_rnd("o_totalprice", "o_totalprice")}, batch_id FROM r WHERE rn = 1"""

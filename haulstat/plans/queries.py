@@ -386,7 +386,7 @@ def q_pred_vs_actual(spark: SparkSession, sf: str) -> DataFrame:
 def q_feature_store_latest(spark: SparkSession, sf: str) -> DataFrame:
     o = B.table(spark, sf, "orders")
     b0 = o.select("o_orderkey", "o_custkey", "o_totalprice", F.lit(0).alias("batch_id"))
-    b1 = (o.where(F.col("o_orderkey") % 10 == 0)
+    b1 = (o.where(F.col("o_orderstatus") == "O")
           .select("o_orderkey", "o_custkey", (F.col("o_totalprice") * 1.1).alias("o_totalprice"),
                   F.lit(1).alias("batch_id")))
     latest = latest_per_key(b0.unionByName(b1), ["o_orderkey"])
