@@ -33,9 +33,17 @@ def time_split(df: DataFrame, ts: str, keys: Sequence[str], test_size: float = 0
                 Window.orderBy("__d").rowsBetween(Window.unboundedPreceding, 0))))
     boundary = days.where(F.col("__cum") >= cutoff).orderBy("__d").limit(1).first() if cutoff > 0 else None
     tagged = df.withColumn("__d", day)
-    if boundary is None:
-        # cutoff 0 (or no rows): everything with a time is test
+    if cutoff <= 0:
         return tagged.withColumn(out, F.lit("test")).drop("__d")
+    if boundary is None:
+        # every timed row is train; rows without a time sort last, ordered by the keys
+        timed = df.where(F.col(ts).isNotNull()).withColumn(out, F.lit("train"))
+        missing = n - df.where(F.col(ts).isNotNull()).count()
+        left = cutoff - (n - missing)
+        untimed = ordered_rank(df.where(F.col(ts).isNull()), list(keys), out="__rk")
+        untimed = untimed.withColumn(out, F.when(F.col("__rk") <= F.lit(left), "train")
+                                     .otherwise("test")).drop("__rk")
+        return timed.unionByName(untimed)
     bday = boundary["__d"]
     before = boundary["__cum"] - boundary["__n"]
     outside = (tagged.where(F.col("__d").isNull() | (F.col("__d") != F.lit(bday)))

@@ -24,6 +24,13 @@ def test_split_boundary_ties_by_key(spark):
     assert [out[10], out[11], out[12], out[13]] == ["train", "train", "test", "test"]
 
 
+def test_split_rows_without_time_sort_last(spark):
+    rows = [(1, ts("2024-01-01 07:00:00")), (2, ts("2024-01-02 07:00:00")), (3, None), (4, None), (5, None)]
+    df = spark.createDataFrame(rows, "trip_id int, d timestamp_ntz")
+    out = {r["trip_id"]: r["split"] for r in time_split(df, "d", ["trip_id"]).collect()}
+    assert out == {1: "train", 2: "train", 3: "train", 4: "train", 5: "test"}
+
+
 def test_ordered_rank_is_global(spark):
     rnd = random.Random(3)
     rows = [(i, rnd.randrange(20)) for i in range(500)]
