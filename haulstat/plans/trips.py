@@ -71,11 +71,16 @@ def add_driver_and_truck(trips: DataFrame, drivers: DataFrame, trucks: DataFrame
 
 def build_trips(tables: Mapping[str, DataFrame], *, keys: Sequence[str] = TRIP_KEYS,
                 traffic_ts: str = "timestamp", weather_ts: str = "date",
-                city_ts: str = "timestamp", bucket_hours: int = 24) -> DataFrame:
+                city_ts: str = "timestamp", bucket_hours: int = 24,
+                checkpoint: bool = True) -> DataFrame:
     """One row per trip: routes, traffic, route weather, city weather, drivers and trucks.
 
     The schedule is measured once (rows, widest window): the bound decides
     whether the window joins broadcast the trips or shuffle both sides.
+    With ``checkpoint`` the trip rows are checkpointed after the two window
+    joins, so the as-of stage starts from stored rows: the plan stays small
+    and a lost executor re-reads the checkpoint instead of re-running the
+    reading joins.
     """
     schedule = tables["truck_schedule"]
     bound = window_size_bound(schedule, "departure_date", "estimated_arrival", bucket_hours)
@@ -84,6 +89,8 @@ def build_trips(tables: Mapping[str, DataFrame], *, keys: Sequence[str] = TRIP_K
                      size_bound=bound)
     df = add_route_weather(df, tables["routes_weather"], keys=keys, ts=weather_ts,
                            bucket_hours=bucket_hours, size_bound=bound)
+    if checkpoint:
+        df = materialize(df)
     df = add_city_weather(df, tables["city_weather"], ts=city_ts)
     return add_driver_and_truck(df, tables["drivers"], tables["trucks"])
 
