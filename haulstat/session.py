@@ -42,13 +42,20 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; create a scratch one only when unset."""
-    conf = spark.sparkContext.getConf()
-    current = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
+    """The checkpoint directory in use: the cluster's, or a scratch one only when none is named.
+
+    ``spark.checkpoint.dir`` is a core setting read at start-up; on a cluster
+    it names shared storage and is used as is. Only when it is unset (tests,
+    local runs) is a scratch directory created for this process.
+    """
+    sc = spark.sparkContext
+    current = sc._jsc.sc().getCheckpointDir()
+    if current.isDefined():
+        return current.get()
+    named = sc.getConf().get("spark.checkpoint.dir", None)
+    if named:
+        sc.setCheckpointDir(named)
+        return named
     path = tempfile.mkdtemp(prefix="haulstat-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path

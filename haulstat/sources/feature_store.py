@@ -104,11 +104,11 @@ def round_trip_counts(group: FeatureGroup, df: DataFrame) -> tuple[int, int]:
 
 
 def default_root(spark: SparkSession) -> str:
-    """Shared storage for feature tables: ``haulstat.featureStore.root`` or the checkpoint dir."""
+    """Shared storage for feature tables: ``haulstat.featureStore.root``, else beside the checkpoints."""
     root = spark.conf.get("haulstat.featureStore.root", None)
     if root:
         return root
-    ck = spark.conf.get("spark.checkpoint.dir", None)
+    ck = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not ck:
         raise ValueError("set haulstat.featureStore.root (or spark.checkpoint.dir) to shared storage")
     return os.path.join(ck, "feature_store")

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+Every source of the analytics this package rebuilds is a bounded table or
+file, and the published feature table is offline only, so there is no
+watermark, window, state or late-data semantics to express. Bounded jobs
+here run unchanged on data landed by a streaming ingest.
+"""

@@ -67,3 +67,27 @@ def test_bucketed_equals_plain_join(spark, bucket_hours):
     plain = (t.join(r, (t.route_id == r.route_id) & (r.t >= t.dep) & (r.t <= t.arr))
              .groupBy("trip_id").agg(F.sum("v").alias("s"), F.count("v").alias("n"), F.max("acc").alias("m")))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.select("trip_id", "s", "n", "m").collect()))
+
+
+@pytest.mark.parametrize("bucket_hours", [6, 24])
+def test_broadcast_path_equals_shuffle_path(spark, bucket_hours):
+    from haulstat.operators.interval import window_size_bound
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 1, 1)
+    trips = []
+    for i in range(120):
+        d = base + dt.timedelta(minutes=rnd.randrange(0, 60 * 24 * 20))
+        trips.append((i, rnd.choice(["a", "b"]), d, d + dt.timedelta(minutes=rnd.randrange(0, 60 * 24 * 3))))
+    readings = [(rnd.choice(["a", "b", None]), base + dt.timedelta(minutes=rnd.randrange(0, 60 * 24 * 24)),
+                 float(rnd.randrange(100)), rnd.randrange(2)) for _ in range(1500)]
+    t = spark.createDataFrame(trips, TRIPS)
+    r = spark.createDataFrame(readings, READ)
+    bound = window_size_bound(t, "dep", "arr", bucket_hours)
+    kw = dict(by="route_id", start="dep", end="arr", ts="t", aggs={"v": ("avg", "v"), "acc": ("max", "acc")},
+              keys=["trip_id"], fallback_mean=["v"], constant_fill={"acc": 0}, bucket_hours=bucket_hours)
+    bc = attach_interval_aggregate(t, r, window_size_bound=bound, broadcast_max_rows=10**9, **kw)
+    sh = attach_interval_aggregate(t, r, window_size_bound=None, **kw)
+    assert "BroadcastHashJoin" in bc._jdf.queryExecution().executedPlan().toString()
+    rows = lambda df: sorted((x["trip_id"], round(x["v"], 9) if x["v"] is not None else None, x["acc"])
+                             for x in df.collect())
+    assert rows(bc) == rows(sh)
