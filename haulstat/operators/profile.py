@@ -73,10 +73,19 @@ def duplicate_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFr
                       F.sum(F.col("__n") - 1).cast("long").alias("duplicate_rows"))
 
 
-def table_size(df: DataFrame, name: str, key: str | None = None) -> DataFrame:
-    """One row: table name, rows, columns and (optionally) distinct non-null keys."""
+def table_size(df: DataFrame, name: str, key: str | None = None, approx: bool = False) -> DataFrame:
+    """One row: table name, rows, columns and (optionally) distinct non-null keys.
+
+    ``approx=True`` counts keys with HyperLogLog++ (one fixed-size sketch per
+    task instead of a shuffle of the distinct keys).
+    """
     aggs = [F.count(F.lit(1)).alias("n_rows")]
-    aggs.append(F.count_distinct(F.col(key)).alias("n_keys") if key else F.lit(None).cast("long").alias("n_keys"))
+    if key is None:
+        aggs.append(F.lit(None).cast("long").alias("n_keys"))
+    elif approx:
+        aggs.append(F.approx_count_distinct(F.col(key)).alias("n_keys"))
+    else:
+        aggs.append(F.count_distinct(F.col(key)).alias("n_keys"))
     return df.agg(*aggs).select(F.lit(name).alias("table_name"), "n_rows",
                                 F.lit(len(df.columns)).alias("n_cols"), "n_keys")
 
@@ -125,6 +134,31 @@ def describe(df: DataFrame, cols: Sequence[str], accuracy: int | None = None) ->
     return _unpivot(row, cols, ["count", "mean", "std", "min", "q25", "q50", "q75", "max"])
 
 
+def describe_dates(df: DataFrame, cols: Sequence[str], accuracy: int | None = None) -> DataFrame:
+    """count, mean, min, 25%, 50%, 75%, max of timestamp columns, as timestamps.
+
+    Statistics are taken on epoch microseconds (``avg`` and ``percentile``
+    reject timestamps) and turned back into TIMESTAMP_NTZ, fractions of a
+    microsecond truncated.
+    """
+    aggs = []
+    for c in cols:
+        us = F.unix_micros(F.col(c).cast("timestamp"))
+        aggs += [F.count(F.col(c)).alias(f"{c}__count"), F.avg(us).alias(f"{c}__mean"),
+                 F.min(us).alias(f"{c}__min"), _quartiles(us, accuracy).alias(f"{c}__qs"),
+                 F.max(us).alias(f"{c}__max")]
+    row = df.agg(*aggs)
+
+    def back(x):
+        return F.timestamp_micros(F.floor(x).cast("long")).cast("timestamp_ntz")
+
+    for c in cols:
+        row = row.withColumns({f"{c}__mean": back(F.col(f"{c}__mean")), f"{c}__min": back(F.col(f"{c}__min")),
+                               f"{c}__q25": back(F.col(f"{c}__qs")[0]), f"{c}__q50": back(F.col(f"{c}__qs")[1]),
+                               f"{c}__q75": back(F.col(f"{c}__qs")[2]), f"{c}__max": back(F.col(f"{c}__max"))})
+    return _unpivot(row, cols, ["count", "mean", "min", "q25", "q50", "q75", "max"])
+
+
 def _bounds(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.agg(*[F.min(F.col(c).cast("double")).alias(f"{c}__lo") for c in cols],
                   *[F.max(F.col(c).cast("double")).alias(f"{c}__hi") for c in cols])

@@ -308,6 +308,16 @@ SQL["describe"] = "\nUNION ALL\n".join(
        {_rnd(f"quantile_cont({c}, 0.75)", "q75")}, {_rnd(f"max({c})", "max")}
 FROM lineitem""" for c in _NUM)
 
+SQL["describe_dates"] = with_ctes("trips") + "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", count({c}) AS count,
+       make_timestamp(CAST(floor(avg(epoch_us({c}))) AS BIGINT)) AS mean,
+       min({c}) AS min,
+       make_timestamp(CAST(floor(quantile_cont(epoch_us({c}), 0.25)) AS BIGINT)) AS q25,
+       make_timestamp(CAST(floor(quantile_cont(epoch_us({c}), 0.5)) AS BIGINT)) AS q50,
+       make_timestamp(CAST(floor(quantile_cont(epoch_us({c}), 0.75)) AS BIGINT)) AS q75,
+       max({c}) AS max
+FROM trips""" for c in ["departure_date", "estimated_arrival"])
+
 SQL["histogram"] = "\nUNION ALL\n".join(
     f"""SELECT '{c}' AS "column", bin, {_rnd("lo + (bin - 1) * (hi - lo) / 30", "bin_lo")},
        {_rnd("lo + bin * (hi - lo) / 30", "bin_hi")}, count(*) AS count

@@ -262,6 +262,10 @@ def q_describe(spark: SparkSession, sf: str) -> DataFrame:
     return _round_cols(d, ["min", "q25", "q50", "q75", "max"])
 
 
+def q_describe_dates(spark: SparkSession, sf: str) -> DataFrame:
+    return PR.describe_dates(B.trips(spark, sf), ["departure_date", "estimated_arrival"])
+
+
 def q_histogram(spark: SparkSession, sf: str) -> DataFrame:
     h = PR.histogram(B.table(spark, sf, "lineitem"), NUM_COLS, bins=30)
     return _round_cols(h, ["bin_lo", "bin_hi"])
@@ -419,6 +423,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rows_per_key": q_rows_per_key,
     "key_coverage": q_key_coverage,
     "describe": q_describe,
+    "describe_dates": q_describe_dates,
     "histogram": q_histogram,
     "kde_curve": q_kde_curve,
     "boxplot_stats": q_boxplot_stats,
