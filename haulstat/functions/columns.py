@@ -98,10 +98,19 @@ def hours_between(start: Column | str, end: Column | str) -> Column:
     return F.timestamp_diff("MICROSECOND", _c(start), _c(end)) / F.lit(3.6e9)
 
 
-def time_bucket(ts: Column | str, bucket_hours: int) -> Column:
-    """Integer bucket of ``bucket_hours`` width; zone-free on TIMESTAMP_NTZ."""
-    hours = F.unix_date(F.to_date(_c(ts))).cast("long") * 24 + F.hour(_c(ts))
-    return F.floor(hours / F.lit(bucket_hours)).cast("long")
+def time_bucket(ts: Column | str, bucket_hours: float) -> Column:
+    """Integer bucket of ``bucket_hours`` width (fractions allowed, down to a second).
+
+    Computed from the calendar fields, so it is zone-free on TIMESTAMP_NTZ.
+    """
+    t = _c(ts)
+    width = max(int(round(bucket_hours * 3600)), 1)
+    if width % 3600 == 0:
+        hours = F.unix_date(F.to_date(t)).cast("long") * 24 + F.hour(t)
+        return F.floor(hours / F.lit(width // 3600)).cast("long")
+    secs = (F.unix_date(F.to_date(t)).cast("long") * 86400 + F.hour(t) * 3600
+            + F.minute(t) * 60 + F.floor(F.second(t)))
+    return F.floor(secs / F.lit(width)).cast("long")
 
 
 def prefixed(cols: Iterable[str], prefix: str) -> list[Column]:

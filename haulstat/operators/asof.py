@@ -40,17 +40,56 @@ _UNB = Window.unboundedPreceding
 _CUR = Window.currentRow
 
 
+TARGET_ROWS_PER_BUCKET = 500_000
+MIN_BUCKET_HOURS = 1 / 60
+MAX_BUCKET_HOURS = 24 * 366
+
+
+def auto_bucket_hours(right: DataFrame, by: str, on: str,
+                      target_rows: int = TARGET_ROWS_PER_BUCKET,
+                      left: DataFrame | None = None, left_by: str | None = None,
+                      left_on: str | None = None) -> float:
+    """Bucket width that keeps the busiest (key, bucket) near ``target_rows`` rows.
+
+    One aggregate: rows per (key, day) of the readings plus, when given, of
+    the left rows (both sides share a fine-level partition); the busiest day
+    sets the rate. Clamped to [1 minute, 1 year]; whole hours when at least
+    an hour.
+    """
+    def per_day(df: DataFrame, k: str, t: str) -> DataFrame:
+        return (df.where(F.col(k).isNotNull() & F.col(t).isNotNull())
+                .select(F.col(k).alias("__k"), F.to_date(F.col(t)).alias("__d")))
+
+    rows = per_day(right, by, on)
+    if left is not None:
+        lk = per_day(left, left_by, left_on)
+        if lk.schema["__k"].dataType != rows.schema["__k"].dataType:
+            lk = lk.withColumn("__k", F.col("__k").cast(rows.schema["__k"].dataType))
+        rows = rows.unionByName(lk)
+    busiest = rows.groupBy("__k", "__d").agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0]
+    if not busiest:
+        return float(24 * 7)
+    hours = target_rows * 24.0 / busiest
+    hours = min(max(hours, MIN_BUCKET_HOURS), MAX_BUCKET_HOURS)
+    return float(int(hours)) if hours >= 1 else hours
+
+
 def asof_nearest(left: DataFrame, right: DataFrame, *, left_by: str, right_by: str,
                  left_on: str, right_on: str, payload: Sequence[str], prefix: str = "",
                  tie: str | None = None, tolerance_us: int | None = None,
-                 bucket_hours: int = 24 * 7) -> DataFrame:
+                 bucket_hours: float | str = "auto") -> DataFrame:
     """Left rows with ``prefix + payload`` columns from the nearest right row.
 
     ``tie`` orders right rows that share a time (defaults to the payload
     itself, so the choice never depends on row order). ``tolerance_us`` drops
-    a match farther than that many microseconds.
+    a match farther than that many microseconds. ``bucket_hours="auto"``
+    sizes buckets from the densest key (see ``auto_bucket_hours``); the
+    result does not depend on the width, only the task sizes do.
     """
     payload = list(payload)
+    if bucket_hours == "auto":
+        bucket_hours = auto_bucket_hours(right, right_by, right_on, left=left, left_by=left_by,
+                                         left_on=left_on)
     left_cols = left.columns
     out_names = [prefix + c for c in payload]
     clash = [c for c in out_names if c in left_cols]

@@ -54,8 +54,13 @@ def add_route_weather(trips: DataFrame, weather: DataFrame, *, keys: Sequence[st
 
 def add_city_weather(trips: DataFrame, city: DataFrame, *, city_key: str = "city_id",
                      ts: str = "timestamp", cols: Sequence[str] = WEATHER_COLS,
-                     tie: str | None = None, bucket_hours: int = 24 * 7) -> DataFrame:
+                     tie: str | None = None, bucket_hours: float | str = "auto") -> DataFrame:
     """Origin weather nearest departure and destination weather nearest arrival, on the row."""
+    if bucket_hours == "auto":
+        # one width for both lookups: trips are counted on their departure day
+        from haulstat.operators.asof import auto_bucket_hours
+        bucket_hours = auto_bucket_hours(city, city_key, ts, left=trips, left_by="origin_id",
+                                         left_on="departure_date")
     out = asof_nearest(trips, city, left_by="origin_id", right_by=city_key,
                        left_on="departure_date", right_on=ts, payload=cols, prefix="origin_",
                        tie=tie, bucket_hours=bucket_hours)

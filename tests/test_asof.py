@@ -74,7 +74,7 @@ def _brute(left, right):
     return out
 
 
-@pytest.mark.parametrize("seed,bh", [(1, 1), (2, 6), (3, 24), (4, 24 * 7)])
+@pytest.mark.parametrize("seed,bh", [(1, 1), (2, 6), (3, 24), (4, 24 * 7), (5, 0.25), (6, "auto")])
 def test_matches_brute_force(spark, seed, bh):
     import datetime as dt
     rnd = random.Random(seed)
@@ -86,3 +86,13 @@ def test_matches_brute_force(spark, seed, bh):
     left = [(i, rnd.choice(keys), None if rnd.random() < 0.05 else
              base + dt.timedelta(hours=rnd.randrange(-48, 24 * 24))) for i in range(200)]
     assert _run(spark, left, right, bh) == _brute(left, right)
+
+
+def test_auto_bucket_width_tracks_density(spark):
+    from haulstat.operators.asof import auto_bucket_hours
+    import datetime as dt
+    rows = [(i, "hot", dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i), 1.0) for i in range(2000)]
+    df = spark.createDataFrame(rows, RIGHT)
+    assert auto_bucket_hours(df, "rk", "rt", target_rows=50) == pytest.approx(50 * 24 / 2000)
+    assert auto_bucket_hours(df, "rk", "rt", target_rows=100) == 1.0
+    assert auto_bucket_hours(df, "rk", "rt", target_rows=10**9) == 24 * 366
