@@ -56,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if named:
         sc.setCheckpointDir(named)
         return named
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a shared directory for this cluster")
     path = tempfile.mkdtemp(prefix="haulstat-ckpt-")
     sc.setCheckpointDir(path)
     return path
