@@ -153,6 +153,23 @@ def build_final_dataset(tables: Mapping[str, DataFrame], **kwargs) -> tuple[Data
     return full, model_matrix(full)
 
 
+# Name and version of the published trip feature table.
+FEATURE_GROUP_NAME = "truck_trip_features"
+FEATURE_GROUP_VERSION = 1
+
+
+def publish_features(full: DataFrame, root: str | None = None, *, name: str = FEATURE_GROUP_NAME,
+                     version: int = FEATURE_GROUP_VERSION, keys: Sequence[str] = TRIP_KEYS):
+    """Append the engineered trips as the next batch of the versioned feature table.
+
+    Primary key: the trip keys; event time: departure. Returns (table, batch id).
+    """
+    from haulstat.sources.feature_store import default_root, get_or_create
+    group = get_or_create(root or default_root(full.sparkSession), name, version, list(keys),
+                          event_time="departure_date")
+    return group, group.insert(full)
+
+
 def new_trip_frame(trips: DataFrame) -> DataFrame:
     """Schedule rows without a label, as scoring receives them."""
     return trips.select(*[c for c in trips.columns if c != "delay"])

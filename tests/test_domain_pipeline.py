@@ -100,6 +100,8 @@ def test_train_save_load_score(spark, raw_dir, tmp_path):
     assert abs(imp.agg(F.sum("importance")).first()[0] - 1.0) < 1e-9
     write_csv(imp, str(tmp_path / "importance"))
     write_features(full, str(tmp_path / "final"))
+    group, batch = P.publish_features(full, str(tmp_path / "store"))
+    assert batch == 0 and group.read(spark).count() == 60
     assert spark.read.parquet(str(tmp_path / "final")).count() == 60
 
     TR.save(models, art, str(tmp_path / "models"))
