@@ -20,6 +20,17 @@ _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.D
             T.DecimalType)
 
 
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over all cores when it has fewer input splits than cores.
+
+    Only for CPU-heavy per-row expansions (pairs, grids): with a few large
+    files the scan stage would otherwise run them on one core. With the many
+    splits of a large dataset this returns ``df`` unchanged (no shuffle).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     """Names of numeric columns, in schema order (booleans excluded)."""
     return [f.name for f in df.schema.fields if isinstance(f.dataType, _NUMERIC)]
@@ -127,7 +138,7 @@ def describe(df: DataFrame, cols: Sequence[str], accuracy: int | None = None) ->
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
                  _quartiles(x, accuracy).alias(f"{c}__qs"), F.max(x).alias(f"{c}__max")]
-    row = df.agg(*aggs)
+    row = spread_small_input(df.select(*cols)).agg(*aggs)
     for c in cols:
         row = row.withColumns({f"{c}__q25": F.col(f"{c}__qs")[0], f"{c}__q50": F.col(f"{c}__qs")[1],
                                f"{c}__q75": F.col(f"{c}__qs")[2]})
@@ -167,7 +178,8 @@ def _bounds(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row per (column, non-null value): the data in long form."""
     structs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols]
-    return df.select(F.explode(F.array(*structs)).alias("__v")).select("__v.*").where(F.col("x").isNotNull())
+    return (spread_small_input(df.select(*cols)).select(F.explode(F.array(*structs)).alias("__v"))
+            .select("__v.*").where(F.col("x").isNotNull()))
 
 
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
@@ -220,7 +232,7 @@ def kde_curve(df: DataFrame, cols: Sequence[str], grid: int = 200, bins: int = 3
 def boxplot_stats(df: DataFrame, cols: Sequence[str], by: str, whis: float = 1.5,
                   accuracy: int | None = None) -> DataFrame:
     """Per (column, class): quartiles, whisker ends within whis*IQR, and outlier count."""
-    long = (df.select(F.col(by).alias("class"),
+    long = (spread_small_input(df.select(by, *cols)).select(F.col(by).alias("class"),
                       F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x"))
                                           for c in cols])).alias("__v"))
             .select("class", "__v.*").where(F.col("x").isNotNull()))
@@ -253,8 +265,8 @@ def corr_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     structs = [F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
                         F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
                for a, b in pairs]
-    long = (df.select(F.explode(F.array(*structs)).alias("__p")).select("__p.*")
-            .where(F.col("x").isNotNull() & F.col("y").isNotNull()))
+    long = (spread_small_input(df.select(*cols)).select(F.explode(F.array(*structs)).alias("__p"))
+            .select("__p.*").where(F.col("x").isNotNull() & F.col("y").isNotNull()))
     upper = long.groupBy("column_a", "column_b").agg(
         F.try_divide(F.covar_samp("x", "y"), F.stddev_samp("x") * F.stddev_samp("y")).alias("corr"))
     lower = (upper.where(F.col("column_a") != F.col("column_b"))
