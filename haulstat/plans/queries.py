@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulstat.functions.columns import (
-    any_of,
     bad_weather,
     coerce_timestamp,
     is_weekend,

@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from haulstat.operators.asof import asof_nearest
 from tests.conftest import ts

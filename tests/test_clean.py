@@ -1,8 +1,5 @@
 """Null filling and load-time fixes."""
 
-import pytest
-from pyspark.sql import functions as F
-
 from haulstat.functions.columns import coerce_timestamp, normalize_hour, null_token, reading_timestamp
 from haulstat.operators.clean import (
     clean_tables,

@@ -1,7 +1,6 @@
 """Profiling reports on hand-made frames and the feature table round trip."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from haulstat.operators import profile as PR
 from haulstat.sources.feature_store import get_or_create, latest_per_key, round_trip_counts

@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from haulstat.operators.metrics import class_report, confusion_metrics, metrics_from_counts, roc_auc
 from haulstat.operators.order import ordered_rank
