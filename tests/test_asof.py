@@ -95,3 +95,15 @@ def test_auto_bucket_width_tracks_density(spark):
     assert auto_bucket_hours(df, "rk", "rt", target_rows=50) == pytest.approx(50 * 24 / 2000)
     assert auto_bucket_hours(df, "rk", "rt", target_rows=100) == 1.0
     assert auto_bucket_hours(df, "rk", "rt", target_rows=10**9) == 24 * 366
+
+
+def test_duplicate_left_rows_do_not_multiply(spark):
+    left = [(1, "a", ts("2024-01-02 12:00:00")), (1, "a", ts("2024-01-02 12:00:00"))]
+    right = [(10, "a", ts("2024-01-02 10:00:00"), 1.0)]
+    l_df = spark.createDataFrame(left, LEFT)
+    r_df = spark.createDataFrame(right, RIGHT)
+    once = asof_nearest(l_df, r_df, left_by="k", right_by="rk", left_on="t", right_on="rt",
+                        payload=["rid"], prefix="o_", bucket_hours=24)
+    twice = asof_nearest(once, r_df, left_by="k", right_by="rk", left_on="t", right_on="rt",
+                         payload=["rid"], prefix="d_", bucket_hours=24)
+    assert twice.count() == 2

@@ -81,3 +81,9 @@ def test_drop_missing_column_raises(spark):
     df = spark.createDataFrame([(1,)], "a int")
     with pytest.raises(KeyError):
         drop_columns(df, ["b"])
+
+
+def test_given_threshold_overrides_the_data(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (100.0,)], "x double")
+    got = [r["hi"] for r in high_quantile_flag(df, "x", "hi", threshold=1.5).orderBy("x").collect()]
+    assert got == [0, 1, 1]

@@ -72,3 +72,9 @@ def test_feature_store_appends_and_reads_newest(spark, tmp_path):
 def test_latest_per_key(spark):
     df = spark.createDataFrame([(1, "a", 0), (1, "b", 2), (2, "c", 1)], "k int, v string, batch_id int")
     assert {r["k"]: r["v"] for r in latest_per_key(df, ["k"]).collect()} == {1: "b", 2: "c"}
+
+
+def test_value_counts_ignore_null(spark):
+    df = spark.createDataFrame([(1,), (1,), (0,), (None,)], "delay int")
+    rows = {r["delay"]: (r["count"], r["share"]) for r in PR.value_counts(df, "delay").collect()}
+    assert rows == {0: (1, 1 / 3), 1: (2, 2 / 3)}
