@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from haulstat.functions.columns import value_map  # noqa: F401  (re-exported)
 
+# Text label of each predicted class.
 LABELS = {0: "On Time", 1: "Delayed"}
 
 
