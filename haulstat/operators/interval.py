@@ -63,8 +63,8 @@ def window_size_bound(left: DataFrame, start: str, end: str, bucket_hours: int =
 
 def broadcast_limit_rows(spark) -> int:
     """Exploded window rows that fit the session's broadcast threshold (0 when disabled)."""
-    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return max(int(limit), 0) // EXPLODED_ROW_BYTES
+    from haulstat.session import broadcast_threshold_bytes
+    return broadcast_threshold_bytes(spark) // EXPLODED_ROW_BYTES
 
 
 def _use_broadcast(spark, bound: tuple[int, int] | None, broadcast_max_rows: int | None) -> bool:

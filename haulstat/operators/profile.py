@@ -27,8 +27,12 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     files the scan stage would otherwise run them on one core. With the many
     splits of a large dataset this returns ``df`` unchanged (no shuffle).
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. Spark Connect): leave the plan alone
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def numeric_columns(df: DataFrame) -> list[str]:

@@ -41,6 +41,22 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30,
+          "t": 1 << 40, "tb": 1 << 40}
+
+
+def broadcast_threshold_bytes(spark: SparkSession) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (0 when broadcasting is disabled)."""
+    try:
+        value = int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    except Exception:  # e.g. a Spark Connect session: read the setting as text
+        text = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")).strip().lower()
+        num = text.rstrip("bkmgt")
+        unit = text[len(num):] or "b"
+        value = int(float(num) * _UNITS.get(unit, 1))
+    return max(value, 0)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The checkpoint directory in use: the cluster's, or a scratch one only when none is named.
 
@@ -48,7 +64,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     it names shared storage and is used as is. Only when it is unset (tests,
     local runs) is a scratch directory created for this process.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's checkpoint directory applies
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
