@@ -39,9 +39,14 @@ def _r(c: str, places: int = R) -> F.Column:
     return (F.round(F.col(c) * F.lit(scale), 0) / F.lit(scale)).alias(c)
 
 
+def _city(spark: SparkSession, sf: str) -> DataFrame:
+    """The derived city series feeds the width estimate and both lookups: computed once."""
+    return P.materialize(B.city_series(spark, sf))
+
+
 def _tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """The domain catalog bound onto the test tables."""
-    city = B.city_series(spark, sf)
+    city = _city(spark, sf)
     rd = B.readings(spark, sf)
     return {
         "truck_schedule": B.trips(spark, sf),
@@ -87,7 +92,7 @@ def q_asof_two_sided(spark: SparkSession, sf: str) -> DataFrame:
     t = P.add_route_info(
         B.trips(spark, sf).select("trip_id", "route_id", "departure_date", "estimated_arrival"),
         B.routes(spark, sf).select("route_id", "origin_id", "destination_id"))
-    out = P.add_city_weather(t, B.city_series(spark, sf), ts="ts")
+    out = P.add_city_weather(t, _city(spark, sf), ts="ts")
     cols = [p + c for p in ("origin_", "destination_") for c in B.WEATHER_COLS]
     return out.select("trip_id", *[_r(c) for c in cols])
 
