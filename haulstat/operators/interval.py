@@ -51,7 +51,29 @@ def _agg_exprs(aggs: Mapping[str, tuple[str, str]]) -> list[Column]:
 EXPLODED_ROW_BYTES = 64  # keys, series key, two bounds, bucket and row overhead
 
 
-def window_size_bound(left: DataFrame, start: str, end: str, bucket_hours: int = 24) -> tuple[int, int]:
+MIN_BUCKET_HOURS = 1 / 60
+MAX_BUCKET_HOURS = 24 * 30
+
+
+def plan_windows(left: DataFrame, start: str, end: str) -> tuple[float, tuple[int, int]]:
+    """Bucket width and size bound for a schedule, from one aggregate.
+
+    The width follows the mean window length (clamped to [1 minute, 30
+    days], whole hours from an hour up): each window then touches about two
+    buckets and meets about two windows' worth of readings. The bound is
+    (rows, widest window in buckets) for the broadcast decision.
+    """
+    hours = F.timestamp_diff("MICROSECOND", F.col(start), F.col(end)) / F.lit(3.6e9)
+    ok = F.col(end) >= F.col(start)
+    row = left.agg(F.count(F.lit(1)).alias("n"), F.avg(F.when(ok, hours)).alias("avg"),
+                   F.max(F.when(ok, hours)).alias("max")).first()
+    width = min(max(float(row["avg"] or 24.0), MIN_BUCKET_HOURS), MAX_BUCKET_HOURS)
+    width = float(int(width)) if width >= 1 else width
+    widest = int((row["max"] or 0.0) // width) + 2
+    return width, (int(row["n"]), widest)
+
+
+def window_size_bound(left: DataFrame, start: str, end: str, bucket_hours: float = 24) -> tuple[int, int]:
     """(rows, widest window in buckets) of a schedule: one aggregate, two numbers to the driver.
 
     ``rows * widest`` bounds the exploded window side of the join.

@@ -61,19 +61,20 @@ def _tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 # ---------------------------------------------------------------- joins
 
-def _bound(t: DataFrame):
-    return P.window_size_bound(t, "departure_date", "estimated_arrival")
+def _plan(t: DataFrame) -> dict:
+    width, bound = P.plan_windows(t, "departure_date", "estimated_arrival")
+    return {"bucket_hours": width, "size_bound": bound}
 
 
 def q_interval_traffic(spark: SparkSession, sf: str) -> DataFrame:
     t = B.trips(spark, sf).select("trip_id", "route_id", "departure_date", "estimated_arrival")
-    out = P.add_traffic(t, B.readings(spark, sf), keys=["trip_id"], ts="ts", size_bound=_bound(t))
+    out = P.add_traffic(t, B.readings(spark, sf), keys=["trip_id"], ts="ts", **_plan(t))
     return out.select("trip_id", _r("no_of_vehicles"), "accident")
 
 
 def q_interval_weather(spark: SparkSession, sf: str) -> DataFrame:
     t = B.trips(spark, sf).select("trip_id", "route_id", "departure_date", "estimated_arrival")
-    out = P.add_route_weather(t, B.readings(spark, sf), keys=["trip_id"], ts="ts", size_bound=_bound(t))
+    out = P.add_route_weather(t, B.readings(spark, sf), keys=["trip_id"], ts="ts", **_plan(t))
     return out.select("trip_id", *[_r(c) for c in B.WEATHER_COLS])
 
 

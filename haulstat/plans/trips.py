@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from haulstat.functions.columns import any_of, bad_weather, is_weekend, weekday_mon0
 from haulstat.operators.asof import asof_nearest
 from haulstat.operators.features import drop_columns, high_quantile_flag, one_hot
-from haulstat.operators.interval import attach_interval_aggregate, window_size_bound
+from haulstat.operators.interval import attach_interval_aggregate, plan_windows, window_size_bound
 from haulstat.operators.lookup import lookup
 from haulstat.session import ensure_checkpoint_dir
 from haulstat.plans.bindings import (
@@ -76,11 +76,12 @@ def add_driver_and_truck(trips: DataFrame, drivers: DataFrame, trucks: DataFrame
 
 def build_trips(tables: Mapping[str, DataFrame], *, keys: Sequence[str] = TRIP_KEYS,
                 traffic_ts: str = "timestamp", weather_ts: str = "date",
-                city_ts: str = "timestamp", bucket_hours: int = 24,
+                city_ts: str = "timestamp", bucket_hours: float | str = "auto",
                 checkpoint: bool = True) -> DataFrame:
     """One row per trip: routes, traffic, route weather, city weather, drivers and trucks.
 
-    The schedule is measured once (rows, widest window): the bound decides
+    The schedule is measured once: the mean window length sets the bucket
+    width (``bucket_hours="auto"``), and (rows, widest window) decides
     whether the window joins broadcast the trips or shuffle both sides.
     With ``checkpoint`` the trip rows are checkpointed after the two window
     joins, so the as-of stage starts from stored rows: the plan stays small
@@ -88,7 +89,10 @@ def build_trips(tables: Mapping[str, DataFrame], *, keys: Sequence[str] = TRIP_K
     reading joins.
     """
     schedule = tables["truck_schedule"]
-    bound = window_size_bound(schedule, "departure_date", "estimated_arrival", bucket_hours)
+    if bucket_hours == "auto":
+        bucket_hours, bound = plan_windows(schedule, "departure_date", "estimated_arrival")
+    else:
+        bound = window_size_bound(schedule, "departure_date", "estimated_arrival", bucket_hours)
     df = add_route_info(schedule, tables["routes"])
     df = add_traffic(df, tables["traffic"], keys=keys, ts=traffic_ts, bucket_hours=bucket_hours,
                      size_bound=bound)

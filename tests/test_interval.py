@@ -91,3 +91,11 @@ def test_broadcast_path_equals_shuffle_path(spark, bucket_hours):
     rows = lambda df: sorted((x["trip_id"], round(x["v"], 9) if x["v"] is not None else None, x["acc"])
                              for x in df.collect())
     assert rows(bc) == rows(sh)
+
+
+def test_plan_windows_width_and_bound(spark):
+    from haulstat.operators.interval import plan_windows
+    rows = [(i, "a", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1) + dt.timedelta(hours=h))
+            for i, h in enumerate([2, 4, 6, 8])]
+    width, (n, widest) = plan_windows(spark.createDataFrame(rows, TRIPS), "dep", "arr")
+    assert width == 5.0 and n == 4 and widest == 8 // 5 + 2
