@@ -72,3 +72,18 @@ def test_auc_matches_rank_formula_with_ties(spark):
     neg = [s for y, s in rows if y == 0]
     expected = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
     assert got == pytest.approx(expected)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_split_matches_python_sort(spark, seed):
+    import datetime as dt
+    rnd = random.Random(seed)
+    base = dt.datetime(2024, 1, 1, 7)
+    rows = [(i, None if rnd.random() < 0.03 else base + dt.timedelta(days=rnd.randrange(6), hours=rnd.choice([0, 0, 5])))
+            for i in range(rnd.randrange(50, 200))]
+    df = spark.createDataFrame(rows, "trip_id int, d timestamp_ntz")
+    got = {r["trip_id"]: r["split"] for r in time_split(df, "d", ["trip_id"], test_size=0.2).collect()}
+    order = sorted(rows, key=lambda r: (r[1] is None, r[1] or base, r[0]))
+    cutoff = split_cutoff(len(rows), 0.2)
+    expected = {r[0]: ("train" if i < cutoff else "test") for i, r in enumerate(order)}
+    assert got == expected
