@@ -24,6 +24,13 @@ of all readings) into one task. Instead time is cut into buckets:
    window holds one row per bucket of a key, bounded by time span / width.
 3. the candidate from the bucket wins over the carried one; then the nearer of
    backward / forward is picked.
+
+Each input is shuffled once on (key, bucket) and every consumer above reads
+that exchange, so neither input plan runs twice. The bucket width defaults to
+``"auto"``: one aggregate finds the busiest (key, day) over both sides and
+sizes buckets to about ``TARGET_ROWS_PER_BUCKET`` rows, so a fine-level task
+holds a bounded slice of even the hottest key (down to one-minute buckets;
+a burst denser than that per minute is the remaining single-task case).
 """
 
 from __future__ import annotations
