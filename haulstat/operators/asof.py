@@ -126,13 +126,11 @@ def asof_nearest(left: DataFrame, right: DataFrame, *, left_by: str, right_by: s
     # neither input plan is computed twice.
     lx = lft.repartition("__k", "__b")
     r = r.repartition("__k", "__b")
-    l_ok = lx.where("__ok").drop("__ok")
-    l_bad = lx.where(~F.col("__ok"))
 
     cand_type = T.StructType([T.StructField("t", r_schema["__t"]),
                               T.StructField("p", r_schema["__p"])])
     null_cand = F.lit(None).cast(cand_type)
-    l_type = l_ok.schema["__l"].dataType
+    l_type = lx.schema["__l"].dataType
 
     # Coarse level: nearest reading in an earlier / later bucket of the same key.
     order_key = F.struct(F.col("__t"), F.col("__tie"))
@@ -141,7 +139,7 @@ def asof_nearest(left: DataFrame, right: DataFrame, *, left_by: str, right_by: s
                   .agg(F.max_by(cand, order_key).alias("__last"),
                        F.min_by(cand, order_key).alias("__first"))
                   .withColumn("__side", F.lit(1)))
-    left_buckets = (l_ok.select("__k", "__b").distinct()
+    left_buckets = (lx.where("__ok").select("__k", "__b").distinct()
                     .withColumn("__last", null_cand).withColumn("__first", null_cand)
                     .withColumn("__side", F.lit(0)))
     coarse = per_bucket.unionByName(left_buckets)
@@ -154,11 +152,12 @@ def asof_nearest(left: DataFrame, right: DataFrame, *, left_by: str, right_by: s
              .select("__k", "__b", "__cb", "__cf"))
 
     # Fine level: candidates inside the left row's own bucket.
+    # rows that cannot match ride along in their spread bucket and are nulled at the end
     fine = (r.select("__k", "__b", "__t", F.lit(0).alias("__side"), "__tie", "__p",
-                     F.lit(None).cast(l_type).alias("__l"))
-            .unionByName(l_ok.select("__k", "__b", "__t", F.lit(1).alias("__side"),
-                                     F.lit(None).cast(r_schema["__tie"]).alias("__tie"),
-                                     F.lit(None).cast(r_schema["__p"]).alias("__p"), "__l")))
+                     F.lit(None).cast(l_type).alias("__l"), F.lit(True).alias("__ok"))
+            .unionByName(lx.select("__k", "__b", "__t", F.lit(1).alias("__side"),
+                                   F.lit(None).cast(r_schema["__tie"]).alias("__tie"),
+                                   F.lit(None).cast(r_schema["__p"]).alias("__p"), "__l", "__ok")))
     rcand = F.when(F.col("__side") == 0, cand)
     wb = (Window.partitionBy("__k", "__b")
           .orderBy(F.col("__t").asc(), F.col("__side").asc(), F.col("__tie").asc())
@@ -170,7 +169,7 @@ def asof_nearest(left: DataFrame, right: DataFrame, *, left_by: str, right_by: s
             .withColumn("__ib", F.last(rcand, ignorenulls=True).over(wb))
             .withColumn("__if", F.last(rcand, ignorenulls=True).over(wf))
             .where(F.col("__side") == 1)
-            .select("__k", "__b", "__t", "__l", "__ib", "__if"))
+            .select("__k", "__b", "__t", "__l", "__ok", "__ib", "__if"))
 
     joined = hits.join(carry, ["__k", "__b"], "left")
     bk = F.coalesce(F.col("__ib"), F.col("__cb"))
@@ -181,13 +180,9 @@ def asof_nearest(left: DataFrame, right: DataFrame, *, left_by: str, right_by: s
               .when(fw.isNull(), bk)
               .when(gap_b <= gap_f, bk)
               .otherwise(fw))
-    picked = joined.select("__l", "__t", chosen.alias("__c"))
+    picked = joined.select("__l", "__t", F.when(F.col("__ok"), chosen).alias("__c"))
     if tolerance_us is not None:
         gap = F.abs(F.timestamp_diff("MICROSECOND", F.col("__c.t"), F.col("__t")))
         picked = picked.withColumn("__c", F.when(gap <= F.lit(tolerance_us), F.col("__c")))
-    matched = picked.select(*[F.col("__l").getField(c).alias(c) for c in left_cols],
-                            *[F.col("__c.p").getField(c).alias(prefix + c) for c in payload])
-    p_fields = {f.name: f.dataType for f in r_schema["__p"].fields}
-    unmatched = l_bad.select(*[F.col("__l").getField(c).alias(c) for c in left_cols],
-                             *[F.lit(None).cast(p_fields[c]).alias(prefix + c) for c in payload])
-    return matched.unionByName(unmatched)
+    return picked.select(*[F.col("__l").getField(c).alias(c) for c in left_cols],
+                         *[F.col("__c.p").getField(c).alias(prefix + c) for c in payload])
