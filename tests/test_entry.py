@@ -53,3 +53,14 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
     assert _rows(got) == _rows(want)
+
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+             "FlatMapGroupsInPandas", "MapInPandas")
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_plan_has_no_pair_joins_or_python(spark, name):
+    df = E.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [op for op in FORBIDDEN if op in plan]
