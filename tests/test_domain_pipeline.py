@@ -119,3 +119,9 @@ def test_train_save_load_score(spark, raw_dir, tmp_path):
     # a batch with one fuel type only still yields the training layout
     one = new.limit(1)
     assert TR.predict_delay(one, cleaned, model, art2).count() == 1
+
+
+def test_load_reference_tables(spark, raw_dir):
+    tables = TR.load_reference_tables(spark, str(raw_dir))
+    assert "truck_schedule" not in tables and set(tables) >= {"drivers", "trucks", "traffic", "routes"}
+    assert remaining_nulls(tables["drivers"], ["gender", "driving_style"]).first()[0] == 0

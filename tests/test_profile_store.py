@@ -78,3 +78,8 @@ def test_value_counts_ignore_null(spark):
     df = spark.createDataFrame([(1,), (1,), (0,), (None,)], "delay int")
     rows = {r["delay"]: (r["count"], r["share"]) for r in PR.value_counts(df, "delay").collect()}
     assert rows == {0: (1, 1 / 3), 1: (2, 2 / 3)}
+
+
+def test_preview_is_a_limit(spark):
+    df = spark.range(100)
+    assert PR.preview(df).count() == 5 and PR.preview(df, 3).count() == 3
