@@ -175,6 +175,22 @@ SELECT {", ".join(_DS_OTHER)}, {", ".join(_rnd(c, c) for c in _DS_DOUBLES)} FROM
 SQL["trip_features"] = _trip_dataset_ctes() + _features_select("ds")
 
 
+# levels after the first of each categorical column, as fitted on the trip rows
+_DUMMIES = {"gender": ["male"],
+            "driving_style": ["BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
+            "fuel_type": ["gas"]}
+_ID_COLS = {"truck_id", "route_id", "driver_id", "name", "origin_id", "destination_id",
+            "departure_date", "estimated_arrival"}
+_MATRIX_KEEP = (["trip_id", "delay", "accident"]
+                + [c for c in _DS_DOUBLES if c not in _ZERO]
+                + ["route_bad_weather", "origin_bad_weather", "destination_bad_weather", "any_bad_weather",
+                   "high_traffic", "departure_day_of_week", "is_weekend_departure"])
+
+SQL["model_matrix"] = _trip_dataset_ctes([("feat", _features_select("ds"))]) + """
+SELECT """ + ", ".join(_MATRIX_KEEP) + ", " + ", ".join(
+    f"CAST(coalesce({c} = '{v}', false) AS INTEGER) AS {c}_{v}" for c, vs in _DUMMIES.items() for v in vs) + """
+FROM feat"""
+
 # ---------------------------------------------------------------- features
 
 SQL["bad_weather_flags"] = with_ctes("readings") + f"""

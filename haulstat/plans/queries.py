@@ -121,6 +121,11 @@ def q_trip_features(spark: SparkSession, sf: str) -> DataFrame:
     return _round_doubles(P.engineer_features(P.materialize(trip_dataset(spark, sf))))
 
 
+def q_model_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    full = P.engineer_features(P.materialize(trip_dataset(spark, sf)))
+    return _round_doubles(P.model_matrix(full))
+
+
 # ---------------------------------------------------------------- features
 
 def q_bad_weather_flags(spark: SparkSession, sf: str) -> DataFrame:
@@ -410,6 +415,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lookup_join": q_lookup_join,
     "trip_dataset": q_trip_dataset,
     "trip_features": q_trip_features,
+    "model_matrix": q_model_matrix,
     "bad_weather_flags": q_bad_weather_flags,
     "high_quantile_flag": q_high_quantile_flag,
     "flag_rates": q_flag_rates,
