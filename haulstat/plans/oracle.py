@@ -275,6 +275,26 @@ SELECT l_orderkey, l_linenumber, l_suppkey,
        coalesce(l_quantity, (SELECT median(l_quantity) FROM s1 WHERE l_suppkey IS NOT NULL)) AS l_quantity
 FROM s1"""
 
+def _mode(table: str, col: str) -> str:
+    return (f"(SELECT {col} FROM {table} WHERE {col} IS NOT NULL GROUP BY {col} "
+            f"ORDER BY count(*) DESC, {col} ASC LIMIT 1)")
+
+
+SQL["clean_tables"] = with_ctes("drivers", "trucks", extra=[
+    ("d", """SELECT vehicle_no,
+                    CASE WHEN vehicle_no % 7 = 0 THEN NULL ELSE gender END AS gender,
+                    CASE WHEN vehicle_no % 11 = 0 THEN NULL ELSE driving_style END AS driving_style
+             FROM drivers"""),
+    ("t", """SELECT truck_id,
+                    CASE WHEN truck_id % 13 = 0 THEN NULL ELSE fuel_type END AS fuel_type,
+                    CASE WHEN truck_id % 17 = 0 THEN NULL ELSE load_capacity_pounds END AS load_capacity_pounds
+             FROM trucks""")]) + f"""
+SELECT t.truck_id, coalesce(d.gender, {_mode("d", "gender")}) AS gender,
+       coalesce(d.driving_style, {_mode("d", "driving_style")}) AS driving_style,
+       coalesce(t.fuel_type, {_mode("t", "fuel_type")}) AS fuel_type,
+       {_rnd("coalesce(t.load_capacity_pounds, (SELECT median(load_capacity_pounds) FROM t))", "load_capacity_pounds")}
+FROM d JOIN t ON d.vehicle_no = t.truck_id"""
+
 # ---------------------------------------------------------------- profiling
 
 SQL["null_report"] = f"""

@@ -224,6 +224,21 @@ def q_fill_group_median(spark: SparkSession, sf: str) -> DataFrame:
     return C.fill_group_median(li, "l_quantity", "l_suppkey")
 
 
+def q_clean_tables(spark: SparkSession, sf: str) -> DataFrame:
+    drivers = B.drivers(spark, sf).select(
+        "vehicle_no",
+        F.when(F.col("vehicle_no") % 7 == 0, None).otherwise(F.col("gender")).alias("gender"),
+        F.when(F.col("vehicle_no") % 11 == 0, None).otherwise(F.col("driving_style")).alias("driving_style"))
+    trucks = B.trucks(spark, sf).select(
+        "truck_id",
+        F.when(F.col("truck_id") % 13 == 0, None).otherwise(F.col("fuel_type")).alias("fuel_type"),
+        F.when(F.col("truck_id") % 17 == 0, None).otherwise(F.col("load_capacity_pounds"))
+        .alias("load_capacity_pounds"))
+    cleaned = C.clean_tables({"drivers": drivers, "trucks": trucks})
+    out = cleaned["drivers"].join(cleaned["trucks"], cleaned["drivers"]["vehicle_no"] == cleaned["trucks"]["truck_id"])
+    return out.select("truck_id", "gender", "driving_style", "fuel_type", _r("load_capacity_pounds"))
+
+
 # ---------------------------------------------------------------- profiling
 
 def q_null_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -428,6 +443,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fill_mode": q_fill_mode,
     "fill_median": q_fill_median,
     "fill_group_median": q_fill_group_median,
+    "clean_tables": q_clean_tables,
     "null_report": q_null_report,
     "dup_rows": q_dup_rows,
     "table_profile": q_table_profile,
