@@ -112,11 +112,12 @@ def train_and_evaluate(full: DataFrame, *, test_size: float = 0.2, kinds: Sequen
     return models, art, metrics
 
 
-def save(models: Mapping[str, PipelineModel], art: Artifacts, path: str) -> None:
-    """Each model under ``{path}/{kind}`` plus ``{path}/artifacts.json`` (Hadoop paths work)."""
+def save(models: Mapping[str, PipelineModel], art: Artifacts, path: str,
+         spark: SparkSession | None = None) -> None:
+    """Each model under ``{path}/{kind}`` plus ``{path}/artifacts`` (Hadoop paths work)."""
     for kind, model in models.items():
         model.write().overwrite().save(f"{path.rstrip('/')}/{kind}")
-    spark = SparkSession.getActiveSession()
+    spark = spark or SparkSession.getActiveSession()
     (spark.createDataFrame([(json.dumps(asdict(art)),)], "artifacts string")
      .coalesce(1).write.mode("overwrite").text(f"{path.rstrip('/')}/artifacts"))
 

@@ -57,10 +57,8 @@ def paths_under(root: str) -> dict[str, str]:
 
 def read_csv(spark: SparkSession, path: str, schema: str, keep_corrupt: bool = False) -> DataFrame:
     """Header CSV with a declared schema; text tokens for missing values become null."""
-    st = T._parse_datatype_string(schema)
-    if keep_corrupt:
-        st = st.add("_corrupt_record", T.StringType())
-    reader = (spark.read.schema(st).option("header", True).option("mode", "PERMISSIVE")
+    ddl = f"{schema}, _corrupt_record string" if keep_corrupt else schema
+    reader = (spark.read.schema(ddl).option("header", True).option("mode", "PERMISSIVE")
               .option("nanValue", "NaN"))
     if keep_corrupt:
         reader = reader.option("columnNameOfCorruptRecord", "_corrupt_record")

@@ -60,3 +60,14 @@ def test_lenient_parse_and_null_tokens(spark):
     assert parsed[0] == ts("2024-01-02 00:00:00") and parsed[1:5] == [None] * 4
     tokens = [r[0] for r in df.select(null_token("s")).collect()]
     assert tokens[2:] == [None, None, None, "x"]
+
+
+def test_csv_bad_value_becomes_null_and_line_is_kept(spark, tmp_path):
+    from haulstat.sources.tables import read_csv
+    p = tmp_path / "t.csv"
+    p.write_text("route_id,no_of_vehicles\nr1,10\nr2,NA\nr3,lots\n")
+    rows = read_csv(spark, str(p), "route_id string, no_of_vehicles double", keep_corrupt=True).collect()
+    got = {r["route_id"]: (r["no_of_vehicles"], r["_corrupt_record"]) for r in rows}
+    assert got["r1"] == (10.0, None)
+    assert got["r3"][0] is None and got["r3"][1] == "r3,lots"
+    assert got["r2"][0] is None
