@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from haulstat.functions.columns import flag
 
@@ -49,17 +50,32 @@ def high_quantile_flag(df: DataFrame, col: str, out: str, q: float = 0.75,
 def fit_categories(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
     """Sorted distinct non-null values of each categorical column.
 
-    Each column is a distinct aggregate (partial per task, then shuffled by
-    value) read back through a bounded ordered take, so a column that is not
-    really categorical fails instead of flooding the driver.
+    A distinct aggregate (partial per task, then shuffled by value) read back
+    through a bounded ordered take, so a column that is not really
+    categorical fails instead of flooding the driver. String columns share
+    one job over (column, value) pairs; other types get one job each.
     """
-    cats: dict[str, list[str]] = {}
+    cols = list(cols)
+    cats: dict[str, list] = {c: [] for c in cols}
+    strings = [c for c in cols if isinstance(df.schema[c].dataType, T.StringType)]
+    if strings:
+        pairs = (df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v"))
+                                               for c in strings])).alias("p"))
+                 .select("p.*").where(F.col("v").isNotNull()).distinct())
+        rows = pairs.orderBy("c", "v").limit(MAX_CATEGORIES * len(strings) + 1).collect()
+        if len(rows) > MAX_CATEGORIES * len(strings):
+            raise ValueError(f"more than {MAX_CATEGORIES} levels in one of {strings}")
+        for r in rows:
+            cats[r["c"]].append(r["v"])
     for c in cols:
+        if c in strings:
+            continue
         rows = (df.select(c).where(F.col(c).isNotNull()).distinct()
                 .orderBy(c).limit(MAX_CATEGORIES + 1).collect())
-        if len(rows) > MAX_CATEGORIES:
-            raise ValueError(f"{c} has more than {MAX_CATEGORIES} levels; not a categorical column")
         cats[c] = [r[0] for r in rows]
+    for c, values in cats.items():
+        if len(values) > MAX_CATEGORIES:
+            raise ValueError(f"{c} has more than {MAX_CATEGORIES} levels; not a categorical column")
     return cats
 
 
