@@ -83,3 +83,14 @@ def test_value_counts_ignore_null(spark):
 def test_preview_is_a_limit(spark):
     df = spark.range(100)
     assert PR.preview(df).count() == 5 and PR.preview(df, 3).count() == 3
+
+
+def test_approximate_quantile_switch(spark):
+    from haulstat.operators.clean import fill_group_median
+    df = spark.createDataFrame([(float(i), "g" if i % 2 else "h") for i in range(1, 101)] + [(None, "g")],
+                               "x double, k string")
+    exact = PR.describe(df, ["x"]).first()
+    approx = PR.describe(df, ["x"], accuracy=10000).first()
+    assert approx["count"] == exact["count"] and abs(approx["q50"] - exact["q50"]) <= 1.0
+    filled = fill_group_median(df, "x", "k", accuracy=10000).where("x is null").count()
+    assert filled == 0
