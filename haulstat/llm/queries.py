@@ -7,15 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from haulstat.llm.common import table
+from haulstat.llm.language_id import language_id
+from haulstat.llm.quality_classifier import quality_classifier
 from haulstat.llm.quality_rules import quality_rules
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_quality_rules,)}
+    f.__name__: f for f in (
+        op2_language_id, op4_quality_rules, op7_quality_classifier)}
 
 #: DuckDB SQL twins of the queries that SQL can express.
 SQL: dict[str, str] = {}
