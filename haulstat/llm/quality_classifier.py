@@ -1,8 +1,9 @@
 """Quality classifier: hashed word n-gram logistic regression, trained with follow-the-regularised-leader updates.
 
 Tokens are runs of word characters and runs of other visible characters, in
-the text's own case. Features are the tokens and pairs of adjacent tokens,
-hashed to ``1 << BITS`` slots; a document's vector holds the square root of
+the text's own case. Features are the tokens, pairs of adjacent tokens, and the
+pattern of a token that comes again within at most REPEATS tokens (one slot per
+distance, whatever the token), hashed to ``1 << BITS`` slots; a document's vector holds the square root of
 each slot's count, scaled to length 1. A score is the logistic function of the
 sparse dot product of that vector with the weights, plus a bias.
 
@@ -34,6 +35,7 @@ from haulstat.llm.common import held_out, stored
 
 TOKENS = re.compile(r"\w+|[^\w\s]+")
 BITS = 18
+REPEATS = 4  # slots 1 to REPEATS also stand for tokens that come again at that distance
 FIT_ROWS = 6000
 CACHE_TOKENS = 400_000
 
@@ -64,13 +66,14 @@ class Hasher:
         return np.fromiter(map(self.known.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
 
     def slots(self, tokens: list[str]) -> np.ndarray:
-        """A slot for every token and every pair of adjacent tokens."""
+        """A slot for every token, pair of adjacent tokens, and token equal to one shortly before it."""
         h = self.hashes(tokens)
         with np.errstate(over="ignore"):
             pairs = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + (h[1:] ^ (h[1:] >> np.uint64(31)))
             pairs ^= pairs >> np.uint64(29)
             pairs *= np.uint64(0xBF58476D1CE4E5B9)
-        return (np.concatenate([h, pairs]) >> np.uint64(64 - BITS)).astype(np.int64)
+        again = [np.full(int((h[d:] == h[:-d]).sum()), d) for d in range(1, REPEATS + 1)]
+        return np.concatenate([(np.concatenate([h, pairs]) >> np.uint64(64 - BITS)).astype(np.int64), *again])
 
 
 def vector(slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
