@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from haulstat.llm.common import table
 from haulstat.llm.language_id import language_id
+from haulstat.llm.pii import personal_data
 from haulstat.llm.quality_classifier import quality_classifier
 from haulstat.llm.quality_rules import quality_rules
 
@@ -31,9 +32,13 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_language_id, op4_quality_rules, op7_quality_classifier)}
+        op2_language_id, op4_quality_rules, op7_quality_classifier, op10_pii)}
 
 #: DuckDB SQL twins of the queries that SQL can express.
 SQL: dict[str, str] = {}
