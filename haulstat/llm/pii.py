@@ -48,6 +48,7 @@ KINDS = (*BASE, "secret", "local_phone", "identity", "name")
 LABELERS = ("shape", "entropy", "gazetteer", "context", "edges")
 THRESHOLD = 0.5
 EM_ROUNDS, FIT_ROUNDS = 50, 400
+PRIOR = ((3.0, 9.0), (9.0, 3.0))  # pseudo-votes (yes, no) of each labeler on false and on true spans
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -197,26 +198,28 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
 def estimate(patterns: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray]:
     """Posterior of every pattern, and P(yes or no | labeler, class): expectation-maximisation over counted patterns.
 
-    A labeler that says nothing counts for neither class; the start is the share of yes among the votes cast.
+    A labeler that says nothing counts for neither class. The start is the share of yes among the votes cast;
+    base spans are true by definition and stay so; ``PRIOR`` says that labelers are better than chance.
     """
     votes_ = np.array([["yn-".index(c) for c in p.split("/")[2]] for p, _ in patterns])
     cast = votes_ < 2
     kind = np.array([KINDS.index(p.split("/")[0]) for p, _ in patterns])
     weight = np.array([n for _, n in patterns], dtype=float)
     yes, no = (votes_ == 0).sum(1), (votes_ == 1).sum(1)
-    post = (yes + 0.5) / (yes + no + 1.0)
+    known = kind < len(BASE)
+    post = np.where(known, 1.0, (yes + 0.5) / (yes + no + 1.0))
     said = np.zeros((len(LABELERS), 2, 2))
     for _ in range(EM_ROUNDS):
         for j in range(len(LABELERS)):
             for c, p in ((0, 1 - post), (1, post)):
-                n = np.bincount(votes_[cast[:, j], j], weights=(weight * p)[cast[:, j]], minlength=2) + 1.0
+                n = np.bincount(votes_[cast[:, j], j], weights=(weight * p)[cast[:, j]], minlength=2) + PRIOR[c]
                 said[j, c] = n / n.sum()
         share = np.array([(np.sum((weight * post)[kind == k]) + 1) / (weight[kind == k].sum() + 2)
                           for k in range(len(KINDS))])[kind]
         log = np.log(np.stack([1 - share, share]))
         for j in range(len(LABELERS)):
             log[:, cast[:, j]] += np.log(said[j][:, votes_[cast[:, j], j]])
-        new = 1 / (1 + np.exp(np.clip(log[0] - log[1], -35, 35)))
+        new = np.where(known, 1.0, 1 / (1 + np.exp(np.clip(log[0] - log[1], -35, 35))))
         if np.abs(new - post).max() < 1e-9:
             break
         post = new
