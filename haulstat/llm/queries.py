@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from haulstat.llm.common import table
+from haulstat.llm import token_store
+from haulstat.llm.common import shared_path, table
 from haulstat.llm.language_id import language_id
 from haulstat.llm.pii import personal_data
 from haulstat.llm.quality_classifier import quality_classifier
@@ -20,6 +21,13 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids, read back from the store that was written."""
+    path = shared_path(spark, "token-store")
+    token_store.write(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"))
+    return token_store.digests(spark, path)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
@@ -38,7 +46,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_language_id, op4_quality_rules, op7_quality_classifier, op10_pii)}
+        op1_token_store, op2_language_id, op4_quality_rules, op7_quality_classifier, op10_pii)}
 
 #: DuckDB SQL twins of the queries that SQL can express.
 SQL: dict[str, str] = {}
