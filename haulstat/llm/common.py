@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +16,19 @@ from haulstat.session import ensure_checkpoint_dir
 FOLDS, HELD_OUT = 3, 1
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors (once per context), as ``--py-files`` would."""
+    sc = spark.sparkContext
+    root = Path(__file__).resolve().parents[2]
+    if not root.is_dir() or any(str(f).endswith("haulstat-package.zip") for f in sc._python_includes):
+        return
+    archive = Path(tempfile.mkdtemp(prefix="haulstat-")) / "haulstat-package.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted((root / "haulstat").rglob("*.py")):
+            z.write(f, f.relative_to(root))
+    sc.addPyFile(str(archive))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

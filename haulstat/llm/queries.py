@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from haulstat.llm import token_store
-from haulstat.llm.common import shared_path, table
+from haulstat.llm.common import shared_path, ship, table
+from haulstat.llm.decontamination import decontamination
 from haulstat.llm.language_id import language_id
+from haulstat.llm.ngram_join import ngram_join
 from haulstat.llm.pii import personal_data
 from haulstat.llm.quality_classifier import quality_classifier
 from haulstat.llm.quality_rules import quality_rules
@@ -40,13 +43,31 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
 
+def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (
-        op1_token_store, op2_language_id, op4_quality_rules, op7_quality_classifier, op10_pii)}
+    f.__name__: shipped(f) for f in (
+        op1_token_store, op2_language_id, op4_quality_rules, op7_quality_classifier, op8_ngram_join,
+        op9_decontamination, op10_pii)}
 
 #: DuckDB SQL twins of the queries that SQL can express.
 SQL: dict[str, str] = {}
