@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from haulstat.llm import token_store
+from haulstat.llm import mixing, preference, sharding, token_store
 from haulstat.llm.common import shared_path, ship, table
 from haulstat.llm.decontamination import decontamination
 from haulstat.llm.language_id import language_id
@@ -35,10 +35,22 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharding(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing(table(spark, sf_dir, "documents"))
+
+
+def op6_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preference.preferences(table(spark, sf_dir, "conversations"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -66,8 +78,9 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: shipped(f) for f in (
-        op1_token_store, op2_language_id, op4_quality_rules, op7_quality_classifier, op8_ngram_join,
-        op9_decontamination, op10_pii)}
+        op1_token_store, op2_language_id, op3_sharding, op4_quality_rules, op5_mixing, op6_preference,
+        op7_quality_classifier, op8_ngram_join, op9_decontamination, op10_pii)}
 
 #: DuckDB SQL twins of the queries that SQL can express.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_sharding": sharding.oracle(), "op5_mixing": mixing.oracle(), "op6_preference": preference.oracle()}
