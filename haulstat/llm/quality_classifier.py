@@ -132,7 +132,8 @@ def fit(docs: DataFrame, labels: DataFrame, params: Ftrl = Ftrl(), fit_rows: int
         yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()], pa.binary())], ["weights"])
 
     got = rows.repartition(1).sortWithinPartitions("__order", "__text", "__label").mapInArrow(train, "weights binary")
-    return np.frombuffer(got.first()["weights"])
+    trained = got.first()
+    return np.frombuffer(trained["weights"]) if trained else np.zeros((1 << BITS) + 1)
 
 
 def score(df: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
