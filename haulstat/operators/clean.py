@@ -14,6 +14,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from haulstat.operators.order import exact_quantiles
+
 
 def mode_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row: the most frequent non-null value of each column; ties go to the smallest."""
@@ -28,9 +30,13 @@ def fill_mode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def median_values(df: DataFrame, cols: Sequence[str], accuracy: int | None = None) -> DataFrame:
     """One row: exact median of each column, or ``percentile_approx`` when ``accuracy`` is set."""
-    if accuracy is None:
-        return df.agg(*[F.median(c).alias(c) for c in cols])
-    return df.agg(*[F.percentile_approx(c, 0.5, accuracy).alias(c) for c in cols])
+    if accuracy is not None:
+        return df.agg(*[F.percentile_approx(c, 0.5, accuracy).alias(c) for c in cols])
+    cols = list(cols)
+    values = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x"))
+                                           for c in cols])).alias("v")).select("v.*")
+    got = exact_quantiles(values, ["column"], "x", [0.5])
+    return got.agg(*[F.max(F.when(F.col("column") == c, F.col("qs")[0])).alias(c) for c in cols])
 
 
 def fill_median(df: DataFrame, cols: Sequence[str], accuracy: int | None = None) -> DataFrame:
@@ -45,14 +51,21 @@ def fill_group_median(df: DataFrame, col: str, by: str, accuracy: int | None = N
     The fallback median is taken after the group fill, over rows with a
     non-null group key, as the group fill is. Rows with a null key keep their
     own value; when it is null they take the fallback.
+
+    Both medians come from counts per (group, value): the filled column is
+    the known values plus, per group, its median as often as it has nulls.
     """
-    med = F.median(col) if accuracy is None else F.percentile_approx(col, 0.5, accuracy)
-    group_stats = df.where(F.col(by).isNotNull()).groupBy(by).agg(med.alias("__gm"))
-    step1 = (df.join(group_stats, by, "left")
-             .withColumn(col, F.coalesce(F.col(col), F.col("__gm"))).drop("__gm"))
-    med2 = F.median(col) if accuracy is None else F.percentile_approx(col, 0.5, accuracy)
-    fallback = step1.where(F.col(by).isNotNull()).agg(med2).scalar()
-    return step1.withColumn(col, F.coalesce(F.col(col), fallback)).select(*df.columns)
+    known = df.where(F.col(by).isNotNull()).select(F.col(by).alias("__g"), F.col(col).cast("double").alias("__x"))
+    if accuracy is None:
+        group_stats = exact_quantiles(known, ["__g"], "__x", [0.5]).select("__g", F.col("qs")[0].alias("__gm"))
+    else:
+        group_stats = known.groupBy("__g").agg(F.percentile_approx("__x", 0.5, accuracy).alias("__gm"))
+    counted = known.groupBy("__g", "__x").agg(F.count(F.lit(1)).alias("__c"))
+    missing = counted.where(F.col("__x").isNull()).join(group_stats, "__g").select(F.col("__gm").alias("__x"), "__c")
+    filled = counted.where(F.col("__x").isNotNull()).select("__x", "__c").unionByName(missing)
+    fallback = exact_quantiles(filled, [], "__x", [0.5], weight="__c").select(F.col("qs")[0]).scalar()
+    return (df.join(group_stats, F.col(by) == F.col("__g"), "left")
+            .withColumn(col, F.coalesce(F.col(col), F.col("__gm"), fallback)).select(*df.columns))
 
 
 def fill_constant(df: DataFrame, values: Mapping[str, object]) -> DataFrame:

@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from haulstat.functions.columns import flag
-
-MAX_CATEGORIES = 10_000
+from haulstat.operators.order import exact_quantiles
 
 
 def drop_columns(df: DataFrame, cols: Sequence[str], *, strict: bool = True) -> DataFrame:
@@ -30,8 +29,10 @@ def drop_columns(df: DataFrame, cols: Sequence[str], *, strict: bool = True) ->
 
 def quantile_value(df: DataFrame, col: str, q: float, accuracy: int | None = None) -> DataFrame:
     """One row, column ``threshold``: linear-interpolated quantile of the non-null values."""
-    expr = F.percentile(col, q) if accuracy is None else F.percentile_approx(col, q, accuracy)
-    return df.agg(expr.alias("threshold"))
+    if accuracy is not None:
+        return df.agg(F.percentile_approx(col, q, accuracy).alias("threshold"))
+    values = df.select(F.col(col).cast("double").alias("x"))
+    return exact_quantiles(values, [], "x", [q]).select(F.col("qs")[0].alias("threshold"))
 
 
 def high_quantile_flag(df: DataFrame, col: str, out: str, q: float = 0.75,
@@ -47,13 +48,13 @@ def high_quantile_flag(df: DataFrame, col: str, out: str, q: float = 0.75,
     return df.withColumn(out, flag(F.col(col) > t))
 
 
-def fit_categories(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
+def fit_categories(df: DataFrame, cols: Sequence[str], max_levels: int | None = None) -> dict[str, list]:
     """Sorted distinct non-null values of each categorical column.
 
-    A distinct aggregate (partial per task, then shuffled by value) read back
-    through a bounded ordered take, so a column that is not really
-    categorical fails instead of flooding the driver. String columns share
-    one job over (column, value) pairs; other types get one job each.
+    A distinct aggregate (partial per task, then shuffled by value); string
+    columns share one job over (column, value) pairs, other types get one job
+    each. The levels become column names, so they are returned to the driver;
+    ``max_levels`` (off by default) makes a column with more of them an error.
     """
     cols = list(cols)
     cats: dict[str, list] = {c: [] for c in cols}
@@ -62,20 +63,14 @@ def fit_categories(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
         pairs = (df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v"))
                                                for c in strings])).alias("p"))
                  .select("p.*").where(F.col("v").isNotNull()).distinct())
-        rows = pairs.orderBy("c", "v").limit(MAX_CATEGORIES * len(strings) + 1).collect()
-        if len(rows) > MAX_CATEGORIES * len(strings):
-            raise ValueError(f"more than {MAX_CATEGORIES} levels in one of {strings}")
-        for r in rows:
+        for r in sorted(pairs.collect(), key=lambda r: r["v"]):
             cats[r["c"]].append(r["v"])
     for c in cols:
-        if c in strings:
-            continue
-        rows = (df.select(c).where(F.col(c).isNotNull()).distinct()
-                .orderBy(c).limit(MAX_CATEGORIES + 1).collect())
-        cats[c] = [r[0] for r in rows]
+        if c not in strings:
+            cats[c] = sorted(r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().collect())
     for c, values in cats.items():
-        if len(values) > MAX_CATEGORIES:
-            raise ValueError(f"{c} has more than {MAX_CATEGORIES} levels; not a categorical column")
+        if max_levels is not None and len(values) > max_levels:
+            raise ValueError(f"{c} has more than {max_levels} levels; not a categorical column")
     return cats
 
 

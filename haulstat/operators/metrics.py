@@ -2,8 +2,8 @@
 
 Confusion counts are four ``count_if`` in one pass. ROC AUC aggregates per
 distinct score first (a hot score value collapses to one row), then needs the
-number of negatives below each score: a prefix sum, done with the distributed
-``ordered_rank`` recipe (range partitions, per-partition totals, offsets).
+number of negatives below each score: a prefix sum over buckets with literal
+cut points (see ``order``): totals per bucket, offsets, a window inside.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from haulstat.operators.order import bucket_of, buckets_for, cut_points
 from haulstat.functions.columns import value_map  # noqa: F401  (re-exported)
 
 # Text label of each predicted class.
@@ -94,15 +95,14 @@ def roc_auc(df: DataFrame, label: str, score: str, num_partitions: int | None =
                  .groupBy(F.col(score).alias("__s"))
                  .agg(F.count_if(F.col(label) == 1).alias("__pos"),
                       F.count_if(F.col(label) != 1).alias("__neg")))
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = per_score.repartitionByRange(n, "__s").withColumn("__pid", F.spark_partition_id())
-    part_neg = (ranged.groupBy("__pid").agg(F.sum("__neg").alias("__pn"))
-                .withColumn("__off", F.coalesce(F.sum("__pn").over(
-                    Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                .select("__pid", "__off"))
-    w = Window.partitionBy("__pid").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.withColumn("__below", F.coalesce(F.sum("__neg").over(w), F.lit(0)))
-    scored = local.join(F.broadcast(part_neg), "__pid")
+    cuts = cut_points(per_score, ["__s"], buckets_for(df, num_partitions))
+    placed = per_score.withColumn("__b", bucket_of(["__s"], cuts))
+    before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (placed.groupBy("__b").agg(F.sum("__neg").alias("__pn"))
+               .select("__b", F.coalesce(F.sum("__pn").over(before), F.lit(0)).alias("__off")))
+    w = Window.partitionBy("__b").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
+    local = placed.withColumn("__below", F.coalesce(F.sum("__neg").over(w), F.lit(0)))
+    scored = local.join(F.broadcast(offsets), "__b")  # one row per bucket
     contrib = F.col("__pos") * (F.col("__off") + F.col("__below") + F.col("__neg") / 2.0)
     return scored.agg(
         F.try_divide(F.sum(contrib), F.sum("__pos").cast("double") * F.sum("__neg").cast("double"))

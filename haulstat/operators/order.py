@@ -1,15 +1,12 @@
 """Global order statistics without a single-task window.
 
-``Window.orderBy(...)`` with no partition moves every row into one task. Here a
-global 1-based rank is computed the distributed way instead:
-
-1. range-partition the rows on the full sort key (Spark samples the key to
-   balance partitions; since the key is total, even one hot timestamp is split
-   across partitions by the tie columns);
-2. count rows per partition and turn those counts into offsets (one row per
-   partition, a tiny window);
-3. rank inside each partition with a window partitioned by the partition id,
-   and add the partition's offset.
+``Window.orderBy(...)`` with no partition moves every row into one task. Here
+rows are first dealt into buckets of the order: *cut points* are taken once
+from a bounded hash sample of the sort key and put into the plan as literals,
+so a row's bucket is a plain expression of its own values. Every branch of a
+plan, every retry and every rerun therefore agrees on the buckets. Ranks and
+prefix sums are then a total per bucket (one row each) plus a window inside
+the bucket.
 """
 
 from __future__ import annotations
@@ -18,28 +15,116 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+SAMPLE_PER_BUCKET = 100
 
-def _order_cols(order: Sequence[str | Column]) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in order]
 
+def _literal(value, kind: T.DataType) -> Column:
+    """``value`` as a literal of exactly ``kind`` (timestamps through text, so no time zone enters)."""
+    if value is not None and isinstance(kind, (T.TimestampNTZType, T.TimestampType, T.DateType)):
+        value = value.isoformat(sep=" ") if hasattr(value, "hour") else value.isoformat()
+    return F.lit(value).cast(kind)
 
-def ordered_rank(df: DataFrame, order: Sequence[str | Column], out: str = "rank",
+
+def cut_points(df: DataFrame, order: Sequence[str], buckets: int) -> list[Column]:
+    """At most ``buckets - 1`` ascending literals (structs of ``order``) that split the rows about evenly.
+
+    They come from the rows with the smallest hashes of the sort key, about
+    ``SAMPLE_PER_BUCKET`` of them for each bucket: a bounded, repeatable sample.
+    """
+    n = df.count()
+    if n == 0 or buckets < 2:
+        return []
+    keys = df.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order)])
+    u = F.pmod(F.xxhash64(*keys.columns), F.lit(1 << 40))
+    share = min(1.0, buckets * SAMPLE_PER_BUCKET / n)
+    rows = (keys.where(u < F.lit(int(share * (1 << 40)))).distinct()
+            .orderBy(*keys.columns).collect())
+    kinds = [f.dataType for f in keys.schema.fields]
+    picked = sorted({len(rows) * i // buckets for i in range(1, buckets)} - {0}) if rows else []
+    return [F.struct(*[_literal(v, k).alias(f"k{i}") for i, (v, k) in enumerate(zip(rows[at], kinds))])
+            for at in picked]
+
+
+def bucket_of(order: Sequence[str], cuts: Sequence[Column]) -> Column:
+    """Number of cut points that are not above the row's key: a comparison tree over the literals."""
+    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order)])
+
+    def tree(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(key < cuts[mid], tree(lo, mid)).otherwise(tree(mid + 1, hi))
+
+    return tree(0, len(cuts))
+
+
+def buckets_for(df: DataFrame, num_buckets: int | None) -> int:
+    return num_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def ordered_rank(df: DataFrame, order: Sequence[str], out: str = "rank",
                  num_partitions: int | None = None) -> DataFrame:
-    """``df`` plus ``out`` = 1-based position of each row in the total order ``order``.
+    """``df`` plus ``out`` = 1-based position of each row in the ascending order of the columns ``order``.
 
     ``order`` must be a total order (append a unique key to break ties) for
-    the rank to be deterministic.
+    the rank to be deterministic; nulls come first.
     """
-    cols = _order_cols(order)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *cols).withColumn("__pid", F.spark_partition_id())
-    offsets = (ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-               .withColumn("__off", F.coalesce(
-                   F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)))
-               .select("__pid", "__off"))
-    local = ranged.withColumn("__r", F.row_number().over(Window.partitionBy("__pid").orderBy(*cols)))
-    return (local.join(F.broadcast(offsets), "__pid")
+    cuts = cut_points(df, order, buckets_for(df, num_partitions))
+    placed = df.withColumn("__b", bucket_of(order, cuts))
+    before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (placed.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
+               .select("__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off")))
+    inside = F.row_number().over(Window.partitionBy("__b").orderBy(*order))
+    return (placed.withColumn("__r", inside).join(F.broadcast(offsets), "__b")  # one row per bucket
             .withColumn(out, (F.col("__off") + F.col("__r")).cast("long"))
-            .drop("__pid", "__off", "__r"))
+            .drop("__b", "__off", "__r"))
+
+
+def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, qs: Sequence[float],
+                    num_buckets: int | None = None, weight: str | None = None) -> DataFrame:
+    """Per group of ``by`` (columns): count ``n`` and ``qs``, the linear-interpolated quantiles of the non-null values.
+
+    Rows are reduced to (group, distinct value, count) with partial
+    aggregation and dealt to (group, value bucket). Only the buckets that hold
+    a wanted rank are looked into, so neither a hot group nor the whole
+    column ever meets in one task. ``weight`` names a column that says how
+    often a row counts.
+    """
+    by = list(by)
+    counted = (df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("__x"))
+               .agg((F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("__c")))
+    cuts = cut_points(counted, ["__x"], buckets_for(df, num_buckets))
+    counted = counted.withColumn("__b", bucket_of(["__x"], cuts))
+    whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    before = whole.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    per_bucket = (counted.groupBy(*by, "__b").agg(F.sum("__c").alias("__s"))
+                  .withColumn("__off", F.coalesce(F.sum("__s").over(before), F.lit(0)))
+                  .withColumn("__n", F.sum("__s").over(whole)))
+
+    def ranks(n: Column) -> list[Column]:
+        pos = [F.lit(float(q)) * (n - 1) for q in qs]
+        return [f(p).cast("long") for p in pos for f in (F.floor, F.ceil)]
+
+    wanted = F.lit(False)
+    for r in ranks(F.col("__n")):
+        wanted = wanted | ((r >= F.col("__off")) & (r < F.col("__off") + F.col("__s")))
+    held = per_bucket.where(wanted).drop("__s")
+    on = F.col("l.__b") == F.col("r.__b")
+    for c in by:
+        on = on & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
+    found = counted.alias("l").join(held.alias("r"), on).select(
+        *[F.col(f"l.{c}").alias(c) for c in by], "l.__b", "__x", "__c", "__off", "__n")
+    upto = Window.partitionBy(*by, "__b").orderBy("__x").rowsBetween(Window.unboundedPreceding, 0)
+    found = found.withColumn("__end", F.col("__off") + F.sum("__c").over(upto))
+    at = [F.min(F.when((F.col("__end") > r) & (F.col("__end") - F.col("__c") <= r), F.col("__x"))).alias(f"__v{i}")
+          for i, r in enumerate(ranks(F.col("__n")))]
+    got = found.groupBy(*by).agg(F.max("__n").alias("n"), *at)
+    values = []
+    for i, q in enumerate(qs):
+        pos = F.lit(float(q)) * (F.col("n") - 1)
+        lo, hi = F.col(f"__v{2 * i}").cast("double"), F.col(f"__v{2 * i + 1}").cast("double")
+        values.append(F.when(F.floor(pos) == F.ceil(pos), lo)
+                      .otherwise((F.ceil(pos) - pos) * lo + (pos - F.floor(pos)) * hi))
+    return got.select(*by, "n", F.array(*values).alias("qs"))

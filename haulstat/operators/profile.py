@@ -3,8 +3,8 @@ density curve, box-plot statistics, correlations and rate tables.
 
 Each report is one (or very few) aggregation passes; wide reports are computed
 as a single wide aggregate row and then unpivoted, instead of one job per
-column. Exact quantiles use ``percentile``; pass ``accuracy`` to switch to
-``percentile_approx`` when a column's distinct values do not fit a task.
+column. Quantiles are exact and distributed (see ``order``); pass ``accuracy``
+for ``percentile_approx`` instead.
 """
 
 from __future__ import annotations
@@ -16,25 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from haulstat.operators.order import exact_quantiles
+
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
             T.DecimalType)
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over all cores when it has fewer input splits than cores.
-
-    Only for CPU-heavy per-row expansions (pairs, grids): with a few large
-    files the scan stage would otherwise run them on one core. With the many
-    splits of a large dataset this returns ``df`` unchanged (no shuffle).
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. Spark Connect): leave the plan alone
-        return df
-    return df.repartition(cores) if splits < cores else df
-
-
 def numeric_columns(df: DataFrame) -> list[str]:
     """Names of numeric columns, in schema order (booleans excluded)."""
     return [f.name for f in df.schema.fields if isinstance(f.dataType, _NUMERIC)]
@@ -47,10 +34,6 @@ def _unpivot(row: DataFrame, cols: Sequence[str], stats: Sequence[str]) -> DataF
     return row.select(F.explode(F.array(*structs)).alias("__r")).select("__r.*")
 
 
-def _q(c: Column, q: float, accuracy: int | None) -> Column:
-    return F.percentile(c, q) if accuracy is None else F.percentile_approx(c, q, accuracy)
-
-
 # ------------------------------------------------------------------ quality
 
 def null_report(df: DataFrame, only_missing: bool = True) -> DataFrame:
@@ -128,50 +111,48 @@ def distinct_counts(named: dict[str, tuple[DataFrame, str]]) -> DataFrame:
 
 # ------------------------------------------------------------------ distributions
 
-def _quartiles(c: Column, accuracy: int | None) -> Column:
-    """Array of the 25/50/75% quantiles from one aggregation buffer."""
-    qs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    return F.percentile(c, qs) if accuracy is None else F.percentile_approx(c, qs, accuracy)
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+def _quartiles(long: DataFrame, by: Sequence[str], accuracy: int | None) -> DataFrame:
+    """Per group: ``q25``, ``q50``, ``q75`` of ``x``; exact, or ``percentile_approx`` when ``accuracy`` is set."""
+    if accuracy is None:
+        got = exact_quantiles(long, by, "x", QUARTILES)
+    else:
+        got = long.groupBy(*by).agg(F.percentile_approx("x", list(QUARTILES), accuracy).alias("qs"))
+    return got.select(*by, *[F.col("qs")[i].alias(n) for i, n in enumerate(("q25", "q50", "q75"))])
 
 
 def describe(df: DataFrame, cols: Sequence[str], accuracy: int | None = None) -> DataFrame:
-    """count, mean, std (sample), min, 25%, 50%, 75%, max per column, one pass."""
+    """count, mean, std (sample), min, 25%, 50%, 75%, max per column: one pass for moments, one for quartiles."""
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 _quartiles(x, accuracy).alias(f"{c}__qs"), F.max(x).alias(f"{c}__max")]
-    row = spread_small_input(df.select(*cols)).agg(*aggs)
-    for c in cols:
-        row = row.withColumns({f"{c}__q25": F.col(f"{c}__qs")[0], f"{c}__q50": F.col(f"{c}__qs")[1],
-                               f"{c}__q75": F.col(f"{c}__qs")[2]})
-    return _unpivot(row, cols, ["count", "mean", "std", "min", "q25", "q50", "q75", "max"])
+        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
+                 F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
+    moments = _unpivot(df.agg(*aggs), cols, ["count", "mean", "std", "min", "max"])
+    quart = _quartiles(_long(df, cols), ["column"], accuracy)
+    return moments.join(F.broadcast(quart), "column", "left").select(  # one row per column
+        "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def describe_dates(df: DataFrame, cols: Sequence[str], accuracy: int | None = None) -> DataFrame:
     """count, mean, min, 25%, 50%, 75%, max of timestamp columns, as timestamps.
 
-    Statistics are taken on epoch microseconds (``avg`` and ``percentile``
-    reject timestamps) and turned back into TIMESTAMP_NTZ, fractions of a
-    microsecond truncated.
+    Statistics are taken on epoch microseconds (``avg`` rejects timestamps)
+    and turned back into TIMESTAMP_NTZ, fractions of a microsecond truncated.
     """
-    aggs = []
-    for c in cols:
-        us = F.unix_micros(F.col(c).cast("timestamp"))
-        aggs += [F.count(F.col(c)).alias(f"{c}__count"), F.avg(us).alias(f"{c}__mean"),
-                 F.min(us).alias(f"{c}__min"), _quartiles(us, accuracy).alias(f"{c}__qs"),
-                 F.max(us).alias(f"{c}__max")]
-    row = df.agg(*aggs)
+    micros = df.select(*[F.unix_micros(F.col(c).cast("timestamp")).alias(c) for c in cols])
+    moments = _unpivot(micros.agg(*[e.alias(f"{c}__{n}") for c in cols for n, e in (
+        ("count", F.count(c)), ("mean", F.avg(c)), ("min", F.min(c)), ("max", F.max(c)))]),
+        cols, ["count", "mean", "min", "max"])
+    quart = _quartiles(_long(micros, cols), ["column"], accuracy)
 
-    def back(x):
-        return F.timestamp_micros(F.floor(x).cast("long")).cast("timestamp_ntz")
+    def back(c: str) -> Column:
+        return F.timestamp_micros(F.floor(c).cast("long")).cast("timestamp_ntz").alias(c)
 
-    for c in cols:
-        row = row.withColumns({f"{c}__mean": back(F.col(f"{c}__mean")), f"{c}__min": back(F.col(f"{c}__min")),
-                               f"{c}__q25": back(F.col(f"{c}__qs")[0]), f"{c}__q50": back(F.col(f"{c}__qs")[1]),
-                               f"{c}__q75": back(F.col(f"{c}__qs")[2]), f"{c}__max": back(F.col(f"{c}__max"))})
-    return _unpivot(row, cols, ["count", "mean", "min", "q25", "q50", "q75", "max"])
+    return moments.join(F.broadcast(quart), "column", "left").select(
+        "column", "count", *[back(c) for c in ("mean", "min", "q25", "q50", "q75", "max")])
 
 
 def _bounds(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -182,24 +163,31 @@ def _bounds(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row per (column, non-null value): the data in long form."""
     structs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols]
-    return (spread_small_input(df.select(*cols)).select(F.explode(F.array(*structs)).alias("__v"))
+    return (df.select(F.explode(F.array(*structs)).alias("__v"))
             .select("__v.*").where(F.col("x").isNotNull()))
 
 
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
-    """Equal-width bins from min to max per column (last bin closed): non-empty bins with counts."""
-    lo_hi = _bounds(df, cols)
-    bounds = _unpivot(lo_hi, cols, ["lo", "hi"])
-    long = _long(df, cols).join(F.broadcast(bounds), "column")
+    """Equal-width bins from min to max per column (last bin closed), empty ones included.
+
+    A column with a single value has one bin; one without values has none.
+    """
+    bounds = _unpivot(_bounds(df, cols), cols, ["lo", "hi"]).where(F.col("lo").isNotNull())
+    long = _long(df, cols).join(F.broadcast(bounds), "column")  # one row per column
     width = F.col("hi") - F.col("lo")
     idx = F.when(width == 0, F.lit(1)).otherwise(
         F.least(F.floor((F.col("x") - F.col("lo")) * (F.lit(float(bins)) / width)) + 1, F.lit(bins)))
-    return (long.groupBy("column", idx.cast("int").alias("bin"))
-            .agg(F.first("lo").alias("lo"), F.first("hi").alias("hi"), F.count(F.lit(1)).alias("count"))
+    counts = long.groupBy("column", idx.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    every = bounds.withColumn("bin", F.explode(F.sequence(F.lit(1), F.when(width == 0, 1).otherwise(bins))))
+    return (every.join(F.broadcast(counts), ["column", "bin"], "left")  # at most ``bins`` rows per column
             .select("column", "bin",
                     (F.col("lo") + (F.col("bin") - 1) * (F.col("hi") - F.col("lo")) / bins).alias("bin_lo"),
                     (F.col("lo") + F.col("bin") * (F.col("hi") - F.col("lo")) / bins).alias("bin_hi"),
-                    "count"))
+                    F.coalesce("count", F.lit(0)).cast("long").alias("count")))
+
+
+KDE_CHUNK = 25  # grid points that share a row
+KDE_REACH = 39.0  # bandwidths beyond which the kernel is 0 in double precision
 
 
 def kde_curve(df: DataFrame, cols: Sequence[str], grid: int = 200, bins: int = 30) -> DataFrame:
@@ -207,26 +195,39 @@ def kde_curve(df: DataFrame, cols: Sequence[str], grid: int = 200, bins: int = 3
 
     ``density`` is the probability density; ``count_density`` scales it by
     n * bin width, the height a histogram of ``bins`` bins is drawn at.
-    Values are first reduced to (column, distinct value, weight), so repeated
-    values cost one kernel evaluation per grid point; the grid (``grid`` rows
-    per column, a fixed bound) is broadcast and met through an equi-join on
-    the column index, and the per-point sums are partial aggregates.
+    Values are first reduced to (column, distinct value, weight). Grid points
+    go in chunks of ``KDE_CHUNK``: a value meets only the chunks within
+    ``KDE_REACH`` bandwidths, and each chunk's points are summed side by side
+    in one partial aggregate, without a row per (value, point).
     """
     stats = df.agg(*[F.min(F.col(c).cast("double")).alias(f"{c}__lo") for c in cols],
                    *[F.max(F.col(c).cast("double")).alias(f"{c}__hi") for c in cols],
                    *[F.stddev_samp(F.col(c).cast("double")).alias(f"{c}__sd") for c in cols],
                    *[F.count(F.col(c)).alias(f"{c}__n") for c in cols])
     params = (_unpivot(stats, cols, ["lo", "hi", "sd", "n"])
-              .withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))))
-    points = (params.select("column", "lo", "hi", "bw", "n",
-                            F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
-              .withColumn("gx", F.col("lo") + F.col("point") * ((F.col("hi") - F.col("lo")) / F.lit(float(grid - 1)))))
+              .withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
+              .withColumn("step", (F.col("hi") - F.col("lo")) / F.lit(float(grid - 1))))
     values = _long(df, cols).groupBy("column", "x").agg(F.count(F.lit(1)).alias("w"))
-    z = (F.col("gx") - F.col("x")) / F.col("bw")
-    sums = (values.join(F.broadcast(points.select("column", "point", "gx", "bw")), "column")
-            .groupBy("column", "point").agg(F.sum(F.col("w") * F.exp(-0.5 * z * z)).alias("__s")))
-    out = sums.join(F.broadcast(points.select("column", "point", "lo", "hi", "bw", "n")), ["column", "point"])
-    density = F.col("__s") / (F.col("n") * F.col("bw") * F.lit(math.sqrt(2 * math.pi)))
+    met = values.join(F.broadcast(params), "column")  # one row per column
+
+    def chunk_at(x: Column) -> Column:
+        point = F.when(F.col("step") > 0, (x - F.col("lo")) / F.col("step")).otherwise(F.lit(0.0))
+        return F.floor(F.least(F.greatest(point, F.lit(0.0)), F.lit(float(grid - 1))) / KDE_CHUNK).cast("int")
+
+    reach = F.lit(KDE_REACH) * F.col("bw")
+    met = met.withColumn("chunk", F.explode(F.sequence(chunk_at(F.col("x") - reach), chunk_at(F.col("x") + reach))))
+    sums = []
+    for k in range(KDE_CHUNK):
+        point = F.col("lo") + (F.col("chunk") * KDE_CHUNK + k) * F.col("step")
+        z = (point - F.col("x")) / F.col("bw")
+        sums.append(F.sum(F.col("w") * F.exp(-0.5 * z * z)).alias(f"s{k}"))
+    chunks = met.groupBy("column", "chunk").agg(*sums)
+    found = (chunks.select("column", F.posexplode(F.array(*[F.col(f"s{k}") for k in range(KDE_CHUNK)])).alias("k", "__s"),
+                           (F.col("chunk") * KDE_CHUNK).alias("__first"))
+             .select("column", (F.col("__first") + F.col("k")).alias("point"), "__s"))
+    points = params.where(F.col("lo").isNotNull()).withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
+    out = points.join(F.broadcast(found), ["column", "point"], "left")  # at most ``grid`` rows per column
+    density = F.coalesce("__s", F.lit(0.0)) / (F.col("n") * F.col("bw") * F.lit(math.sqrt(2 * math.pi)))
     return out.select("column", "point",
                       (F.col("lo") + F.col("point") * (F.col("hi") - F.col("lo")) / F.lit(float(grid - 1))).alias("x"),
                       density.alias("density"),
@@ -236,43 +237,51 @@ def kde_curve(df: DataFrame, cols: Sequence[str], grid: int = 200, bins: int = 3
 def boxplot_stats(df: DataFrame, cols: Sequence[str], by: str, whis: float = 1.5,
                   accuracy: int | None = None) -> DataFrame:
     """Per (column, class): quartiles, whisker ends within whis*IQR, and outlier count."""
-    long = (spread_small_input(df.select(by, *cols)).select(F.col(by).alias("class"),
+    long = (df.select(F.col(by).alias("class"),
                       F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x"))
                                           for c in cols])).alias("__v"))
             .select("class", "__v.*").where(F.col("x").isNotNull()))
-    quart = (long.groupBy("column", "class").agg(_quartiles(F.col("x"), accuracy).alias("__qs"))
-             .select("column", "class", F.col("__qs")[0].alias("q1"), F.col("__qs")[1].alias("median"),
-                     F.col("__qs")[2].alias("q3")))
+    quart = _quartiles(long, ["column", "class"], accuracy).select(
+        "column", "class", F.col("q25").alias("q1"), F.col("q50").alias("median"), F.col("q75").alias("q3"))
     fences = (quart.withColumn("iqr", F.col("q3") - F.col("q1"))
               .withColumn("__lo", F.col("q1") - whis * F.col("iqr"))
               .withColumn("__hi", F.col("q3") + whis * F.col("iqr")))
-    joined = long.join(fences, ["column", "class"], "inner")
+    # values are counted per (column, class, value) first, so a hot class is many small keys
+    counted = long.groupBy("column", "class", "x").agg(F.count(F.lit(1)).alias("w"))
+    joined = counted.join(fences, ["column", "class"], "inner")
     inside = (F.col("x") >= F.col("__lo")) & (F.col("x") <= F.col("__hi"))
     return (joined.groupBy("column", "class")
             .agg(F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
                  F.first("iqr").alias("iqr"),
                  F.min(F.when(inside, F.col("x"))).alias("whisker_lo"),
                  F.max(F.when(inside, F.col("x"))).alias("whisker_hi"),
-                 F.count_if(~inside).alias("n_outliers"), F.count(F.lit(1)).alias("n")))
+                 F.sum(F.when(inside, F.lit(0)).otherwise(F.col("w"))).alias("n_outliers"), F.sum("w").alias("n")))
+
+
+CORR_PAIRS = 30  # column pairs of one aggregate
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Pairwise-complete Pearson correlation of every column pair (full symmetric matrix).
 
-    Rows are turned into one (pair, x, y) row per column pair where both are
-    present, then three aggregates per pair: a narrow aggregate that stays in
-    generated code, where one wide row of n^2 co-moments would not. A constant
-    column gives null (no division error under ANSI mode).
+    Pairs are aggregated side by side, ``CORR_PAIRS`` in one pass over just
+    their columns, on the rows as they are. A constant column gives null (no
+    division error under ANSI mode).
     """
     cols = list(cols or numeric_columns(df))
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    structs = [F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                        F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-               for a, b in pairs]
-    long = (spread_small_input(df.select(*cols)).select(F.explode(F.array(*structs)).alias("__p"))
-            .select("__p.*").where(F.col("x").isNotNull() & F.col("y").isNotNull()))
-    upper = long.groupBy("column_a", "column_b").agg(
-        F.try_divide(F.covar_samp("x", "y"), F.stddev_samp("x") * F.stddev_samp("y")).alias("corr"))
+    upper = None
+    for at in range(0, len(pairs), CORR_PAIRS):
+        some = pairs[at:at + CORR_PAIRS]
+        aggs = []
+        for i, (a, b) in enumerate(some):
+            x, y = F.col(a).cast("double"), F.col(b).cast("double")
+            x_, y_ = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+            aggs.append(F.try_divide(F.covar_samp(x, y), F.stddev_samp(x_) * F.stddev_samp(y_)).alias(f"r{i}"))
+        row = df.agg(*aggs).select(F.explode(F.array(*[
+            F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"r{i}").alias("corr"))
+            for i, (a, b) in enumerate(some)])).alias("__r")).select("__r.*")
+        upper = row if upper is None else upper.unionByName(row)
     lower = (upper.where(F.col("column_a") != F.col("column_b"))
              .select(F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"), "corr"))
     return upper.unionByName(lower)
@@ -289,7 +298,7 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 def rate_by(df: DataFrame, by: Column | str, label: str, name: str | None = None,
             min_count: int = 0) -> DataFrame:
-    """Rows and mean of a 0/1 label per group, highest rate first."""
+    """Rows and mean of a 0/1 label per group (no order)."""
     key = F.col(by) if isinstance(by, str) else by
     out = (df.where(key.isNotNull()).groupBy(key.alias(name or (by if isinstance(by, str) else "key")))
            .agg(F.count(F.lit(1)).alias("trips"), F.avg(F.col(label)).alias("delay_rate")))

@@ -335,7 +335,7 @@ SELECT (SELECT count(DISTINCT truck_id) FROM trips) AS schedule_trucks,
        (SELECT count(DISTINCT truck_id) FROM trucks) AS trucks,
        (SELECT count(DISTINCT vehicle_no) FROM drivers) AS drivers"""
 
-_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_NUM = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 SQL["describe"] = "\nUNION ALL\n".join(
     f"""SELECT '{c}' AS "column", count({c}) AS count, {_rnd(f"avg({c})", "mean", 4)},
@@ -355,17 +355,21 @@ SQL["describe_dates"] = with_ctes("trips") + "\nUNION ALL\n".join(
 FROM trips""" for c in ["departure_date", "estimated_arrival"])
 
 SQL["histogram"] = "\nUNION ALL\n".join(
-    f"""SELECT '{c}' AS "column", bin, {_rnd("lo + (bin - 1) * (hi - lo) / 30", "bin_lo")},
-       {_rnd("lo + bin * (hi - lo) / 30", "bin_hi")}, count(*) AS count
-FROM (SELECT CAST(CASE WHEN hi - lo = 0 THEN 1
+    f"""SELECT '{c}' AS "column", every.bin, {_rnd("every.lo + (every.bin - 1) * (every.hi - every.lo) / 30", "bin_lo")},
+       {_rnd("every.lo + every.bin * (every.hi - every.lo) / 30", "bin_hi")}, count(held.bin) AS count
+FROM (SELECT CAST(range AS INTEGER) AS bin, lo, hi
+      FROM (SELECT min(CAST({c} AS DOUBLE)) AS lo, max(CAST({c} AS DOUBLE)) AS hi FROM lineitem),
+           range(1, 31) WHERE range = 1 OR hi > lo) AS every
+LEFT JOIN (SELECT CAST(CASE WHEN hi - lo = 0 THEN 1
                        ELSE least(floor((x - lo) * (30.0::DOUBLE / (hi - lo))) + 1, 30) END AS INTEGER) AS bin,
              lo, hi
       FROM (SELECT CAST({c} AS DOUBLE) AS x FROM lineitem WHERE {c} IS NOT NULL),
-           (SELECT min(CAST({c} AS DOUBLE)) AS lo, max(CAST({c} AS DOUBLE)) AS hi FROM lineitem))
-GROUP BY bin, lo, hi""" for c in _NUM)
+           (SELECT min(CAST({c} AS DOUBLE)) AS lo, max(CAST({c} AS DOUBLE)) AS hi FROM lineitem)) AS held USING (bin)
+GROUP BY every.bin, every.lo, every.hi""" for c in _NUM)
 
 SQL["kde_curve"] = "\nUNION ALL\n".join(
     f"""SELECT '{c}' AS "column", point, {_rnd("lo + point * (hi - lo) / 199.0::DOUBLE", "x")},
+       {_rnd("s / (n * bw * sqrt(2 * pi()))", "density")},
        {_rnd("s / (n * bw * sqrt(2 * pi())) * n * (hi - lo) / 30.0::DOUBLE", "count_density", 4)}
 FROM (SELECT CAST(g.point AS INTEGER) AS point, p.lo, p.hi, p.n, p.bw,
              sum(exp(-0.5 * ((p.lo + g.point * ((p.hi - p.lo) / 199.0::DOUBLE) - d.x) / p.bw)

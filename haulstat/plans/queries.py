@@ -274,7 +274,8 @@ def q_key_coverage(spark: SparkSession, sf: str) -> DataFrame:
     })
 
 
-NUM_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+NUM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+            "l_tax"]
 
 
 def _round_cols(df: DataFrame, cols) -> DataFrame:
@@ -299,7 +300,7 @@ def q_histogram(spark: SparkSession, sf: str) -> DataFrame:
 def q_kde_curve(spark: SparkSession, sf: str) -> DataFrame:
     k = PR.kde_curve(B.table(spark, sf, "lineitem"), NUM_COLS, grid=200, bins=30)
     k = k.withColumn("count_density", _r("count_density", 4))
-    return _round_cols(k, ["x"]).drop("density")
+    return _round_cols(k, ["x", "density"])
 
 
 def q_boxplot_stats(spark: SparkSession, sf: str) -> DataFrame:
