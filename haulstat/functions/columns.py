@@ -11,8 +11,9 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Text a CSV reader should treat as missing in string columns.
-NULL_TOKENS = ("", "NA", "N/A", "NAN", "NULL", "NONE", "<NA>", "#N/A", "-NAN", "-1.#IND", "1.#QNAN")
+# Text that stands for a missing value, matched exactly (case and blanks count).
+NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+               "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
 def _c(c: Column | str) -> Column:
@@ -42,7 +43,14 @@ def strict_timestamp(text: Column | str) -> Column:
 def null_token(c: Column | str, tokens: Iterable[str] = NULL_TOKENS) -> Column:
     """String value, or null when it is one of the missing-value tokens."""
     col = _c(c)
-    return F.when(F.upper(F.trim(col)).isin(*[t.upper() for t in tokens]), F.lit(None)).otherwise(col)
+    return F.when(col.isin(*tokens), F.lit(None)).otherwise(col)
+
+
+def whole_number(c: Column | str) -> Column:
+    """A double that holds a whole number (``1.0``, as integers with gaps are written) as INT, else null."""
+    col = _c(c)
+    fits = (col == F.floor(col)) & (F.abs(col) <= F.lit(2147483647.0))
+    return F.when(fits, col).cast("int")
 
 
 def nan_to_null(c: Column | str) -> Column:

@@ -66,49 +66,60 @@ def plan_windows(left: DataFrame, start: str, end: str) -> tuple[float, tuple[in
     hours = F.timestamp_diff("MICROSECOND", F.col(start), F.col(end)) / F.lit(3.6e9)
     ok = F.col(end) >= F.col(start)
     row = left.agg(F.count(F.lit(1)).alias("n"), F.avg(F.when(ok, hours)).alias("avg"),
-                   F.max(F.when(ok, hours)).alias("max")).first()
+                   F.max(F.when(ok, hours)).alias("max"), *_row_bytes(left)).first()
     width = min(max(float(row["avg"] or 24.0), MIN_BUCKET_HOURS), MAX_BUCKET_HOURS)
     width = float(int(width)) if width >= 1 else width
     widest = int((row["max"] or 0.0) // width) + 2
-    return width, (int(row["n"]), widest)
+    return width, (int(row["n"]), widest, _measured_bytes(row))
 
 
-def window_size_bound(left: DataFrame, start: str, end: str, bucket_hours: float = 24) -> tuple[int, int]:
-    """(rows, widest window in buckets) of a schedule: one aggregate, two numbers to the driver.
+def _row_bytes(left: DataFrame) -> list:
+    """Aggregates: mean bytes of each string column (any of them may be a key)."""
+    return [F.avg(F.octet_length(f.name)).alias(f"__w{i}") for i, f in enumerate(left.schema.fields)
+            if f.dataType.simpleString() == "string"]
+
+
+def _measured_bytes(row) -> int:
+    """Bytes of one exploded window row: the fixed part, every other column at 8, strings as measured."""
+    widths = [v for k, v in row.asDict().items() if k.startswith("__w")]
+    return EXPLODED_ROW_BYTES + int(sum(16 + 2 * (v or 0.0) for v in widths))
+
+
+def window_size_bound(left: DataFrame, start: str, end: str, bucket_hours: float = 24) -> tuple[int, int, int]:
+    """(rows, widest window in buckets, bytes a row) of a schedule: one aggregate, a few numbers to the driver.
 
     ``rows * widest`` bounds the exploded window side of the join.
     """
     span = time_bucket(end, bucket_hours) - time_bucket(start, bucket_hours) + 1
-    row = left.agg(F.count(F.lit(1)).alias("n"), F.max(span).alias("w")).first()
-    return int(row["n"]), int(row["w"] or 0)
+    row = left.agg(F.count(F.lit(1)).alias("n"), F.max(span).alias("w"), *_row_bytes(left)).first()
+    return int(row["n"]), int(row["w"] or 0), _measured_bytes(row)
 
 
-def broadcast_limit_rows(spark) -> int:
+def broadcast_limit_rows(spark, row_bytes: int = EXPLODED_ROW_BYTES) -> int:
     """Exploded window rows that fit the session's broadcast threshold (0 when disabled)."""
     from haulstat.session import broadcast_threshold_bytes
-    return broadcast_threshold_bytes(spark) // EXPLODED_ROW_BYTES
+    return broadcast_threshold_bytes(spark) // row_bytes
 
 
-def _use_broadcast(spark, bound: tuple[int, int] | None, broadcast_max_rows: int | None) -> bool:
+def _use_broadcast(spark, bound: tuple[int, ...] | None, broadcast_max_rows: int | None) -> bool:
     if bound is None:
         return False
-    cap = broadcast_limit_rows(spark) if broadcast_max_rows is None else broadcast_max_rows
+    cap = broadcast_limit_rows(spark, *bound[2:3]) if broadcast_max_rows is None else broadcast_max_rows
     return bound[0] * max(bound[1], 1) <= cap
 
 
 def _prepared_readings(readings: DataFrame, readings_by: str, ts: str, value_cols: Sequence[str],
-                       bucket_hours: int, shuffle: bool = True) -> DataFrame:
-    """Readings keyed by (key, bucket), shuffled on it once unless the windows are broadcast.
+                       bucket_hours: int) -> DataFrame:
+    """Readings keyed by (key, bucket). The join plans its own exchange, so AQE can split a skewed (key, bucket).
 
     Readings with a null time get a spread-out negative bucket: they never
     join a window but still count in the key's fallback mean.
     """
     spread = -1 - F.pmod(F.xxhash64(*[F.col(c) for c in value_cols]), F.lit(1024))
-    r = (readings
-         .where(F.col(readings_by).isNotNull())
-         .select(F.col(readings_by).alias("__k"), F.col(ts).alias("__t"),
-                 F.coalesce(time_bucket(ts, bucket_hours), spread).alias("__b"), *value_cols))
-    return r.repartition("__k", "__b") if shuffle else r
+    return (readings
+            .where(F.col(readings_by).isNotNull())
+            .select(F.col(readings_by).alias("__k"), F.col(ts).alias("__t"),
+                    F.coalesce(time_bucket(ts, bucket_hours), spread).alias("__b"), *value_cols))
 
 
 def _window_pairs(left: DataFrame, r: DataFrame, *, by: str, start: str, end: str,
@@ -148,7 +159,7 @@ def interval_aggregate(left: DataFrame, readings: DataFrame, *, by: str, start:
     keys = list(keys)
     value_cols = sorted({col for _, col in aggs.values()})
     bc = _use_broadcast(left.sparkSession, window_size_bound, broadcast_max_rows)
-    r = _prepared_readings(readings, readings_by, ts, value_cols, bucket_hours, shuffle=not bc)
+    r = _prepared_readings(readings, readings_by, ts, value_cols, bucket_hours)
     pairs = _window_pairs(left, r, by=by, start=start, end=end, keys=keys, bucket_hours=bucket_hours,
                           broadcast=bc)
     return pairs.groupBy(*keys).agg(*_agg_exprs(aggs))
@@ -178,11 +189,12 @@ def attach_interval_aggregate(left: DataFrame, readings: DataFrame, *, by: str,
     Plan: the left rows are shuffled once by ``keys``; that one exchange feeds
     both the window explosion and the join-back (which is then co-partitioned
     with the aggregate), so the left plan is computed once however long the
-    chain of operators before it. The readings are shuffled once by
-    (key, bucket) and the window join and the fallback means both read it;
-    or, under a proven ``window_size_bound``, the windows are broadcast and
-    the readings are not shuffled at all (the fallback means are then a
-    partial aggregate over a second scan).
+    chain of operators before it. The readings are shuffled by (key, bucket)
+    for the window join, in an exchange that the join plans itself so that a
+    skewed (key, bucket) is split at run time; or, under a proven
+    ``window_size_bound``, the windows are broadcast and the readings are not
+    shuffled at all. The fallback means are a partial aggregate over a second,
+    column-pruned scan.
     """
     readings_by = readings_by or by
     keys = list(keys)
@@ -191,7 +203,7 @@ def attach_interval_aggregate(left: DataFrame, readings: DataFrame, *, by: str,
     base = (left.drop(*clash) if clash else left).repartition(*keys)
     value_cols = sorted({col for _, col in aggs.values()})
     bc = _use_broadcast(left.sparkSession, window_size_bound, broadcast_max_rows)
-    r = _prepared_readings(readings, readings_by, ts, value_cols, bucket_hours, shuffle=not bc)
+    r = _prepared_readings(readings, readings_by, ts, value_cols, bucket_hours)
     pairs = _window_pairs(base, r, by=by, start=start, end=end, keys=keys, bucket_hours=bucket_hours,
                           broadcast=bc)
     agg = pairs.groupBy(*keys).agg(*_agg_exprs(aggs))

@@ -60,6 +60,17 @@ def type_tally(df: DataFrame) -> dict[str, int]:
     return tally
 
 
+def type_report(df: DataFrame) -> DataFrame:
+    """Per data type: number of columns and of their non-null cells (one pass)."""
+    types = dict(df.dtypes)
+    tally = type_tally(df)
+    row = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns])
+    return row.select(F.explode(F.array(*[
+        F.struct(F.lit(t).alias("data_type"), F.lit(n).alias("n_columns"),
+                 sum((F.col(c) for c in df.columns if types[c] == t), F.lit(0)).cast("long").alias("non_null"))
+        for t, n in sorted(tally.items())])).alias("__r")).select("__r.*")
+
+
 def duplicate_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """One row: rows, and rows that repeat an earlier row on ``subset`` (all columns by default).
 

@@ -106,10 +106,10 @@ def trucks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A score per trip for the metric queries: (o_orderkey % 1000) / 1000."""
+    """A score per trip for the metric queries, a distinct one for each: (o_orderkey * 7919 % 1000003) / 1000003."""
     t = trips(spark, sf_dir)
     return t.select("trip_id", "truck_id", "route_id", "departure_date", "delay",
-                    ((F.col("trip_id") % 1000).cast("double") / 1000).alias("probability"))
+                    ((F.col("trip_id") * 7919 % 1000003).cast("double") / 1000003).alias("probability"))
 
 
 # DuckDB twins of the bindings above (CTE bodies).
@@ -155,7 +155,7 @@ SQL = {
         FROM customer""",
     "scores": """
         SELECT trip_id, truck_id, route_id, departure_date, delay,
-               CAST(trip_id % 1000 AS DOUBLE) / 1000 AS probability
+               CAST(trip_id * 7919 % 1000003 AS DOUBLE) / 1000003 AS probability
         FROM trips""",
 }
 

@@ -434,7 +434,104 @@ so AS (SELECT s.trip_id, s.split, o.o_orderpriority, o.o_totalprice, o.o_orderst
        FROM split s JOIN orders o ON o.o_orderkey = s.trip_id)"""
 
 SQL["time_split"] = with_ctes("trips") + ", " + _SPLIT + """
-SELECT trip_id, split FROM split"""
+SELECT t.*, s.split FROM trips t JOIN split s ON s.trip_id = t.trip_id"""
+
+SQL["time_split_one_day"] = with_ctes("trips", extra=[
+    ("day", """SELECT * REPLACE (make_timestamp(2019, 2, 1, 7 + trip_id % 3, 0, 0.0) AS departure_date) FROM trips""")]) + """
+SELECT *, CASE WHEN row_number() OVER (ORDER BY departure_date, trip_id)
+                    <= (SELECT CAST(floor(count(*) * (1 - 0.2::DOUBLE)) AS BIGINT) FROM trips)
+               THEN 'train' ELSE 'test' END AS split
+FROM day"""
+
+# ---------------------------------------------------------------- load path and trip exploration
+
+_TRAFFIC = """
+WITH traffic AS (
+  SELECT CASE WHEN l_suppkey % 11 = 0 THEN NULL WHEN l_suppkey % 13 = 0 THEN 'none' ELSE CAST(l_suppkey AS VARCHAR) END AS route_id,
+         CASE WHEN l_orderkey % 97 = 0 THEN NULL ELSE date_trunc('day', l_shipdate)::TIMESTAMP END AS date,
+         CAST(l_linenumber % 24 AS INTEGER) AS hour,
+         CASE WHEN l_orderkey % 5 = 0 OR l_orderkey % 7 = 0 THEN NULL ELSE l_quantity END AS no_of_vehicles,
+         CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE CAST(l_partkey % 10 = 0 AS INTEGER) END AS accident
+  FROM lineitem)
+"""
+
+SQL["load_parse"] = _TRAFFIC + """
+SELECT * REPLACE (CAST(accident AS DOUBLE) AS accident), date + to_hours(hour) AS timestamp FROM traffic"""
+
+SQL["load_clean"] = _TRAFFIC + f"""
+, g AS (SELECT route_id, median(no_of_vehicles) AS gm FROM traffic WHERE route_id IS NOT NULL GROUP BY 1),
+f AS (SELECT t.*, coalesce(no_of_vehicles, gm) AS v1 FROM traffic t LEFT JOIN g USING (route_id)),
+c AS (SELECT *, coalesce(v1, (SELECT median(v1) FROM f WHERE route_id IS NOT NULL)) AS v FROM f)
+SELECT route_id, count(*) AS n_rows, count(v) AS n_known, {_rnd("sum(v)", "vehicles")}, count(accident) AS n_accident,
+       CAST(sum(accident) AS BIGINT) AS accidents FROM c GROUP BY 1"""
+
+SQL["remaining_nulls"] = _TRAFFIC + """
+SELECT count(*) * 6 - count(route_id) - count(date) - count(hour) - count(no_of_vehicles) - count(accident)
+       - count(date + to_hours(hour)) AS remaining_nulls FROM traffic"""
+
+SQL["type_tally"] = """
+SELECT 'bigint' AS data_type, 3 AS n_columns, count(l_orderkey) + count(l_partkey) + count(l_suppkey) AS non_null FROM lineitem
+UNION ALL SELECT 'double', 4, count(l_quantity) + count(l_extendedprice) + count(l_discount) + count(l_tax) FROM lineitem
+UNION ALL SELECT 'int', 1, count(l_linenumber) FROM lineitem
+UNION ALL SELECT 'string', 2, count(l_returnflag) + count(l_linestatus) FROM lineitem
+UNION ALL SELECT 'timestamp_ntz', 1, count(l_shipdate) FROM lineitem"""
+
+_TRIP_NUM = ["distance", "average_hours", "no_of_vehicles", "accident", "temp", "wind_speed", "precip", "humidity",
+             "visibility", "pressure", "origin_temp", "destination_temp", "ratings", "truck_age", "load_capacity_pounds"]
+
+SQL["trip_describe"] = _trip_dataset_ctes() + "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", count({c}) AS count, {_rnd(f"avg({c})", "mean", 4)},
+       {_rnd(f"stddev_samp({c})", "std", 4)}, {_rnd(f"CAST(min({c}) AS DOUBLE)", "min")},
+       {_rnd(f"quantile_cont(CAST({c} AS DOUBLE), 0.25)", "q25")}, {_rnd(f"quantile_cont(CAST({c} AS DOUBLE), 0.5)", "q50")},
+       {_rnd(f"quantile_cont(CAST({c} AS DOUBLE), 0.75)", "q75")}, {_rnd(f"CAST(max({c}) AS DOUBLE)", "max")}
+FROM ds""" for c in _TRIP_NUM)
+
+SQL["trip_histogram"] = _trip_dataset_ctes() + "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", every.bin, {_rnd("every.lo + (every.bin - 1) * (every.hi - every.lo) / 30", "bin_lo")},
+       {_rnd("every.lo + every.bin * (every.hi - every.lo) / 30", "bin_hi")}, count(held.bin) AS count
+FROM (SELECT CAST(range AS INTEGER) AS bin, lo, hi
+      FROM (SELECT min(round(CAST({c} AS DOUBLE), 6)) AS lo, max(round(CAST({c} AS DOUBLE), 6)) AS hi FROM ds),
+           range(1, 31) WHERE range = 1 OR hi > lo) AS every
+LEFT JOIN (SELECT CAST(CASE WHEN hi - lo = 0 THEN 1
+                       ELSE least(floor((x - lo) * (30.0::DOUBLE / (hi - lo))) + 1, 30) END AS INTEGER) AS bin
+      FROM (SELECT round(CAST({c} AS DOUBLE), 6) AS x FROM ds WHERE {c} IS NOT NULL),
+           (SELECT min(round(CAST({c} AS DOUBLE), 6)) AS lo, max(round(CAST({c} AS DOUBLE), 6)) AS hi FROM ds)) AS held USING (bin)
+GROUP BY every.bin, every.lo, every.hi""" for c in ["distance", "average_hours", "accident", "truck_age", "ratings"])
+
+SQL["trip_corr"] = _trip_dataset_ctes() + "\nUNION ALL\n".join(
+    f"""SELECT '{a}' AS column_a, '{b}' AS column_b,
+       {_rnd(f"CASE WHEN stddev_samp(CASE WHEN {b} IS NOT NULL THEN {a} END) * stddev_samp(CASE WHEN {a} IS NOT NULL THEN {b} END) = 0 THEN NULL ELSE corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) END", "corr")} FROM ds"""
+    for a in [*_TRIP_NUM, "delay"] for b in [*_TRIP_NUM, "delay"])
+
+SQL["trip_boxplot"] = _trip_dataset_ctes([("long", "\nUNION ALL\n".join(
+    f"SELECT delay AS class, '{c}' AS \"column\", CAST({c} AS DOUBLE) AS x FROM ds" for c in ["distance", "ratings", "truck_age"])),
+    ("q", """SELECT "column", class, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median,
+                    quantile_cont(x, 0.75) AS q3 FROM long WHERE x IS NOT NULL GROUP BY "column", class"""),
+    ("f", "SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q")]) + f"""
+SELECT f."column", f.class, {_rnd("f.q1", "q1")}, {_rnd("f.median", "median")}, {_rnd("f.q3", "q3")},
+       {_rnd("f.iqr", "iqr")},
+       {_rnd("min(l.x) FILTER (WHERE l.x >= f.lo AND l.x <= f.hi)", "whisker_lo")},
+       {_rnd("max(l.x) FILTER (WHERE l.x >= f.lo AND l.x <= f.hi)", "whisker_hi")},
+       count(*) FILTER (WHERE NOT (l.x >= f.lo AND l.x <= f.hi)) AS n_outliers, count(*) AS n
+FROM long l JOIN f ON f."column" = l."column" AND f.class = l.class
+WHERE l.x IS NOT NULL
+GROUP BY f."column", f.class, f.q1, f.median, f.q3, f.iqr"""
+
+SQL["trip_rates"] = _trip_dataset_ctes() + "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "by", {c} AS value, count(*) AS trips, {_rnd("avg(delay)", "delay_rate")}
+FROM ds WHERE {c} IS NOT NULL GROUP BY {c}""" for c in ["gender", "driving_style", "fuel_type"])
+
+SQL["train_summary"] = with_ctes("trips") + ", " + _SPLIT + f"""
+SELECT count(*) FILTER (WHERE s.split = 'train') AS n_train, count(*) FILTER (WHERE s.split = 'test') AS n_test,
+       count(*) FILTER (WHERE s.split = 'test' AND t.delay = 1) AS test_positives, 1 AS whole, 2::BIGINT AS n_models,
+       1 AS auc_in_range, 1.0::DOUBLE AS importance_sum,
+       {len([c for c in _MATRIX_KEEP if c not in ("trip_id", "delay")]) + sum(len(v) for v in _DUMMIES.values())}::BIGINT AS n_inputs
+FROM trips t JOIN split s ON s.trip_id = t.trip_id"""
+
+SQL["predict_recent"] = with_ctes("trips") + """
+SELECT trip_id, truck_id, CASE delay WHEN 1 THEN 'Delayed' ELSE 'On Time' END AS actual_label,
+       true AS label_fits, true AS probability_in_range
+FROM trips ORDER BY departure_date DESC, trip_id DESC LIMIT 5"""
 
 SQL["split_periods"] = with_ctes("trips") + ", " + _SPLIT + """
 SELECT s.split, min(t.departure_date) AS first, max(t.departure_date) AS last, count(*) AS rows

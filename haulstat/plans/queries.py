@@ -27,8 +27,10 @@ from haulstat.operators import metrics as M
 from haulstat.operators.features import align_columns, fit_categories, high_quantile_flag, one_hot, standardize_with
 from haulstat.operators.split import split_periods, time_split
 from haulstat.sources.feature_store import latest_per_key
+from haulstat.sources.tables import fixed_frame, parse_lines
 from haulstat.plans import bindings as B
 from haulstat.plans import trips as P
+from haulstat.plans.train import feature_importances, predict_delay, train_and_evaluate
 
 R = 6  # decimal places of every floating output
 
@@ -86,7 +88,7 @@ def q_asof_nearest(spark: SparkSession, sf: str) -> DataFrame:
         F.col("ts").alias("view_ts"))
     return asof_nearest(purchases, views, left_by="user_id", right_by="view_user_id",
                         left_on="ts", right_on="view_ts", payload=["view_event_id", "view_ts"],
-                        tie="view_event_id", bucket_hours=24)
+                        tie="view_event_id")
 
 
 def q_asof_two_sided(spark: SparkSession, sf: str) -> DataFrame:
@@ -140,8 +142,16 @@ def q_high_quantile_flag(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_flag_rates(spark: SparkSession, sf: str) -> DataFrame:
-    f = P.engineer_features(P.materialize(trip_dataset(spark, sf)))
-    return f.agg(F.avg("any_bad_weather").alias("any_bad_weather_rate"),
+    # only the flags' own columns: route, origin and destination weather, vehicles
+    t = _tables(spark, sf)
+    cols = ["precip", "visibility", "wind_speed"]
+    trips = P.add_route_info(t["truck_schedule"], t["routes"])
+    plan = _plan(t["truck_schedule"])
+    f = P.add_traffic(trips, t["traffic"], keys=["trip_id"], ts="ts", **plan)
+    f = P.add_route_weather(f, t["routes_weather"], keys=["trip_id"], ts="ts", cols=cols, **plan)
+    f = P.add_weather_flags(P.add_city_weather(f, t["city_weather"], ts="ts", cols=cols))
+    f = P.materialize(P.add_calendar(f).select("any_bad_weather", "no_of_vehicles", "is_weekend_departure"))
+    return high_quantile_flag(f, "no_of_vehicles", "high_traffic", q=0.75).agg(F.avg("any_bad_weather").alias("any_bad_weather_rate"),
                  F.avg("high_traffic").alias("high_traffic_rate"),
                  F.avg("is_weekend_departure").alias("weekend_rate")).select(
         _r("any_bad_weather_rate"), _r("high_traffic_rate"), _r("weekend_rate"))
@@ -333,6 +343,118 @@ def q_top_routes_delay(spark: SparkSession, sf: str) -> DataFrame:
             .select("route_id", "trips", _r("delay_rate")))
 
 
+# ---------------------------------------------------------------- load path and trip exploration
+
+def _traffic_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw traffic lines as a file holds them: gaps, integers written as 1.0, clock hours, unreadable dates."""
+    li = B.table(spark, sf, "lineitem")
+    date = F.when(F.col("l_orderkey") % 97 == 0, "not a date").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd"))
+    vehicles = F.when(F.col("l_orderkey") % 5 == 0, "NA").when(F.col("l_orderkey") % 7 == 0, "").otherwise(
+        F.col("l_quantity").cast("string"))
+    accident = F.when(F.col("l_partkey") % 7 == 0, "").when(F.col("l_partkey") % 10 == 0, "1.0").otherwise("0")
+    route = F.when(F.col("l_suppkey") % 11 == 0, "#NA").when(F.col("l_suppkey") % 13 == 0, "none").otherwise(
+        F.col("l_suppkey").cast("string"))
+    return li.select(F.concat_ws(",", route, date, (F.col("l_linenumber") % 24 * 100).cast("string"), vehicles,
+                                 accident).alias("line"))
+
+
+def _parsed_traffic(spark: SparkSession, sf: str) -> DataFrame:
+    return fixed_frame(parse_lines(_traffic_lines(spark, sf), "traffic"), "traffic")
+
+
+def q_load_parse(spark: SparkSession, sf: str) -> DataFrame:
+    return _parsed_traffic(spark, sf).withColumn("accident", F.col("accident").cast("double"))
+
+
+def q_load_clean(spark: SparkSession, sf: str) -> DataFrame:
+    cleaned = C.clean_tables({"traffic": _parsed_traffic(spark, sf)})["traffic"]
+    return cleaned.groupBy("route_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("no_of_vehicles").alias("n_known"),
+        F.sum("no_of_vehicles").alias("vehicles"), F.count("accident").alias("n_accident"),
+        F.sum("accident").alias("accidents")).withColumn("vehicles", _r("vehicles"))
+
+
+def q_remaining_nulls(spark: SparkSession, sf: str) -> DataFrame:
+    return C.remaining_nulls(_parsed_traffic(spark, sf))
+
+
+def q_type_tally(spark: SparkSession, sf: str) -> DataFrame:
+    return PR.type_report(B.table(spark, sf, "lineitem"))
+
+
+TRIP_NUMERIC = ["distance", "average_hours", "no_of_vehicles", "accident", "temp", "wind_speed", "precip", "humidity",
+                "visibility", "pressure", "origin_temp", "destination_temp", "ratings", "truck_age", "load_capacity_pounds"]
+
+
+def _trip_rows(spark: SparkSession, sf: str, *more: str) -> DataFrame:
+    """The merged trips' exploration columns, stored once for the several passes of a report."""
+    return P.materialize(trip_dataset(spark, sf).select(*TRIP_NUMERIC, *more))
+
+
+def q_trip_describe(spark: SparkSession, sf: str) -> DataFrame:
+    d = PR.describe(_trip_rows(spark, sf), TRIP_NUMERIC)
+    return _round_cols(d.withColumns({"mean": _r("mean", 4), "std": _r("std", 4)}), ["min", "q25", "q50", "q75", "max"])
+
+
+def q_trip_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts per bin over ten bins; means of windows are rounded first so that a bin's edge is the same on both sides."""
+    rows = _trip_rows(spark, sf).select(*[F.round(c, 6).alias(c) for c in TRIP_NUMERIC])
+    return _round_cols(PR.histogram(rows, ["distance", "average_hours", "accident", "truck_age", "ratings"], bins=30),
+                       ["bin_lo", "bin_hi"])
+
+
+def q_trip_corr(spark: SparkSession, sf: str) -> DataFrame:
+    return _round_cols(PR.corr_matrix(_trip_rows(spark, sf, "delay"), [*TRIP_NUMERIC, "delay"]), ["corr"])
+
+
+def q_trip_boxplot(spark: SparkSession, sf: str) -> DataFrame:
+    b = PR.boxplot_stats(_trip_rows(spark, sf, "delay"), ["distance", "ratings", "truck_age"], "delay")
+    return _round_cols(b, ["q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi"])
+
+
+def q_trip_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """Delay rate by gender, driving style and fuel type of the merged trips."""
+    rows = P.materialize(trip_dataset(spark, sf).select("gender", "driving_style", "fuel_type", "delay"))
+    out = None
+    for c in ("gender", "driving_style", "fuel_type"):
+        one = PR.rate_by(rows, c, "delay", name="value").withColumn("by", F.lit(c))
+        out = one if out is None else out.unionByName(one)
+    return out.select("by", "value", "trips", _r("delay_rate"))
+
+
+def _trained(spark: SparkSession, sf: str):
+    full = P.engineer_features(trip_dataset(spark, sf))
+    return train_and_evaluate(full, num_trees=8, max_depth=4, keys=["trip_id"])
+
+
+def q_train_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """What training must keep whatever the model finds: split sizes, label counts, inputs, ranges."""
+    models, art, metrics = _trained(spark, sf)
+    split = _split_trips(spark, sf)
+    importances = feature_importances(spark, models["random_forest"], art.feature_columns)
+    sums = split.agg(F.count_if(F.col("split") == "train").alias("n_train"), F.count_if(F.col("split") == "test").alias("n_test"),
+                     F.count_if((F.col("split") == "test") & (F.col("delay") == 1)).alias("test_positives"))
+    in_range = metrics.agg(F.min(((F.col("tp") + F.col("fn") + F.col("fp") + F.col("tn")) == sums.select("n_test").scalar())
+                                 .cast("int")).alias("whole"),
+                           F.count(F.lit(1)).alias("n_models"),
+                           F.min(F.coalesce(F.col("roc_auc").between(0, 1), F.lit(True)).cast("int")).alias("auc_in_range"))
+    total = importances.agg(F.round(F.sum("importance"), 6).alias("importance_sum"),
+                            F.count(F.lit(1)).alias("n_inputs"))
+    return sums.join(in_range).join(total)  # three single rows side by side
+
+
+def q_predict_recent(spark: SparkSession, sf: str) -> DataFrame:
+    """The five latest trips through the fitted forest, joined with their actual labels."""
+    models, art, _ = _trained(spark, sf)
+    recent = B.trips(spark, sf).orderBy(F.desc("departure_date"), F.desc("trip_id")).limit(5)
+    scored = predict_delay(P.new_trip_frame(recent), _tables(spark, sf), models["random_forest"], art,
+                           keep=("trip_id", "truck_id"), keys=["trip_id"], traffic_ts="ts", weather_ts="ts", city_ts="ts")
+    label = F.when(F.col("predicted_delay") == 1, "Delayed").otherwise("On Time")
+    return scored.join(recent.select("trip_id", M.value_map("delay", M.LABELS).alias("actual_label")), "trip_id").select(
+        "trip_id", "truck_id", "actual_label", (F.col("predicted_delay_label") == label).alias("label_fits"),
+        F.col("delay_probability").between(0, 1).alias("probability_in_range"))
+
+
 # ---------------------------------------------------------------- model matrix
 
 def _split_trips(spark: SparkSession, sf: str) -> DataFrame:
@@ -340,7 +462,14 @@ def _split_trips(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_time_split(spark: SparkSession, sf: str) -> DataFrame:
-    return _split_trips(spark, sf).select("trip_id", "split")
+    return _split_trips(spark, sf)
+
+
+def q_time_split_one_day(spark: SparkSession, sf: str) -> DataFrame:
+    """All trips leave on one day at one of three times: the cut falls inside a timestamp that a third of the rows share."""
+    t = B.trips(spark, sf).withColumn("departure_date", F.expr(
+        "make_timestamp_ntz(2019, 2, 1, CAST(7 + trip_id % 3 AS INT), 0, 0)"))
+    return time_split(t, "departure_date", ["trip_id"], test_size=0.2)
 
 
 def q_split_periods(spark: SparkSession, sf: str) -> DataFrame:
@@ -460,6 +589,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rate_by_category": q_rate_by_category,
     "top_routes_delay": q_top_routes_delay,
     "time_split": q_time_split,
+    "time_split_one_day": q_time_split_one_day,
+    "load_parse": q_load_parse,
+    "load_clean": q_load_clean,
+    "remaining_nulls": q_remaining_nulls,
+    "type_tally": q_type_tally,
+    "trip_describe": q_trip_describe,
+    "trip_histogram": q_trip_histogram,
+    "trip_corr": q_trip_corr,
+    "trip_boxplot": q_trip_boxplot,
+    "trip_rates": q_trip_rates,
+    "train_summary": q_train_summary,
+    "predict_recent": q_predict_recent,
     "split_periods": q_split_periods,
     "one_hot": q_one_hot,
     "align_columns": q_align_columns,

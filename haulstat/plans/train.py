@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulstat.operators import metrics as M
-from haulstat.operators.features import Scaler, align_columns, fit_categories, fit_scaler
+from haulstat.operators.features import Scaler, align_columns, fit_categories, fit_scaler, quantile_value
 from haulstat.operators.split import time_split
 from haulstat.plans import trips as P
 from haulstat.plans.bindings import CATEGORICAL_COLUMNS, TRIP_KEYS
@@ -107,7 +107,7 @@ def train_and_evaluate(full: DataFrame, *, test_size: float = 0.2, kinds: Sequen
     metrics = rows[0]
     for r in rows[1:]:
         metrics = metrics.unionByName(r)
-    threshold = full.agg(F.percentile("no_of_vehicles", 0.75)).first()[0] if "no_of_vehicles" in full.columns else None
+    threshold = quantile_value(full, "no_of_vehicles", 0.75).first()[0] if "no_of_vehicles" in full.columns else None
     art = Artifacts(feature_cols, cats, threshold, scaler.means, scaler.stds)
     return models, art, metrics
 

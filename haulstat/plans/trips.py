@@ -1,8 +1,8 @@
 """Trip-level plans: the merged trip dataset, its features and the model matrix.
 
-Each function only extends a lazy plan; nothing here triggers a job except
-where a fitted value is needed (quantile threshold, categories), and those are
-single-row aggregates.
+Functions extend a lazy plan. Jobs run while a plan is built only where it
+needs a measured value (bucket widths, quantile cut points, categories) or
+where ``materialize`` stores rows that feed several consumers.
 """
 
 from __future__ import annotations
@@ -57,10 +57,10 @@ def add_city_weather(trips: DataFrame, city: DataFrame, *, city_key: str = "city
                      tie: str | None = None, bucket_hours: float | str = "auto") -> DataFrame:
     """Origin weather nearest departure and destination weather nearest arrival, on the row."""
     if bucket_hours == "auto":
-        # one width for both lookups: trips are counted on their departure day
+        # one width for both lookups: the narrower of what departures and arrivals need
         from haulstat.operators.asof import auto_bucket_hours
-        bucket_hours = auto_bucket_hours(city, city_key, ts, left=trips, left_by="origin_id",
-                                         left_on="departure_date")
+        bucket_hours = min(auto_bucket_hours(city, city_key, ts, left=trips, left_by=by, left_on=on)
+                           for by, on in (("origin_id", "departure_date"), ("destination_id", "estimated_arrival")))
     out = asof_nearest(trips, city, left_by="origin_id", right_by=city_key,
                        left_on="departure_date", right_on=ts, payload=cols, prefix="origin_",
                        tie=tie, bucket_hours=bucket_hours)

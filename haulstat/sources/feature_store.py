@@ -23,12 +23,19 @@ from pyspark.sql import functions as F
 BATCH_COL = "batch_id"
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], batch_col: str = BATCH_COL) -> DataFrame:
-    """For each key, the row of its highest batch (ties inside a batch: any one of them)."""
+def latest_per_key(df: DataFrame, keys: Sequence[str], batch_col: str = BATCH_COL,
+                   event_time: str | None = None) -> DataFrame:
+    """For each key, the row of its highest batch.
+
+    Rows of one key within a batch are ordered by event time, then by all
+    other columns: the greatest wins, whatever the order of the files.
+    """
     keys = list(keys)
     others = [c for c in df.columns if c not in keys]
     row = F.struct(*[F.col(c) for c in others])
-    agg = df.groupBy(*keys).agg(F.max_by(row, F.col(batch_col)).alias("__row"))
+    first = [batch_col, *([event_time] if event_time else [])]
+    order = F.struct(*[F.col(c) for c in first], *[F.col(c) for c in others if c not in first])
+    agg = df.groupBy(*keys).agg(F.max_by(row, order).alias("__row"))
     return agg.select(*keys, *[F.col("__row").getField(c).alias(c) for c in others])
 
 
@@ -72,14 +79,15 @@ class FeatureGroup:
         fs, base, jvm = self._hadoop_fs(spark)
         tmp = f"{self.path}/_tmp_{BATCH_COL}={batch}"
         df.write.mode("overwrite").parquet(tmp)
-        final = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{BATCH_COL}={batch}")
-        if not fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), final):
-            raise OSError(f"could not publish batch {batch} of {self.name}")
+        # the description is there before the batch can be seen
         meta = {"name": self.name, "version": self.version, "primary_key": self.primary_key,
                 "event_time": self.event_time, "schema": json.loads(df.schema.json())}
         out = fs.create(jvm.org.apache.hadoop.fs.Path(f"{self.path}/_meta.json"), True)
         out.write(bytearray(json.dumps(meta).encode()))
         out.close()
+        final = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{BATCH_COL}={batch}")
+        if not fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), final):
+            raise OSError(f"could not publish batch {batch} of {self.name}")
         return batch
 
     def read_all(self, spark: SparkSession) -> DataFrame:
@@ -89,7 +97,19 @@ class FeatureGroup:
 
     def read(self, spark: SparkSession) -> DataFrame:
         """Newest row per primary key."""
-        return latest_per_key(self.read_all(spark), self.primary_key).drop(BATCH_COL)
+        return latest_per_key(self.read_all(spark), self.primary_key, event_time=self.event_time).drop(BATCH_COL)
+
+    def compact(self, spark: SparkSession) -> int:
+        """Writes the newest row per key as the next batch and returns its id.
+
+        ``read_from`` with that id then reads this snapshot and what came later, not the whole history.
+        """
+        return self.insert(self.read(spark))
+
+    def read_from(self, spark: SparkSession, snapshot: int) -> DataFrame:
+        """Newest row per primary key, looking only at batch ``snapshot`` (a compacted one) and later ones."""
+        rows = self.read_all(spark).where(F.col(BATCH_COL) >= snapshot)  # partition filter: earlier files are not read
+        return latest_per_key(rows, self.primary_key, event_time=self.event_time).drop(BATCH_COL)
 
 
 def get_or_create(root: str, name: str, version: int, primary_key: Sequence[str],

@@ -45,14 +45,21 @@ def read_table(spark: SparkSession, options: Mapping[str, str], table: str, **kw
     return spark.read.format("jdbc").options(**jdbc_options(options, table, **kwargs)).load()
 
 
+LARGE = ("traffic", "city_weather", "routes_weather")
+
+
 def load_all_from_jdbc(spark: SparkSession, databases: Mapping[str, Mapping[str, str]],
                        partitioning: Mapping[str, dict] | None = None) -> dict[str, DataFrame]:
     """The same catalog as ``tables.load_all`` read from two databases, with the same fixes.
 
     ``databases`` maps "mysql" / "postgres" to connection options;
-    ``partitioning`` optionally maps a friendly name to ``jdbc_options`` kwargs.
+    ``partitioning`` maps a friendly name to ``jdbc_options`` kwargs; the tables
+    in ``LARGE`` must have it, or each would come through one connection and task.
     """
     partitioning = partitioning or {}
+    missing = [n for n in LARGE if not partitioning.get(n, {}).get("partition_column")]
+    if missing:
+        raise ValueError(f"give a partition_column for {missing}")
     out = {}
     for name, (db, source) in SOURCE_TABLES.items():
         df = read_table(spark, databases[db], source, **partitioning.get(name, {}))

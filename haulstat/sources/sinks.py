@@ -15,10 +15,16 @@ def write_features(df: DataFrame, path: str, ts: str = "departure_date", mode: s
                    max_records_per_file: int = 5_000_000) -> None:
     """The final feature dataset as Parquet partitioned by departure day (prunable by date).
 
-    No shuffle by day before the write: a day holding a large share of the
-    rows would otherwise land in one task. Each task writes its own rows per
-    day, and files are capped in rows.
+    Rows are dealt by (day, salt), with as many salts as a day has files'
+    worth of rows: a day writes about rows / ``max_records_per_file`` files, and a
+    day with a large share of the rows is spread over that many tasks.
     """
-    (df.withColumn("departure_day", F.to_date(F.col(ts)))
+    dated = df.withColumn("departure_day", F.to_date(F.col(ts)))
+    salts = dated.groupBy("departure_day").agg(
+        F.ceil(F.count(F.lit(1)) / max_records_per_file).cast("int").alias("__salts"))
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.coalesce("__salts", F.lit(1)))
+    dealt = (dated.join(F.broadcast(salts), dated["departure_day"].eqNullSafe(salts["departure_day"]), "left")  # a row a day
+             .select(dated["*"], salt.alias("__salt")).repartition("departure_day", "__salt").drop("__salt"))
+    (dealt
        .write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
        .partitionBy("departure_day").parquet(path))

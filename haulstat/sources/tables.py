@@ -2,7 +2,10 @@
 
 CSV is read with a declared schema (no inference pass over the data) in
 PERMISSIVE mode; a value that does not fit its column becomes null and the
-raw line is kept in ``_corrupt_record`` when ``keep_corrupt=True``.
+raw line is kept in ``_corrupt_record`` when ``keep_corrupt=True``. Integer
+columns are read as doubles and cast if whole, because integers with gaps are
+written as ``1.0``. ``parse_lines`` reads lines of text that are already in a
+DataFrame in the same way.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from haulstat.functions.columns import (
     null_token,
     reading_timestamp,
     strict_timestamp,
+    whole_number,
 )
 
 _W = ("temp double, wind_speed double, precip double, humidity double, visibility double, "
@@ -57,23 +61,43 @@ def paths_under(root: str) -> dict[str, str]:
 
 def read_csv(spark: SparkSession, path: str, schema: str, keep_corrupt: bool = False) -> DataFrame:
     """Header CSV with a declared schema; text tokens for missing values become null."""
-    ddl = f"{schema}, _corrupt_record string" if keep_corrupt else schema
+    ddl = _read_as(f"{schema}, _corrupt_record string" if keep_corrupt else schema)
     reader = (spark.read.schema(ddl).option("header", True).option("mode", "PERMISSIVE")
               .option("nanValue", "NaN"))
     if keep_corrupt:
         reader = reader.option("columnNameOfCorruptRecord", "_corrupt_record")
-    df = reader.csv(path)
+    return _typed(reader.csv(path), schema)
+
+
+def _read_as(schema: str) -> T.StructType:
+    """``schema`` with integer columns as doubles."""
+    declared = T.StructType.fromDDL(schema)
+    return T.StructType([T.StructField(f.name, T.DoubleType() if isinstance(f.dataType, T.IntegerType) else f.dataType)
+                         for f in declared.fields])
+
+
+def _typed(df: DataFrame, schema: str) -> DataFrame:
+    """Missing-value tokens to null, doubles that stand for integers to INT."""
     fixes = {}
-    for f in df.schema.fields:
+    for f in T.StructType.fromDDL(schema).fields:
         if f.name == "_corrupt_record":
             continue
         if isinstance(f.dataType, T.StringType):
             fixes[f.name] = null_token(f.name)
+        elif isinstance(f.dataType, T.IntegerType):
+            fixes[f.name] = whole_number(nan_to_null(f.name))
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             fixes[f.name] = nan_to_null(f.name)
     return df.withColumns(fixes) if fixes else df
 
 
+def parse_lines(lines: DataFrame, name: str, line: str = "line") -> DataFrame:
+    """Lines of text of raw table ``name`` (no header) parsed as ``read_csv`` parses files, fixes not yet applied."""
+    record = F.from_csv(F.col(line), _read_as(SCHEMAS[name]).simpleString()[len("struct<"):-1].replace(":", " "),
+                        {"mode": "PERMISSIVE", "nanValue": "NaN"})
+    return _typed(lines.select(record.alias("__r")).select("__r.*"), SCHEMAS[name])
+
+
 def _fix(name: str, df: DataFrame) -> DataFrame:
     if name == "traffic":
         df = df.withColumns({"date": coerce_timestamp("date"), "hour": normalize_hour("hour")})
