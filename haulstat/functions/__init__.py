@@ -9,9 +9,7 @@ from haulstat.functions.columns import (  # noqa: F401
     nan_to_null,
     normalize_hour,
     null_token,
-    prefixed,
     reading_timestamp,
-    round_half_even,
     strict_timestamp,
     time_bucket,
     value_map,

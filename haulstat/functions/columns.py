@@ -96,10 +96,6 @@ def value_map(c: Column | str, mapping: Mapping) -> Column:
     return expr if expr is not None else F.lit(None)
 
 
-def round_half_even(c: Column | str, places: int) -> Column:
-    """numpy-style rounding (banker's) to a number of decimal places."""
-    return F.bround(_c(c), places)
-
 
 def hours_between(start: Column | str, end: Column | str) -> Column:
     """Elapsed hours with sub-second precision kept."""
@@ -119,7 +115,3 @@ def time_bucket(ts: Column | str, bucket_hours: float) -> Column:
     secs = (F.unix_date(F.to_date(t)).cast("long") * 86400 + F.hour(t) * 3600
             + F.minute(t) * 60 + F.floor(F.second(t)))
     return F.floor(secs / F.lit(width)).cast("long")
-
-
-def prefixed(cols: Iterable[str], prefix: str) -> list[Column]:
-    return [F.col(c).alias(prefix + c) for c in cols]

@@ -24,7 +24,7 @@ def mode_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def fill_mode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Fill nulls with the column's mode (an all-null column stays null)."""
-    fills = {c: df.agg(F.mode(c, deterministic=True)).scalar() for c in cols}
+    fills = {c: mode_values(df, [c]).scalar() for c in cols}
     return df.withColumns({c: F.coalesce(F.col(c), fills[c]) for c in cols})
 
 
@@ -68,24 +68,6 @@ def fill_group_median(df: DataFrame, col: str, by: str, accuracy: int | None = N
             .withColumn(col, F.coalesce(F.col(col), F.col("__gm"), fallback)).select(*df.columns))
 
 
-def fill_constant(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
-    out = df
-    for c, v in values.items():
-        out = out.withColumn(c, F.coalesce(F.col(c), F.lit(v)))
-    return out
-
-
-def fill_key_mean(df: DataFrame, source: DataFrame, by: str, cols: Sequence[str],
-                  source_by: str | None = None) -> DataFrame:
-    """Fill nulls of each column with the mean of that column over ``source`` rows of the same key."""
-    source_by = source_by or by
-    means = (source.where(F.col(source_by).isNotNull())
-             .groupBy(F.col(source_by).alias("__k"))
-             .agg(*[F.avg(c).alias(f"__km_{c}") for c in cols]))
-    out = df.join(means, df[by] == means["__k"], "left")
-    for c in cols:
-        out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"__km_{c}")))
-    return out.select(*df.columns)
 
 
 def remaining_nulls(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

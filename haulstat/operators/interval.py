@@ -70,7 +70,7 @@ def plan_windows(left: DataFrame, start: str, end: str) -> tuple[float, tuple[in
     width = min(max(float(row["avg"] or 24.0), MIN_BUCKET_HOURS), MAX_BUCKET_HOURS)
     width = float(int(width)) if width >= 1 else width
     widest = int((row["max"] or 0.0) // width) + 2
-    return width, (int(row["n"]), widest, _measured_bytes(row))
+    return width, WindowBound.of(int(row["n"]), widest, _measured_bytes(row))
 
 
 def _row_bytes(left: DataFrame) -> list:
@@ -85,14 +85,26 @@ def _measured_bytes(row) -> int:
     return EXPLODED_ROW_BYTES + int(sum(16 + 2 * (v or 0.0) for v in widths))
 
 
-def window_size_bound(left: DataFrame, start: str, end: str, bucket_hours: float = 24) -> tuple[int, int, int]:
-    """(rows, widest window in buckets, bytes a row) of a schedule: one aggregate, a few numbers to the driver.
+class WindowBound(tuple):
+    """(rows, widest window in buckets) of a schedule, and the measured ``row_bytes`` of one exploded row."""
+
+    row_bytes = EXPLODED_ROW_BYTES
+
+    @classmethod
+    def of(cls, rows: int, widest: int, row_bytes: int) -> WindowBound:
+        bound = cls((rows, widest))
+        bound.row_bytes = row_bytes
+        return bound
+
+
+def window_size_bound(left: DataFrame, start: str, end: str, bucket_hours: float = 24) -> WindowBound:
+    """(rows, widest window in buckets) of a schedule: one aggregate, a few numbers to the driver.
 
     ``rows * widest`` bounds the exploded window side of the join.
     """
     span = time_bucket(end, bucket_hours) - time_bucket(start, bucket_hours) + 1
     row = left.agg(F.count(F.lit(1)).alias("n"), F.max(span).alias("w"), *_row_bytes(left)).first()
-    return int(row["n"]), int(row["w"] or 0), _measured_bytes(row)
+    return WindowBound.of(int(row["n"]), int(row["w"] or 0), _measured_bytes(row))
 
 
 def broadcast_limit_rows(spark, row_bytes: int = EXPLODED_ROW_BYTES) -> int:
@@ -101,10 +113,11 @@ def broadcast_limit_rows(spark, row_bytes: int = EXPLODED_ROW_BYTES) -> int:
     return broadcast_threshold_bytes(spark) // row_bytes
 
 
-def _use_broadcast(spark, bound: tuple[int, ...] | None, broadcast_max_rows: int | None) -> bool:
+def _use_broadcast(spark, bound: tuple[int, int] | None, broadcast_max_rows: int | None) -> bool:
     if bound is None:
         return False
-    cap = broadcast_limit_rows(spark, *bound[2:3]) if broadcast_max_rows is None else broadcast_max_rows
+    row_bytes = getattr(bound, "row_bytes", EXPLODED_ROW_BYTES)
+    cap = broadcast_limit_rows(spark, row_bytes) if broadcast_max_rows is None else broadcast_max_rows
     return bound[0] * max(bound[1], 1) <= cap
 
 
@@ -165,11 +178,6 @@ def interval_aggregate(left: DataFrame, readings: DataFrame, *, by: str, start:
     return pairs.groupBy(*keys).agg(*_agg_exprs(aggs))
 
 
-def key_means(readings: DataFrame, by: str, cols: Sequence[str]) -> DataFrame:
-    """Per-key mean of each column over every reading of the key (null keys dropped)."""
-    return (readings.where(F.col(by).isNotNull())
-            .groupBy(by).agg(*[F.avg(c).alias(c) for c in cols]))
-
 
 def attach_interval_aggregate(left: DataFrame, readings: DataFrame, *, by: str, start: str,
                               end: str, ts: str, aggs: Mapping[str, tuple[str, str]],

@@ -24,6 +24,7 @@ from haulstat.operators import clean as C
 from haulstat.operators import profile as PR
 from haulstat.operators.asof import asof_nearest
 from haulstat.operators import metrics as M
+from haulstat.operators.lookup import join_on
 from haulstat.operators.features import align_columns, fit_categories, high_quantile_flag, one_hot, standardize_with
 from haulstat.operators.split import split_periods, time_split
 from haulstat.sources.feature_store import latest_per_key
@@ -440,7 +441,9 @@ def q_train_summary(spark: SparkSession, sf: str) -> DataFrame:
                            F.min(F.coalesce(F.col("roc_auc").between(0, 1), F.lit(True)).cast("int")).alias("auc_in_range"))
     total = importances.agg(F.round(F.sum("importance"), 6).alias("importance_sum"),
                             F.count(F.lit(1)).alias("n_inputs"))
-    return sums.join(in_range).join(total)  # three single rows side by side
+    found = {c: df.select(c).scalar() for df, names in ((in_range, ("whole", "n_models", "auc_in_range")),
+                                                        (total, ("importance_sum", "n_inputs"))) for c in names}
+    return sums.withColumns(found)
 
 
 def q_predict_recent(spark: SparkSession, sf: str) -> DataFrame:
@@ -537,7 +540,7 @@ def q_pred_vs_actual(spark: SparkSession, sf: str) -> DataFrame:
     preds = preds.select("truck_id", "route_id", "departure_date", "predicted_delay_label", "delay_probability")
     actual = recent.select("truck_id", "route_id", "departure_date",
                            M.value_map("delay", M.LABELS).alias("actual_label"))
-    return preds.join(actual, ["truck_id", "route_id", "departure_date"], "inner")
+    return join_on(preds, actual, ["truck_id", "route_id", "departure_date"])
 
 
 # ---------------------------------------------------------------- feature store

@@ -170,12 +170,3 @@ def results_table(metrics: DataFrame) -> DataFrame:
     """Model comparison: one row per model, rounded to 4 places."""
     cols = ["accuracy", "precision", "recall", "f1", "roc_auc"]
     return metrics.select("model", *[F.round(c, 4).alias(c) for c in cols])
-
-
-def train_test_accuracy(model: PipelineModel, train: DataFrame, test: DataFrame) -> DataFrame:
-    """One row: accuracy on the training rows and on the test rows (overfit check)."""
-    def acc(df: DataFrame) -> DataFrame:
-        p = _with_probability(model.transform(df))
-        return p.agg(F.avg((F.col("predicted_delay") == F.col(TARGET)).cast("double")).alias("a"))
-    return acc(train).select(F.col("a").alias("train_accuracy")).withColumn(
-        "test_accuracy", acc(test).scalar())

@@ -177,7 +177,3 @@ def publish_features(full: DataFrame, root: str | None = None, *, name: str = FE
 def new_trip_frame(trips: DataFrame) -> DataFrame:
     """Schedule rows without a label, as scoring receives them."""
     return trips.select(*[c for c in trips.columns if c != "delay"])
-
-
-def first_last(df: DataFrame, ts: str) -> DataFrame:
-    return df.agg(F.min(ts).alias("first"), F.max(ts).alias("last"))
