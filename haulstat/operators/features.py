@@ -106,14 +106,16 @@ class Scaler:
     means: dict[str, float] = field(default_factory=dict)
     stds: dict[str, float] = field(default_factory=dict)
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        out = df
+    def transform(self, df: DataFrame, fill_mean: bool = False) -> DataFrame:
+        """Scaled columns; with ``fill_mean`` a null becomes the training mean (0 once scaled), as models need."""
+        scaled = {}
         for c in self.columns:
             m = self.means[c]
             s = self.stds[c]
             s = 1.0 if (s is None or s == 0.0) else s
-            out = out.withColumn(c, (F.col(c).cast("double") - F.lit(m)) / F.lit(s))
-        return out
+            x = (F.col(c).cast("double") - F.lit(m)) / F.lit(s)
+            scaled[c] = F.coalesce(x, F.lit(0.0)) if fill_mean else x
+        return df.withColumns(scaled)
 
 
 def scaler_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:

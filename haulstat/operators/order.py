@@ -49,6 +49,8 @@ def cut_points(df: DataFrame, order: Sequence[str], buckets: int) -> list[Column
 
 def bucket_of(order: Sequence[str], cuts: Sequence[Column]) -> Column:
     """Number of cut points that are not above the row's key: a comparison tree over the literals."""
+    if not cuts:  # one bucket, yet a value of the row: a constant would turn joins on it into nested loops
+        return F.pmod(F.hash(*order), F.lit(1))
     key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order)])
 
     def tree(lo: int, hi: int) -> Column:

@@ -93,8 +93,8 @@ def train_and_evaluate(full: DataFrame, *, test_size: float = 0.2, kinds: Sequen
     scaler = fit_scaler(train, feature_cols)
     n_train = train.count()
     assembler = VectorAssembler(inputCols=feature_cols, outputCol="features", handleInvalid="keep")
-    train_s = scaler.transform(train).withColumn(TARGET, F.col(TARGET).cast("double"))
-    test_s = scaler.transform(test).withColumn(TARGET, F.col(TARGET).cast("double"))
+    train_s = scaler.transform(train, fill_mean=True).withColumn(TARGET, F.col(TARGET).cast("double"))
+    test_s = scaler.transform(test, fill_mean=True).withColumn(TARGET, F.col(TARGET).cast("double"))
     models, rows = {}, []
     for kind in kinds:
         model = Pipeline(stages=[assembler, make_classifier(kind, n_train, num_trees=num_trees,
@@ -161,7 +161,7 @@ def predict_delay(new_trips: DataFrame, tables: Mapping[str, DataFrame], model:
     matrix = P.model_matrix(feats, categories=art.categories,
                             id_columns=[c for c in P.ID_COLUMNS if c in feats.columns and c not in keys])
     aligned = align_columns(matrix, [*keys, *art.feature_columns])
-    scored = _with_probability(model.transform(art.scaler.transform(aligned)))
+    scored = _with_probability(model.transform(art.scaler.transform(aligned, fill_mean=True)))
     out = scored.select(*keys, "predicted_delay", F.col("probability_1").alias("probability"))
     return M.label_predictions(out).drop("probability")
 
