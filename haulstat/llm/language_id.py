@@ -42,19 +42,34 @@ from haulstat.llm.common import held_out
 LETTERS = re.compile(r"[^\W\d_]+")
 START = "▁"  # the vocabulary's mark of a word's start
 LONGEST = 40
-ALPHABET = 255  # letters that pieces of several letters may use: the vocabulary's most frequent
 UNKNOWN = 1e-7
 SMOOTHING = 0.05
 FIT_ROWS, ROUNDS = 300, 4
 CACHE_WORDS, SLICE_WORDS = 300_000, 20_000
 
 
+class Steps:
+    """Edges of a letter trie, stored sparsely: ``steps[node, letter]`` is the next node, 0 if there is none."""
+
+    def __init__(self, nodes: list[dict[int, int]], n_letters: int) -> None:
+        self.n_letters = n_letters
+        edges = sorted((n * n_letters + c, to) for n, out in enumerate(nodes) for c, to in out.items())
+        self.key = np.array([k for k, _ in edges] + [np.iinfo(np.int64).max], dtype=np.int64)
+        self.to = np.array([to for _, to in edges] + [0], dtype=np.int32)
+
+    def __getitem__(self, at: tuple) -> np.ndarray:
+        node, letter = at
+        key = np.asarray(node, dtype=np.int64) * self.n_letters + letter
+        found = np.searchsorted(self.key, key)
+        return np.where(self.key[found] == key, self.to[found], 0)
+
+
 @dataclass
 class Pieces:
     """The vocabulary as a letter trie: ``step[node, letter]`` is the next node, ``piece[node]`` its piece or -1."""
 
     letter: dict[str, int]
-    step: np.ndarray
+    step: Steps
     piece: np.ndarray
     size: int
 
@@ -67,16 +82,10 @@ def load_pieces(path: str) -> Pieces:
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     texts = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
     texts = [t for t in texts if (b := t.removeprefix(START)) == "" and t or LETTERS.fullmatch(b) and b == b.lower()]
-    used: dict[str, int] = {}
-    for t in texts:
-        for c in t:
-            used[c] = used.get(c, 0) + 1
-    letters = sorted(used, key=lambda c: (-used[c], c))[:ALPHABET]
-    letter = {c: i + 1 for i, c in enumerate(letters)}
+    letter = {c: i + 1 for i, c in enumerate(sorted({c for t in texts for c in t}))}  # 0: unknown
     nodes: list[dict[int, int]] = [{}]
     piece = [-1]
-    kept = [t for t in texts if all(c in letter for c in t)]
-    for i, t in enumerate(kept):
+    for i, t in enumerate(texts):
         at = 0
         for c in t:
             nxt = nodes[at].get(letter[c])
@@ -86,11 +95,7 @@ def load_pieces(path: str) -> Pieces:
                 piece.append(-1)
             at = nxt
         piece[at] = i
-    step = np.zeros((len(nodes), ALPHABET + 1), dtype=np.int32)
-    for n, out in enumerate(nodes):
-        for c, to in out.items():
-            step[n, c] = to
-    return Pieces(letter, step, np.array(piece, dtype=np.int32), len(kept))
+    return Pieces(letter, Steps(nodes, len(letter) + 1), np.array(piece, dtype=np.int32), len(texts))
 
 
 def parts(word: str) -> list[str]:

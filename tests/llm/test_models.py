@@ -64,6 +64,24 @@ def test_language_held_out(spark):
     assert got.where("score < 0 OR score > 1").count() == 0
 
 
+def test_every_letter_of_the_vocabulary_counts(spark):
+    """Languages of scripts with rarer letters are told apart by their own pieces."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=VOCABULARY)
+    texts = [sp.id_to_piece(i).removeprefix(li.START) for i in range(sp.get_piece_size())]
+    pieces = li.load_pieces(VOCABULARY)
+    assert {c for t in texts if li.LETTERS.fullmatch(t) and t == t.lower() for c in t} <= set(pieces.letter)
+    words = {"he": "של את על לא הוא היא בית יום שלום ילד".split(), "ru": "что это как дом день мир был она они вода".split(),
+             "ja": "これ それ です ます した から まで いる ある する".split(),
+             "ko": "이 그 는 을 를 에 의 가 한 다".split(), "th": "มา ไป ของ และ การ ความ บาน นา ตา ปลา".split()}
+    r = random.Random(5)
+    rows = [(i, " ".join(r.choices(words[g], k=3 + 3 * (g == "he"))), g, "a") for i, g in enumerate(sorted(words) * 60)]
+    df = docs(spark, rows)
+    got = li.language_id(df, VOCABULARY).join(df, "doc_id").where("held_out")
+    assert got.count() > 50 and got.where("lang <> lang_pred OR score < 0.9").count() == 0
+
+
 def test_words_beyond_the_table(monkeypatch):
     pieces = li.load_pieces(VOCABULARY)
     model = li.LanguageModel(["a", "b"], np.random.default_rng(3).random((pieces.size + 1, 2)), VOCABULARY)
