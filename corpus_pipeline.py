@@ -1,8 +1,10 @@
 """The corpus pipeline: five stages over ``documents``, each written as Parquet and read again by the next.
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
-return the columns of ``documents``. Rows are kept or left by id, so rows that
-repeat an id share their fate; rows with a null id pass every stage that decides by id.
+return the columns of ``documents``. A stage first stores its rows with a unique
+key and decides on each row by that key, so ids may repeat or be null: every row
+is judged by its own text. Of rows with linked texts the one with the smallest id stays
+(null ids last, then by key). Mixing draws by id; rows with a null id each draw by their key.
 """
 
 from __future__ import annotations
@@ -11,40 +13,57 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulstat.llm import mixing, sharding
-from haulstat.llm.common import shared_path, ship
+from haulstat.llm.common import shared_path, ship, stored
 from haulstat.llm.decontamination import decontamination
 from haulstat.llm.ngram_join import ngram_join
 from haulstat.llm.quality_rules import quality_rules
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` but for the rows whose id is in ``ids`` (one column)."""
-    out = ids.toDF("__out").where(F.col("__out").isNotNull()).distinct()
-    return docs.join(out, docs["doc_id"] == out["__out"], "left_anti")
+ROW = "__row"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a unique row key, stored so that every reader and retry sees the same keys."""
+    return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline-rows")
+
+
+def _without(keyed: DataFrame, keys: DataFrame) -> DataFrame:
+    """The documents of ``keyed`` but for the rows whose key is in ``keys`` (one column)."""
+    out = keys.toDF("__out").distinct()
+    return keyed.join(out, keyed[ROW] == out["__out"], "left_anti").drop(ROW)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    return _without(docs, quality_rules(docs).where(~F.col("kept")).select("doc_id"))
+    docs = _keyed(docs)
+    return _without(docs, quality_rules(docs, id_col=ROW).where(~F.col("kept")).select("doc_id"))
 
 
 def join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest id stays."""
     ship(spark)
-    groups = ngram_join(docs)
-    return _without(docs, groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id"))
+    docs = _keyed(docs)
+    groups = ngram_join(docs, id_col=ROW).select(F.col("doc_id").alias(ROW), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", ROW)
+    ranked = stored(groups.join(docs.select(ROW, "doc_id"), ROW).select(ROW, "component_id", order.alias("order")),
+                    "pipeline-groups")
+    stay = ranked.groupBy("component_id").agg(F.min("order")[ROW].alias("__stay"))
+    return _without(docs, ranked.join(stay, F.col(ROW) == F.col("__stay"), "left_anti").select(ROW))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents linked with a test item go."""
     ship(spark)
+    docs = _keyed(docs)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _without(docs, decontamination(docs, items).select("doc_id"))
+    return _without(docs, decontamination(docs, items, id_col=ROW).select("doc_id"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample of the documents with the target shares."""
-    return _without(docs, mixing.mixing(docs).where(~F.col("sampled")).select("doc_id"))
+    docs = _keyed(docs)
+    draw = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("row/"), F.col(ROW).cast("string")))
+    return _without(docs, mixing.mixing(docs, id_col=ROW, draw=draw).where(~F.col("sampled")).select("doc_id"))
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

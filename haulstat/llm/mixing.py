@@ -76,11 +76,13 @@ def rake(cells: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
 
 def mixing(df: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, topic: Column | None = None,
-           id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> DataFrame:
-    """Per row of ``df``: doc_id, source, lang, topic, n_tokens, probability, sampled."""
+           id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang",
+           draw: Column | None = None) -> DataFrame:
+    """Per row of ``df``: doc_id, source, lang, topic, n_tokens, probability, sampled. ``draw`` is hashed in place of the id."""
     topic = topic_of(F.col(text_col)) if topic is None else topic
     rows = stored(df.select(
-        F.col(id_col).alias("doc_id"), F.coalesce(F.col(source_col), F.lit("(none)")).alias("source"),
+        F.col(id_col).alias("doc_id"), uniform(F.col(id_col) if draw is None else draw).alias("__u"),
+        F.coalesce(F.col(source_col), F.lit("(none)")).alias("source"),
         F.coalesce(F.col(lang_col), F.lit("(none)")).alias("lang"), topic.alias("topic"),
         F.size(words(F.col(text_col))).cast("long").alias("n_tokens")), "mix-rows")
     cells = stored(rows.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")), "mix-cells")
@@ -90,7 +92,7 @@ def mixing(df: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = No
     fitted = fitted.select(*DIMENSIONS, F.coalesce(F.try_divide("__rate", most), F.lit(0.0)).alias("probability"))
     out = rows.join(broadcast_small(fitted, BROADCAST_CELLS), list(DIMENSIONS))
     return out.select("doc_id", *DIMENSIONS, "n_tokens", F.round("probability", 9).alias("probability"),
-                      (uniform(F.col("doc_id")) < F.round("probability", 9)).alias("sampled"))
+                      (F.col("__u") < F.round("probability", 9)).alias("sampled"))
 
 
 def oracle(documents: str = "documents", columns: str = "doc_id, source, lang, topic, n_tokens, probability, sampled") -> str:
