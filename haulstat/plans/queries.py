@@ -425,7 +425,7 @@ def q_trip_rates(spark: SparkSession, sf: str) -> DataFrame:
 
 def _trained(spark: SparkSession, sf: str):
     full = P.engineer_features(trip_dataset(spark, sf))
-    return train_and_evaluate(full, num_trees=8, max_depth=4, keys=["trip_id"])
+    return train_and_evaluate(full, keys=["trip_id"])
 
 
 def q_train_summary(spark: SparkSession, sf: str) -> DataFrame:

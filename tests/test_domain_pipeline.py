@@ -125,3 +125,23 @@ def test_load_reference_tables(spark, raw_dir):
     tables = TR.load_reference_tables(spark, str(raw_dir))
     assert "truck_schedule" not in tables and set(tables) >= {"drivers", "trucks", "traffic", "routes"}
     assert remaining_nulls(tables["drivers"], ["gender", "driving_style"]).first()[0] == 0
+
+
+def test_registered_training_fits_the_listed_forest(monkeypatch):
+    """SURVEY T5: 300 trees of depth 10."""
+    import inspect
+
+    from haulstat.plans import queries as Q
+    asked = {}
+
+    def fit(*args, **kwargs):
+        call = inspect.signature(TR.train_and_evaluate).bind(*args, **kwargs)
+        call.apply_defaults()
+        asked.update(call.arguments)
+
+    monkeypatch.setattr(Q, "trip_dataset", lambda spark, sf: None)
+    monkeypatch.setattr(Q.P, "engineer_features", lambda full: full)
+    monkeypatch.setattr(Q, "train_and_evaluate", fit)
+    Q._trained(None, "")
+    assert (asked["num_trees"], asked["max_depth"]) == (300, 10)
+    assert "random_forest" in asked["kinds"]
