@@ -7,10 +7,11 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from haulstat.llm import mixing, preference, sharding, token_store
+from haulstat.llm import merkle, mixing, preference, sharding, token_store, whitening
 from haulstat.llm.common import shared_path, ship, table
 from haulstat.llm.decontamination import decontamination
 from haulstat.llm.language_id import language_id
+from haulstat.llm.licenses import license_scan
 from haulstat.llm.ngram_join import ngram_join
 from haulstat.llm.pii import personal_data
 from haulstat.llm.quality_classifier import quality_classifier
@@ -67,6 +68,18 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.component_rows(table(spark, sf_dir, "embeddings"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tampered_manifest(table(spark, sf_dir, "documents"))
+
+
 def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +92,7 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: shipped(f) for f in (
         op1_token_store, op2_language_id, op3_sharding, op4_quality_rules, op5_mixing, op6_preference,
-        op7_quality_classifier, op8_ngram_join, op9_decontamination, op10_pii)}
+        op7_quality_classifier, op8_ngram_join, op9_decontamination, op10_pii, op11_license_scan, op12_embedding_whitening, op13_merkle_manifest)}
 
 #: DuckDB SQL twins of the queries that SQL can express.
 SQL: dict[str, str] = {

@@ -8,6 +8,8 @@ from haulstat.llm import token_store
 from haulstat.llm.common import shared_path
 from haulstat.llm.decontamination import decontamination
 from haulstat.llm.language_id import language_id
+from haulstat.llm.licenses import license_scan
+from haulstat.llm.merkle import manifest
 from haulstat.llm.mixing import mixing
 from haulstat.llm.ngram_join import ngram_join
 from haulstat.llm.pii import personal_data
@@ -42,6 +44,8 @@ OPERATORS = {
     "join": ngram_join,
     "decontamination": lambda df: decontamination(df, items_for(df)),
     "pii": personal_data,
+    "licenses": license_scan,
+    "merkle": manifest,
 }
 PER_ROW = set(OPERATORS) - {"join", "decontamination"}
 

@@ -14,7 +14,7 @@ from tests.llm.helpers import SF
 
 def test_registered():
     names = {n.split("_")[0] for n in queries.QUERIES}
-    assert names == {f"op{i}" for i in range(1, 11)}
+    assert names == {f"op{i}" for i in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries())
     assert [n for n, _ in cp.STAGES] == ["quality_rules", "ngram_join", "decontamination", "mixing", "sharding"]
 
