@@ -3,7 +3,8 @@
 Words are runs of word characters, lower-cased. Seeds are the ``N``-word
 sequences of test items that are rare: a sequence counts as rare if its chance
 under independent words, with word shares counted over the whole corpus, is at
-most ``RARE``; each item keeps at least its ``LEAST`` rarest sequences. Rarity is
+most ``RARE``; each item keeps at least its ``LEAST`` rarest sequences, and
+the ``HITS`` rarest of every ``PASSAGE`` adjacent words. Rarity is
 judged by the words, not by how often the sequence occurs, so a passage that a
 third of all documents copied still seeds. An item of fewer than ``N`` words is
 one sequence.
@@ -12,7 +13,10 @@ A document in which ``HITS`` seeds of one item lie near each other (one, if the
 item has no more) is aligned with the item there: local alignment of words,
 match +2, mismatch and gap -1. The score is the best alignment's sum divided
 by that of a perfect copy; a document and an item are linked from
-``MIN_SCORE``. Edited and paraphrased copies lose score with each changed word.
+``MIN_SCORE``, and also if the aligned passage is long by itself, whatever
+share of the item it is: a sum of ``PASSAGE_SUM`` or more (13 words of which one in five was
+edited) at ``PASSAGE_SHARE`` of a perfect copy's sum a word. Edited and paraphrased copies lose
+score with each changed word.
 
 Test items are the small, stated side: they are brought to the tasks in blocks
 of at most ``BLOCK_WORDS`` words, one pass over the documents for each block, so
@@ -21,8 +25,8 @@ counts are taken of the items' words only.
 
 Result: one row per linked document and item, with the best alignment's score
 and its words' positions (first included, last excluded). Null or empty text
-on either side: linked with nothing. Repeated ids: their best alignment. Equal
-scores: the earliest. Empty tables: no rows. Extra columns are ignored.
+on either side: linked with nothing. Very long texts: searched whole, aligned only around seeds.
+Repeated ids: their best alignment. Equal scores: the earliest. Empty tables: no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,6 +44,7 @@ WORDS = re.compile(r"\w+")
 N, RARE, LEAST, HITS = 3, 1e-6, 8, 2
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE = 0.5
+PASSAGE, PASSAGE_SUM, PASSAGE_SHARE = 13, 23, 0.7
 BLOCK_WORDS = 1 << 20
 
 
@@ -85,6 +90,10 @@ def index_items(rows: list[tuple[object, str | None]], share) -> Items:
         chance = sum(log[w[j:j + len(k)]] for j in range(min(N, len(w))))
         rarest = np.argsort(chance, kind="stable")
         kept = np.union1d(rarest[:LEAST], np.flatnonzero(chance <= np.log(RARE)))
+        if len(k) > (around := PASSAGE - N + 1):
+            windows = np.lib.stride_tricks.sliding_window_view(chance, around)
+            local = np.argsort(windows, axis=1, kind="stable")[:, :HITS] + np.arange(len(windows))[:, None]
+            kept = np.union1d(kept, local.ravel())
         keys.append(k[kept] * 4 + min(N, len(w)))
         item.append(np.full(len(kept), i))
         place.append(kept)
@@ -135,6 +144,11 @@ def seed_hits(numbers: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
+def linked(score: float, total: int, words: int, min_score: float) -> bool:
+    """Whether an alignment over ``words`` words of a text links it with the item."""
+    return score >= min_score or total >= PASSAGE_SUM and total >= PASSAGE_SHARE * MATCH * words
+
+
 def matches(words: list[str], items: Items, min_score: float) -> list[tuple[int, float, int, int, int]]:
     """(item, score, first word, end, seeds) of each item linked with a text."""
     numbers = np.fromiter((items.number.get(w, 0) for w in words), dtype=np.int64, count=len(words))
@@ -155,9 +169,12 @@ def matches(words: list[str], items: Items, min_score: float) -> list[tuple[int,
         lo, hi = max(0, int(at[some[0]]) - 2 * len(own)), min(len(numbers), int(at[some[-1]]) + 2 * len(own) + N)
         total, end = align(numbers[lo:hi], own)
         score = total / (MATCH * len(own))
-        if score >= min_score and (i not in best or (-score, lo + end) < (-best[i][0], best[i][2])):
+        if score < min_score and total < PASSAGE_SUM:
+            continue
+        if i not in best or (-score, lo + end) < (-best[i][0], best[i][2]):
             _, back = align(numbers[lo:lo + end][::-1], own[::-1])
-            best[i] = (score, lo + end - back, lo + end, seeds)
+            if linked(score, total, back, min_score):
+                best[i] = (score, lo + end - back, lo + end, seeds)
     return [(i, *v) for i, v in sorted(best.items())]
 
 
@@ -185,7 +202,7 @@ def corpus_shares(rows: DataFrame, vocabulary: set[str]):
 def item_blocks(items: DataFrame, id_col: str, text_col: str, block_words: int) -> list[DataFrame]:
     """The test items in blocks of about ``block_words`` words."""
     rows = items.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("__item")).where(F.col("__item").isNotNull())
-    size = rows.agg(F.sum(F.size(F.split("__item", r"\s+")))).first()[0] or 0
+    size = rows.agg(F.sum(F.regexp_count("__item", F.lit(r"(?U)\w+")))).first()[0] or 0
     n = int(size // block_words) + 1
     return [rows.where(F.pmod(F.xxhash64("item_id", "__item"), F.lit(n)) == k) for k in range(n)]
 

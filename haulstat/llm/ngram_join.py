@@ -12,9 +12,9 @@ by a 64-bit hash. The join narrows down in exact steps and ends in tries:
    by frequency, rarest first (ties by hash). Linked sets share a shingle among
    their first ``n - ceil(0.75 n) + 1`` (prefix filter). Documents that share
    one belong to one cluster (components of the shared prefix shingles).
-3. Each cluster's sets go into prefix trees: shingles in one global order, so
-   sets that begin alike share a path and every path's overlap with a probing set is
-   computed once; a subtree is left as soon as the overlap so far plus the
+3. Each cluster's sets go into prefix trees: shingles ordered by their frequency in the
+   tree's unit, the common ones first, a node being a run of them; sets that begin alike share
+   its path, whose overlap with a probing set is computed once; a subtree is left as soon as the overlap so far plus the
    shingles that remain on either side cannot reach the threshold, or its sizes cannot fit.
 
 Large clusters: first all sets are compared with one pivot, the set whose
@@ -24,10 +24,14 @@ tries of at most ``BLOCK`` sets, one task for a block of probes and a block of
 tries, until all pairs of different components are decided. No pair of a cluster
 is skipped and none is written out unless it joins two components of its task.
 
-Links end in ``components``; the result is one row per document id. Repeated
-ids: the row with the largest (size, hash) speaks for the id. Null id: a row of
-nulls. Null or empty text: empty set, component is the document itself. Ids
-are integers. Extra columns are ignored.
+A unit of large clusters is a task's group of its own, at most 2 x ``BLOCK`` sets;
+small clusters share groups of about ``BLOCK`` sets.
+
+Links end in ``components``; the result is one row per row. Repeated ids: every
+row is compared by a number of its own, and links of any of an id's rows are links of
+the id. Null id: a row of nulls. Null or empty text: empty set, component is the
+document itself. Very long texts: whole, a set is one row. Empty table: no rows.
+Ids are integers. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulstat.llm.common import stored
+from haulstat.llm.common import numbered, stored
 from haulstat.llm.components import components
 
 WIDTH = 5
@@ -394,16 +398,15 @@ def links(sets: DataFrame) -> DataFrame:
         F.array("cluster", F.lit(-1).cast("long"), F.lit(-1).cast("long")).alias("unit"),
         F.lit(3).alias("role"), "doc_id", F.col("doc_id").alias("component"), "tokens")
     units = small_rows.unionByName(trie_rows).unionByName(probe_rows)
-    packs = 32 + docs.count() // BLOCK
-    units = units.withColumn("unit", F.xxhash64("unit")).withColumn("pack", F.pmod(F.xxhash64("unit"), F.lit(packs)))
-    found = units.groupBy("pack").applyInArrow(join_pack, "a long, b long")
+    packs = 32 + docs.where("blocks = 1").count() // BLOCK
+    units = units.withColumn("small", F.col("role") == 3).withColumn("unit", F.xxhash64("unit"))
+    units = units.withColumn("pack", F.when(F.col("small"), F.pmod(F.xxhash64("unit"), F.lit(packs))).otherwise(F.col("unit")))
+    found = units.groupBy("small", "pack").applyInArrow(join_pack, "a long, b long")
     return found.unionByName(pivot)
 
 
-def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document id of ``df``: doc_id, n_shingles, component_id."""
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("__text"))
-    named = rows.where(F.col("doc_id").isNotNull())
+def _join(named: DataFrame) -> DataFrame:
+    """Per row of ``named`` (doc_id unique and not null, ``__text``): doc_id, n_shingles, component_id."""
     profile = stored(profiles(named), "profiles")
     key = ["n", "h1", "h2"]
     same = stored(profile.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("rep"),
@@ -411,9 +414,28 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     wanted = same.where(100 * F.col("n_shared") >= PERCENT * F.col("n")).select(F.col("rep").alias("doc_id"), *key)
     sets = stored(sets_of(named, wanted), "sets")
     label = stored(components(links(sets), "a", "b"), "components").withColumnRenamed("node", "rep")
-    out = (profile.join(same.select(*key, "rep"), key, "left").join(label, "rep", "left")
-           .select("doc_id", F.col("n").alias("n_shingles"),
-                   F.coalesce("component", "rep", "doc_id").alias("component_id")))
+    return (profile.join(same.select(*key, "rep"), key, "left").join(label, "rep", "left")
+            .select("doc_id", F.col("n").alias("n_shingles"),
+                    F.coalesce("component", "rep", "doc_id").alias("component_id")))
+
+
+def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row of ``df``: doc_id, n_shingles, component_id."""
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("__text"))
+    named = rows.where(F.col("doc_id").isNotNull())
+    if named.groupBy("doc_id").count().where("count > 1").isEmpty():
+        out = _join(named)
+    else:
+        whole = numbered(df, "__number").select(
+            F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text"), "__number")
+        whole = whole.where(F.col("__id").isNotNull())
+        by_row = _join(whole.select(F.col("__number").alias("doc_id"), "__text"))
+        told = stored(by_row.join(whole.select("__id", "__number"), F.col("doc_id") == F.col("__number"))
+                      .select("__id", "n_shingles", F.col("component_id").alias("group")), "by-row")
+        least = told.groupBy("group").agg(F.min("__id").alias("least"))
+        joined = stored(components(told.join(least, "group").select("__id", "least").distinct(), "__id", "least"), "by-id")
+        out = told.join(joined, told["__id"] == joined["node"], "left").select(
+            F.col("__id").alias("doc_id"), "n_shingles", F.coalesce("component", "__id").alias("component_id"))
     nameless = rows.where(F.col("doc_id").isNull()).select(
         "doc_id", F.lit(None).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
     return out.unionByName(nameless)

@@ -93,7 +93,7 @@ def linked_items(docs, items, min_score):
     """{(doc, item): score} by aligning every text with every item, without seeds."""
     import numpy as np
 
-    from haulstat.llm.decontamination import MATCH, align, words_of
+    from haulstat.llm.decontamination import MATCH, PASSAGE_SHARE, PASSAGE_SUM, align, words_of
 
     out = {}
     for i, item in items:
@@ -104,7 +104,9 @@ def linked_items(docs, items, min_score):
         wanted = np.array([number[w] for w in own])
         for d, text in docs:
             words = words_of(text)
-            best, _ = align(np.array([number.get(w, 0) for w in words], dtype=np.int64), wanted)
-            if best / (MATCH * len(own)) >= min_score:
+            numbers = np.array([number.get(w, 0) for w in words], dtype=np.int64)
+            best, end = align(numbers, wanted)
+            _, back = align(numbers[:end][::-1], wanted[::-1])
+            if best / (MATCH * len(own)) >= min_score or best >= PASSAGE_SUM and best >= PASSAGE_SHARE * MATCH * back:
                 out[d, i] = best / (MATCH * len(own))
     return out

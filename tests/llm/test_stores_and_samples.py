@@ -92,25 +92,45 @@ def test_mixing_equals_sql(spark, con):
     cols = ["doc_id", "source", "lang", "topic", "n_tokens", "probability", "sampled"]
     got = sorted(tuple(r[c] for c in cols) for r in mixing.mixing(df).collect())
     want = sorted(con.execute(mixing.oracle()).fetchall())
-    assert [g[:5] + g[6:] for g in got] == [w[:5] + w[6:] for w in want]
-    assert np.allclose([g[5] for g in got], [w[5] for w in want], atol=2e-9)
+    assert got == want
+    tokens = sum(g[4] for g in got)
+    assert sum(g[4] * g[5] for g in got) == pytest.approx(mixing.SHARE * tokens, rel=1e-4)
 
 
 def test_mixing_meets_given_targets(spark):
     df = docs(spark, [(i, "word " * (1 + i % 7) + ("9" if i % 5 == 0 else ""), "en" if i % 3 else "fr", f"s{i % 4 == 0}")
                       for i in range(3000)])
     goal = {"lang": {"en": 0.5, "fr": 0.5}, "source": {"sTrue": 1.0, "sFalse": 3.0}}
-    got = mixing.mixing(df, goal).cache()
+    got, cells = mixing.plan(df, goal, None, "doc_id", "text", "source", "lang", None, 0.3)
+    got = got.cache()
     expected = F.sum(F.col("n_tokens") * F.col("probability"))
     total = got.agg(expected).first()[0]
     shares = {(c, r[c]): r["e"] / total for c in ("lang", "source") for r in got.groupBy(c).agg(expected.alias("e")).collect()}
     assert shares["lang", "en"] == pytest.approx(0.5, abs=1e-3) and shares["source", "sTrue"] == pytest.approx(0.25, abs=1e-3)
-    assert got.agg(F.max("probability")).first()[0] == 1.0
+    told = {(r["dimension"], r["value"]): r for r in mixing.report(cells).collect()}
+    assert told["lang", "en"]["raked"] == pytest.approx(0.5, abs=1e-9) == told["lang", "en"]["target"]
+    assert told["source", "sTrue"]["expected"] == pytest.approx(0.25, abs=1e-3)
     sampled = got.where("sampled").agg(F.sum("n_tokens")).first()[0]
     assert sampled == pytest.approx(total, rel=0.08)
     assert mixing.mixing(df, {"lang": {"en": 1.0}}).where("lang = 'fr' AND sampled").count() == 0
 
 
+def test_a_tiny_cell_does_not_set_the_sample(spark):
+    df = docs(spark, [(i, "word " * 50, "en", "a" if i % 2 else "b") for i in range(2000)] + [(5000, "only ten words " * 3, "en", "new")])
+    got = mixing.mixing(df)
+    sampled = {r["source"]: r["n"] for r in got.where("sampled").groupBy("source").agg(F.count("*").alias("n")).collect()}
+    assert sampled["new"] == 1 and 900 < sampled["a"] + sampled["b"] < 1100
+    for share in (0.0, 1.0):
+        assert mixing.mixing(df, share=share).where("sampled").count() == share * 2001
+
+
+def test_contradicting_targets_end(spark):
+    """Targets that no weights reach (a source holds one language only) end in a result."""
+    df = docs(spark, [(i, "word " * 5, "en" if i % 2 else "fr", "a" if i % 2 else "b") for i in range(40)])
+    got = mixing.mixing(df, {"lang": {"en": 0.9, "fr": 0.1}, "source": {"a": 0.2, "b": 0.8}}).collect()
+    assert len(got) == 40 and all(0 <= r["probability"] <= 1 for r in got)
+
+
 def test_preferences_equal_sql(spark, con):
     got = preference.preferences(spark.read.parquet(f"{SF01}/conversations.parquet")).collect()
     want = con.execute(preference.oracle())
