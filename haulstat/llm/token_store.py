@@ -13,17 +13,20 @@ Layout of a store, a folder of three Parquet tables:
 A frame is the zstandard compression of a document's ids as little-endian
 unsigned integers, of two bytes if the vocabulary fits and else of four, ending
 with the end id. The dictionary is trained on the serialised ids of a bounded
-sample: about ``SAMPLE`` documents chosen by a hash of their id. It only affects
-sizes; every document is encoded and written whole.
+sample: the first 64 KiB of about ``SAMPLE`` documents chosen by a hash of their id. It only
+affects sizes; every document is encoded and written whole.
 
 Documents are encoded where they are read; only compressed frames are
 shuffled, to buckets of neighbouring ids. The buckets' bounds are quantiles of
 the id column, fixed before the texts are read, so encoding runs once.
 Segments hold at most ``SEGMENT_BYTES`` unless one document is larger.
 
-Tokenising: a text is cut before each space that a visible character follows;
-a byte-level vocabulary's splitting pattern always separates there, so pieces
-can be encoded alone, and those seen before are taken from a bounded table.
+Tokenising: a text is cut before each space that a visible character follows
+and around single line breaks; a byte-level vocabulary's splitting pattern always separates there,
+so pieces can be encoded alone. A batch's texts are cut by Arrow and its pieces
+numbered by a dictionary; distinct pieces not met before are encoded, the
+ids of all are taken by number from a bounded table. Texts that hold one of the
+tokenizer's own markers, and all texts of other kinds of tokenizers, are encoded as they are.
 
 Null text: empty, one end id. Repeated ids: all rows kept, neighbours in
 unspecified order among themselves. Null ids come first. Empty table: a store
@@ -32,6 +35,7 @@ without segments. Extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -40,6 +44,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -50,9 +55,50 @@ SAMPLE, DICTIONARY_BYTES = 500, 64 << 10
 LEVEL = 3
 SEGMENT_BYTES = 1 << 20
 BUCKET_BYTES = 32 << 20  # text per bucket
-CACHE_PIECES = 800_000
+CACHE_PIECES = 1_500_000
+SLICE_BYTES = 8 << 20  # text encoded at a time
 MARKS = ".,;:!?"
 SAFE_CUT = re.compile(r" (?=\S)")
+BARE = "\0"  # before a piece: it does not follow a space
+#: Texts that are not cut at each space and line break: other white space, runs of it, or some at either end.
+ODD_SPACE = (r"[\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+             r"|[ \n][ \n]|\A[ \n]|[ \n]\z")
+
+#: Commas and full stops before white space that follow neither a letter nor a digit.
+ODD_MARKS = r"(\A|[^\pL\pN])[,.][ \n]"
+
+
+class Pieces:
+    """Known pieces, numbered, and their ids one after another."""
+
+    def __init__(self, kind: str) -> None:
+        self.kind = kind
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.start, self.length = np.zeros(1 << 12, dtype=np.int64), np.zeros(1 << 12, dtype=np.int64)
+        self.data, self.used = np.zeros(1 << 14, dtype=self.kind), 0
+
+    def add(self, pieces: list[str], length: np.ndarray, data: np.ndarray) -> None:
+        """New pieces, each once, with their numbers of ids and these ids joined."""
+        n, end = len(self.number), self.used + len(data)
+        while n + len(pieces) > len(self.start):
+            self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
+        while end > len(self.data):
+            self.data = np.concatenate([self.data, np.zeros_like(self.data)])
+        self.number.update(zip(pieces, range(n, n + len(pieces))))
+        self.length[n:n + len(pieces)] = length
+        self.start[n:n + len(pieces)] = self.used + np.cumsum(length) - length
+        self.data[self.used:end] = data
+        self.used = end
+
+    def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbered pieces' ids one after another, and where each piece's end."""
+        length = self.length[numbers]
+        ends = np.cumsum(length)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.data[np.repeat(self.start[numbers] - (ends - length), length) + np.arange(total)], ends
 
 
 class Encoder:
@@ -62,16 +108,25 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as f:
+            config = json.load(f)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.type = f"<u{self.width}"
-        self.newline = np.array(self._ids("\n"), dtype=self.type).tobytes()
-        self.pieces: dict[str, bytes] = {}  # by the text after the space
-        self.marks: dict[str, bytes] = {}
+        split = config.get("pre_tokenizer") or {}
+        self.cuts = (split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+                     and not config.get("normalizer"))
+        self.markers = "|".join(re.escape(m) for m in [BARE, *(t["content"] for t in config.get("added_tokens") or [])])
+        self.pieces = Pieces(self.type)
+        self.newline = self._ids(["\n"])[0]
 
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _add(self, pieces: list[str], texts: list[str]) -> None:
+        ids = self._ids(texts)
+        self.pieces.add(pieces, np.array([len(x) for x in ids], dtype=np.int64),
+                        np.array([i for x in ids for i in x], dtype=self.type))
 
     def _learn(self, new: list[str]) -> None:
         """Adds pieces.
@@ -79,54 +134,80 @@ class Encoder:
         A piece that ends in marks after a letter is its start's ids and the marks' ids: the splitting pattern
         separates there. Starts without a line break are encoded together, one to a line, and cut at the breaks.
         """
-        plain, ending = [], []
+        bare, plain, ending = {}, {}, []
         for p in new:
-            start = p.rstrip(MARKS)
-            if "\n" in p or "\r" in p:
-                self.pieces[p] = np.array(self._ids(" " + p), dtype=self.type).tobytes()
-            elif len(start) < len(p) and start and start[-1].isalpha():
-                ending.append((p, start))
+            if p[:1] == BARE:
+                bare[p] = p[1:]
+            elif "\n" in p or "\r" in p:
+                bare[p] = p if p == "\n" else " " + p
+            elif (start := p.rstrip(MARKS)) != p and start and start[-1].isalpha():
+                marks = BARE + p[len(start):]
+                ending.append((p, start, marks))
+                plain[start] = None
+                bare[marks] = marks[1:]
             else:
-                plain.append(p)
-        known = set(plain)
-        self._learn_lines(plain + [s for s in dict.fromkeys(s for _, s in ending)
-                                   if s not in known and s not in self.pieces])
-        for p, start in ending:
-            marks = p[len(start):]
-            if marks not in self.marks:
-                self.marks[marks] = np.array(self._ids(marks), dtype=self.type).tobytes()
-            self.pieces[p] = self.pieces[start] + self.marks[marks]
+                plain[p] = None
+        known = self.pieces.number
+        bare = {p: t for p, t in bare.items() if p not in known}
+        self._add(list(bare), list(bare.values()))
+        self._learn_lines([p for p in plain if p not in known])
+        if ending:
+            ending = [x for x in ending if x[0] not in known]
+            ids, ends = self.pieces.gather(np.array([known[x] for _, s, m in ending for x in (s, m)], dtype=np.int64))
+            self.pieces.add([p for p, _, _ in ending], np.diff(ends[1::2], prepend=0), ids)
 
     def _learn_lines(self, plain: list[str]) -> None:
         for at in range(0, len(plain), 2000):
             some = plain[at:at + 2000]
-            ids = np.array(self._ids("".join(f" {p}\n" for p in some)), dtype=self.type)
-            ends = np.flatnonzero(ids == np.frombuffer(self.newline, dtype=self.type)[0])
-            if len(ends) != len(some) or len(self.newline) != self.width:  # a piece that joins its line break
-                for p in some:
-                    self.pieces[p] = np.array(self._ids(" " + p), dtype=self.type).tobytes()
+            ids = np.array(self._ids(["".join(f" {p}\n" for p in some)])[0], dtype=self.type)
+            ends = np.flatnonzero(ids == self.newline[0])
+            if len(ends) != len(some) or len(self.newline) != 1:  # a piece that joins its line break
+                self._add(some, [" " + p for p in some])
                 continue
-            start = 0
-            for p, end in zip(some, ends):
-                self.pieces[p] = ids[start:end].tobytes()
-                start = end + 1
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = []
-        for t in texts:
-            parts = t.split(" ")
-            if "" in parts or any(p[0].isspace() for p in parts):
-                parts = SAFE_CUT.split(t)
-            cut.append(parts)
-        new = {p for parts in cut for p in parts[1:] if p not in self.pieces}
-        if len(self.pieces) + len(new) > CACHE_PIECES:
+            self.pieces.add(some, np.diff(ends, prepend=-1) - 1, np.delete(ids, ends))
+
+    def _joined(self, parts: pa.ListArray) -> list[bytes]:
+        """Each text's ids, given its pieces: only pieces not met before are encoded, the rest is taken by number."""
+        found = parts.flatten().dictionary_encode()
+        names = found.dictionary.to_pylist()
+        if len(self.pieces.number) + len(names) > CACHE_PIECES:
             self.pieces.clear()
-            self.marks.clear()
-            new = {p for parts in cut for p in parts[1:]}
-        self._learn(list(new))
-        get = self.pieces.__getitem__
-        return [np.array(self._ids(parts[0]), dtype=self.type).tobytes() + b"".join(map(get, parts[1:]))
-                for parts in cut]
+        self._learn([p for p in names if p not in self.pieces.number])
+        number = np.fromiter(map(self.pieces.number.__getitem__, names), dtype=np.int64, count=len(names))
+        ids, ends = self.pieces.gather(number[found.indices.to_numpy()])
+        offsets = parts.offsets.to_numpy() - parts.offsets[0].as_py()
+        at = np.concatenate([[0], ends])[offsets] * self.width
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Ids of each text. Texts that hold one of the tokenizer's own markers are encoded as they are, others in pieces."""
+        col = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        whole = pc.match_substring_regex(col, self.markers) if self.cuts else pa.array([True] * len(col))
+        odd = pc.and_not(pc.match_substring_regex(col, ODD_SPACE), whole)
+        out: list[bytes] = [b""] * len(col)
+        rest = pc.invert(pc.or_(whole, odd))
+        marks = pc.and_(pc.match_substring_regex(col, ODD_MARKS), rest)  # a mark there may be one piece with what is before it
+        kinds = {"whole": whole, "odd": odd, "marks": marks, "plain": pc.and_not(rest, marks)}
+        for kind, mask in kinds.items():
+            at = np.flatnonzero(mask.to_numpy(zero_copy_only=False))
+            if not len(at):
+                continue
+            some = col.filter(mask)
+            if kind == "whole":
+                got = [np.array(x, dtype=self.type).tobytes() for x in self._ids(some.to_pylist())]
+            elif kind == "odd":
+                cut = [SAFE_CUT.split(t) for t in some.to_pylist()]
+                got = self._joined(pa.array([[BARE + c[0], *c[1:]] for c in cut], pa.list_(pa.string())))
+            else:
+                marked = pc.replace_substring(some, "\n", f" \n {BARE}")
+                if kind == "plain":
+                    for m in ",.":
+                        marked = pc.replace_substring(marked, f"{m} ", f" {BARE}{m} ")
+                got = self._joined(pc.split_pattern(pc.binary_join_element_wise(BARE, marked, ""), " "))
+            for i, x in zip(at.tolist(), got):
+                out[i] = x
+        return out
 
 
 @lru_cache(maxsize=1)
@@ -140,10 +221,14 @@ def _encoded(df: DataFrame, path: str, schema: str, make) -> DataFrame:
         enc = encoder(path)
         end = np.array([END], dtype=enc.type).tobytes()
         for b in batches:
-            for at in range(0, b.num_rows, 128):
-                part = b.slice(at, 128)
-                yield make(part.column(0), [x + end for x in enc.encode([t or "" for t in part.column(1).to_pylist()])],
-                           enc.width)
+            texts = pc.fill_null(b.column(1), "")
+            ends = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64))
+            at = 0
+            while at < b.num_rows:  # slices of bounded text, or one text
+                till = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_BYTES, "right")))
+                part = b.slice(at, till - at)
+                yield make(part.column(0), [x + end for x in enc.encode(texts.slice(at, till - at))], enc.width)
+                at = till
     return df.mapInArrow(run, schema)
 
 

@@ -17,7 +17,8 @@ SF01 = "/root/testdata/sf0.01"
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 ODD = ["", " ", "  ", "a  b", "a   b", " a", "a ", "a \n b", "x\n\n  y", "\t a\t b", "don't  we'll", "é è  z", "12 345  6",
        "\r\n a", "a\x1c b", "<|endoftext|> a <|endoftext|>", "a　b c", "x \x1f y", "foo\n bar \nbaz", "  lead", "trail  ",
-       "'s 's", "a, b. c; d!! e?! f'. g.' h-, i)) 12. 3, x2, don't. .. . !a ,b", "\n", "a\n\nb,\n c"]
+       "'s 's", "a <|endoftext|> b", "x<|endoftext|>\n y", "<|endoftext|", "a\0b \0c", "\0", "one\ntwo three.\nfour, \nfive", "line\n's\n12\n é.",
+       "a\x85b", "so\u2028 b", "a, b. c; d!! e?! f'. g.' h-, i)) 12. 3, x2, don't. .. . !a ,b", "\n", "a\n\nb,\n c"]
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +33,6 @@ def ids_of(texts):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(VOCABULARY)
-    t.encode_special_tokens = True
     return [e.ids + [token_store.END] for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
