@@ -21,8 +21,10 @@ are kept in a bounded table per Python worker.
 Defined results: null text or text without a letter: ``und`` with score 0;
 no language to learn (empty table, no labelled row): ``und`` for all; repeated
 rows: each predicted alike; a letter unknown to the vocabulary has one fixed
-small probability in every language; letter runs beyond ``LONGEST`` letters
-are scored in parts of that length; equal scores: the first language by name.
+small probability in every language; letter runs of any length are summed over
+all their segmentations, those beyond ``LONGEST`` letters in a scaled pass (only the bounded
+fit learns from them in parts of that length); equal scores: the first language by name;
+extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,7 +43,8 @@ from haulstat.llm.common import held_out
 
 LETTERS = re.compile(r"[^\W\d_]+")
 START = "▁"  # the vocabulary's mark of a word's start
-LONGEST = 40
+LONGEST = 40  # letters, with the mark, up to which words are scored side by side
+RESCALE = 8
 UNKNOWN = 1e-7
 SMOOTHING = 0.05
 FIT_ROWS, ROUNDS = 300, 4
@@ -143,20 +146,56 @@ def forward(codes: np.ndarray, length: np.ndarray, probs: np.ndarray, pieces: Pi
     return alpha
 
 
+def long_score(marked: str, probs: np.ndarray, pieces: Pieces) -> np.ndarray:
+    """Log-probability of one long run in each language: the same sum, scaled as it goes.
+
+    Only the last positions that a piece can reach back to are held, as shares of a scale whose logarithm is
+    kept, so a run of any length neither underflows nor takes memory beyond its own pieces.
+    """
+    codes = np.fromiter((pieces.letter.get(c, 0) for c in marked), dtype=np.int32, count=len(marked))
+    at = np.flatnonzero(codes == 0)
+    ends, starts, names = [at + 1], [at], [np.full(len(at), -1, dtype=np.int64)]
+    start, node, width = np.arange(len(codes)), np.zeros(len(codes), dtype=np.int32), 0
+    while len(start):
+        fits = start + width < len(codes)
+        start, node = start[fits], node[fits]
+        node = pieces.step[node, codes[start + width]]
+        start, node, width = start[node > 0], node[node > 0], width + 1
+        hit = pieces.piece[node] >= 0
+        starts.append(start[hit])
+        ends.append(start[hit] + width)
+        names.append(pieces.piece[node[hit]].astype(np.int64))
+    starts, ends, names = np.concatenate(starts), np.concatenate(ends), np.concatenate(names)
+    order = np.argsort(ends, kind="stable")
+    starts, names = starts[order], names[order]
+    cuts = np.searchsorted(ends[order], np.arange(1, len(codes) + 2))
+    window = np.zeros((width + 1, probs.shape[1]))
+    window[0], scale = 1.0, np.zeros(probs.shape[1])
+    lo = 0
+    for end in range(1, len(codes) + 1):
+        hi = cuts[end]
+        now = (window[starts[lo:hi] % len(window)] * probs[names[lo:hi]]).sum(axis=0)
+        window[end % len(window)] = now
+        if end % RESCALE == 0:
+            top = np.maximum(window.max(axis=0), 1e-300)
+            window /= top
+            scale += np.log(top)
+        lo = hi
+    return np.log(np.maximum(window[len(codes) % len(window)], 1e-300)) + scale
+
+
 def word_scores(words: list[str], probs: np.ndarray, pieces: Pieces) -> np.ndarray:
     """Log-probability of each word in each language: (words, languages)."""
     out = np.zeros((len(words), probs.shape[1]))
-    flat, owner = [], []
-    for i, w in enumerate(words):
-        for p in parts(w):
-            flat.append(p)
-            owner.append(i)
-    order = sorted(range(len(flat)), key=lambda k: len(flat[k]))
+    order = sorted((i for i in range(len(words)) if len(words[i]) < LONGEST), key=lambda i: len(words[i]))
     for at in range(0, len(order), SLICE_WORDS):
         some = order[at:at + SLICE_WORDS]
-        codes, length = encode([flat[k] for k in some], pieces)
+        codes, length = encode([START + words[i] for i in some], pieces)
         alpha = forward(codes, length, probs, pieces)
-        np.add.at(out, [owner[k] for k in some], np.log(np.maximum(alpha[length, np.arange(len(some))], 1e-300)))
+        out[some] = np.log(np.maximum(alpha[length, np.arange(len(some))], 1e-300))
+    for i, w in enumerate(words):
+        if len(w) >= LONGEST:
+            out[i] = long_score(START + w, probs, pieces)
     return out
 
 

@@ -42,6 +42,19 @@ def test_forward_sums_all_segmentations():
         assert np.allclose(li.word_scores([word], probs, pieces)[0], want)
 
 
+def test_long_runs_sum_all_segmentations():
+    """Beyond LONGEST letters too: equal to the plain forward pass where that does not underflow, and finite far beyond."""
+    pieces = li.load_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    rng = np.random.default_rng(2)
+    probs = np.vstack([rng.dirichlet(np.ones(pieces.size), 3).T, np.full(3, li.UNKNOWN)])
+    for word in ("donaudampfschifffahrtsgesellschaftskapitänswitwe", "語日本" * 20, "ab" * 21, "x" * li.LONGEST):
+        codes, length = li.encode([li.START + word], pieces)
+        want = np.log(li.forward(codes, length, probs, pieces)[length, 0])
+        assert np.allclose(li.word_scores([word], probs, pieces), want)
+    long = li.word_scores(["straße" * 20_000], probs, pieces)
+    assert np.isfinite(long).all() and np.allclose(long / 20_000, li.word_scores(["straße" * 200], probs, pieces) / 200, rtol=0.02)
+
+
 def test_expected_counts_are_posteriors():
     pieces = li.load_pieces(VOCABULARY)
     probs = np.random.default_rng(2).random(pieces.size + 1)
