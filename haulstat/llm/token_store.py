@@ -55,8 +55,8 @@ SAMPLE, DICTIONARY_BYTES = 500, 64 << 10
 LEVEL = 3
 SEGMENT_BYTES = 1 << 20
 BUCKET_BYTES = 32 << 20  # text per bucket
-CACHE_PIECES = 1_500_000
-SLICE_BYTES = 8 << 20  # text encoded at a time
+CACHE_PIECES = 800_000
+SLICE_BYTES = 4 << 20  # text encoded at a time
 MARKS = ".,;:!?"
 SAFE_CUT = re.compile(r" (?=\S)")
 BARE = "\0"  # before a piece: it does not follow a space
