@@ -3,20 +3,25 @@
 Each left row owns a closed window ``[start, end]`` on one series key. Readings
 of that key whose time falls inside the window are aggregated per ``keys``.
 
-Plan shape, chosen for very large reading tables:
-
-* readings get an integer time bucket; left rows are exploded to every bucket
-  their window touches. The equi-join runs on ``(key, bucket)``, so a hot key is
-  spread over its buckets instead of landing in one task, and the range test is
-  a residual predicate inside the join, never a filter over all pairs.
-* each reading lies in exactly one bucket, so no reading is counted twice.
-* the aggregate after the join runs map-side first (partial aggregation), so
-  only one partial row per (left key, bucket partition) is shuffled.
-* size check: when the caller passes a proven bound on the exploded left
-  side (``window_size_bound``: rows x widest window in buckets, one aggregate
-  over the schedule) whose estimated bytes fit the session's
-  ``spark.sql.autoBroadcastJoinThreshold``, the exploded windows are
-  broadcast and the reading table is streamed without any shuffle. Above the
+Plan shape, chosen for very large reading tables and long windows: two levels.
+
+* Time is cut into buckets, a fraction of the mean window. Readings are reduced once to
+  mergeable sums, counts, maxima and minima per (key, bucket), partial before the shuffle. From these
+  follow the same figures for blocks of 2, 4, 8 ... buckets: a table of
+  (key, level, block), never larger than twice the bucket table.
+* A window's whole buckets are covered by at most two blocks of each level, found
+  by arithmetic on the row, so it meets that many summary rows in one
+  equi-join, however long it is and however many readings it holds. No running sum per key
+  is needed, and no difference of large sums loses digits.
+* Only the two buckets that the window cuts through are joined with raw
+  readings, on (key, bucket) with the range test as a residual predicate inside the join. The
+  join plans its own exchange, so a skewed (key, bucket) is split at run time.
+* Summaries and raw readings then merge in one aggregate per ``keys``, partial before its shuffle.
+* The mean of a key over all time (fallback) is summed from the bucket table.
+* size check: when the caller passes a proven bound on the left side
+  (``window_size_bound``, one aggregate over the schedule) whose estimated bytes
+  fit the session's ``spark.sql.autoBroadcastJoinThreshold``, the cut buckets are
+  broadcast and the raw readings are streamed without any shuffle. Above the
   bound, or without one, both sides are shuffled on (key, bucket).
 """
 
@@ -28,24 +33,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulstat.functions.columns import time_bucket
+from haulstat.sources.snapshots import stored
 
-_AGGS = {
-    "avg": F.avg,
-    "mean": F.avg,
-    "max": F.max,
-    "min": F.min,
-    "sum": F.sum,
-    "count": F.count,
-}
+#: Mergeable parts of each aggregate function.
+_PARTS = {"avg": ("sum", "n"), "mean": ("sum", "n"), "max": ("max",), "min": ("min",), "sum": ("sum",), "count": ("n",)}
+_OF_ROWS = {"sum": F.sum, "n": F.count, "max": F.max, "min": F.min}
+_OF_PARTS = {"sum": F.sum, "n": F.sum, "max": F.max, "min": F.min}
 
 
-def _agg_exprs(aggs: Mapping[str, tuple[str, str]]) -> list[Column]:
-    out = []
-    for name, (fn, col) in aggs.items():
-        if fn not in _AGGS:
+def _parts(aggs: Mapping[str, tuple[str, str]]) -> list[tuple[str, str]]:
+    """(part, column) of all aggregates, each once."""
+    for name, (fn, _) in aggs.items():
+        if fn not in _PARTS:
             raise ValueError(f"unsupported aggregate {fn!r} for {name!r}")
-        out.append(_AGGS[fn](F.col(col)).alias(name))
-    return out
+    return sorted({(p, col) for fn, col in aggs.values() for p in _PARTS[fn]})
+
+
+def _name(part: str, col: str) -> str:
+    return f"__{part}_{col}"
+
+
+def _one_row(part: str, col: str) -> Column:
+    """A single reading as a part."""
+    return (F.when(F.col(col).isNotNull(), 1).otherwise(0).cast("long") if part == "n" else F.col(col)).alias(_name(part, col))
+
+
+def _finished(fn: str, col: str, mean_type) -> Column:
+    """The aggregate from its merged parts."""
+    if fn in ("avg", "mean"):
+        n = F.col(_name("n", col))
+        return F.when(n > 0, (F.col(_name("sum", col)) / n)).cast(mean_type)
+    return F.coalesce(F.col(_name("n", col)), F.lit(0).cast("long")) if fn == "count" else F.col(_name(_PARTS[fn][0], col))
 
 
 EXPLODED_ROW_BYTES = 64  # keys, series key, two bounds, bucket and row overhead
@@ -53,21 +71,22 @@ EXPLODED_ROW_BYTES = 64  # keys, series key, two bounds, bucket and row overhead
 
 MIN_BUCKET_HOURS = 1 / 60
 MAX_BUCKET_HOURS = 24 * 30
+BUCKETS_PER_WINDOW = 8
 
 
 def plan_windows(left: DataFrame, start: str, end: str) -> tuple[float, tuple[int, int]]:
     """Bucket width and size bound for a schedule, from one aggregate.
 
-    The width follows the mean window length (clamped to [1 minute, 30
-    days], whole hours from an hour up): each window then touches about two
-    buckets and meets about two windows' worth of readings. The bound is
-    (rows, widest window in buckets) for the broadcast decision.
+    The width is a ``BUCKETS_PER_WINDOW``-th of the mean window length (clamped to [1 minute, 30
+    days], whole hours from an hour up): the two buckets that a window cuts through then
+    hold about a quarter of its readings, the rest comes from a few summaries. The bound is
+    (rows, widest window in buckets) for the broadcast decision and the number of levels.
     """
     hours = F.timestamp_diff("MICROSECOND", F.col(start), F.col(end)) / F.lit(3.6e9)
     ok = F.col(end) >= F.col(start)
     row = left.agg(F.count(F.lit(1)).alias("n"), F.avg(F.when(ok, hours)).alias("avg"),
                    F.max(F.when(ok, hours)).alias("max"), *_row_bytes(left)).first()
-    width = min(max(float(row["avg"] or 24.0), MIN_BUCKET_HOURS), MAX_BUCKET_HOURS)
+    width = min(max(float(row["avg"] or 24.0) / BUCKETS_PER_WINDOW, MIN_BUCKET_HOURS), MAX_BUCKET_HOURS)
     width = float(int(width)) if width >= 1 else width
     widest = int((row["max"] or 0.0) // width) + 2
     return width, WindowBound.of(int(row["n"]), widest, _measured_bytes(row))
@@ -100,7 +119,7 @@ class WindowBound(tuple):
 def window_size_bound(left: DataFrame, start: str, end: str, bucket_hours: float = 24) -> WindowBound:
     """(rows, widest window in buckets) of a schedule: one aggregate, a few numbers to the driver.
 
-    ``rows * widest`` bounds the exploded window side of the join.
+    Twice ``rows`` bounds the window side of the raw join; ``widest`` tells how many levels the summaries need.
     """
     span = time_bucket(end, bucket_hours) - time_bucket(start, bucket_hours) + 1
     row = left.agg(F.count(F.lit(1)).alias("n"), F.max(span).alias("w"), *_row_bytes(left)).first()
@@ -118,46 +137,98 @@ def _use_broadcast(spark, bound: tuple[int, int] | None, broadcast_max_rows: int
         return False
     row_bytes = getattr(bound, "row_bytes", EXPLODED_ROW_BYTES)
     cap = broadcast_limit_rows(spark, row_bytes) if broadcast_max_rows is None else broadcast_max_rows
-    return bound[0] * max(bound[1], 1) <= cap
+    return 2 * bound[0] <= cap
 
 
 def _prepared_readings(readings: DataFrame, readings_by: str, ts: str, value_cols: Sequence[str],
-                       bucket_hours: int) -> DataFrame:
-    """Readings keyed by (key, bucket). The join plans its own exchange, so AQE can split a skewed (key, bucket).
+                       bucket_hours: float) -> DataFrame:
+    """Readings with key, time and bucket; those with a null time have a null bucket and count in the key's mean only."""
+    return (readings.where(F.col(readings_by).isNotNull())
+            .select(F.col(readings_by).alias("__k"), F.col(ts).alias("__t"),
+                    time_bucket(ts, bucket_hours).alias("__b"), *value_cols))
+
+
+def _windows(left: DataFrame, *, by: str, start: str, end: str, keys: Sequence[str], bucket_hours: float) -> DataFrame:
+    """The valid windows with the first and last bucket that they touch."""
+    return (left.where(F.col(by).isNotNull() & F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col(end) >= F.col(start)))
+            .select(*keys, F.col(by).alias("__lk"), F.col(start).alias("__s"), F.col(end).alias("__e"),
+                    time_bucket(start, bucket_hours).alias("__lo"), time_bucket(end, bucket_hours).alias("__hi")))
 
-    Readings with a null time get a spread-out negative bucket: they never
-    join a window but still count in the key's fallback mean.
+
+def bucket_summaries(readings: DataFrame, parts: Sequence[tuple[str, str]]) -> DataFrame:
+    """Mergeable parts per (key, bucket), stored: blocks and fallback means are read from it."""
+    return stored(readings.groupBy("__k", "__b").agg(*[_OF_ROWS[p](c).alias(_name(p, c)) for p, c in parts]), "buckets")
+
+
+def block_summaries(buckets: DataFrame, parts: Sequence[tuple[str, str]], levels: int) -> DataFrame:
+    """The same per (key, level, block): block j of level i are the buckets [j * 2^i, (j + 1) * 2^i)."""
+    names = [_name(p, c) for p, c in parts]
+    at = buckets.where(F.col("__b").isNotNull()).select(
+        "__k", F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("__level"), "__b", *names)
+    return (at.groupBy("__k", "__level", F.call_function("shiftright", "__b", F.col("__level")).alias("__block"))
+            .agg(*[_OF_PARTS[p](_name(p, c)).alias(_name(p, c)) for p, c in parts]))
+
+
+def covering_blocks(first: Column, last: Column, levels: int) -> Column:
+    """Array of (level, block): disjoint blocks, at most two a level, that cover the buckets first .. last exactly.
+
+    Level by level the range [l, r) still to be covered shrinks to whole blocks of the next level; an odd
+    left end and an odd right end are covered by a block of this level.
     """
-    spread = -1 - F.pmod(F.xxhash64(*[F.col(c) for c in value_cols]), F.lit(1024))
-    return (readings
-            .where(F.col(readings_by).isNotNull())
-            .select(F.col(readings_by).alias("__k"), F.col(ts).alias("__t"),
-                    F.coalesce(time_bucket(ts, bucket_hours), spread).alias("__b"), *value_cols))
-
-
-def _window_pairs(left: DataFrame, r: DataFrame, *, by: str, start: str, end: str,
-                  keys: Sequence[str], bucket_hours: int, broadcast: bool = False) -> DataFrame:
-    lw = (left
-          .where(F.col(by).isNotNull() & F.col(start).isNotNull() & F.col(end).isNotNull()
-                 & (F.col(end) >= F.col(start)))
-          .select(*[F.col(k) for k in keys], F.col(by).alias("__lk"),
-                  F.col(start).alias("__s"), F.col(end).alias("__e"),
-                  F.explode(F.sequence(time_bucket(start, bucket_hours),
-                                       time_bucket(end, bucket_hours))).alias("__lb")))
-    rt = r.where(F.col("__t").isNotNull())
+    def at(i: Column) -> Column:
+        left = F.call_function("shiftright", first + F.call_function("shiftleft", F.lit(1).cast("long"), i) - 1, i)
+        right = F.call_function("shiftright", last + 1, i)
+        return F.array(
+            F.struct(i.alias("level"), left.alias("block"), ((left < right) & (left % 2 != 0)).alias("use")),
+            F.struct(i.alias("level"), (right - 1).alias("block"), ((left < right) & (right % 2 != 0)).alias("use")))
+
+    every = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(levels)), at))
+    return F.filter(every, lambda x: x["use"])
+
+
+def _window_parts(left: DataFrame, r: DataFrame, buckets: DataFrame, parts: Sequence[tuple[str, str]], *, by: str,
+                  start: str, end: str, keys: Sequence[str], bucket_hours: float, widest: int,
+                  broadcast: bool) -> DataFrame:
+    """Merged parts per ``keys``: whole buckets by their blocks, the two cut ones by their readings."""
+    names = [_name(p, c) for p, c in parts]
+    w = _windows(left, by=by, start=start, end=end, keys=keys, bucket_hours=bucket_hours)
+    cut = w.select(*keys, "__lk", "__s", "__e", F.explode(F.array_distinct(F.array("__lo", "__hi"))).alias("__lb"))
     if broadcast:
-        lw = F.broadcast(lw)
-    return lw.join(
-        rt,
-        (lw["__lk"] == rt["__k"]) & (lw["__lb"] == rt["__b"])
-        & (rt["__t"] >= lw["__s"]) & (rt["__t"] <= lw["__e"]),
-        "inner",
-    )
+        cut = F.broadcast(cut)
+    raw = r.where(F.col("__t").isNotNull())
+    out = cut.join(raw, (cut["__lk"] == raw["__k"]) & (cut["__lb"] == raw["__b"])
+                   & (raw["__t"] >= cut["__s"]) & (raw["__t"] <= cut["__e"])).select(*keys, *[_one_row(p, c) for p, c in parts])
+    if widest > 2:
+        levels = (widest - 2).bit_length()
+        nodes = w.where(F.col("__hi") - F.col("__lo") > 1).select(*keys, "__lk", F.explode(
+            covering_blocks(F.col("__lo") + 1, F.col("__hi") - 1, levels)).alias("__x"))
+        blocks = block_summaries(buckets, parts, levels)
+        whole = nodes.join(blocks, (nodes["__lk"] == blocks["__k"]) & (F.col("__x.level") == blocks["__level"])
+                           & (F.col("__x.block") == blocks["__block"])).select(*keys, *names)
+        out = out.unionByName(whole)
+    return out.groupBy(*keys).agg(*[_OF_PARTS[p](_name(p, c)).alias(_name(p, c)) for p, c in parts])
+
+
+def _aggregate(left: DataFrame, readings: DataFrame, *, by: str, start: str, end: str, ts: str,
+               aggs: Mapping[str, tuple[str, str]], keys: Sequence[str], readings_by: str | None, bucket_hours: float,
+               bound: tuple[int, int] | None, broadcast_max_rows: int | None) -> tuple[DataFrame, DataFrame, dict]:
+    """The windows' aggregates per ``keys``, the stored bucket summaries, and the mean's type of each column."""
+    parts = _parts(aggs)
+    r = _prepared_readings(readings, readings_by or by, ts, sorted({c for _, c in aggs.values()}), bucket_hours)
+    kept = sorted({(p, c) for p, c in parts} | {(p, c) for fn, c in aggs.values() if fn in ("avg", "mean") for p in ("sum", "n")})
+    buckets = bucket_summaries(r, kept)
+    measured = bound or window_size_bound(left, start, end, bucket_hours)
+    bc = _use_broadcast(left.sparkSession, bound, broadcast_max_rows)
+    merged = _window_parts(left, r, buckets, parts, by=by, start=start, end=end, keys=keys, bucket_hours=bucket_hours,
+                           widest=measured[1], broadcast=bc)
+    means = {f.name: f.dataType for f in r.limit(0).agg(*[F.avg(c).alias(c) for fn, c in set(aggs.values()) if fn in ("avg", "mean")]
+                                                        or [F.count(F.lit(1))]).schema.fields}
+    return (merged.select(*keys, *[_finished(fn, c, means.get(c)).alias(n) for n, (fn, c) in aggs.items()]), buckets, means)
 
 
 def interval_aggregate(left: DataFrame, readings: DataFrame, *, by: str, start: str, end: str,
                        ts: str, aggs: Mapping[str, tuple[str, str]], keys: Sequence[str],
-                       readings_by: str | None = None, bucket_hours: int = 24,
+                       readings_by: str | None = None, bucket_hours: float = 24,
                        window_size_bound: tuple[int, int] | None = None,
                        broadcast_max_rows: int | None = None) -> DataFrame:
     """One row per distinct ``keys`` value that has at least one reading in its window.
@@ -168,15 +239,8 @@ def interval_aggregate(left: DataFrame, readings: DataFrame, *, by: str, start:
     Left rows sharing ``keys`` pool their readings (a reading counts once per
     row whose window holds it), which matches grouping the pairs by ``keys``.
     """
-    readings_by = readings_by or by
-    keys = list(keys)
-    value_cols = sorted({col for _, col in aggs.values()})
-    bc = _use_broadcast(left.sparkSession, window_size_bound, broadcast_max_rows)
-    r = _prepared_readings(readings, readings_by, ts, value_cols, bucket_hours)
-    pairs = _window_pairs(left, r, by=by, start=start, end=end, keys=keys, bucket_hours=bucket_hours,
-                          broadcast=bc)
-    return pairs.groupBy(*keys).agg(*_agg_exprs(aggs))
-
+    return _aggregate(left, readings, by=by, start=start, end=end, ts=ts, aggs=aggs, keys=list(keys), readings_by=readings_by,
+                      bucket_hours=bucket_hours, bound=window_size_bound, broadcast_max_rows=broadcast_max_rows)[0]
 
 
 def attach_interval_aggregate(left: DataFrame, readings: DataFrame, *, by: str, start: str,
@@ -184,7 +248,7 @@ def attach_interval_aggregate(left: DataFrame, readings: DataFrame, *, by: str,
                               keys: Sequence[str], readings_by: str | None = None,
                               fallback_mean: Sequence[str] = (),
                               constant_fill: Mapping[str, object] | None = None,
-                              bucket_hours: int = 24,
+                              bucket_hours: float = 24,
                               window_size_bound: tuple[int, int] | None = None,
                               broadcast_max_rows: int | None = None) -> DataFrame:
     """Left rows with their window aggregates joined back on ``keys``.
@@ -195,31 +259,25 @@ def attach_interval_aggregate(left: DataFrame, readings: DataFrame, *, by: str,
     A key without readings at all keeps null for its fallback columns.
 
     Plan: the left rows are shuffled once by ``keys``; that one exchange feeds
-    both the window explosion and the join-back (which is then co-partitioned
+    the cut buckets, the covering blocks and the join-back (which is then co-partitioned
     with the aggregate), so the left plan is computed once however long the
-    chain of operators before it. The readings are shuffled by (key, bucket)
-    for the window join, in an exchange that the join plans itself so that a
-    skewed (key, bucket) is split at run time; or, under a proven
-    ``window_size_bound``, the windows are broadcast and the readings are not
-    shuffled at all. The fallback means are a partial aggregate over a second,
-    column-pruned scan.
+    chain of operators before it. Raw readings are shuffled by (key, bucket) for the
+    cut buckets only, or streamed past broadcast windows; the fallback means are summed
+    from the stored bucket summaries.
     """
-    readings_by = readings_by or by
     keys = list(keys)
     out_cols = list(aggs.keys())
     clash = [c for c in out_cols if c in left.columns]
     base = (left.drop(*clash) if clash else left).repartition(*keys)
-    value_cols = sorted({col for _, col in aggs.values()})
-    bc = _use_broadcast(left.sparkSession, window_size_bound, broadcast_max_rows)
-    r = _prepared_readings(readings, readings_by, ts, value_cols, bucket_hours)
-    pairs = _window_pairs(base, r, by=by, start=start, end=end, keys=keys, bucket_hours=bucket_hours,
-                          broadcast=bc)
-    agg = pairs.groupBy(*keys).agg(*_agg_exprs(aggs))
+    agg, buckets, means = _aggregate(base, readings, by=by, start=start, end=end, ts=ts, aggs=aggs, keys=keys,
+                                     readings_by=readings_by, bucket_hours=bucket_hours, bound=window_size_bound,
+                                     broadcast_max_rows=broadcast_max_rows)
     result = base.join(agg, keys, "left")
     if fallback_mean:
         src = {name: aggs[name][1] for name in fallback_mean}
-        fb = (r.groupBy(F.col("__k").alias("__fk"))
-              .agg(*[F.avg(col).alias(f"__fb_{name}") for name, col in src.items()]))
+        merged = buckets.groupBy(F.col("__k").alias("__fk")).agg(
+            *[_OF_PARTS[p](_name(p, c)).alias(_name(p, c)) for c in sorted(set(src.values())) for p in ("sum", "n")])
+        fb = merged.select("__fk", *[_finished("avg", c, means[c]).alias(f"__fb_{n}") for n, c in src.items()])
         result = result.join(fb, result[by] == fb["__fk"], "left")
         for name in fallback_mean:
             result = result.withColumn(name, F.coalesce(F.col(name), F.col(f"__fb_{name}")))

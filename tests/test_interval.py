@@ -98,4 +98,41 @@ def test_plan_windows_width_and_bound(spark):
     rows = [(i, "a", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1) + dt.timedelta(hours=h))
             for i, h in enumerate([2, 4, 6, 8])]
     width, (n, widest) = plan_windows(spark.createDataFrame(rows, TRIPS), "dep", "arr")
-    assert width == 5.0 and n == 4 and widest == 8 // 5 + 2
+    assert width == pytest.approx(5.0 / 8) and n == 4 and widest == 8 // (5.0 / 8) + 2
+
+
+def test_long_windows_meet_few_summaries(spark):
+    """Windows of 1 to 4,000 buckets over one hot key: equal to plain sums, and a window meets at most two blocks a level."""
+    from haulstat.operators.interval import covering_blocks
+    base = dt.datetime(1969, 12, 1)  # buckets below and above 0
+    readings = spark.range(20_000).select(F.lit("hot").alias("route_id"), F.expr(
+        "timestampadd(MINUTE, CAST(id * 13 AS INT), TIMESTAMP_NTZ '1969-12-01 00:00:00')").alias("t"),
+        F.when(F.col("id") % 17 > 0, (F.col("id") % 101).cast("double")).alias("v"), (F.col("id") % 2).cast("int").alias("acc"))
+    trips = spark.createDataFrame([(i, "hot", base + dt.timedelta(minutes=37 * i), base + dt.timedelta(minutes=37 * i + 1 + i ** 2 % 240_000))
+                                   for i in range(0, 1200, 3)], TRIPS)
+    got = interval_aggregate(trips, readings, by="route_id", start="dep", end="arr", ts="t", keys=["trip_id"], bucket_hours=1,
+                             aggs={"s": ("sum", "v"), "n": ("count", "v"), "m": ("avg", "v"), "lo": ("min", "v"), "hi": ("max", "acc")})
+    plain = (trips.join(readings, (trips.route_id == readings.route_id) & (readings.t >= trips.dep) & (readings.t <= trips.arr))
+             .groupBy("trip_id").agg(F.sum("v").alias("s"), F.count("v").alias("n"), F.avg("v").alias("m"), F.min("v").alias("lo"),
+                                     F.max("acc").alias("hi")))
+    key = lambda rows: sorted(map(tuple, rows), key=repr)
+    assert key(got.collect()) == key(plain.collect())
+    spans = spark.range(3000).select((F.col("id") * 7 % 991 - 500).alias("a"), (F.col("id") * 11 % 4001).alias("n"))
+    x = F.expr("flatten(transform(c, x -> sequence(x.block * shiftleft(1L, x.level), (x.block + 1) * shiftleft(1L, x.level) - 1)))")
+    bad = (spans.withColumn("c", covering_blocks(F.col("a"), F.col("a") + F.col("n"), 12))
+           .where((F.size("c") > 26) | (F.array_sort(x) != F.sequence("a", F.col("a") + F.col("n")))))
+    assert bad.count() == 0
+
+
+def test_summaries_of_other_types(spark):
+    trips = spark.createDataFrame([(1, "a", ts("2024-01-01 00:30:00"), ts("2024-01-09 10:00:00"))], TRIPS)
+    readings = spark.range(0, 400).select(F.lit("a").alias("route_id"), F.expr(
+        "timestampadd(HOUR, CAST(id AS INT), TIMESTAMP_NTZ '2024-01-01 00:00:00')").alias("t"),
+        (F.col("id") % 9).cast("decimal(9,2)").alias("d"), (F.col("id") % 7).cast("int").alias("i"), F.lit(None).cast("double").alias("z"))
+    aggs = {"d": ("avg", "d"), "ds": ("sum", "d"), "i": ("avg", "i"), "im": ("max", "i"), "z": ("avg", "z"), "zn": ("count", "z")}
+    got = interval_aggregate(trips, readings, by="route_id", start="dep", end="arr", ts="t", keys=["trip_id"], aggs=aggs, bucket_hours=2)
+    inside = readings.where("t BETWEEN TIMESTAMP_NTZ '2024-01-01 00:30:00' AND TIMESTAMP_NTZ '2024-01-09 10:00:00'")
+    want = inside.agg(F.avg("d").alias("d"), F.avg("i").alias("i"), F.max("i").alias("im"), F.sum("d").alias("ds")).first()
+    row = got.first()
+    assert (row["d"], row["i"], row["im"], row["ds"], row["z"], row["zn"]) == (want["d"], want["i"], want["im"], want["ds"], None, 0)
+    assert got.schema["d"].dataType == inside.agg(F.avg("d").alias("d")).schema["d"].dataType
