@@ -10,179 +10,119 @@ Semantics (nearest, no tolerance by default):
 * the chosen reading's payload is attached as is, nulls included;
 * left rows with a null key or null time are kept with a null payload.
 
-Plan shape. A single ordered window per key would put a hot key (say a third
-of all readings) into one task. Instead time is cut into buckets:
-
-1. fine level: left rows and readings are unioned and windowed per
-   ``(key, bucket)``; two running ``last(..., ignorenulls)`` frames, one
-   ascending and one descending, give the in-bucket candidates. Both frames
-   are ``UNBOUNDED PRECEDING .. CURRENT ROW`` (a following frame is quadratic).
-2. coarse level: readings are reduced to their first and last row per
-   ``(key, bucket)`` (partial aggregation, so only one row per bucket per map
-   task is shuffled) and the same running frames over buckets give, for every
-   left bucket, the nearest reading in an earlier and in a later bucket. This
-   window holds one row per bucket of a key, bounded by time span / width.
-3. the candidate from the bucket wins over the carried one; then the nearer of
-   backward / forward is picked.
-
-Each input is shuffled once on (key, bucket) and every consumer above reads
-that exchange, so neither input plan runs twice. The bucket width defaults to
-``"auto"``: one aggregate finds the busiest (key, day) over both sides and
-sizes buckets to about ``TARGET_ROWS_PER_BUCKET`` rows, so a fine-level task
-holds a bounded slice of even the hottest key (down to one-minute buckets;
-a burst denser than that per minute is the remaining single-task case).
+Plan shape. The answer depends on key and time alone, so only these are
+matched, each (key, time) once; the left rows are joined to the answers at the end, in a join
+that Spark may split at a hot key.
+
+1. Both sides are reduced to one row per (key, time): the readings' last and first
+   payload by ``tie``, and whether a left row asks for it. This is partial before the
+   shuffle, so any number of equal times of a hub are one row of each task.
+2. (key, time) is cut into buckets by literals from a bounded sample of both sides (see
+   ``order``): a hot key gets as many cuts as it has rows for, down to single times,
+   while many cold keys share one bucket. No width has to fit all keys.
+3. Inside (key, bucket) one sort by time serves both directions: the last reading up to
+   a row, and the next one after it.
+4. Each (key, bucket) is reduced to its first and last reading; over these few rows of a
+   key the same two windows give what lies in earlier and in later buckets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from haulstat.functions.columns import time_bucket
-
-_UNB = Window.unboundedPreceding
-_CUR = Window.currentRow
-
-
-TARGET_ROWS_PER_BUCKET = 500_000
-MIN_BUCKET_HOURS = 1 / 60
-MAX_BUCKET_HOURS = 24 * 366
 
+from haulstat.operators.order import bucket_of, buckets_for, cut_points
+
+ORDER = ["__k", "__t"]
+
+
+def _keyed(df: DataFrame, by: str, on: str, *more: Column, key_type=None) -> DataFrame:
+    key = F.col(by) if key_type is None else F.col(by).cast(key_type)
+    return df.where(F.col(by).isNotNull() & F.col(on).isNotNull()).select(key.alias("__k"), F.col(on).alias("__t"), *more)
+
+
+def asof_cuts(sides: Sequence[tuple[DataFrame, str, str]], num_buckets: int | None = None) -> list[Column]:
+    """Cut points of (key, time) over all ``sides`` (table, key column, time column); the first side's key type counts."""
+    kind = sides[0][0].schema[sides[0][1]].dataType
+    rows = None
+    for df, by, on in sides:
+        part = _keyed(df, by, on, key_type=kind)
+        rows = part if rows is None else rows.unionByName(part)
+    return cut_points(rows, ORDER, buckets_for(rows, num_buckets))
+
+
+def asof_matches(left: DataFrame, right: DataFrame, *, left_by: str, right_by: str, left_on: str, right_on: str,
+                 payload: Sequence[str], tie: str | None = None, tolerance_us: int | None = None,
+                 num_buckets: int | None = None, cuts: Sequence[Column] | None = None) -> DataFrame:
+    """``__k``, ``__t`` of every (key, time) that ``left`` asks for, and ``__p``, the nearest reading's payload (struct or null)."""
+    kind = left.schema[left_by].dataType
+    if cuts is None:
+        cuts = asof_cuts([(left, left_by, left_on), (right, right_by, right_on)], num_buckets)
+    held = F.struct(*[F.col(c) for c in payload])
+    r = _keyed(right, right_by, right_on, (F.col(tie) if tie else held).alias("__tie"), held.alias("__p"),
+               F.lit(False).alias("__asked"), key_type=kind)
+    none = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in r.schema.fields}
+    asked = _keyed(left, left_by, left_on, none["__tie"], none["__p"], F.lit(True).alias("__asked"))
+    at = r.unionByName(asked).withColumn("__b", bucket_of(ORDER, cuts))
+    reading = ~F.col("__asked")  # the aggregates below skip the rows that only ask
+    ordered = F.when(reading, F.struct("__tie", "__p"))
+    one = at.groupBy("__k", "__b", "__t").agg(
+        F.max_by("__p", ordered).alias("__last"), F.min_by("__p", ordered).alias("__first"),
+        F.count_if(reading).alias("__n"), F.max("__asked").alias("__asked"))
+    there = F.col("__n") > 0
+    one = one.select("__k", "__b", "__t", "__asked",
+                     F.when(there, F.struct(F.col("__t").alias("t"), F.col("__last").alias("p"))).alias("__last"),
+                     F.when(there, F.struct(F.col("__t").alias("t"), F.col("__first").alias("p"))).alias("__first"))
+
+    near = Window.partitionBy("__k", "__b").orderBy("__t")
+    upto = near.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fine = one.select("__k", "__b", "__t", "__asked", "__last", "__first",
+                      F.last("__last", ignorenulls=True).over(upto).alias("__back"),
+                      F.expr("lead(__first, 1) IGNORE NULLS OVER (PARTITION BY __k, __b ORDER BY __t)").alias("__next"))
+
+    # what lies in other buckets of the key: one row per (key, bucket)
+    ends = one.groupBy("__k", "__b").agg(
+        F.max_by("__last", F.when(F.col("__last").isNotNull(), F.col("__t"))).alias("l"),
+        F.min_by("__first", F.when(F.col("__first").isNotNull(), F.col("__t"))).alias("f"),
+        F.max("__asked").alias("__ask"))
+    over = "OVER (PARTITION BY __k ORDER BY __b)"
+    carry = (ends.select("__k", "__b", "__ask", F.expr(f"lag(l, 1) IGNORE NULLS {over}").alias("__cb"),
+                         F.expr(f"lead(f, 1) IGNORE NULLS {over}").alias("__cf")).where("__ask").drop("__ask"))
+    joined = fine.where("__asked").join(carry, ["__k", "__b"], "left")
+    back, after = F.coalesce("__back", "__cb"), F.coalesce("__next", "__cf")
+    gap = {n: F.abs(F.timestamp_diff("MICROSECOND", x["t"], F.col("__t"))) for n, x in (("b", back), ("f", after))}
+    chosen = F.when(back.isNull(), after).when(after.isNull() | (gap["b"] <= gap["f"]), back).otherwise(after)
+    out = joined.select("__k", "__t", chosen.alias("__c"))
+    if tolerance_us is not None:
+        off = F.abs(F.timestamp_diff("MICROSECOND", F.col("__c.t"), F.col("__t")))
+        out = out.withColumn("__c", F.when(off <= F.lit(tolerance_us), F.col("__c")))
+    return out.select("__k", "__t", F.col("__c.p").alias("__p"))
 
-def auto_bucket_hours(right: DataFrame, by: str, on: str,
-                      target_rows: int = TARGET_ROWS_PER_BUCKET,
-                      left: DataFrame | None = None, left_by: str | None = None,
-                      left_on: str | None = None) -> float:
-    """Bucket width that keeps the busiest (key, bucket) near ``target_rows`` rows.
 
-    One aggregate: rows per (key, day) of the readings plus, when given, of
-    the left rows (both sides share a fine-level partition); the busiest day
-    sets the rate. Clamped to [1 minute, 1 year]; whole hours when at least
-    an hour.
-    """
-    def per_day(df: DataFrame, k: str, t: str) -> DataFrame:
-        return (df.where(F.col(k).isNotNull() & F.col(t).isNotNull())
-                .select(F.col(k).alias("__k"), F.to_date(F.col(t)).alias("__d")))
-
-    rows = per_day(right, by, on)
-    if left is not None:
-        lk = per_day(left, left_by, left_on)
-        if lk.schema["__k"].dataType != rows.schema["__k"].dataType:
-            lk = lk.withColumn("__k", F.col("__k").cast(rows.schema["__k"].dataType))
-        rows = rows.unionByName(lk)
-    busiest = rows.groupBy("__k", "__d").agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0]
-    if not busiest:
-        return float(24 * 7)
-    hours = target_rows * 24.0 / busiest
-    hours = min(max(hours, MIN_BUCKET_HOURS), MAX_BUCKET_HOURS)
-    return float(int(hours)) if hours >= 1 else hours
+def attach_matches(left: DataFrame, matches: DataFrame, *, left_by: str, left_on: str, payload: Sequence[str],
+                   prefix: str = "") -> DataFrame:
+    """``left`` with ``prefix + payload`` columns of its (key, time)'s match; every row stays, once."""
+    clash = [prefix + c for c in payload if prefix + c in left.columns]
+    if clash:
+        raise ValueError(f"as-of output columns already on the left: {clash}")
+    found = left.join(matches, (left[left_by] == matches["__k"]) & (left[left_on] == matches["__t"]), "left")
+    return found.select(*[left[c] for c in left.columns], *[F.col("__p").getField(c).alias(prefix + c) for c in payload])
 
 
 def asof_nearest(left: DataFrame, right: DataFrame, *, left_by: str, right_by: str,
                  left_on: str, right_on: str, payload: Sequence[str], prefix: str = "",
                  tie: str | None = None, tolerance_us: int | None = None,
-                 bucket_hours: float | str = "auto") -> DataFrame:
+                 num_buckets: int | None = None) -> DataFrame:
     """Left rows with ``prefix + payload`` columns from the nearest right row.
 
     ``tie`` orders right rows that share a time (defaults to the payload
     itself, so the choice never depends on row order). ``tolerance_us`` drops
-    a match farther than that many microseconds. ``bucket_hours="auto"``
-    sizes buckets from the densest key (see ``auto_bucket_hours``); the
-    result does not depend on the width, only the task sizes do.
+    a match farther than that many microseconds. ``num_buckets`` (by default the
+    number of shuffle partitions) only changes task sizes.
     """
     payload = list(payload)
-    if bucket_hours == "auto":
-        bucket_hours = auto_bucket_hours(right, right_by, right_on, left=left, left_by=left_by,
-                                         left_on=left_on)
-    left_cols = left.columns
-    out_names = [prefix + c for c in payload]
-    clash = [c for c in out_names if c in left_cols]
-    if clash:
-        raise ValueError(f"as-of output columns already on the left: {clash}")
-
-    pstruct = F.struct(*[F.col(c) for c in payload])
-    tie_col = F.col(tie) if tie else pstruct
-    r = (right.where(F.col(right_by).isNotNull() & F.col(right_on).isNotNull())
-         .select(F.col(right_by).alias("__k"), F.col(right_on).alias("__t"),
-                 time_bucket(right_on, bucket_hours).alias("__b"),
-                 tie_col.alias("__tie"), pstruct.alias("__p")))
-    r_schema = {f.name: f.dataType for f in r.schema.fields}
-
-    valid = F.col(left_by).isNotNull() & F.col(left_on).isNotNull()
-    lft = left.select(F.struct(*[F.col(c) for c in left_cols]).alias("__l"),
-                      F.col(left_by).alias("__k"), F.col(left_on).alias("__t"), valid.alias("__ok"))
-    k_type = lft.schema["__k"].dataType
-    if k_type != r_schema["__k"]:
-        r = r.withColumn("__k", F.col("__k").cast(k_type))
-    # Rows that cannot match (null key or time) get a spread-out negative bucket
-    # so they do not pile into one partition; they carry no candidates.
-    spread = -1 - F.pmod(F.xxhash64(F.col("__l")), F.lit(1024))
-    lft = lft.withColumn("__b", F.when(F.col("__ok"), time_bucket(F.col("__t"), bucket_hours))
-                         .otherwise(spread))
-    # One exchange per side on (key, bucket); every consumer below reads it, so
-    # neither input plan is computed twice.
-    lx = lft.repartition("__k", "__b")
-    r = r.repartition("__k", "__b")
-
-    cand_type = T.StructType([T.StructField("t", r_schema["__t"]),
-                              T.StructField("p", r_schema["__p"])])
-    null_cand = F.lit(None).cast(cand_type)
-    l_type = lx.schema["__l"].dataType
-
-    # Coarse level: nearest reading in an earlier / later bucket of the same key.
-    order_key = F.struct(F.col("__t"), F.col("__tie"))
-    cand = F.struct(F.col("__t").alias("t"), F.col("__p").alias("p"))
-    per_bucket = (r.groupBy("__k", "__b")
-                  .agg(F.max_by(cand, order_key).alias("__last"),
-                       F.min_by(cand, order_key).alias("__first"))
-                  .withColumn("__side", F.lit(1)))
-    left_buckets = (lx.where("__ok").select("__k", "__b").distinct()
-                    .withColumn("__last", null_cand).withColumn("__first", null_cand)
-                    .withColumn("__side", F.lit(0)))
-    coarse = per_bucket.unionByName(left_buckets)
-    w_up = Window.partitionBy("__k").orderBy(F.col("__b").asc(), F.col("__side").asc()).rowsBetween(_UNB, _CUR)
-    w_dn = Window.partitionBy("__k").orderBy(F.col("__b").desc(), F.col("__side").asc()).rowsBetween(_UNB, _CUR)
-    carry = (coarse
-             .withColumn("__cb", F.last("__last", ignorenulls=True).over(w_up))
-             .withColumn("__cf", F.last("__first", ignorenulls=True).over(w_dn))
-             .where(F.col("__side") == 0)
-             .select("__k", "__b", "__cb", "__cf"))
-
-    # Fine level: candidates inside the left row's own bucket.
-    # rows that cannot match ride along in their spread bucket and are nulled at the end
-    fine = (r.select("__k", "__b", "__t", F.lit(0).alias("__side"), "__tie", "__p",
-                     F.lit(None).cast(l_type).alias("__l"), F.lit(True).alias("__ok"))
-            .unionByName(lx.select("__k", "__b", "__t", F.lit(1).alias("__side"),
-                                   F.lit(None).cast(r_schema["__tie"]).alias("__tie"),
-                                   F.lit(None).cast(r_schema["__p"]).alias("__p"), "__l", "__ok")))
-    rcand = F.when(F.col("__side") == 0, cand)
-    wb = (Window.partitionBy("__k", "__b")
-          .orderBy(F.col("__t").asc(), F.col("__side").asc(), F.col("__tie").asc())
-          .rowsBetween(_UNB, _CUR))
-    wf = (Window.partitionBy("__k", "__b")
-          .orderBy(F.col("__t").desc(), F.col("__side").desc(), F.col("__tie").desc())
-          .rowsBetween(_UNB, _CUR))
-    hits = (fine
-            .withColumn("__ib", F.last(rcand, ignorenulls=True).over(wb))
-            .withColumn("__if", F.last(rcand, ignorenulls=True).over(wf))
-            .where(F.col("__side") == 1)
-            .select("__k", "__b", "__t", "__l", "__ok", "__ib", "__if"))
-
-    joined = hits.join(carry, ["__k", "__b"], "left")
-    bk = F.coalesce(F.col("__ib"), F.col("__cb"))
-    fw = F.coalesce(F.col("__if"), F.col("__cf"))
-    gap_b = F.timestamp_diff("MICROSECOND", bk["t"], F.col("__t"))
-    gap_f = F.timestamp_diff("MICROSECOND", F.col("__t"), fw["t"])
-    chosen = (F.when(bk.isNull(), fw)
-              .when(fw.isNull(), bk)
-              .when(gap_b <= gap_f, bk)
-              .otherwise(fw))
-    picked = joined.select("__l", "__t", F.when(F.col("__ok"), chosen).alias("__c"))
-    if tolerance_us is not None:
-        gap = F.abs(F.timestamp_diff("MICROSECOND", F.col("__c.t"), F.col("__t")))
-        picked = picked.withColumn("__c", F.when(gap <= F.lit(tolerance_us), F.col("__c")))
-    return picked.select(*[F.col("__l").getField(c).alias(c) for c in left_cols],
-                         *[F.col("__c.p").getField(c).alias(prefix + c) for c in payload])
+    matches = asof_matches(left, right, left_by=left_by, right_by=right_by, left_on=left_on, right_on=right_on,
+                           payload=payload, tie=tie, tolerance_us=tolerance_us, num_buckets=num_buckets)
+    return attach_matches(left, matches, left_by=left_by, left_on=left_on, payload=payload, prefix=prefix)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulstat.functions.columns import any_of, bad_weather, is_weekend, weekday_mon0
-from haulstat.operators.asof import asof_nearest
+from haulstat.operators.asof import asof_cuts, asof_matches, attach_matches
 from haulstat.operators.features import drop_columns, high_quantile_flag, one_hot
 from haulstat.operators.interval import attach_interval_aggregate, plan_windows, window_size_bound
 from haulstat.operators.lookup import lookup
@@ -54,19 +54,20 @@ def add_route_weather(trips: DataFrame, weather: DataFrame, *, keys: Sequence[st
 
 def add_city_weather(trips: DataFrame, city: DataFrame, *, city_key: str = "city_id",
                      ts: str = "timestamp", cols: Sequence[str] = WEATHER_COLS,
-                     tie: str | None = None, bucket_hours: float | str = "auto") -> DataFrame:
-    """Origin weather nearest departure and destination weather nearest arrival, on the row."""
-    if bucket_hours == "auto":
-        # one width for both lookups: the narrower of what departures and arrivals need
-        from haulstat.operators.asof import auto_bucket_hours
-        bucket_hours = min(auto_bucket_hours(city, city_key, ts, left=trips, left_by=by, left_on=on)
-                           for by, on in (("origin_id", "departure_date"), ("destination_id", "estimated_arrival")))
-    out = asof_nearest(trips, city, left_by="origin_id", right_by=city_key,
-                       left_on="departure_date", right_on=ts, payload=cols, prefix="origin_",
-                       tie=tie, bucket_hours=bucket_hours)
-    return asof_nearest(out, city, left_by="destination_id", right_by=city_key,
-                        left_on="estimated_arrival", right_on=ts, payload=cols,
-                        prefix="destination_", tie=tie, bucket_hours=bucket_hours)
+                     tie: str | None = None, num_buckets: int | None = None) -> DataFrame:
+    """Origin weather nearest departure and destination weather nearest arrival, on the row.
+
+    Both matches are found from the trips' keys and times alone, with cuts from one sample of all three
+    sides; the trip rows then meet the two small answers.
+    """
+    sides = {"origin_": ("origin_id", "departure_date"), "destination_": ("destination_id", "estimated_arrival")}
+    cuts = asof_cuts([*((trips, by, on) for by, on in sides.values()), (city, city_key, ts)], num_buckets)
+    out = trips
+    for prefix, (by, on) in sides.items():
+        found = asof_matches(trips.select(by, on), city, left_by=by, right_by=city_key, left_on=on, right_on=ts,
+                             payload=cols, tie=tie, cuts=cuts)
+        out = attach_matches(out, found, left_by=by, left_on=on, payload=cols, prefix=prefix)
+    return out
 
 
 def add_driver_and_truck(trips: DataFrame, drivers: DataFrame, trucks: DataFrame) -> DataFrame:
