@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulstat.operators.order import exact_quantiles
+from haulstat.sources.snapshots import stored
 
 
 def mode_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -52,24 +53,23 @@ def fill_group_median(df: DataFrame, col: str, by: str, accuracy: int | None = N
     non-null group key, as the group fill is. Rows with a null key keep their
     own value; when it is null they take the fallback.
 
-    Both medians come from counts per (group, value): the filled column is
-    the known values plus, per group, its median as often as it has nulls.
+    The group medians and the groups' null counts are stored once (one row per
+    group); the filled column is the known values plus, per group, its median as often as it has nulls.
     """
     known = df.where(F.col(by).isNotNull()).select(F.col(by).alias("__g"), F.col(col).cast("double").alias("__x"))
     if accuracy is None:
-        group_stats = exact_quantiles(known, ["__g"], "__x", [0.5]).select("__g", F.col("qs")[0].alias("__gm"))
+        medians = exact_quantiles(known, ["__g"], "__x", [0.5]).select("__g", F.col("qs")[0].alias("__gm"))
     else:
-        group_stats = known.groupBy("__g").agg(F.percentile_approx("__x", 0.5, accuracy).alias("__gm"))
-    counted = known.groupBy("__g", "__x").agg(F.count(F.lit(1)).alias("__c"))
-    missing = counted.where(F.col("__x").isNull()).join(group_stats, "__g").select(F.col("__gm").alias("__x"), "__c")
-    filled = counted.where(F.col("__x").isNotNull()).select("__x", "__c").unionByName(missing)
+        medians = known.groupBy("__g").agg(F.percentile_approx("__x", 0.5, accuracy).alias("__gm"))
+    gaps = known.groupBy("__g").agg(F.count_if(F.col("__x").isNull()).alias("__c"))
+    groups = stored(gaps.join(medians, "__g"), "group-medians")
+    filled = known.where(F.col("__x").isNotNull()).select("__x", F.lit(1).cast("long").alias("__c")).unionByName(
+        groups.where("__c > 0").select(F.col("__gm").alias("__x"), "__c"))
     fallback = exact_quantiles(filled, [], "__x", [0.5], weight="__c").select(F.col("qs")[0]).scalar()
-    return (df.join(group_stats, F.col(by) == F.col("__g"), "left")
+    return (df.join(groups.drop("__c"), F.col(by) == F.col("__g"), "left")
             .withColumn(col, F.coalesce(F.col(col), F.col("__gm"), fallback)).select(*df.columns))
 
 
-
-
 def remaining_nulls(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """One row: total number of null cells over the given columns (all by default)."""
     cols = list(cols or df.columns)

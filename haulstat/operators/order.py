@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from haulstat.sources.snapshots import stored
+
 SAMPLE_PER_BUCKET = 100
 
 
@@ -84,19 +86,86 @@ def ordered_rank(df: DataFrame, order: Sequence[str], out: str = "rank",
             .drop("__b", "__off", "__r"))
 
 
+SKETCH = 20_000  # accuracy of the quantile sketch: its ranks are off by at most a SKETCH-th of the rows
+INF = float("inf")
+
+
+def _ranks(n: Column, qs: Sequence[float]) -> list[Column]:
+    """The two 0-based ranks between which each quantile lies."""
+    pos = [F.lit(float(q)) * (n - 1) for q in qs]
+    return [f(p).cast("long") for p in pos for f in (F.floor, F.ceil)]
+
+
+def _interpolated(qs: Sequence[float]) -> Column:
+    """The quantiles from ``n`` and the values ``__v0``, ``__v1`` ... at their ranks."""
+    values = []
+    for i, q in enumerate(qs):
+        pos = F.lit(float(q)) * (F.col("n") - 1)
+        lo, hi = F.col(f"__v{2 * i}").cast("double"), F.col(f"__v{2 * i + 1}").cast("double")
+        values.append(F.when(F.floor(pos) == F.ceil(pos), lo)
+                      .otherwise((F.ceil(pos) - pos) * lo + (pos - F.floor(pos)) * hi))
+    return F.array(*values).alias("qs")
+
+
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, qs: Sequence[float],
                     num_buckets: int | None = None, weight: str | None = None) -> DataFrame:
     """Per group of ``by`` (columns): count ``n`` and ``qs``, the linear-interpolated quantiles of the non-null values.
 
-    Rows are reduced to (group, distinct value, count) with partial
-    aggregation and dealt to (group, value bucket). Only the buckets that hold
-    a wanted rank are looked into, so neither a hot group nor the whole
-    column ever meets in one task. ``weight`` names a column that says how
-    often a row counts.
+    Two passes. The first is a mergeable sketch per group (partial per task); its
+    brackets hold each wanted quantile for sure, as wide as the sketch may be off. The second
+    counts exactly: rows below, between and above the brackets as one number each, rows inside a
+    bracket (about four SKETCH-ths of the rows for each quantile) by their value. Ranks are running
+    sums over these few rows, so neither a hot group nor a whole column is shuffled or meets in one task.
+
+    ``weight`` names a column that says how often a row counts; such tables are counts already
+    and are dealt by value (see ``_weighted_quantiles``).
     """
     by = list(by)
-    counted = (df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("__x"))
-               .agg((F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("__c")))
+    if weight is not None:
+        return _weighted_quantiles(df, by, value, qs, num_buckets, weight)
+    rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("__x"))
+    off = 2.0 / SKETCH
+    probs = [min(max(p, 0.0), 1.0) for q in qs for p in (q - off, q + off)]
+    sketch = rows.groupBy(*by).agg(F.percentile_approx("__x", probs, SKETCH).alias("__p"))
+    if by:
+        sketch = stored(sketch, "quantile-brackets")
+        on = F.lit(True)
+        for c in by:
+            on = on & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
+        rows = rows.alias("l").join(sketch.alias("r"), on).select(*[F.col(f"l.{c}").alias(c) for c in by], "__x", "__p")
+    else:  # one row of a few numbers
+        row = sketch.first()
+        rows = rows.withColumn("__p", F.array(*[F.lit(float(v)) for v in row["__p"] or [0.0] * len(probs)]))
+    x = F.col("__x")
+    low = [F.lit(-INF) if q - off <= 0 else F.get("__p", F.lit(2 * j)) for j, q in enumerate(qs)]
+    high = [F.lit(INF) if q + off >= 1 else F.get("__p", F.lit(2 * j + 1)) for j, q in enumerate(qs)]
+    inside = F.lit(False)
+    for a, b in zip(low, high):
+        inside = inside | ((x >= a) & (x <= b))
+    cell = sum(((x >= a).cast("int") + (x > b).cast("int") for a, b in zip(low, high)), F.lit(0))  # rises with x
+    counted = (rows.groupBy(*by, cell.alias("__cell"), F.when(inside, x).alias("__in"))
+               .agg(F.count(F.lit(1)).alias("__c"), F.min(x).alias("__lo"), F.max(x).alias("__hi")))
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    upto = group.orderBy("__cell", "__lo").rowsBetween(Window.unboundedPreceding, 0)
+    placed = counted.withColumns({"__end": F.sum("__c").over(upto), "n": F.sum("__c").over(group)})
+    start = F.col("__end") - F.col("__c")
+    at = []
+    for i, r in enumerate(_ranks(F.col("n"), qs)):
+        # outside a bracket only the first and the last value are known: a rank next to a bracket
+        v = F.coalesce("__in", F.when(r == start, F.col("__lo")).when(r == F.col("__end") - 1, F.col("__hi")))
+        at.append(F.min(F.when((start <= r) & (r < F.col("__end")), v)).alias(f"__v{i}"))
+    got = placed.groupBy(*by).agg(F.max("n").alias("n"), *at).where("n > 0")
+    return got.select(*by, "n", _interpolated(qs))
+
+
+def _weighted_quantiles(df: DataFrame, by: list[str], value: str, qs: Sequence[float], num_buckets: int | None,
+                        weight: str) -> DataFrame:
+    """``exact_quantiles`` of a table of counts: stored once by (group, value), dealt to (group, value bucket).
+
+    Only the buckets that hold a wanted rank are looked into.
+    """
+    counted = stored(df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("__x"))
+                     .agg(F.sum(weight).alias("__c")), "quantile-counts")
     cuts = cut_points(counted, ["__x"], buckets_for(df, num_buckets))
     counted = counted.withColumn("__b", bucket_of(["__x"], cuts))
     whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
@@ -104,13 +173,8 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, qs: Sequence[f
     per_bucket = (counted.groupBy(*by, "__b").agg(F.sum("__c").alias("__s"))
                   .withColumn("__off", F.coalesce(F.sum("__s").over(before), F.lit(0)))
                   .withColumn("__n", F.sum("__s").over(whole)))
-
-    def ranks(n: Column) -> list[Column]:
-        pos = [F.lit(float(q)) * (n - 1) for q in qs]
-        return [f(p).cast("long") for p in pos for f in (F.floor, F.ceil)]
-
     wanted = F.lit(False)
-    for r in ranks(F.col("__n")):
+    for r in _ranks(F.col("__n"), qs):
         wanted = wanted | ((r >= F.col("__off")) & (r < F.col("__off") + F.col("__s")))
     held = per_bucket.where(wanted).drop("__s")
     on = F.col("l.__b") == F.col("r.__b")
@@ -121,12 +185,5 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, qs: Sequence[f
     upto = Window.partitionBy(*by, "__b").orderBy("__x").rowsBetween(Window.unboundedPreceding, 0)
     found = found.withColumn("__end", F.col("__off") + F.sum("__c").over(upto))
     at = [F.min(F.when((F.col("__end") > r) & (F.col("__end") - F.col("__c") <= r), F.col("__x"))).alias(f"__v{i}")
-          for i, r in enumerate(ranks(F.col("__n")))]
-    got = found.groupBy(*by).agg(F.max("__n").alias("n"), *at)
-    values = []
-    for i, q in enumerate(qs):
-        pos = F.lit(float(q)) * (F.col("n") - 1)
-        lo, hi = F.col(f"__v{2 * i}").cast("double"), F.col(f"__v{2 * i + 1}").cast("double")
-        values.append(F.when(F.floor(pos) == F.ceil(pos), lo)
-                      .otherwise((F.ceil(pos) - pos) * lo + (pos - F.floor(pos)) * hi))
-    return got.select(*by, "n", F.array(*values).alias("qs"))
+          for i, r in enumerate(_ranks(F.col("__n"), qs))]
+    return found.groupBy(*by).agg(F.max("__n").alias("n"), *at).select(*by, "n", _interpolated(qs))

@@ -106,3 +106,30 @@ def test_interval_join_splits_a_hot_key(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_quantiles_of_small_and_tied_groups(spark):
+    """Groups of 1 to 60 rows, with ties, nulls, infinities and a null group: equal to Spark's exact percentile."""
+    df = spark.range(60 * 61 // 2 + 400).select(
+        F.when(F.col("id") < 1830, F.floor((F.sqrt(8.0 * F.col("id") + 1) - 1) / 2)).alias("g"),
+        F.when(F.col("id") % 11 > 0, F.when(F.col("id") % 97 == 1, float("inf")).otherwise(F.pmod(F.xxhash64("id"), F.lit(13)) * 0.5)).alias("x"))
+    qs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9999, 1.0]
+    got = {r["g"]: r for r in exact_quantiles(df, ["g"], "x", qs).collect()}
+    want = {r["g"]: r for r in df.groupBy("g").agg(F.percentile("x", qs).alias("q"), F.count("x").alias("n")).collect()}
+    assert set(got) == {g for g, r in want.items() if r["n"]} and None in got
+    for g, r in got.items():
+        for mine, plain in zip(r["qs"], want[g]["q"]):
+            assert mine == pytest.approx(plain) or {mine, plain} <= {float("inf")} or mine != mine and plain != plain
+
+
+def test_quantiles_read_twice(spark, tmp_path):
+    """At most two scans of the input in the final plan and the stored brackets together, and two jobs before it."""
+    spark.range(50_000).select((F.col("id") % 5).alias("g"), F.rand(1).alias("x")).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    tracker, sc = spark.sparkContext.statusTracker(), spark.sparkContext
+    sc.setJobGroup("quantiles", "building")
+    out = exact_quantiles(df, ["g"], "x", [0.25, 0.5, 0.75])
+    assert len(tracker.getJobIdsForGroup("quantiles")) <= 3  # the brackets' stages and their file listing
+    sc._jsc.clearJobGroup()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(f"{tmp_path}/t") == 1 and out.count() == 5
