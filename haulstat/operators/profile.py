@@ -12,6 +12,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark.ml.functions import array_to_vector
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -269,33 +272,59 @@ def boxplot_stats(df: DataFrame, cols: Sequence[str], by: str, whis: float = 1.5
                  F.sum(F.when(inside, F.lit(0)).otherwise(F.col("w"))).alias("n_outliers"), F.sum("w").alias("n")))
 
 
-CORR_PAIRS = 30  # column pairs of one aggregate
+#: Share of the squared distances from the column's mean below which a variance over some rows is rounding, not spread.
+FLAT = 1e-13
+
+
+def co_moments(df: DataFrame, cols: Sequence[str]) -> dict[str, list[list[float]]]:
+    """Sums over complete pairs, from one pass: per two columns i and j (rows where neither is null) the matrices
+
+    ``n`` (rows), ``sum`` (of i), ``square`` (of i squared) and ``product`` (of i times j), of values
+    less their column's mean.
+
+    A row becomes one vector of centred values (0 if null), their squares and the columns' not-null marks; the sum
+    of its outer products, added up per task and then in a tree, holds all of these sums at once, however many
+    pairs there are. The driver gets a matrix of three times the number of columns.
+    """
+    cols, p = list(cols), len(cols)
+    x = [F.col(c).cast("double") for c in cols]
+    means = df.agg(*[F.avg(v).alias(f"m{i}") for i, v in enumerate(x)]).first()
+    centred = [F.coalesce(v - F.lit(m or 0.0), F.lit(0.0)) for v, m in zip(x, means)]
+    marks = [v.isNotNull().cast("double") for v in x]
+    row = df.select(*[v.alias(f"x{i}") for i, v in enumerate(centred)], *[v.alias(f"k{i}") for i, v in enumerate(marks)])
+    row = row.select(F.array(*[F.col(f"x{i}") for i in range(p)], *[F.col(f"x{i}") * F.col(f"x{i}") for i in range(p)],
+                             *[F.col(f"k{i}") for i in range(p)]).alias("z"))
+    vectors = MLUtils.convertVectorColumnsFromML(row.select(array_to_vector("z").alias("z")), "z")
+    gram = RowMatrix(vectors, numCols=3 * p).computeGramianMatrix().toArray()
+    value, square, mark = slice(0, p), slice(p, 2 * p), slice(2 * p, 3 * p)
+    return {"n": gram[mark, mark].tolist(), "sum": gram[value, mark].tolist(), "square": gram[square, mark].tolist(),
+            "product": gram[value, value].tolist()}
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Pairwise-complete Pearson correlation of every column pair (full symmetric matrix).
 
-    Pairs are aggregated side by side, ``CORR_PAIRS`` in one pass over just
-    their columns, on the rows as they are. A constant column gives null (no
-    division error under ANSI mode).
+    Two scans however many columns: their means, then ``co_moments`` of all pairs at once (both run when this is
+    called; the result has one row per pair of columns). A constant column gives null, as does a pair without two rows.
     """
     cols = list(cols or numeric_columns(df))
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    upper = None
-    for at in range(0, len(pairs), CORR_PAIRS):
-        some = pairs[at:at + CORR_PAIRS]
-        aggs = []
-        for i, (a, b) in enumerate(some):
-            x, y = F.col(a).cast("double"), F.col(b).cast("double")
-            x_, y_ = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-            aggs.append(F.try_divide(F.covar_samp(x, y), F.stddev_samp(x_) * F.stddev_samp(y_)).alias(f"r{i}"))
-        row = df.agg(*aggs).select(F.explode(F.array(*[
-            F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"r{i}").alias("corr"))
-            for i, (a, b) in enumerate(some)])).alias("__r")).select("__r.*")
-        upper = row if upper is None else upper.unionByName(row)
-    lower = (upper.where(F.col("column_a") != F.col("column_b"))
-             .select(F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"), "corr"))
-    return upper.unionByName(lower)
+    spark = df.sparkSession
+    kind = "column_a string, column_b string, corr double"
+    if not cols or df.isEmpty():
+        return spark.createDataFrame([(a, b, None) for a in cols for b in cols], kind)
+    m = co_moments(df, cols)
+
+    def corr(i: int, j: int) -> float | None:
+        n = m["n"][i][j]
+        if n < 2:
+            return None
+        left, right = m["sum"][i][j], m["sum"][j][i]
+        a, b = m["square"][i][j] - left * left / n, m["square"][j][i] - right * right / n
+        if a <= FLAT * m["square"][i][j] or b <= FLAT * m["square"][j][i]:
+            return None
+        return (m["product"][i][j] - left * right / n) / math.sqrt(a * b)
+
+    return spark.createDataFrame([(a, b, corr(i, j)) for i, a in enumerate(cols) for j, b in enumerate(cols)], kind)
 
 
 # ------------------------------------------------------------------ rates

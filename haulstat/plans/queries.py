@@ -28,6 +28,7 @@ from haulstat.operators.lookup import join_on
 from haulstat.operators.features import align_columns, fit_categories, high_quantile_flag, one_hot, standardize_with
 from haulstat.operators.split import split_periods, time_split
 from haulstat.sources.feature_store import latest_per_key
+from haulstat.sources.snapshots import snapshot, stored
 from haulstat.sources.tables import fixed_frame, parse_lines
 from haulstat.plans import bindings as B
 from haulstat.plans import trips as P
@@ -368,7 +369,8 @@ def q_load_parse(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_load_clean(spark: SparkSession, sf: str) -> DataFrame:
-    cleaned = C.clean_tables({"traffic": _parsed_traffic(spark, sf)})["traffic"]
+    parsed = stored(_parsed_traffic(spark, sf).select("route_id", "no_of_vehicles", "accident"), "parsed-traffic")
+    cleaned = C.clean_tables({"traffic": parsed})["traffic"]  # the lines are parsed once for the several passes
     return cleaned.groupBy("route_id").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count("no_of_vehicles").alias("n_known"),
         F.sum("no_of_vehicles").alias("vehicles"), F.count("accident").alias("n_accident"),

@@ -74,7 +74,6 @@ def test_profiles_start_no_job_on_construction(spark):
     spark.sparkContext.setJobGroup("profiles", "building only")
     PR.histogram(df, ["x"])
     PR.kde_curve(df, ["x"])
-    PR.corr_matrix(df, ["k", "x"])
     assert list(tracker.getJobIdsForGroup("profiles")) == []
     spark.sparkContext._jsc.clearJobGroup()
 

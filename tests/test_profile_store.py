@@ -94,3 +94,22 @@ def test_approximate_quantile_switch(spark):
     assert approx["count"] == exact["count"] and abs(approx["q50"] - exact["q50"]) <= 1.0
     filled = fill_group_median(df, "x", "k", accuracy=10000).where("x is null").count()
     assert filled == 0
+
+
+def test_corr_of_many_columns_with_gaps(spark):
+    """Twelve columns with nulls in different rows, large offsets, a constant, an empty one and an almost empty one: as pandas."""
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(700, 9))
+    data = pd.DataFrame(base @ rng.normal(size=(9, 9)) * rng.uniform(1e-3, 1e4, 9) + rng.uniform(-1e6, 1e6, 9), columns=[f"c{i}" for i in range(9)])
+    data = data.mask(rng.random(data.shape) < 0.15)
+    data["flat"], data["none"], data["one"] = 0.1, np.nan, np.where(np.arange(700) == 3, 1.0, np.nan)
+    df = spark.createDataFrame(data.astype(object).where(data.notna(), None).values.tolist(), ", ".join(f"{c} double" for c in data.columns))
+    want = data.corr()
+    scans = df.repartition(5)
+    for r in PR.corr_matrix(scans).collect():
+        w = want.loc[r["column_a"], r["column_b"]]
+        assert r["corr"] is None if np.isnan(w) or "flat" in (r["column_a"], r["column_b"]) else r["corr"] == pytest.approx(w, abs=1e-8)
+    assert PR.corr_matrix(df.limit(0)).where("corr IS NULL").count() == 144
