@@ -130,15 +130,15 @@ def scaler_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def standardize_with(df: DataFrame, fit_rows: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Scale ``cols`` by the population mean / deviation of ``fit_rows`` (zero deviation acts as 1).
 
-    The statistics are scalar subqueries over ``fit_rows``, evaluated once.
+    All statistics are one aggregate row over ``fit_rows``, a single scalar subquery.
     """
+    names = [f"{c}_{k}" for c in cols for k in ("mean", "std")]
+    stats = scaler_stats(fit_rows, cols).select(F.struct(*names)).scalar()
     out = {}
     for c in cols:
-        x = F.col(c).cast("double")
-        mean = fit_rows.agg(F.avg(x)).scalar()
-        std = fit_rows.agg(F.stddev_pop(x)).scalar()
+        std = stats[f"{c}_std"]
         std = F.when(std.isNull() | (std == 0), F.lit(1.0)).otherwise(std)
-        out[c] = (x - mean) / std
+        out[c] = (F.col(c).cast("double") - stats[f"{c}_mean"]) / std
     return df.withColumns(out)
 
 

@@ -496,7 +496,20 @@ LEFT JOIN (SELECT CAST(CASE WHEN hi - lo = 0 THEN 1
                        ELSE least(floor((x - lo) * (30.0::DOUBLE / (hi - lo))) + 1, 30) END AS INTEGER) AS bin
       FROM (SELECT round(CAST({c} AS DOUBLE), 6) AS x FROM ds WHERE {c} IS NOT NULL),
            (SELECT min(round(CAST({c} AS DOUBLE), 6)) AS lo, max(round(CAST({c} AS DOUBLE), 6)) AS hi FROM ds)) AS held USING (bin)
-GROUP BY every.bin, every.lo, every.hi""" for c in ["distance", "average_hours", "accident", "truck_age", "ratings"])
+GROUP BY every.bin, every.lo, every.hi""" for c in _TRIP_NUM)
+
+SQL["trip_kde"] = _trip_dataset_ctes() + "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", point, {_rnd("lo + point * (hi - lo) / 199.0::DOUBLE", "x")},
+       {_rnd("s / (n * bw * sqrt(2 * pi()))", "density")},
+       {_rnd("s / (n * bw * sqrt(2 * pi())) * n * (hi - lo) / 30.0::DOUBLE", "count_density", 4)}
+FROM (SELECT CAST(g.point AS INTEGER) AS point, p.lo, p.hi, p.n, p.bw,
+             sum(d.w * exp(-0.5 * pow((p.lo + g.point * ((p.hi - p.lo) / 199.0::DOUBLE) - d.x) / p.bw, 2))) AS s
+      FROM (SELECT round(CAST({c} AS DOUBLE), 6) AS x, count(*) AS w FROM ds WHERE {c} IS NOT NULL GROUP BY 1) d,
+           (SELECT lo, hi, n, sd * pow(CAST(n AS DOUBLE), -0.2) AS bw
+            FROM (SELECT min(round(CAST({c} AS DOUBLE), 6)) AS lo, max(round(CAST({c} AS DOUBLE), 6)) AS hi,
+                         stddev_samp(round(CAST({c} AS DOUBLE), 6)) AS sd, count({c}) AS n FROM ds)) p,
+           (SELECT range AS point FROM range(200)) g
+      GROUP BY g.point, p.lo, p.hi, p.n, p.bw)""" for c in _TRIP_NUM)
 
 SQL["trip_corr"] = _trip_dataset_ctes() + "\nUNION ALL\n".join(
     f"""SELECT '{a}' AS column_a, '{b}' AS column_b,
@@ -504,7 +517,7 @@ SQL["trip_corr"] = _trip_dataset_ctes() + "\nUNION ALL\n".join(
     for a in [*_TRIP_NUM, "delay"] for b in [*_TRIP_NUM, "delay"])
 
 SQL["trip_boxplot"] = _trip_dataset_ctes([("long", "\nUNION ALL\n".join(
-    f"SELECT delay AS class, '{c}' AS \"column\", CAST({c} AS DOUBLE) AS x FROM ds" for c in ["distance", "ratings", "truck_age"])),
+    f"SELECT delay AS class, '{c}' AS \"column\", round(CAST({c} AS DOUBLE), 6) AS x FROM ds" for c in _TRIP_NUM)),
     ("q", """SELECT "column", class, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median,
                     quantile_cont(x, 0.75) AS q3 FROM long WHERE x IS NOT NULL GROUP BY "column", class"""),
     ("f", "SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q")]) + f"""
@@ -521,16 +534,21 @@ SQL["trip_rates"] = _trip_dataset_ctes() + "\nUNION ALL\n".join(
     f"""SELECT '{c}' AS "by", {c} AS value, count(*) AS trips, {_rnd("avg(delay)", "delay_rate")}
 FROM ds WHERE {c} IS NOT NULL GROUP BY {c}""" for c in ["gender", "driving_style", "fuel_type"])
 
-SQL["train_summary"] = with_ctes("trips") + ", " + _SPLIT + f"""
-SELECT count(*) FILTER (WHERE s.split = 'train') AS n_train, count(*) FILTER (WHERE s.split = 'test') AS n_test,
-       count(*) FILTER (WHERE s.split = 'test' AND t.delay = 1) AS test_positives, 1 AS whole, 2::BIGINT AS n_models,
-       1 AS auc_in_range, 1.0::DOUBLE AS importance_sum,
-       {len([c for c in _MATRIX_KEEP if c not in ("trip_id", "delay")]) + sum(len(v) for v in _DUMMIES.values())}::BIGINT AS n_inputs
-FROM trips t JOIN split s ON s.trip_id = t.trip_id"""
+# the planted label tells the classes apart by one input, so a model that learned makes no mistake
+SQL["train_summary"] = with_ctes("trips") + ", " + _SPLIT + """,
+test AS (SELECT count(*) FILTER (WHERE isodow(t.departure_date) > 3) AS p, count(*) FILTER (WHERE isodow(t.departure_date) <= 3) AS n
+         FROM trips t JOIN split s ON s.trip_id = t.trip_id WHERE s.split = 'test')
+SELECT model, p AS tp, 0::BIGINT AS fp, 0::BIGINT AS fn, n AS tn, 1.0::DOUBLE AS accuracy, 1.0::DOUBLE AS precision,
+       1.0::DOUBLE AS recall, 1.0::DOUBLE AS f1, 1.0::DOUBLE AS roc_auc, 1.0::DOUBLE AS train_accuracy
+FROM test, (VALUES ('logistic_regression'), ('random_forest')) AS models(model)"""
+
+SQL["model_inputs"] = f"""
+SELECT {len([c for c in _MATRIX_KEEP if c not in ("trip_id", "delay")]) + sum(len(v) for v in _DUMMIES.values())}::BIGINT AS n_inputs,
+       1.0::DOUBLE AS importance_sum, 'departure_day_of_week' AS top_input, true AS tells_most"""
 
 SQL["predict_recent"] = with_ctes("trips") + """
-SELECT trip_id, truck_id, CASE delay WHEN 1 THEN 'Delayed' ELSE 'On Time' END AS actual_label,
-       true AS label_fits, true AS probability_in_range
+SELECT trip_id, truck_id, CASE WHEN isodow(departure_date) > 3 THEN 'Delayed' ELSE 'On Time' END AS predicted_delay_label,
+       CASE WHEN isodow(departure_date) > 3 THEN 'Delayed' ELSE 'On Time' END AS actual_label
 FROM trips ORDER BY departure_date DESC, trip_id DESC LIMIT 5"""
 
 SQL["split_periods"] = with_ctes("trips") + ", " + _SPLIT + """

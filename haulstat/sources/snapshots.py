@@ -46,17 +46,22 @@ def input_files(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, list
     return out
 
 
-def snapshot(spark: SparkSession, name: str, paths: Mapping[str, str], parameters: object,
-             build: Callable[[], DataFrame]) -> DataFrame:
-    """The rows of ``build()``, written at the first call with these input files and parameters in this application."""
+def kept_folder(spark: SparkSession, name: str, paths: Mapping[str, str], parameters: object,
+                write: Callable[[str], None]) -> str:
+    """A folder that ``write(path)`` filled, at the first call with these input files and parameters in this application."""
     key = hashlib.sha256(json.dumps([name, input_files(spark, paths), parameters], default=str).encode()).hexdigest()
     kept = (spark.sparkContext.applicationId, key)
     if kept not in _KEPT:
-        df = build()
         path = _folder(spark, name)
-        df.write.parquet(path)
+        write(path)
         _KEPT[kept] = path
-    return spark.read.parquet(_KEPT[kept])
+    return _KEPT[kept]
+
+
+def snapshot(spark: SparkSession, name: str, paths: Mapping[str, str], parameters: object,
+             build: Callable[[], DataFrame]) -> DataFrame:
+    """The rows of ``build()``, written once per input files and parameters."""
+    return spark.read.parquet(kept_folder(spark, name, paths, parameters, lambda path: build().write.parquet(path)))
 
 
 def drop_snapshots(spark: SparkSession) -> int:
