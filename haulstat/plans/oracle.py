@@ -647,10 +647,19 @@ FROM preds p JOIN actual a
 
 # ---------------------------------------------------------------- feature store
 
+# commits 0 and 1 are batches, 2 the snapshot, 3 a batch
 SQL["feature_store_latest"] = f"""
 WITH b AS (
     SELECT o_orderkey, o_custkey, o_totalprice, 0 AS batch_id FROM orders
     UNION ALL
-    SELECT o_orderkey, o_custkey, o_totalprice * 1.1::DOUBLE, 1 FROM orders WHERE o_orderstatus = 'O'),
+    SELECT o_orderkey, o_custkey, o_totalprice * 1.1::DOUBLE, 1 FROM orders WHERE o_orderstatus = 'O'
+    UNION ALL
+    SELECT o_orderkey, o_custkey, o_totalprice * 2, 3 FROM orders WHERE o_orderkey % 10 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY batch_id DESC) AS rn FROM b)
 SELECT o_orderkey, o_custkey, {_rnd("o_totalprice", "o_totalprice")}, batch_id FROM r WHERE rn = 1"""
+
+SQL["feature_store_counts"] = """
+SELECT batch_id, n AS rows_written, n AS rows_read FROM (
+    SELECT 0 AS batch_id, count(*) AS n FROM orders
+    UNION ALL SELECT 1, count(*) FROM orders WHERE o_orderstatus = 'O'
+    UNION ALL SELECT 3, count(*) FROM orders WHERE o_orderkey % 10 = 0)"""

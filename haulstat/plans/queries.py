@@ -27,7 +27,7 @@ from haulstat.operators import metrics as M
 from haulstat.operators.lookup import join_on
 from haulstat.operators.features import align_columns, fit_categories, high_quantile_flag, one_hot, standardize_with
 from haulstat.operators.split import split_periods, time_split
-from haulstat.sources.feature_store import latest_per_key
+from haulstat.sources.feature_store import FeatureGroup, get_or_create
 from haulstat.sources.snapshots import kept_folder, snapshot, stored
 from haulstat.sources.tables import fixed_frame, parse_lines
 from haulstat.plans import bindings as B
@@ -571,14 +571,33 @@ def q_pred_vs_actual(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- feature store
 
+def _published_orders(spark: SparkSession, sf: str) -> FeatureGroup:
+    """A feature table with two inserted batches, a snapshot between them and a third batch: orders with changing prices."""
+    def write(path: str) -> None:
+        group = get_or_create(path, "orders", 1, ["o_orderkey"])
+        o = B.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+        cols = ["o_orderkey", "o_custkey"]
+        group.insert(o.select(*cols, "o_totalprice"))
+        group.insert(o.where(F.col("o_orderstatus") == "O").select(*cols, (F.col("o_totalprice") * 1.1).alias("o_totalprice")))
+        group.compact(spark)
+        group.insert(o.where(F.col("o_orderkey") % 10 == 0).select(*cols, (F.col("o_totalprice") * 2).alias("o_totalprice")))
+
+    return get_or_create(kept_folder(spark, "features", _inputs(sf, ("orders",)), "orders", write), "orders", 1, ["o_orderkey"])
+
+
 def q_feature_store_latest(spark: SparkSession, sf: str) -> DataFrame:
-    o = B.table(spark, sf, "orders")
-    b0 = o.select("o_orderkey", "o_custkey", "o_totalprice", F.lit(0).alias("batch_id"))
-    b1 = (o.where(F.col("o_orderstatus") == "O")
-          .select("o_orderkey", "o_custkey", (F.col("o_totalprice") * 1.1).alias("o_totalprice"),
-                  F.lit(1).alias("batch_id")))
-    latest = latest_per_key(b0.unionByName(b1), ["o_orderkey"])
-    return latest.select("o_orderkey", "o_custkey", _r("o_totalprice"), "batch_id")
+    """The newest row of every key, read from the snapshot and the batch after it."""
+    latest = _published_orders(spark, sf).read(spark, with_batch=True)
+    return latest.select("o_orderkey", "o_custkey", _r("o_totalprice"), F.col("batch_id").cast("int").alias("batch_id"))
+
+
+def q_feature_store_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Round trip: per batch the rows that the write observed and the rows that are read back."""
+    group = _published_orders(spark, sf)
+    written = spark.createDataFrame([(e["number"], e["rows"]) for e in group.commits(spark) if e["kind"] == "batch"],
+                                    "batch_id int, rows_written long")
+    read = group.read_all(spark).groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows_read"))
+    return written.join(read, "batch_id", "left").select("batch_id", "rows_written", "rows_read")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -642,4 +661,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "roc_auc": q_roc_auc,
     "pred_vs_actual": q_pred_vs_actual,
     "feature_store_latest": q_feature_store_latest,
+    "feature_store_counts": q_feature_store_counts,
 }

@@ -99,6 +99,8 @@ def train_and_evaluate(full: DataFrame, *, test_size: float = 0.2, kinds: Sequen
     for kind in kinds:
         model = Pipeline(stages=[assembler, make_classifier(kind, n_train, num_trees=num_trees,
                                                              max_depth=max_depth)]).fit(train_s)
+        # the training summary refers to the whole session, which tasks that score with the model cannot take along
+        model.stages[-1]._java_obj.setSummary(full.sparkSession._jvm.scala.Option.apply(None))
         models[kind] = model
         train_acc = (_with_probability(model.transform(train_s))
                      .agg(F.avg((F.col("predicted_delay") == F.col(TARGET)).cast("double"))).scalar())

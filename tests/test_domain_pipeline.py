@@ -128,20 +128,44 @@ def test_load_reference_tables(spark, raw_dir):
 
 
 def test_registered_training_fits_the_listed_forest(monkeypatch):
-    """SURVEY T5: 300 trees of depth 10."""
+    """SURVEY T5: 300 trees of depth 10, on the planted label."""
     import inspect
 
     from haulstat.plans import queries as Q
     asked = {}
 
+    class Fitted(Exception):
+        pass
+
     def fit(*args, **kwargs):
         call = inspect.signature(TR.train_and_evaluate).bind(*args, **kwargs)
         call.apply_defaults()
         asked.update(call.arguments)
+        raise Fitted
+
+    class Trips:
+        def withColumn(self, name, value):
+            return name
 
+    monkeypatch.setattr(Q, "kept_folder", lambda spark, name, paths, parameters, write: write(""))
     monkeypatch.setattr(Q, "trip_dataset", lambda spark, sf: None)
-    monkeypatch.setattr(Q.P, "engineer_features", lambda full: full)
+    monkeypatch.setattr(Q, "_planted", lambda day: day)
+    monkeypatch.setattr(Q.F, "col", lambda c: c)
+    monkeypatch.setattr(Q.P, "engineer_features", lambda full: Trips())
     monkeypatch.setattr(Q, "train_and_evaluate", fit)
-    Q._trained(None, "")
-    assert (asked["num_trees"], asked["max_depth"]) == (300, 10)
+    with pytest.raises(Fitted):
+        Q._trained(None, "")
+    assert (asked["num_trees"], asked["max_depth"], asked["full"]) == (300, 10, "delay")
     assert "random_forest" in asked["kinds"]
+
+
+def test_wrong_models_miss_the_planted_label(spark):
+    """The registered rows are exact only for a model that learned: not without the telling input, nor with other labels."""
+    from haulstat.plans import queries as Q
+    full = P.engineer_features(Q.trip_dataset(spark, "/root/testdata/sf0.001")).withColumn("delay", Q._planted(F.col(Q.PLANTED_INPUT)))
+    fit = lambda df: {r["model"]: r for r in TR.train_and_evaluate(df, keys=["trip_id"], num_trees=20, max_depth=5)[2].collect()}
+    right = fit(full)
+    assert all(r["accuracy"] == r["roc_auc"] == r["train_accuracy"] == 1.0 for r in right.values())
+    hidden = fit(full.drop(Q.PLANTED_INPUT, "is_weekend_departure"))
+    other = fit(full.withColumn("delay", (F.col("trip_id") % 2).cast("int")))
+    assert all(r["accuracy"] < 0.9 and r["roc_auc"] < 0.9 for found in (hidden, other) for r in found.values())

@@ -113,3 +113,68 @@ def test_corr_of_many_columns_with_gaps(spark):
         w = want.loc[r["column_a"], r["column_b"]]
         assert r["corr"] is None if np.isnan(w) or "flat" in (r["column_a"], r["column_b"]) else r["corr"] == pytest.approx(w, abs=1e-8)
     assert PR.corr_matrix(df.limit(0)).where("corr IS NULL").count() == 144
+
+
+KV = "k int, v string"
+
+
+def test_two_writers_lose_no_batch(spark, tmp_path):
+    """Writers that commit at the same time get numbers of their own; every batch is read back."""
+    import threading
+
+    errors = []
+
+    def write(w):
+        try:
+            g = get_or_create(str(tmp_path), "f", 1, ["k"])
+            for i in range(3):
+                g.insert(spark.createDataFrame([(100 * w + i, f"{w}/{i}")], KV))
+        except Exception as e:
+            errors.append(e)
+
+    threads = [threading.Thread(target=write, args=(w,)) for w in range(4)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    g = get_or_create(str(tmp_path), "f", 1, ["k"])
+    assert not errors and [e["number"] for e in g.commits(spark)] == list(range(12))
+    assert sorted(r["v"] for r in g.read_all(spark).collect()) == sorted(f"{w}/{i}" for w in range(4) for i in range(3))
+
+
+def test_snapshot_is_read_without_a_shuffle(spark, tmp_path):
+    g = get_or_create(str(tmp_path), "f", 1, ["k"])
+    g.insert(spark.range(2000).selectExpr("CAST(id AS INT) k", "'old' v"))
+    g.insert(spark.range(0, 2000, 2).selectExpr("CAST(id AS INT) k", "'new' v"))
+    before = sorted(map(tuple, g.read(spark).collect()))
+    number = g.compact(spark, buckets=4)
+    assert sorted(map(tuple, g.read(spark).collect())) == before and number == 2
+    g.insert(spark.createDataFrame([(3, "last"), (5000, "added")], KV))
+    out = g.read(spark)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = g.read(spark)._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    at = next(i for i, x in enumerate(lines) if "Bucketed: true" in x and "snapshot_" in x)
+    depth = lines[at].index("FileScan")
+    above = [x for x in lines[:at] if "Exchange" in x and x.index("Exchange") < depth]
+    assert not above  # what is shuffled stands beside the snapshot, not above it
+    got = dict(map(tuple, out.collect()))
+    assert got[3] == "last" and got[5000] == "added" and got[4] == "new" and got[5] == "old" and len(got) == 2001
+    assert [e["rows"] for e in g.commits(spark)] == [2000, 1000, 2000, 2]
+    again = get_or_create(str(tmp_path), "f", 1, ["k"])
+    spark.sql("DROP TABLE snapshot_" + g.commits(spark)[2]["data"].split("/")[1])  # as in a new session
+    assert dict(map(tuple, again.read(spark).collect())) == got
+
+
+def test_null_keys_are_refused_before_the_commit(spark, tmp_path):
+    g = get_or_create(str(tmp_path), "f", 1, ["k"])
+    g.insert(spark.createDataFrame([(1, "a")], KV))
+    with pytest.raises(ValueError):
+        g.insert(spark.createDataFrame([(2, "b"), (None, "c")], KV))
+    with pytest.raises(KeyError):
+        g.insert(spark.createDataFrame([("b",)], "v string"))
+    (tmp_path / "f" / "v1" / "_commits" / "000000000001.json").write_text("{\"half")  # a writer that died
+    assert g.insert(spark.createDataFrame([(3, "c")], KV)) == 2 and g.read(spark).count() == 2
