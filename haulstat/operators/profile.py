@@ -74,15 +74,64 @@ def type_report(df: DataFrame) -> DataFrame:
         for t, n in sorted(tally.items())])).alias("__r")).select("__r.*")
 
 
-def duplicate_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
+def duplicate_rows(df: DataFrame, subset: Sequence[str] | None = None, bits: int = 128) -> DataFrame:
     """One row: rows, and rows that repeat an earlier row on ``subset`` (all columns by default).
 
-    Nulls compare equal, as a grouping does.
+    Nulls compare equal, as a grouping does. Rows are counted by a fingerprint of
+    ``bits`` bits (16 bytes are shuffled, whatever a row's width); only rows whose
+    fingerprint occurs again are compared in full, so the counts are exact even where different rows share one.
     """
     cols = list(subset or df.columns)
-    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
-    return groups.agg(F.sum("__n").cast("long").alias("n_rows"),
-                      F.sum(F.col("__n") - 1).cast("long").alias("duplicate_rows"))
+    marks = [F.col(c).isNull() for c in cols]  # a hash alone passes nulls over
+    hashes = [F.xxhash64(*cols, *marks), F.xxhash64(F.lit("second"), *cols, *marks)]
+    size = [min(bits, 64), max(bits - 64, 0)]
+    keyed = df.select(*cols, *[(h if n == 64 else F.pmod(h, F.lit(1 << n))).alias(f"__h{i}")
+                               for i, (h, n) in enumerate(zip(hashes, size))])
+    prints = keyed.groupBy("__h0", "__h1").agg(F.count(F.lit(1)).alias("__n"))
+    again = prints.where(F.col("__n") > 1).select("__h0", "__h1")
+    groups = keyed.join(again, ["__h0", "__h1"], "left_semi").groupBy(*cols).agg((F.count(F.lit(1)) - 1).alias("__d"))
+    repeats = groups.agg(F.coalesce(F.sum("__d"), F.lit(0))).scalar()
+    return prints.agg(F.sum("__n").cast("long").alias("n_rows")).select(
+        "n_rows", F.when(F.col("n_rows").isNotNull(), repeats).cast("long").alias("duplicate_rows"))
+
+
+BITMAP_BITS = 32_768  # ids of one bitmap
+
+
+def distinct_ids(df: DataFrame, col: str) -> DataFrame:
+    """One row, ``n``: the exact number of distinct non-null values of an integer column, from bitmaps per range of ids.
+
+    Every task sets bits and one bitmap of 4 KiB per range is shuffled, not the values. ``id_bitmaps`` are mergeable.
+    """
+    return id_bitmaps(df, col).agg(F.coalesce(F.sum(F.bitmap_count("bits")), F.lit(0)).alias("n"))
+
+
+def id_bitmaps(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
+    """Per range of ids (and ``by``, e.g. a day) the ids that occur: ``range``, ``bits``."""
+    some = df.where(F.col(col).isNotNull())
+    return some.groupBy(*by, F.bitmap_bucket_number(F.col(col)).alias("range")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(F.col(col))).alias("bits"))
+
+
+def merged_ids(bitmaps: DataFrame) -> DataFrame:
+    """One row, ``n``: the distinct ids of bitmaps taken together, such as those of several days."""
+    return (bitmaps.groupBy("range").agg(F.bitmap_or_agg("bits").alias("bits"))
+            .agg(F.coalesce(F.sum(F.bitmap_count("bits")), F.lit(0)).alias("n")))
+
+
+def _dense(df: DataFrame, col: str) -> bool:
+    """Whether bitmaps take less than the values would: measured by one aggregate, the result is the same either way."""
+    if not isinstance(df.schema[col].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return False
+    lo, hi, n = df.agg(F.min(col), F.max(col), F.count(col)).first()
+    return bool(n) and ((hi - lo) // BITMAP_BITS + 2) * BITMAP_BITS // 8 <= max(8 * n, 1 << 20)
+
+
+def distinct_count(df: DataFrame, col: str) -> Column:
+    """Exact distinct non-null values as a scalar: by bitmaps for dense integer ids, else by the values."""
+    if _dense(df, col):
+        return distinct_ids(df, col).scalar()
+    return df.agg(F.count_distinct(F.col(col))).scalar()
 
 
 def table_size(df: DataFrame, name: str, key: str | None = None, approx: bool = False) -> DataFrame:
@@ -91,15 +140,12 @@ def table_size(df: DataFrame, name: str, key: str | None = None, approx: bool =
     ``approx=True`` counts keys with HyperLogLog++ (one fixed-size sketch per
     task instead of a shuffle of the distinct keys).
     """
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
+    rows = df.agg(F.count(F.lit(1)).alias("n_rows"), *([F.approx_count_distinct(F.col(key)).alias("n_keys")] if key and approx else []))
     if key is None:
-        aggs.append(F.lit(None).cast("long").alias("n_keys"))
-    elif approx:
-        aggs.append(F.approx_count_distinct(F.col(key)).alias("n_keys"))
-    else:
-        aggs.append(F.count_distinct(F.col(key)).alias("n_keys"))
-    return df.agg(*aggs).select(F.lit(name).alias("table_name"), "n_rows",
-                                F.lit(len(df.columns)).alias("n_cols"), "n_keys")
+        rows = rows.withColumn("n_keys", F.lit(None).cast("long"))
+    elif not approx:
+        rows = rows.withColumn("n_keys", distinct_count(df, key).cast("long"))
+    return rows.select(F.lit(name).alias("table_name"), "n_rows", F.lit(len(df.columns)).alias("n_cols"), "n_keys")
 
 
 def rows_per_key(df: DataFrame, key: str, name: str) -> DataFrame:
@@ -113,14 +159,10 @@ def rows_per_key(df: DataFrame, key: str, name: str) -> DataFrame:
 def distinct_counts(named: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """One row with the distinct non-null key count of each (frame, column), side by side.
 
-    The first count is the row's aggregate; the others are scalar subqueries.
+    Each is a scalar subquery, dense integer ids by bitmaps (see ``distinct_count``).
     """
-    items = list(named.items())
-    first_name, (first_df, first_col) = items[0]
-    out = first_df.agg(F.count_distinct(F.col(first_col)).alias(first_name))
-    for name, (df, col) in items[1:]:
-        out = out.withColumn(name, df.agg(F.count_distinct(F.col(col))).scalar())
-    return out
+    one = next(iter(named.values()))[0].agg(F.count(F.lit(1)).alias("__rows"))
+    return one.select(*[distinct_count(df, col).cast("long").alias(name) for name, (df, col) in named.items()])
 
 
 # ------------------------------------------------------------------ distributions

@@ -458,6 +458,14 @@ WITH traffic AS (
 SQL["load_parse"] = _TRAFFIC + """
 SELECT * REPLACE (CAST(accident AS DOUBLE) AS accident), date + to_hours(hour) AS timestamp FROM traffic"""
 
+_PARSED = ["route_id", "date", "hour", "no_of_vehicles", "accident"]
+SQL["load_quality"] = _TRAFFIC + "\nUNION ALL\n".join([
+    "SELECT 'rows' AS measure, count(*) AS n FROM traffic",
+    *[f"SELECT 'null:{c}', count(*) - count({c}) FROM traffic" for c in _PARSED],
+    "SELECT 'null:timestamp', count(*) - count(date + to_hours(hour)) FROM traffic",
+    "SELECT 'unread:date', count(*) FROM lineitem WHERE l_orderkey % 97 = 0",
+    "SELECT 'quarantined', count(*) FROM lineitem WHERE l_orderkey % 97 = 0"])
+
 SQL["load_clean"] = _TRAFFIC + f"""
 , g AS (SELECT route_id, median(no_of_vehicles) AS gm FROM traffic WHERE route_id IS NOT NULL GROUP BY 1),
 f AS (SELECT t.*, coalesce(no_of_vehicles, gm) AS v1 FROM traffic t LEFT JOIN g USING (route_id)),

@@ -29,7 +29,7 @@ from haulstat.operators.features import align_columns, fit_categories, high_quan
 from haulstat.operators.split import split_periods, time_split
 from haulstat.sources.feature_store import FeatureGroup, get_or_create
 from haulstat.sources.snapshots import kept_folder, snapshot, stored
-from haulstat.sources.tables import fixed_frame, parse_lines
+from haulstat.sources.tables import fixed_frame, load_lines, parse_lines, quarantined
 from haulstat.plans import bindings as B
 from haulstat.plans import trips as P
 from haulstat.plans.train import feature_importances, load, predict_delay, save, train_and_evaluate
@@ -367,6 +367,17 @@ def q_load_parse(spark: SparkSession, sf: str) -> DataFrame:
     return _parsed_traffic(spark, sf).withColumn("accident", F.col("accident").cast("double"))
 
 
+def q_load_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """What one pass of parsing and writing the lines observed: rows, nulls, unreadable dates, and the lines set aside."""
+    def write(path: str) -> None:
+        counts = load_lines(_traffic_lines(spark, sf), "traffic", f"{path}/rows")
+        spark.createDataFrame(sorted(counts.items()), "measure string, n long").write.parquet(f"{path}/counts")
+
+    path = kept_folder(spark, "traffic-load", _inputs(sf, ("lineitem",)), "lines", write)
+    aside = quarantined(spark, f"{path}/rows").agg(F.lit("quarantined").alias("measure"), F.count(F.lit(1)).alias("n"))
+    return spark.read.parquet(f"{path}/counts").unionByName(aside)
+
+
 def q_load_clean(spark: SparkSession, sf: str) -> DataFrame:
     parsed = stored(_parsed_traffic(spark, sf).select("route_id", "no_of_vehicles", "accident"), "parsed-traffic")
     cleaned = C.clean_tables({"traffic": parsed})["traffic"]  # the lines are parsed once for the several passes
@@ -639,6 +650,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "time_split": q_time_split,
     "time_split_one_day": q_time_split_one_day,
     "load_parse": q_load_parse,
+    "load_quality": q_load_quality,
     "load_clean": q_load_clean,
     "remaining_nulls": q_remaining_nulls,
     "type_tally": q_type_tally,

@@ -13,7 +13,7 @@ from __future__ import annotations
 import os
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -130,6 +130,41 @@ def fixed_frame(df: DataFrame, name: str) -> DataFrame:
     return _fix(name, df)
 
 
+#: Columns that a raw table's fixes read leniently: a text that cannot be read becomes null.
+LENIENT = {"traffic": ("date",)}
+UNREADABLE = "unreadable_line"
+
+
+def load_lines(lines: DataFrame, name: str, path: str, line: str = "line") -> dict[str, int]:
+    """Raw lines of table ``name`` parsed, fixed and written to ``path`` in one pass; the pass's quality counts.
+
+    ``rows``, ``null:column`` and ``unread:column`` (a text that a lenient column could not read). A line with such
+    a text keeps its row, as the fixes have it, and is quarantined beside it in the column ``unreadable_line``.
+    """
+    record = F.from_csv(F.col(line), _read_as(SCHEMAS[name]).simpleString()[len("struct<"):-1].replace(":", " "),
+                        {"mode": "PERMISSIVE", "nanValue": "NaN"})
+    raw = _typed(lines.select(F.col(line).alias("__line"), record.alias("__r")).select("__line", "__r.*"), SCHEMAS[name])
+    texts = {c: f"__text_{c}" for c in LENIENT.get(name, ())}
+    fixed = _fix(name, raw.withColumns({t: F.col(c) for c, t in texts.items()}))
+    unread = {c: F.col(t).isNotNull() & F.col(c).isNull() for c, t in texts.items()}
+    bad = F.lit(False)
+    for v in unread.values():
+        bad = bad | v
+    flags = {f"__unread_{c}": v for c, v in unread.items()}
+    out = fixed.withColumns(flags | {UNREADABLE: F.when(bad, F.col("__line"))})
+    kept = [c for c in out.columns if not c.startswith("__")]
+    seen = Observation()
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"null:{c}") for c in kept if c != UNREADABLE]
+    counts = [F.count_if(F.col(f"__unread_{c}")).alias(f"unread:{c}") for c in unread]
+    out.observe(seen, F.count(F.lit(1)).alias("rows"), *nulls, *counts).select(*kept).write.parquet(path)
+    return {k: int(v or 0) for k, v in seen.get.items()}
+
+
+def quarantined(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of a loaded table that could not be read whole."""
+    return spark.read.parquet(path).where(F.col(UNREADABLE).isNotNull()).select(UNREADABLE)
+
+
 def table_shapes(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per table: name, rows, columns (one count job per table, unioned)."""
     parts = [df.agg(F.count(F.lit(1)).alias("n_rows"))

@@ -178,3 +178,37 @@ def test_null_keys_are_refused_before_the_commit(spark, tmp_path):
         g.insert(spark.createDataFrame([("b",)], "v string"))
     (tmp_path / "f" / "v1" / "_commits" / "000000000001.json").write_text("{\"half")  # a writer that died
     assert g.insert(spark.createDataFrame([(3, "c")], KV)) == 2 and g.read(spark).count() == 2
+
+
+@pytest.mark.parametrize("bits", [128, 64, 3, 0])
+def test_duplicates_are_exact_where_fingerprints_meet(spark, bits):
+    """Few bits force different rows onto one fingerprint; nulls in different places are different rows."""
+    df = spark.range(3000).selectExpr("IF(id % 5 = 0, NULL, id % 400) a", "IF(id % 7 = 0, NULL, CAST(id % 3 AS STRING)) b").unionAll(
+        spark.createDataFrame([(None, "1"), (1, None)], "a long, b string"))
+    want = df.count() - df.distinct().count()
+    r = PR.duplicate_rows(df, bits=bits).first()
+    assert (r["n_rows"], r["duplicate_rows"]) == (3002, want)
+    assert PR.duplicate_rows(df.limit(0)).first()["duplicate_rows"] in (None, 0)
+
+
+def test_distinct_ids_from_bitmaps(spark):
+    ids = spark.range(50_000).selectExpr("CAST(IF(id % 11 = 0, NULL, (id * 7919) % 40000 - 20000) AS BIGINT) k", "id % 3 AS day")
+    want = ids.select("k").where("k IS NOT NULL").distinct().count()
+    assert PR.distinct_ids(ids, "k").first()["n"] == want
+    days = PR.id_bitmaps(ids, "k", ["day"])
+    assert PR.merged_ids(days).first()["n"] == want and days.count() < 20
+    plan = PR.distinct_ids(ids, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "partial_bitmap_construct_agg" in plan
+    sparse = spark.range(100).selectExpr("xxhash64(id) k", "CAST(id AS STRING) s")
+    out = PR.distinct_counts({"a": (ids, "k"), "b": (sparse, "k"), "c": (sparse, "s"), "d": (sparse.limit(0), "k")}).first()
+    assert tuple(out) == (want, 100, 100, 0)
+
+
+def test_load_lines_counts_in_one_pass(spark, tmp_path):
+    from haulstat.sources.tables import load_lines, quarantined
+    lines = ["r1,2019-02-01,700,12.0,1", "r1,not a date,800,NA,0", ",2019-02-02,900,3,", "r2,,100,1,0"]
+    counts = load_lines(spark.createDataFrame([(x,) for x in lines], "line string"), "traffic", f"{tmp_path}/t")
+    assert counts["rows"] == 4 and counts["unread:date"] == 1 and counts["null:date"] == 2
+    assert counts["null:route_id"] == 1 and counts["null:no_of_vehicles"] == 1 and counts["null:accident"] == 1
+    assert [r[0] for r in quarantined(spark, f"{tmp_path}/t").collect()] == [lines[1]]
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 4
