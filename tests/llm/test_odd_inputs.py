@@ -89,7 +89,13 @@ def test_preference_odd(spark):
             (1, 1, "assistant", None), (2, 0, "user", "alone"), (None, 0, "user", "x"), (4, 0, "assistant", "no neighbour")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     got = {r["pair_id"]: r for r in preferences(clashing(df)).collect()}
-    assert set(got) == {0, 1}
-    assert got[1]["prompt"] == "<|user|>\n\n<|end|>\n" and got[1]["chosen"] == "<|assistant|>\n\n<|end|>\n"
-    assert got[0]["n_prompt_turns"] == 2 and got[0]["chosen_mask"] == "14:15" and got[0]["rejected_mask"] == "14:14"
+    assert set(got) == {0, 1, 2, 4}
+    assert got[4]["chosen"] == "<|assistant|>\nno neighbour\n<|end|>\n" and got[4]["prompt"] == ""  # its partner asks first
+    assert got[2]["chosen"] == "<|user|>\nalone\n<|end|>\n" and got[2]["chosen_mask"] == ""
+    assert got[2]["rejected"] == got[4]["chosen"] and got[2]["rejected_mask"] == "14:26"
+    assert got[1]["n_prompt_turns"] in (0, 1) and got[1]["chosen"].endswith("<|assistant|>\n\n<|end|>\n")
+    one = preferences(df.where("conv_id = 2")).first()
+    assert one["prompt"] == "<|user|>\nalone\n<|end|>\n" and one["chosen"] == one["rejected"] == "" and one["n_prompt_turns"] == 1
+    three = preferences(df.where("conv_id IN (0, 1, 2)")).collect()
+    assert {r["pair_id"] for r in three} == {0, 1, 2}  # the one left over takes the first one's branch
     assert preferences(df.limit(0)).count() == 0

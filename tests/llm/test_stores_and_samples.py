@@ -136,6 +136,8 @@ def test_preferences_equal_sql(spark, con):
     want = con.execute(preference.oracle())
     names = [d[0] for d in want.description]
     assert sorted(tuple(r[n] for n in names) for r in got) == sorted(want.fetchall())
+    ids = con.execute("SELECT count(DISTINCT conv_id) FROM conversations").fetchone()[0]
+    assert len(got) == ids and len({r["n_prompt_turns"] for r in got}) > 3  # every conversation, branches at many depths
 
 
 def test_preference_prefix_and_masks(spark):
