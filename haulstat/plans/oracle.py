@@ -671,3 +671,67 @@ SELECT batch_id, n AS rows_written, n AS rows_read FROM (
     SELECT 0 AS batch_id, count(*) AS n FROM orders
     UNION ALL SELECT 1, count(*) FROM orders WHERE o_orderstatus = 'O'
     UNION ALL SELECT 3, count(*) FROM orders WHERE o_orderkey % 10 = 0)"""
+
+SQL["published_trips"] = f"""
+WITH f AS ({SQL["trip_features"]})
+SELECT * REPLACE (CASE WHEN is_weekend_departure = 1 THEN 1 - high_traffic ELSE high_traffic END AS high_traffic),
+       CAST(is_weekend_departure = 1 AS INTEGER) AS batch_id FROM f"""
+
+# ---------------------------------------------------------------- files
+
+SQL["file_shapes"] = with_ctes("trips", "readings", "city_series", "routes") + """
+SELECT 'drivers' AS table_name, count(*) AS n_rows, 9 AS n_cols FROM customer
+UNION ALL SELECT 'trucks', count(*), 5 FROM customer
+UNION ALL SELECT 'routes', count(*), 5 FROM routes
+UNION ALL SELECT 'traffic', count(*), 6 FROM readings
+UNION ALL SELECT 'truck_schedule', count(*), 5 FROM trips
+UNION ALL SELECT 'city_weather', count(*), 14 FROM city_series
+UNION ALL SELECT 'routes_weather', count(*), 12 FROM readings"""
+
+SQL["file_schedule"] = with_ctes("trips") + """
+SELECT CAST(truck_id AS VARCHAR) AS truck_id, CAST(route_id AS VARCHAR) AS route_id, departure_date, estimated_arrival, delay
+FROM trips"""
+
+SQL["file_routes_weather"] = with_ctes("readings") + f"""
+SELECT CAST(route_id AS VARCHAR) AS route_id, ts AS date, {", ".join(_W)} FROM readings"""
+
+SQL["file_city_weather"] = with_ctes("city_series") + f"""
+SELECT CAST(city_id AS VARCHAR) AS city_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS date, CAST(city_id % 24 AS INTEGER) AS hour,
+       {", ".join(_rnd(c, c) for c in _W)},
+       CAST(CAST(ts AS DATE) AS TIMESTAMP) + to_hours(CAST(city_id % 24 AS INTEGER)) AS timestamp
+FROM city_series"""
+
+
+def _measure(table: str, by: str, add: str | None = None, src: str | None = None) -> str:
+    total = f"round(sum(CAST({add} AS DOUBLE)) * 1e4) / 1e4" if add else "CAST(NULL AS DOUBLE)"
+    return (f"SELECT '{table}' AS table_name, '{by}' AS measure, CAST({by} AS VARCHAR) AS value, count(*) AS n_rows, "
+            f"{total} AS total FROM {src or table} GROUP BY {by}")
+
+
+SQL["reference_tables"] = with_ctes("drivers", "trucks", "routes", "readings", "city_series", extra=[
+    ("d0", """SELECT CASE WHEN vehicle_no % 7 <> 0 THEN gender END AS gender,
+                     CASE WHEN vehicle_no % 11 <> 0 THEN driving_style END AS driving_style FROM drivers"""),
+    ("d", f"""SELECT coalesce(gender, {_mode("d0", "gender")}) AS gender,
+                     coalesce(driving_style, {_mode("d0", "driving_style")}) AS driving_style FROM d0"""),
+    ("t0", """SELECT CASE WHEN truck_id % 13 <> 0 THEN fuel_type END AS fuel_type,
+                     CASE WHEN truck_id % 17 <> 0 THEN load_capacity_pounds END AS load_capacity_pounds FROM trucks"""),
+    ("t", f"""SELECT coalesce(fuel_type, {_mode("t0", "fuel_type")}) AS fuel_type,
+                     coalesce(load_capacity_pounds, (SELECT median(load_capacity_pounds) FROM t0)) AS load_capacity_pounds
+              FROM t0"""),
+    ("v0", """SELECT route_id, CAST(visibility AS INTEGER) AS hour, accident,
+                     CASE WHEN wind_speed <> 7 THEN no_of_vehicles END AS no_of_vehicles FROM readings"""),
+    ("vm", "SELECT route_id, median(no_of_vehicles) AS m FROM v0 GROUP BY 1"),
+    ("v", """SELECT route_id, hour, accident, coalesce(no_of_vehicles, m) AS no_of_vehicles
+             FROM v0 JOIN vm USING (route_id)"""),
+    ("c", "SELECT city_id, CAST(city_id % 24 AS INTEGER) AS hour, pressure, temp FROM city_series")]) + "\nUNION ALL\n".join([
+        _measure("drivers", "gender", src="d"), _measure("drivers", "driving_style", src="d"),
+        _measure("trucks", "fuel_type", "load_capacity_pounds", "t"), _measure("routes", "route_id", "distance"),
+        _measure("traffic", "route_id", "no_of_vehicles", "v"), _measure("traffic", "hour", "accident", "v"),
+        _measure("city_weather", "city_id", "pressure", "c"), _measure("city_weather", "hour", "temp", "c"),
+        _measure("routes_weather", "route_id", "temp", "readings")])
+
+SQL["final_dataset"] = f"""
+WITH f AS ({SQL["trip_features"]})
+SELECT *, CAST(CAST(departure_date AS DATE) AS TIMESTAMP) AS departure_day FROM f"""
+
+SQL["preview"] = "SELECT * FROM events ORDER BY event_id LIMIT 5"

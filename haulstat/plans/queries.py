@@ -29,10 +29,19 @@ from haulstat.operators.features import align_columns, fit_categories, high_quan
 from haulstat.operators.split import split_periods, time_split
 from haulstat.sources.feature_store import FeatureGroup, get_or_create
 from haulstat.sources.snapshots import kept_folder, snapshot, stored
-from haulstat.sources.tables import fixed_frame, load_lines, parse_lines, quarantined
+from haulstat.sources.sinks import write_features
+from haulstat.sources.tables import fixed_frame, load_all, load_lines, load_table, parse_lines, quarantined, table_shapes
 from haulstat.plans import bindings as B
 from haulstat.plans import trips as P
-from haulstat.plans.train import feature_importances, load, predict_delay, save, train_and_evaluate
+from haulstat.plans.rawfiles import measured, raw_files
+from haulstat.plans.train import (
+    feature_importances,
+    load,
+    load_reference_tables,
+    predict_delay,
+    save,
+    train_and_evaluate,
+)
 
 R = 6  # decimal places of every floating output
 
@@ -611,6 +620,64 @@ def q_feature_store_counts(spark: SparkSession, sf: str) -> DataFrame:
     return written.join(read, "batch_id", "left").select("batch_id", "rows_written", "rows_read")
 
 
+def q_published_trips(spark: SparkSession, sf: str) -> DataFrame:
+    """The trips' features published as a first batch, weekend trips again with another traffic flag: the newest rows."""
+    def write(path: str) -> None:
+        full = P.engineer_features(trip_dataset(spark, sf))
+        P.publish_features(full, path, keys=["trip_id"])
+        late = full.where(F.col("is_weekend_departure") == 1).withColumn("high_traffic", F.lit(1) - F.col("high_traffic"))
+        P.publish_features(late, path, keys=["trip_id"])
+
+    path = kept_folder(spark, "published-trips", _inputs(sf), "weekend", write)
+    group = get_or_create(path, P.FEATURE_GROUP_NAME, P.FEATURE_GROUP_VERSION, ["trip_id"], "departure_date")
+    latest = group.read(spark, with_batch=True).withColumn("batch_id", F.col("batch_id").cast("int"))
+    return _round_doubles(latest)
+
+
+# ---------------------------------------------------------------- files
+
+def _files(spark: SparkSession, sf: str) -> dict[str, str]:
+    return raw_files(spark, sf, _inputs(sf))
+
+
+def q_file_shapes(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and columns of the seven raw tables, read from their files."""
+    return table_shapes(load_all(spark, _files(spark, sf)))
+
+
+def q_file_schedule(spark: SparkSession, sf: str) -> DataFrame:
+    """The schedule from its file: both times must be readable, else the load fails."""
+    return load_table(spark, "truck_schedule", _files(spark, sf)["truck_schedule"])
+
+
+def q_file_routes_weather(spark: SparkSession, sf: str) -> DataFrame:
+    """Route weather from its file, its date column renamed and read strictly."""
+    return load_table(spark, "routes_weather", _files(spark, sf)["routes_weather"])
+
+
+def q_file_city_weather(spark: SparkSession, sf: str) -> DataFrame:
+    """City weather from its file: clock hours normalised, the reading's time from date and hour."""
+    return _round_doubles(load_table(spark, "city_weather", _files(spark, sf)["city_weather"]))
+
+
+def q_reference_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """All tables that new trips are joined with, read from their files and cleaned: rows and totals by category."""
+    return measured(load_reference_tables(spark, _files(spark, sf))).withColumn("total", _r("total", 4))
+
+
+def q_final_dataset(spark: SparkSession, sf: str) -> DataFrame:
+    """The final features as written by departure day and read back."""
+    path = kept_folder(spark, "final-features", _inputs(sf), "day",
+                       lambda p: write_features(P.engineer_features(trip_dataset(spark, sf)), p))
+    rows = spark.read.parquet(path)
+    return _round_doubles(rows.withColumn("departure_day", F.col("departure_day").cast("timestamp_ntz")))
+
+
+def q_preview(spark: SparkSession, sf: str) -> DataFrame:
+    """The first rows of the events in the order of their ids."""
+    return PR.preview(B.table(spark, sf, "events").orderBy("event_id"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "interval_traffic": q_interval_traffic,
     "interval_weather": q_interval_weather,
@@ -674,4 +741,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pred_vs_actual": q_pred_vs_actual,
     "feature_store_latest": q_feature_store_latest,
     "feature_store_counts": q_feature_store_counts,
+    "published_trips": q_published_trips,
+    "file_shapes": q_file_shapes,
+    "file_schedule": q_file_schedule,
+    "file_routes_weather": q_file_routes_weather,
+    "file_city_weather": q_file_city_weather,
+    "reference_tables": q_reference_tables,
+    "final_dataset": q_final_dataset,
+    "preview": q_preview,
 }
