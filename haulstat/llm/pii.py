@@ -14,17 +14,22 @@ are voted on by five labelers, each of which says yes, no or nothing:
 A candidate's *pattern* is its kind, length class and votes. Patterns are
 counted over all documents in Spark; there are at most
 kinds x lengths x 3 ** labelers of them, so this table is bounded however many
-texts there are. On it run, on the driver, expectation-maximisation (per
+texts there are. On it expectation-maximisation runs on the driver (per
 labeler and class the probability of each vote, per kind the share of true
-spans) and the fit of the final classifier, a logistic regression on kind,
-length and votes whose targets are the estimated posteriors. A candidate is
-added if the classifier gives its pattern at least ``THRESHOLD`` and it
-overlaps no base span.
+spans). Its posteriors are the targets of the final classifier, a logistic
+regression that sees no votes but the span itself: kind, length, the shape of
+its characters, how many differ, and the words before and after it, hashed
+into ``BINS`` features. So it also tells spans apart on which the labelers agree, by
+what spans like them were given elsewhere. It is fitted on about ``FIT_SPANS``
+different (pattern, features) rows, chosen by a hash of their content and weighted by the
+logarithm of their counts; fewer are all taken. A candidate is added if the
+classifier gives it at least ``THRESHOLD`` and it overlaps no base span.
 
 Texts are read once, in ``mapInArrow``; what is found (one small row per
 document) is written to the shared folder and read again to decide.
 
-Null text: treated as empty. Repeated rows: each gives its own row. Nothing
+Null text: treated as empty. Repeated rows: each gives its own row. Very long texts are searched
+whole, in time linear in their length. Empty table: no rows. Extra columns are ignored, whatever their names. Nothing
 found: counts 0, empty ``spans``. Ties between spans at one start: in the order
 of ``KINDS``, longer first, and the later one is dropped where they overlap.
 """
@@ -34,6 +39,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -47,7 +53,10 @@ BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "secret", "local_phone", "identity", "name")
 LABELERS = ("shape", "entropy", "gazetteer", "context", "edges")
 THRESHOLD = 0.5
-EM_ROUNDS, FIT_ROUNDS = 50, 400
+EM_ROUNDS, FIT_ROUNDS = 50, 300
+FIT_SPANS, BINS, RATE, L2 = 20_000, 1 << 12, 0.5, 1e-5
+LONG_SHAPE = 16  # longer shapes, of random characters, are told by their length alone
+AROUND = 48  # characters before and after a span in which its neighbouring words are looked for
 PRIOR = ((3.0, 9.0), (9.0, 3.0))  # pseudo-votes (yes, no) of each labeler on false and on true spans
 
 LOCAL_PART = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -175,19 +184,42 @@ def pattern(text: str, start: int, kind: int, end: int) -> str:
     return f"{KINDS[kind]}/{size}/{votes(text, start, kind, end)}"
 
 
+RUNS = (re.compile("[A-Z]+"), re.compile("[a-z]+"), re.compile("[0-9]+"))
+WORD = re.compile(r"\w+")
+
+
+def marks(text: str, start: int, kind: int, end: int) -> list[int]:
+    """Hashed features of a span that no labeler sees: its characters' shape and variety, the words around it."""
+    span, name = text[start:end], KINDS[kind]
+    shape = span
+    for runs, one in zip(RUNS, "Aa9"):
+        shape = runs.sub(one, shape)
+    whole = shape if len(shape) <= LONG_SHAPE else f"long/{len(shape).bit_length()}"
+    before = ["", "", *WORD.findall(text[max(0, start - AROUND):start].lower())]
+    after = WORD.search(text[end:end + AROUND].lower())
+    told = (name, f"{name}/{(end - start).bit_length()}", f"{name}/shape/{whole}", f"head/{shape[:4]}", f"tail/{shape[-4:]}",
+            f"{name}/differ/{len(set(span)) // 3}", f"before/{before[-1]}", f"{name}/before/{before[-1]}",
+            f"before/{before[-2]} {before[-1]}", f"after/{after.group() if after else ''}")
+    return [zlib.crc32(t.encode()) % BINS for t in told]
+
+
 def joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in sorted(spans))
 
 
-FOUND = ("n_email long, n_ip long, n_card long, n_phone long, base string, base_patterns array<string>, "
-         "further array<struct<start:int,kind:int,stop:int,pattern:string>>")
+FOUND = ("n_email long, n_ip long, n_card long, n_phone long, base string, "
+         "known array<struct<pattern:string,marks:array<int>>>, "
+         "further array<struct<start:int,kind:int,stop:int,pattern:string,marks:array<int>>>")
 
 
 def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, base counts and spans, and the further candidates with their patterns."""
+    """Per row: id, base counts and spans, the base spans' and the further candidates' patterns and features."""
     any_digit = re.compile("[0-9]")
-    further_type = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("stop", pa.int32()),
-                                       ("pattern", pa.string())]))
+    seen = [("pattern", pa.string()), ("marks", pa.list_(pa.int32()))]
+    further_type = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("stop", pa.int32()), *seen]))
+
+    def told(text, s, k, e):
+        return {"pattern": pattern(text, s, k, e), "marks": marks(text, s, k, e)}
 
     def run(batches):
         for b in batches:
@@ -199,14 +231,14 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
                 further = further_spans(text, base, digit)
                 kinds = Counter(k for _, k, _ in base)
                 for col, v in zip(out, (*(kinds[k] for k in range(4)), joined(base),
-                                        [pattern(text, s, k, e) for s, k, e in base],
-                                        [{"start": s, "kind": k, "stop": e, "pattern": pattern(text, s, k, e)}
+                                        [told(text, s, k, e) for s, k, e in base],
+                                        [{"start": s, "kind": k, "stop": e, **told(text, s, k, e)}
                                          for s, k, e in further])):
                     col.append(v)
-            types = [pa.int64()] * 4 + [pa.string(), pa.list_(pa.string()), further_type]
+            types = [pa.int64()] * 4 + [pa.string(), pa.list_(pa.struct(seen)), further_type]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *[pa.array(v, t) for v, t in zip(out, types)]],
-                ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base", "base_patterns", "further"])
+                ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base", "known", "further"])
 
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("__text"))
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {FOUND}")
@@ -243,51 +275,53 @@ def estimate(patterns: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray]:
     return post, said
 
 
-def features(patterns: list[str]) -> np.ndarray:
-    out = np.zeros((len(patterns), 1 + len(KINDS) + 4 + 2 * len(LABELERS)))
-    for x, p in zip(out, patterns):
-        kind, size, vote = p.split("/")
-        x[0] = 1
-        x[1 + KINDS.index(kind)] = 1
-        x[1 + len(KINDS) + int(size)] = 1
-        for j, c in enumerate(vote):
-            if c != "-":
-                x[1 + len(KINDS) + 4 + 2 * j + (c == "n")] = 1
-    return out
+def fit(rows: list[tuple[list[int], float, float]]) -> np.ndarray:
+    """Weights of the final classifier from (features, target, weight) rows: logistic loss, adaptive steps over all rows."""
+    w = np.zeros(BINS)
+    if not rows:
+        return w
+    x = np.array([r[0] for r in rows])
+    target, weight = (np.array([r[i] for r in rows], dtype=float) for i in (1, 2))
+    weight /= weight.sum()
+    squares = np.full(BINS, 1e-12)
+    for _ in range(FIT_ROUNDS):
+        miss = weight * (1 / (1 + np.exp(-np.clip(w[x].sum(1), -35, 35))) - target)
+        g = np.bincount(x.ravel(), np.repeat(miss, x.shape[1]), BINS) + L2 * w
+        squares += g * g
+        w -= RATE * g / np.sqrt(squares)
+    return w
+
+
+def probability(w: np.ndarray, features: list[int]) -> float:
+    return 1 / (1 + math.exp(-min(35.0, max(-35.0, float(w[features].sum())))))
 
 
-def classify(patterns: list[tuple[str, int]]) -> dict[str, float]:
-    """Probability of every counted pattern under the final classifier."""
+def span_classifier(found: DataFrame) -> np.ndarray:
+    """Weights fitted on what ``find`` found. To the driver go the counted patterns (a bounded table) and the bounded sample."""
+    every = F.concat("known", F.transform("further", lambda x: F.struct(x["pattern"].alias("pattern"), x["marks"].alias("marks"))))
+    counted = stored(found.select(F.explode(every).alias("x")).groupBy("x.pattern", "x.marks").count(), "pii-spans")
+    by_pattern = counted.groupBy("pattern").agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
+    patterns = sorted((r["pattern"], r["n"]) for r in by_pattern)
     if not patterns:
-        return {}
-    target, _ = estimate(patterns)
-    x = features([p for p, _ in patterns])
-    weight = np.log1p(np.array([n for _, n in patterns], dtype=float))
-    weight /= weight.sum()
-    w = np.zeros(x.shape[1])
-    for _ in range(FIT_ROUNDS):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
-        h = (x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + 1e-4 * np.eye(x.shape[1])
-        step = np.linalg.solve(h, x.T @ (weight * (target - p)) - 1e-4 * w)
-        w += np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-8:
-            break
-    return dict(zip([p for p, _ in patterns], (1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))).tolist()))
+        return fit([])
+    posterior = dict(zip([p for p, _ in patterns], estimate(patterns)[0].tolist()))
+    share = min(1.0, FIT_SPANS / sum(r["rows"] for r in by_pattern))
+    some = counted.where(F.pmod(F.xxhash64("pattern", "marks"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    return fit([(m, posterior[p], math.log1p(n)) for p, m, n in sorted(
+        (r["pattern"], r["marks"], r["count"]) for r in some.collect())])
 
 
 def personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``df``: doc_id, base counts, ``base_spans``, ``base_sha256``, ``spans`` (all) and ``n_further``."""
     found = stored(find(df, id_col, text_col), "pii")
-    every = F.concat("base_patterns", F.transform("further", lambda x: x["pattern"]))
-    counted = found.select(F.explode(every).alias("p")).groupBy("p").count()
-    model = classify(sorted((r["p"], r["count"]) for r in counted.collect()))  # bounded: see the module's text
-    good = {p for p, q in model.items() if q >= THRESHOLD}
+    w = span_classifier(found)
 
     def run(batches):
         for b in batches:
             base, sha, spans, n = b.column(5).to_pylist(), [], [], []
             for known, further in zip(base, b.column(6).to_pylist()):
-                more = [(x["start"], x["kind"], x["stop"]) for x in further if x["pattern"] in good]
+                more = [(x["start"], x["kind"], x["stop"]) for x in further
+                        if probability(w, x["marks"]) >= THRESHOLD]
                 own = [(int(s), KINDS.index(k), int(e)) for k, s, e in (x.split(":") for x in known.split(",") if x)]
                 sha.append(hashlib.sha256(known.encode()).hexdigest())
                 spans.append(joined(own + more))
@@ -298,6 +332,6 @@ def personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_spans", "base_sha256", "spans", "n_further"])
 
     kind = found.schema["doc_id"].dataType.simpleString()
-    return found.drop("base_patterns").mapInArrow(
+    return found.drop("known").mapInArrow(
         run, f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_spans string, "
              "base_sha256 string, spans string, n_further long")
