@@ -15,19 +15,27 @@ exceed the limit are cut into parts: rows above half the limit alone, others by
 their running sum in steps of half the limit, so each part fits unless a
 single row does not. A row larger than the limit is a shard of its own.
 
-Null text: 0 bytes. Null id: the hash of the empty string. Empty table: no
-rows. Repeated rows are all assigned. Extra columns are ignored.
+``write`` puts every row, with all its columns, into its shard's file and the directory beside them. Rows
+find their bucket in the directory as they are read (by the bits that all buckets share, then by
+the bucket's own), so their texts are shuffled once, to their shard.
+
+Null text: 0 bytes. Null id: the hash of the empty string. Very long texts: counted whole; one above the limit is
+a shard alone. Ties: rows of one hash share a bucket until it must be cut into parts. Empty table: no
+rows, an empty directory. Repeated rows are all assigned. Extra columns are ignored by ``sharding`` and kept by ``write``,
+whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from haulstat.llm.common import stored
+from haulstat.llm.common import broadcast_small, free_name, numbered, stored
 
 BITS, STEP = 60, 6
 SHARD_BYTES = 1 << 20
+WRITE_BYTES = 256 << 20  # bytes of text of a written shard
+DIRECTORY_ROWS = 2_000_000  # buckets up to which the directory is broadcast (about 20 bytes each)
 PART_ROWS = 100_000  # rows of one undividable bucket that are cut together
 
 
@@ -74,6 +82,12 @@ def assign(sizes: DataFrame, leaves: DataFrame, full: DataFrame, limit: int) ->
     at = sizes.withColumn("depth", F.explode(F.array(*[F.lit(d) for d in depths]).cast("array<int>")))
     at = at.withColumn("prefix", prefix(F.col("h"), F.col("depth")))
     placed = at.join(leaves.select("depth", "prefix"), ["depth", "prefix"]).withColumn("part", F.lit(0).cast("long"))
+    cols = [*sizes.columns, "depth", "prefix", "part"]
+    return placed.select(cols).unionByName(parts(sizes, full, limit).select(cols))
+
+
+def parts(sizes: DataFrame, full: DataFrame, limit: int) -> DataFrame:
+    """The rows of the prefixes of ``BITS`` bits that hold too much, cut into parts."""
     rest = (sizes.withColumn("prefix", F.col("h")).join(full, "prefix", "left_semi")
             .withColumn("depth", F.lit(BITS)).withColumn("__row", F.monotonically_increasing_id()))
     count = rest.groupBy("prefix").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).alias("__n"))
@@ -83,8 +97,7 @@ def assign(sizes: DataFrame, leaves: DataFrame, full: DataFrame, limit: int) ->
     step = F.when(alone, F.row_number().over(w) - 1).otherwise(
         F.floor((F.sum("n_bytes").over(w) - F.col("n_bytes")) * 2 / limit))
     rest = rest.withColumn("part", ((step * F.col("__n") + F.col("__salt")) * 2 + alone.cast("int")).cast("long"))
-    cols = [*sizes.columns, "depth", "prefix", "part"]
-    return placed.select(cols).unionByName(rest.select(cols))
+    return rest
 
 
 def sharding(df: DataFrame, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -92,11 +105,56 @@ def sharding(df: DataFrame, limit: int = SHARD_BYTES, id_col: str = "doc_id", te
     sizes = stored(df.select(F.col(id_col).alias("doc_id"), hash_bits(F.col(id_col)).alias("h"),
                              F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes")), "shard-sizes")
     leaves, full = directory(sizes, limit)
-    bits = F.when(F.col("depth") == 0, "").otherwise(
-        F.expr(f"substring(lpad(bin(h), {BITS}, '0'), 1, depth)"))
     return assign(sizes, leaves, full, limit).select(
         "doc_id", "n_bytes", F.col("depth").cast("int").alias("depth"), "prefix", "part",
-        F.concat(bits, F.lit("."), F.col("part").cast("string")).alias("shard"))
+        shard_name("h", "depth", "part").alias("shard"))
+
+
+def shard_name(h: str, depth: str, part: str) -> Column:
+    """The hash bits that the bucket uses, a point, the part."""
+    bits = F.when(F.col(depth) == 0, "").otherwise(F.expr(f"substring(lpad(bin(`{h}`), {BITS}, '0'), 1, `{depth}`)"))
+    return F.concat(bits, F.lit("."), F.col(part).cast("string"))
+
+
+def folder_name(h: str, depth: str, part: str) -> Column:
+    """A shard's name with a letter before it, so that a reader of folders takes it for text."""
+    return F.concat(F.lit("b"), shard_name(h, depth, part))
+
+
+def write(df: DataFrame, path: str, limit: int = WRITE_BYTES, id_col: str = "doc_id", text_col: str = "text") -> None:
+    """Writes ``path``/data, one file per shard in the folder shard=name, and ``path``/directory.
+
+    The directory holds per shard its name, depth, prefix, part, n_rows and n_bytes. An input column called
+    ``shard`` is kept; the folders' column then has an underscore before its name.
+    """
+    row, h, depth, part, shard = (free_name(df, n) for n in ("__row", "__h", "__depth", "__part", "shard"))
+    rows = numbered(df, row)
+    sizes = stored(rows.select(F.col(row).alias("row"), hash_bits(F.col(id_col)).alias("h"),
+                               F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes")), "shard-sizes")
+    leaves, full = directory(sizes, limit)
+    assigned = assign(sizes, leaves, full, limit).withColumn("shard", folder_name("h", "depth", "part"))
+    (assigned.groupBy("shard", F.col("depth").cast("int").alias("depth"), "prefix", "part")
+     .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("n_bytes").alias("n_bytes")).write.parquet(f"{path}/directory"))
+
+    shared = leaves.agg(F.min("depth")).first()[0] or 0  # bits that all buckets use
+    own = F.lit(BITS) - F.col("__d")
+    buckets = broadcast_small(leaves.select(
+        F.col("depth").alias("__d"), F.col("prefix").alias("__p"),
+        F.call_function("shiftright", "prefix", F.col("depth") - F.lit(shared)).alias("__c")), DIRECTORY_ROWS)
+    at = rows.withColumn(h, hash_bits(F.col(id_col)))
+    found = at.join(buckets, (prefix(F.col(h), shared) == F.col("__c")) & (F.call_function("shiftright", h, own) == F.col("__p")))
+    found = found.withColumns({depth: F.col("__d"), part: F.lit(0).cast("long")})
+    cut = parts(sizes, full, limit).select(F.col("row").alias("__r"), F.col("part").alias("__n"))
+    rest = at.join(cut, F.col(row) == F.col("__r")).withColumns({depth: F.lit(BITS), part: F.col("__n")})
+    kept = [F.col(f"`{c}`") for c in df.columns]
+    both = [x.withColumn(shard, folder_name(h, depth, part)).select(*kept, shard) for x in (found, rest)]
+    both[0].unionByName(both[1]).repartition(shard).write.partitionBy(shard).parquet(f"{path}/data")
+
+
+def read(spark: SparkSession, path: str, shard: str | None = None) -> DataFrame:
+    """The rows of a written store, or of one shard, whose folder alone is then read."""
+    rows = spark.read.parquet(f"{path}/data")
+    return rows if shard is None else rows.where(F.col(rows.columns[-1]) == shard)
 
 
 def oracle(limit: int = SHARD_BYTES, documents: str = "documents") -> str:

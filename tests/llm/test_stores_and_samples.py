@@ -1,6 +1,7 @@
 """Token store, sharding, mixing and preference pairs."""
 
 import itertools
+import random
 import zlib
 
 import duckdb
@@ -43,6 +44,15 @@ def test_encoder_equals_whole_texts():
         assert [np.frombuffer(x, dtype=e.type).tolist() for x in e.encode(ODD)] == [w[:-1] for w in want]
 
 
+def test_encoder_equals_whole_texts_on_random_marks():
+    rng = random.Random(11)
+    pieces = ["a", "Word", "é", "12", "'", "'s", "'ll", "$$$", "###", "%", "&", "*", "-", "/", "<", ">", "=", "@", "^", "_", "|", "~", "(",
+              ")", "[", "]", "{", "}", '"', ".", ",", "!", "?", ";", ":", " ", " ", " ", "\n", "ª", "º", "²", "٣", "ʼ"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(1, 24))) for _ in range(20_000)]
+    e = token_store.Encoder(VOCABULARY)
+    assert [np.frombuffer(x, dtype=e.type).tolist() for x in e.encode(texts)] == [w[:-1] for w in ids_of(texts)]
+
+
 def test_store_round_trip(spark, monkeypatch):
     monkeypatch.setattr(token_store, "BUCKET_BYTES", 300_000)
     monkeypatch.setattr(token_store, "SEGMENT_BYTES", 50_000)
@@ -152,3 +162,35 @@ def test_preference_prefix_and_masks(spark):
             learned = [got[i][side][m["start"]:m["stop"]] for m in got[i][f"{side}_mask"]]
             assert learned == [t for role, t in after if role == "assistant"]
             assert got[i]["prompt"] + got[i][side] == "".join(f"<|{r}|>\n{t}\n<|end|>\n" for r, t in turns)
+
+
+@pytest.mark.parametrize("limit", [60_000, 3_000, 1 << 40])
+def test_written_shards(spark, tmp_path, limit):
+    """Every row once with all its columns; a shard is one file within the limit, unless one row is larger; the directory says the same."""
+    df = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars").unionByName(
+        docs(spark, [*((None, "n" * 900, None, "a") for _ in range(150)), *((7, "s" * 500, "en", None) for _ in range(100)),
+                     (8, None, "en", "a"), (9, "", "en", "a"), (10, "x" * 100_000, "en", "a")]))
+    df = df.withColumns({"shard": F.lit("?"), "__h": F.lit("h"), "depth": F.lit(1), "h": F.lit(2), "row": F.lit(3)})
+    df.write.parquet(str(tmp_path / "in"))
+    df = spark.read.parquet(str(tmp_path / "in"))
+    sharding.write(df, str(tmp_path / "out"), limit)
+    out = sharding.read(spark, str(tmp_path / "out"))
+    assert out.columns == [*df.columns, "_shard"]
+    assert sorted(map(repr, out.select(*df.columns).collect())) == sorted(map(repr, df.collect()))
+    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)))
+    held = {r["_shard"]: (r["n"], r["b"], r["f"]) for r in out.withColumn("file", F.input_file_name()).groupBy("_shard").agg(
+        F.count(F.lit(1)).alias("n"), size.alias("b"), F.countDistinct("file").alias("f")).collect()}
+    told = spark.read.parquet(str(tmp_path / "out" / "directory")).collect()
+    assert {r["shard"]: (r["n_rows"], r["n_bytes"], 1) for r in told} == held
+    assert all(b <= limit or n == 1 for n, b, _ in held.values())
+    plain = {(r["doc_id"], r["n_bytes"], r["depth"]) for r in sharding.sharding(df, limit).collect()}
+    depths = {r["shard"]: r["depth"] for r in told}
+    got = out.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("n_bytes"), "_shard").collect()
+    assert {(r["doc_id"], r["n_bytes"], depths[r["_shard"]]) for r in got} == plain
+    one = next(iter(held))
+    assert sharding.read(spark, str(tmp_path / "out"), one).count() == held[one][0]
+
+
+def test_written_shards_of_an_empty_table(spark, tmp_path):
+    sharding.write(docs(spark, []), str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out" / "directory")).count() == 0
