@@ -28,7 +28,7 @@ numbered by a dictionary; distinct pieces not met before are encoded, the
 ids of all are taken by number from a bounded table. Texts that hold one of the
 tokenizer's own markers, and all texts of other kinds of tokenizers, are encoded as they are.
 
-Null text: empty, one end id. Repeated ids: all rows kept, neighbours in
+Null text: empty, one end id. Very long texts are encoded whole, as a slice of their own. Repeated ids: all rows kept, neighbours in
 unspecified order among themselves. Null ids come first. Empty table: a store
 without segments. Extra columns are ignored.
 """
@@ -57,7 +57,7 @@ SEGMENT_BYTES = 1 << 20
 BUCKET_BYTES = 32 << 20  # text per bucket
 CACHE_PIECES = 1_500_000
 SLICE_BYTES = 8 << 20  # text encoded at a time
-MARKS = ".,;:!?"
+MARKS = ".,;:!?#$%&*+-/<=>@^_|~()[]{}"  # no apostrophe: it may be one piece with letters after it
 SAFE_CUT = re.compile(r" (?=\S)")
 BARE = "\0"  # before a piece: it does not follow a space
 #: Texts that are not cut at each space and line break: other white space, runs of it, or some at either end.
@@ -98,7 +98,10 @@ class Pieces:
         length = self.length[numbers]
         ends = np.cumsum(length)
         total = int(ends[-1]) if len(ends) else 0
-        return self.data[np.repeat(self.start[numbers] - (ends - length), length) + np.arange(total)], ends
+        kind = np.int32 if max(total, self.used) < 1 << 31 else np.int64
+        at = np.repeat((self.start[numbers] - (ends - length)).astype(kind), length)
+        at += np.arange(total, dtype=kind)
+        return self.data[at], ends
 
 
 class Encoder:
@@ -172,8 +175,12 @@ class Encoder:
         names = found.dictionary.to_pylist()
         if len(self.pieces.number) + len(names) > CACHE_PIECES:
             self.pieces.clear()
-        self._learn([p for p in names if p not in self.pieces.number])
-        number = np.fromiter(map(self.pieces.number.__getitem__, names), dtype=np.int64, count=len(names))
+        known = self.pieces.number
+        numbers = [-1 if n is None else n for n in map(known.get, names)]
+        number = np.array(numbers, dtype=np.int32)
+        new = np.flatnonzero(number < 0).tolist()
+        self._learn([names[i] for i in new])
+        number[new] = [known[names[i]] for i in new]
         ids, ends = self.pieces.gather(number[found.indices.to_numpy()])
         offsets = parts.offsets.to_numpy() - parts.offsets[0].as_py()
         at = np.concatenate([[0], ends])[offsets] * self.width
@@ -228,6 +235,7 @@ def _encoded(df: DataFrame, path: str, schema: str, make) -> DataFrame:
                 till = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_BYTES, "right")))
                 part = b.slice(at, till - at)
                 yield make(part.column(0), [x + end for x in enc.encode(texts.slice(at, till - at))], enc.width)
+                pa.default_memory_pool().release_unused()
                 at = till
     return df.mapInArrow(run, schema)
 
