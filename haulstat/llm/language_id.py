@@ -22,7 +22,7 @@ Defined results: null text or text without a letter: ``und`` with score 0;
 no language to learn (empty table, no labelled row): ``und`` for all; repeated
 rows: each predicted alike; a letter unknown to the vocabulary has one fixed
 small probability in every language; letter runs of any length are summed over
-all their segmentations, those beyond ``LONGEST`` letters in a scaled pass (only the bounded
+all their segmentations, however long the text, those beyond ``LONGEST`` letters in a scaled pass (only the bounded
 fit learns from them in parts of that length); equal scores: the first language by name;
 extra columns are ignored.
 """

@@ -27,7 +27,8 @@ probability, so it can be repeated, and repeated ids are kept or left together.
 
 Null source or language: a value of its own, ``(none)``. Null text: no tokens;
 documents without tokens follow their cell. A cell without tokens has
-probability 0. Very long texts: counted whole, their row is small. Empty table: no rows. Extra columns are ignored.
+probability 0. Very long texts: counted whole, their row is small. Ties: rows of equal draw
+are kept or left together. Empty table: no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ are never learned from; neither id, source, language nor label enters a score.
 Scoring runs inside ``mapInArrow``: no shuffle, texts never leave their task.
 
 Defined results: null or empty text: the bias alone, hence a score as well;
-no labelled row: score 0.5; a document with several labels: each labelled row
+no labelled row: score 0.5; empty table: no rows; very long texts: every token counts, held as one text's
+slots; a score of exactly 0.5 (a tie): label 1; a document with several labels: each labelled row
 is learned; null labels are not learned; repeated rows are scored alike; extra
 columns are ignored.
 """

@@ -21,7 +21,8 @@ arrays of words stay inside their row; only counts are shuffled.
 
 Null text: no words, all counts 0, rejected by the base rule. Null language,
 or one without words: no reference, so the base rule alone decides. Repeated
-rows: judged one by one, each counts in the reference. Empty table: no rows.
+rows: judged one by one, each counts in the reference. Very long texts: counted whole, a row at a time.
+A distance equal to its threshold passes. Empty table: no rows.
 Extra columns: ignored.
 """
 
