@@ -136,3 +136,41 @@ def test_summaries_of_other_types(spark):
     row = got.first()
     assert (row["d"], row["i"], row["im"], row["ds"], row["z"], row["zn"]) == (want["d"], want["i"], want["im"], want["ds"], None, 0)
     assert got.schema["d"].dataType == inside.agg(F.avg("d").alias("d")).schema["d"].dataType
+
+
+def _joined_rows(df):
+    """Rows that the joins of a plan that has run put out."""
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if "QueryStage" in name:
+            return walk(node.plan())
+        m = node.metrics().get("numOutputRows")
+        own = m.get().value() if "Join" in name and m.isDefined() else 0
+        kids = node.children()
+        return own + sum(walk(kids.apply(i)) for i in range(kids.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+@pytest.mark.parametrize("step", [1, 3600])
+def test_work_grows_with_rows_not_with_pairs(spark, step):
+    """Windows of no length up to weeks, thousands in a bucket that holds thousands of readings: plain sums, and few joined rows."""
+    base = "timestampadd(SECOND, CAST({} AS INT), TIMESTAMP_NTZ '2024-01-01 00:00:00')"
+    n, span = 2000, 400 * step
+    readings = spark.range(20_000).select(
+        F.when(F.col("id") % 100 > 0, "hot").alias("route_id"), F.expr(base.format(f"id * 7919 % {span} DIV 3")).alias("t"),
+        F.when(F.col("id") % 17 > 0, (F.col("id") % 101).cast("double")).alias("v"), (F.col("id") % 2).cast("int").alias("acc"))
+    trips = spark.range(n).select(
+        F.when(F.col("id") % 50 > 0, F.col("id") % 1900).cast("int").alias("trip_id"), F.lit("hot").alias("route_id"),
+        F.expr(base.format(f"id * 31 % {span}")).alias("dep"),
+        F.expr(base.format(f"id * 31 % {span} + CASE id % 4 WHEN 0 THEN 0 WHEN 1 THEN id % 7 ELSE id * 13 % {span} END")).alias("arr"))
+    aggs = {"s": ("sum", "v"), "n": ("count", "v"), "m": ("avg", "v"), "lo": ("min", "v"), "hi": ("max", "acc")}
+    got = interval_aggregate(trips, readings, by="route_id", start="dep", end="arr", ts="t", keys=["trip_id"], bucket_hours=24, aggs=aggs)
+    rows = sorted(map(tuple, got.collect()), key=repr)
+    assert _joined_rows(got) <= 4 * (n + 20_000)
+    plain = (trips.join(readings, (trips.route_id == readings.route_id) & (readings.t >= trips.dep) & (readings.t <= trips.arr))
+             .groupBy("trip_id").agg(F.sum("v").alias("s"), F.count("v").alias("n"), F.avg("v").alias("m"), F.min("v").alias("lo"),
+                                     F.max("acc").alias("hi")))
+    assert rows == sorted(map(tuple, plain.collect()), key=repr)
