@@ -414,8 +414,8 @@ def _trip_rows(spark: SparkSession, sf: str, *more: str) -> DataFrame:
 
 
 def _rounded_trip_rows(spark: SparkSession, sf: str, *more: str) -> DataFrame:
-    """Means of windows rounded first, so that a bin's edge or a fence is the same on both sides."""
-    return _trip_rows(spark, sf, *more).select(*[F.round(c, 6).alias(c) for c in TRIP_NUMERIC], *more)
+    """Means of windows rounded first as SQL rounds doubles, so that a bin's edge or a fence is the same on both sides."""
+    return _trip_rows(spark, sf, *more).select(*[_r(c) for c in TRIP_NUMERIC], *more)
 
 
 def q_trip_describe(spark: SparkSession, sf: str) -> DataFrame:

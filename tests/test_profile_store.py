@@ -1,6 +1,9 @@
 """Profiling reports on hand-made frames and the feature table round trip."""
 
+import math
+
 import pytest
+from pyspark.sql import functions as F
 
 from haulstat.operators import profile as PR
 from haulstat.sources.feature_store import get_or_create, latest_per_key, round_trip_counts
@@ -212,3 +215,14 @@ def test_load_lines_counts_in_one_pass(spark, tmp_path):
     assert counts["null:route_id"] == 1 and counts["null:no_of_vehicles"] == 1 and counts["null:accident"] == 1
     assert [r[0] for r in quarantined(spark, f"{tmp_path}/t").collect()] == [lines[1]]
     assert spark.read.parquet(f"{tmp_path}/t").count() == 4
+
+
+def test_kde_of_a_constant_column(spark):
+    """A column with one value has no bandwidth: NaN at every point, beside columns with a curve; a single row has null."""
+    df = spark.range(50).select(F.lit(1).alias("same"), F.lit(0.1).alias("tenth"), (F.col("id") % 7).cast("double").alias("x"))
+    rows = PR.kde_curve(df, ["same", "tenth", "x"], grid=20).collect()
+    flat = [r for r in rows if r["column"] != "x"]
+    assert len(rows) == 60 and all(math.isnan(r["density"]) and math.isnan(r["count_density"]) for r in flat)
+    assert {r["x"] for r in flat} == {1.0, 0.1}
+    assert all(r["density"] > 0 for r in rows if r["column"] == "x")
+    assert {r["density"] for r in PR.kde_curve(df.limit(1), ["same"], grid=20).collect()} == {None}
