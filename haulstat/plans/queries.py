@@ -33,7 +33,7 @@ from haulstat.sources.sinks import write_features
 from haulstat.sources.tables import fixed_frame, load_all, load_lines, load_table, parse_lines, quarantined, table_shapes
 from haulstat.plans import bindings as B
 from haulstat.plans import trips as P
-from haulstat.plans.rawfiles import measured, raw_files
+from haulstat.plans.rawfiles import measured, raw_file, raw_files
 from haulstat.plans.train import (
     feature_importances,
     load,
@@ -640,6 +640,10 @@ def _files(spark: SparkSession, sf: str) -> dict[str, str]:
     return raw_files(spark, sf, _inputs(sf))
 
 
+def _file(spark: SparkSession, sf: str, name: str) -> str:
+    return raw_file(spark, sf, _inputs(sf), name)
+
+
 def q_file_shapes(spark: SparkSession, sf: str) -> DataFrame:
     """Rows and columns of the seven raw tables, read from their files."""
     return table_shapes(load_all(spark, _files(spark, sf)))
@@ -647,17 +651,17 @@ def q_file_shapes(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_file_schedule(spark: SparkSession, sf: str) -> DataFrame:
     """The schedule from its file: both times must be readable, else the load fails."""
-    return load_table(spark, "truck_schedule", _files(spark, sf)["truck_schedule"])
+    return load_table(spark, "truck_schedule", _file(spark, sf, "truck_schedule"))
 
 
 def q_file_routes_weather(spark: SparkSession, sf: str) -> DataFrame:
     """Route weather from its file, its date column renamed and read strictly."""
-    return load_table(spark, "routes_weather", _files(spark, sf)["routes_weather"])
+    return load_table(spark, "routes_weather", _file(spark, sf, "routes_weather"))
 
 
 def q_file_city_weather(spark: SparkSession, sf: str) -> DataFrame:
     """City weather from its file: clock hours normalised, the reading's time from date and hour."""
-    return _round_doubles(load_table(spark, "city_weather", _files(spark, sf)["city_weather"]))
+    return _round_doubles(load_table(spark, "city_weather", _file(spark, sf, "city_weather")))
 
 
 def q_reference_tables(spark: SparkSession, sf: str) -> DataFrame:

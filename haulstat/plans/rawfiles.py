@@ -1,7 +1,8 @@
 """The raw tables as files: written with a header from the test tables, and read back by the library's own loaders.
 
 The files hold what raw files hold: missing values as ``NA`` or nothing, clock hours, times as text, ids as
-text. They lie in the shared folder, once per session and input files.
+text. They lie in the shared folder, once per table, session and input files: a table's files are written
+when they are first asked for, so reading one table does not write the other six.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from haulstat.plans import bindings as B
 from haulstat.sources.sinks import write_csv
 from haulstat.sources.snapshots import kept_folder
-from haulstat.sources.tables import paths_under
+from haulstat.sources.tables import FILE_NAMES, paths_under
 
 
 def _time(c: str) -> Column:
@@ -49,14 +50,15 @@ def raw_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     }
 
 
+def raw_file(spark: SparkSession, sf: str, inputs: Mapping[str, str], name: str) -> str:
+    """Path of one raw table's CSV files."""
+    return paths_under(kept_folder(spark, f"raw-{name}", inputs, "raw",
+                                   lambda path: write_csv(raw_tables(spark, sf)[name], paths_under(path)[name])))[name]
+
+
 def raw_files(spark: SparkSession, sf: str, inputs: Mapping[str, str]) -> dict[str, str]:
     """Paths of the seven raw tables' CSV files by table name."""
-    def write(path: str) -> None:
-        tables = raw_tables(spark, sf)
-        for name, at in paths_under(path).items():
-            write_csv(tables[name], at)
-
-    return paths_under(kept_folder(spark, "raw-files", inputs, "raw", write))
+    return {name: raw_file(spark, sf, inputs, name) for name in FILE_NAMES}
 
 
 #: Per cleaned table what it is counted by and, if any, the number that is added up.

@@ -75,3 +75,15 @@ def test_a_day_of_the_final_features_reads_its_folder_alone(spark):
 def test_published_trips_keep_the_newest_batch(spark):
     rows = Q.q_published_trips(spark, SF).groupBy("is_weekend_departure", "batch_id").count().collect()
     assert {(r["is_weekend_departure"], r["batch_id"]) for r in rows} == {(0, 0), (1, 1)}
+
+
+@pytest.mark.parametrize("name", ["truck_schedule", "routes_weather"])
+def test_one_table_is_read_without_writing_the_others(spark, monkeypatch, name):
+    from haulstat.plans import rawfiles
+    from haulstat.sources.snapshots import drop_snapshots
+    written, write = [], rawfiles.write_csv
+    monkeypatch.setattr(rawfiles, "write_csv", lambda df, path: (written.append(path), write(df, path)))
+    drop_snapshots(spark)
+    query = {"truck_schedule": Q.q_file_schedule, "routes_weather": Q.q_file_routes_weather}[name]
+    assert query(spark, SF).count() == rawfiles.raw_tables(spark, SF)[name].count() > 0
+    assert [p.rsplit("/", 1)[1] for p in written] == [rawfiles.FILE_NAMES[name]]
