@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from haulstat.functions.columns import round_whole
+
 # The ten weather metrics of a reading, in source order.
 WEATHER_COLS = ["temp", "wind_speed", "precip", "humidity", "visibility",
                 "pressure", "chanceofrain", "chanceoffog", "chanceofsnow", "chanceofthunder"]
@@ -61,8 +63,8 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("l_returnflag") == "R").cast("int").alias("accident"),
                     F.col("l_quantity").alias("temp"),
                     (F.col("l_partkey") % 30).cast("double").alias("wind_speed"),
-                    F.round(F.col("l_discount") * 100, 0).alias("precip"),
-                    F.round(F.col("l_tax") * 100, 0).alias("humidity"),
+                    round_whole(F.col("l_discount") * 100).alias("precip"),
+                    round_whole(F.col("l_tax") * 100).alias("humidity"),
                     F.col("l_linenumber").cast("double").alias("visibility"),
                     (F.col("l_suppkey") % 50 + 990).cast("double").alias("pressure"),
                     F.lit(0.0).alias("chanceofrain"), F.lit(0.0).alias("chanceoffog"),

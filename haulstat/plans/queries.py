@@ -18,6 +18,7 @@ from haulstat.functions.columns import (
     is_weekend,
     normalize_hour,
     reading_timestamp,
+    round_whole,
     weekday_mon0,
 )
 from haulstat.operators import clean as C
@@ -49,7 +50,7 @@ R = 6  # decimal places of every floating output
 def _r(c: str, places: int = R) -> F.Column:
     """Round to ``places`` decimals the way the SQL side does: round(x * 10^p) / 10^p."""
     scale = float(10 ** places)
-    return (F.round(F.col(c) * F.lit(scale), 0) / F.lit(scale)).alias(c)
+    return (round_whole(F.col(c) * F.lit(scale)) / F.lit(scale)).alias(c)
 
 
 def _city(spark: SparkSession, sf: str) -> DataFrame:

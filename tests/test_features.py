@@ -87,3 +87,19 @@ def test_given_threshold_overrides_the_data(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (100.0,)], "x double")
     got = [r["hi"] for r in high_quantile_flag(df, "x", "hi", threshold=1.5).orderBy("x").collect()]
     assert got == [0, 1, 1]
+
+
+def test_round_whole_is_round_without_text(spark):
+    from haulstat.functions.columns import round_whole
+    half, big = [n + 0.5 for n in range(-4, 4)], 2.0 ** 52
+    odd = [None, 0.0, -0.0, -0.3, 0.49999999999999994, -0.49999999999999994, math.inf, -math.inf, math.nan, 1e300, 5e-324,
+           9.3e18, big + 1, big - 0.5, 0.5 - big, 2 * big + 2, 4154687.5, 1.0000005 * 1e6]
+    df = spark.createDataFrame([(x,) for x in odd + half], "x double")
+    got = df.select(F.round("x", 0).cast("string").alias("a"), round_whole("x").cast("string").alias("b")).collect()
+    assert [r["a"] for r in got] == [r["b"] for r in got]  # as text: 0.0 is not -0.0
+
+
+def test_results_are_not_rounded_through_text(spark):
+    from haulstat.plans.queries import _round_doubles
+    plan = _round_doubles(spark.range(3).select((F.col("id") / 7).alias("x")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "round(" not in plan and "rint(" in plan.lower()
