@@ -26,6 +26,7 @@ from haulstat.operators.features import Scaler, align_columns, fit_categories, f
 from haulstat.operators.split import time_split
 from haulstat.plans import trips as P
 from haulstat.plans.bindings import CATEGORICAL_COLUMNS, TRIP_KEYS
+from haulstat.sources.snapshots import stored
 
 TARGET = "delay"
 
@@ -76,6 +77,15 @@ def feature_importances(spark: SparkSession, model: PipelineModel, columns: Sequ
             .orderBy(F.desc("importance"), "feature"))
 
 
+ROWS_PER_PART = 500_000  # at most about so many rows of training data in one partition
+
+
+def even_parts(df: DataFrame) -> int:
+    """Partitions for many passes over ``df``: a multiple of the cores, so that all of them work until a pass ends."""
+    cores = max(df.sparkSession.sparkContext.defaultParallelism, 1)
+    return cores * max(-(-df.count() // (cores * ROWS_PER_PART)), 1)
+
+
 def train_and_evaluate(full: DataFrame, *, test_size: float = 0.2, kinds: Sequence[str] = (
         "logistic_regression", "random_forest"), num_trees: int = 300, max_depth: int = 10,
         categories: Mapping[str, Sequence[str]] | None = None, keys: Sequence[str] = TRIP_KEYS):
@@ -84,7 +94,7 @@ def train_and_evaluate(full: DataFrame, *, test_size: float = 0.2, kinds: Sequen
     Returns (models by kind, artifacts, metrics DataFrame with one row per model).
     """
     split = time_split(full, "departure_date", list(keys), test_size=test_size)
-    split = P.materialize(split)
+    split = P.materialize(split.repartition(even_parts(full), *keys))
     cats = {k: list(v) for k, v in (categories or fit_categories(split, CATEGORICAL_COLUMNS)).items()}
     matrix = P.model_matrix(split, categories=cats)
     feature_cols = [c for c in matrix.columns if c not in (TARGET, "split", "trip_id")]
@@ -104,7 +114,8 @@ def train_and_evaluate(full: DataFrame, *, test_size: float = 0.2, kinds: Sequen
         models[kind] = model
         train_acc = (_with_probability(model.transform(train_s))
                      .agg(F.avg((F.col("predicted_delay") == F.col(TARGET)).cast("double"))).scalar())
-        rows.append(evaluate(_with_probability(model.transform(test_s)))
+        scored = _with_probability(model.transform(test_s)).select(TARGET, "predicted_delay", "probability_1")
+        rows.append(evaluate(stored(scored, f"scored-{kind}"))  # several passes: the rows go through the trees once
                     .withColumn("model", F.lit(kind)).withColumn("train_accuracy", train_acc))
     metrics = rows[0]
     for r in rows[1:]:

@@ -177,3 +177,18 @@ def test_trip_rows_are_rounded_like_the_sql(spark, monkeypatch):
     cols = [F.lit(4.1546875).alias(c) for c in Q.TRIP_NUMERIC]
     monkeypatch.setattr(Q, "trip_dataset", lambda spark, sf: spark.range(1).select(*cols))
     assert set(Q._rounded_trip_rows(spark, "").first()) == {4.154687}
+
+
+def test_training_rows_keep_all_cores_busy_and_are_scored_once(spark, raw_dir, monkeypatch):
+    full, _ = P.build_final_dataset(clean_tables(load_all(spark, str(raw_dir))))
+    cores = spark.sparkContext.defaultParallelism
+    assert TR.even_parts(full) == cores
+    monkeypatch.setattr(TR, "ROWS_PER_PART", 1)
+    assert TR.even_parts(full) % cores == 0 and TR.even_parts(full) >= 60  # a row a part: 60 trips
+    monkeypatch.undo()
+    parts, keep = [], P.materialize
+    monkeypatch.setattr(P, "materialize", lambda df: parts.append(df.rdd.getNumPartitions()) or keep(df))
+    metrics = TR.train_and_evaluate(full, num_trees=5, max_depth=3)[2]
+    assert parts == [cores]
+    files = metrics.inputFiles()  # the confusion counts read the stored scores, not the trees again
+    assert {"logistic_regression", "random_forest"} == {k for k in ("logistic_regression", "random_forest") if any(f"scored-{k}" in f for f in files)}
