@@ -7,7 +7,7 @@ to the SQL oracle regardless of summation order.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +53,22 @@ def _r(c: str, places: int = R) -> F.Column:
     return (round_whole(F.col(c) * F.lit(scale)) / F.lit(scale)).alias(c)
 
 
+def _rounded(df: DataFrame, cols: Sequence[str], places: int = R) -> DataFrame:
+    """``df`` with the double columns ``cols`` rounded as ``_r`` rounds them, all in one array.
+
+    Dozens of roundings written out are one generated method too long for the JVM to compile, so it would be
+    interpreted; over an array the rounding is there once.
+    """
+    cols = list(cols)
+    if not cols:
+        return df
+    scale = F.lit(float(10 ** places))
+    scaled = F.transform(F.array(*[F.col(c) for c in cols]), lambda x: x * scale)
+    held = df.select(*[c for c in df.columns if c not in cols],
+                     F.transform(scaled, lambda x: round_whole(x) / scale).alias("__rounded"))
+    return held.select(*[F.get("__rounded", F.lit(cols.index(c))).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
 def _city(spark: SparkSession, sf: str) -> DataFrame:
     """The derived city series feeds the width estimate and both lookups: computed once."""
     return P.materialize(B.city_series(spark, sf))
@@ -89,7 +105,7 @@ def q_interval_traffic(spark: SparkSession, sf: str) -> DataFrame:
 def q_interval_weather(spark: SparkSession, sf: str) -> DataFrame:
     t = B.trips(spark, sf).select("trip_id", "route_id", "departure_date", "estimated_arrival")
     out = P.add_route_weather(t, B.readings(spark, sf), keys=["trip_id"], ts="ts", **_plan(t))
-    return out.select("trip_id", *[_r(c) for c in B.WEATHER_COLS])
+    return _rounded(out.select("trip_id", *B.WEATHER_COLS), B.WEATHER_COLS)
 
 
 def q_asof_nearest(spark: SparkSession, sf: str) -> DataFrame:
@@ -109,7 +125,7 @@ def q_asof_two_sided(spark: SparkSession, sf: str) -> DataFrame:
         B.routes(spark, sf).select("route_id", "origin_id", "destination_id"))
     out = P.add_city_weather(t, _city(spark, sf), ts="ts")
     cols = [p + c for p in ("origin_", "destination_") for c in B.WEATHER_COLS]
-    return out.select("trip_id", *[_r(c) for c in cols])
+    return _rounded(out.select("trip_id", *cols), cols)
 
 
 def q_lookup_join(spark: SparkSession, sf: str) -> DataFrame:
@@ -131,8 +147,7 @@ def trip_dataset(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _round_doubles(df: DataFrame) -> DataFrame:
-    return df.select(*[_r(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
-                       for f in df.schema.fields])
+    return _rounded(df, [f.name for f in df.schema.fields if f.dataType.typeName() == "double"])
 
 
 def q_trip_dataset(spark: SparkSession, sf: str) -> DataFrame:

@@ -103,3 +103,16 @@ def test_results_are_not_rounded_through_text(spark):
     from haulstat.plans.queries import _round_doubles
     plan = _round_doubles(spark.range(3).select((F.col("id") / 7).alias("x")))._jdf.queryExecution().optimizedPlan().toString()
     assert "round(" not in plan and "rint(" in plan.lower()
+
+
+def test_many_columns_are_rounded_by_one_expression(spark):
+    """Written out for each of 40 columns, the generated method would be too long to be compiled."""
+    from haulstat.plans.queries import _r, _round_doubles
+    odd = [None, 0.0, -0.3, 4.1546875, 2.5e-6, -2.5e-6, 1e300, math.inf, -math.inf, math.nan]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(odd)], "id int, x double").select(
+        "id", *[(F.col("x") * (i + 1)).alias(f"c{i}") for i in range(40)], F.lit("t").alias("text"))
+    got = _round_doubles(df)
+    assert got.columns == df.columns
+    want = df.select("id", *[_r(f"c{i}") for i in range(40)], "text")
+    assert [tuple(map(str, r)) for r in got.orderBy("id").collect()] == [tuple(map(str, r)) for r in want.orderBy("id").collect()]
+    assert got._jdf.queryExecution().optimizedPlan().toString().lower().count("rint(") < 10
