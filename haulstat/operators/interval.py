@@ -21,9 +21,11 @@ Plan shape, chosen for very large tables on both sides: work grows with rows, no
 * Where windows and readings that share a cut bucket are no more pairs than there are rows (counted
   first), the cut buckets are joined with the raw readings in place of running aggregates, in a
   join that splits a skewed (key, bucket) at run time.
-* The different windows' aggregates are found once; the left rows meet them by (key, start, end) and
-  merge per ``keys``.
-* The mean of a key over all time (fallback) is summed from the table of (key, time).
+* The different windows' aggregates are found once. Where no two left rows share ``keys`` (``keys_unique``, one
+  narrow count), each row meets its window's finished aggregates by (key, start, end) and is not
+  shuffled by ``keys``; else the rows' keys and bounds meet them and merge per ``keys``.
+* The mean of a key over all time (fallback) is summed from the table of (key, time) and stored, so
+  that few means are broadcast.
 * size check: when the caller passes a proven bound on the left side
   (``window_size_bound``, one aggregate over the schedule) whose estimated bytes
   fit the session's ``spark.sql.autoBroadcastJoinThreshold``, the windows' aggregates are
@@ -318,10 +320,16 @@ def window_parts(windows: DataFrame, readings: DataFrame, times: DataFrame, merg
     return found if few else stored(found, "window-parts")
 
 
-def _aggregate(left: DataFrame, base: DataFrame, readings: DataFrame, *, by: str, start: str, end: str, ts: str,
-               aggs: Mapping[str, tuple[str, str]], keys: Sequence[str], readings_by: str | None, bucket_hours: float,
-               bound: tuple[int, int] | None, broadcast_max_rows: int | None) -> tuple[DataFrame, DataFrame, _Merge, dict]:
-    """The aggregates per ``keys`` of ``base`` (the rows of ``left``), the stored (key, time) table, its merge, the means' types."""
+def keys_unique(left: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether no two rows share ``keys``; rows with a null key, which never match, do not count."""
+    held = left.select(*keys).dropna()
+    return held.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").isEmpty()
+
+
+def _found(left: DataFrame, readings: DataFrame, *, by: str, start: str, end: str, ts: str,
+           aggs: Mapping[str, tuple[str, str]], readings_by: str | None, bucket_hours: float, bound: tuple[int, int] | None,
+           broadcast_max_rows: int | None) -> tuple[DataFrame, DataFrame, _Merge, dict, dict]:
+    """Parts per different window, the stored (key, time) table, its merge, the means' types, how windows are read."""
     parts = _parts(aggs)
     cols = {f.name: f.dataType for f in [*left.select(start, end).schema.fields, *readings.select(ts).schema.fields]}
     zoned = all(isinstance(t, T.TimestampType) for t in cols.values())
@@ -336,10 +344,18 @@ def _aggregate(left: DataFrame, base: DataFrame, readings: DataFrame, *, by: str
     found = window_parts(_windows(left, **at), r, times, merge, parts, bucket_hours=bucket_hours, widest=measured[1], lengths=lengths)
     if _use_broadcast(left.sparkSession, bound, broadcast_max_rows, 8 * (3 + len(merge.of))):
         found = F.broadcast(found)
-    merged = _windows(base, keys=keys, **at).join(found, ["__lk", "__s", "__e"]).groupBy(*keys).agg(*merge())
     means = {f.name: f.dataType for f in r.limit(0).agg(
         *[F.avg(c).alias(c) for fn, c in set(aggs.values()) if fn in ("avg", "mean")] or [F.count(F.lit(1))]).schema.fields}
-    return (merged.select(*keys, *[_finished(fn, c, means.get(c)).alias(n) for n, (fn, c) in aggs.items()]), times, merge, means)
+    return found, times, merge, means, at
+
+
+def _all_finished(parts: DataFrame, on: Sequence[str], aggs: Mapping[str, tuple[str, str]], means: Mapping) -> DataFrame:
+    return parts.select(*on, *[_finished(fn, c, means.get(c)).alias(n) for n, (fn, c) in aggs.items()])
+
+
+def _per_keys(base: DataFrame, found: DataFrame, merge: _Merge, keys: Sequence[str], at: Mapping) -> DataFrame:
+    """Parts per ``keys`` of all rows that share them."""
+    return _windows(base, keys=keys, **at).join(found, ["__lk", "__s", "__e"]).groupBy(*keys).agg(*merge())
 
 
 def interval_aggregate(left: DataFrame, readings: DataFrame, *, by: str, start: str, end: str,
@@ -355,8 +371,9 @@ def interval_aggregate(left: DataFrame, readings: DataFrame, *, by: str, start:
     Left rows sharing ``keys`` pool their readings (a reading counts once per
     row whose window holds it), which matches grouping the pairs by ``keys``.
     """
-    return _aggregate(left, left, readings, by=by, start=start, end=end, ts=ts, aggs=aggs, keys=list(keys), readings_by=readings_by,
-                      bucket_hours=bucket_hours, bound=window_size_bound, broadcast_max_rows=broadcast_max_rows)[0]
+    found, _, merge, means, at = _found(left, readings, by=by, start=start, end=end, ts=ts, aggs=aggs, readings_by=readings_by,
+                                        bucket_hours=bucket_hours, bound=window_size_bound, broadcast_max_rows=broadcast_max_rows)
+    return _all_finished(_per_keys(left, found, merge, list(keys), at), list(keys), aggs, means)
 
 
 def attach_interval_aggregate(left: DataFrame, readings: DataFrame, *, by: str, start: str,
@@ -366,30 +383,43 @@ def attach_interval_aggregate(left: DataFrame, readings: DataFrame, *, by: str,
                               constant_fill: Mapping[str, object] | None = None,
                               bucket_hours: float = 24,
                               window_size_bound: tuple[int, int] | None = None,
-                              broadcast_max_rows: int | None = None) -> DataFrame:
+                              broadcast_max_rows: int | None = None, unique: bool | None = None) -> DataFrame:
     """Left rows with their window aggregates joined back on ``keys``.
 
     Columns listed in ``fallback_mean`` fall back, when the window had no
     reading, to the mean of the named reading column over the whole key
     (each column on its own); ``constant_fill`` fills the rest with constants.
-    A key without readings at all keeps null for its fallback columns.
+    A key without readings at all keeps null for its fallback columns. ``unique`` is a caller's own
+    ``keys_unique``; it is counted if not given.
 
     Plan: the different windows' aggregates are found first (from the left rows' keys and times alone).
-    The left rows are shuffled once by ``keys``; the aggregate and the join-back are both
-    partitioned by them. The fallback means are summed from the stored (key, time) table.
+    If no two rows share ``keys``, each row is joined to its window's aggregates. Else the left rows are
+    shuffled once by ``keys``; the aggregate and the join-back are both partitioned by them. The fallback
+    means are summed from the stored (key, time) table.
     """
     keys = list(keys)
     out_cols = list(aggs.keys())
     clash = [c for c in out_cols if c in left.columns]
-    base = (left.drop(*clash) if clash else left).repartition(*keys)
-    agg, times, merge, means = _aggregate(left, base, readings, by=by, start=start, end=end, ts=ts, aggs=aggs, keys=keys,
-                                     readings_by=readings_by, bucket_hours=bucket_hours, bound=window_size_bound,
-                                     broadcast_max_rows=broadcast_max_rows)
-    result = base.join(agg, keys, "left")
+    base = left.drop(*clash) if clash else left
+    found, times, merge, means, at = _found(left, readings, by=by, start=start, end=end, ts=ts, aggs=aggs, readings_by=readings_by,
+                                            bucket_hours=bucket_hours, bound=window_size_bound,
+                                            broadcast_max_rows=broadcast_max_rows)
+    if keys_unique(left, keys) if unique is None else unique:
+        whole = F.lit(True)
+        for k in keys:
+            whole = whole & base[k].isNotNull()
+        done = _all_finished(found, ["__lk", "__s", "__e"], aggs, means)
+        if _use_broadcast(left.sparkSession, window_size_bound, broadcast_max_rows, 8 * (3 + len(merge.of))):
+            done = F.broadcast(done)
+        result = base.join(done, whole & (base[by] == done["__lk"]) & (_micros(start, at["zoned"]) == done["__s"])
+                           & (_micros(end, at["zoned"]) == done["__e"]), "left").drop("__lk", "__s", "__e")
+    else:
+        base = base.repartition(*keys)
+        result = base.join(_all_finished(_per_keys(base, found, merge, keys, at), keys, aggs, means), keys, "left")
     if fallback_mean:
         src = {name: aggs[name][1] for name in fallback_mean}
         merged = times.groupBy(F.col("__k").alias("__fk")).agg(*merge())
-        fb = merged.select("__fk", *[_finished("avg", c, means[c]).alias(f"__fb_{n}") for n, c in src.items()])
+        fb = stored(merged.select("__fk", *[_finished("avg", c, means[c]).alias(f"__fb_{n}") for n, c in src.items()]), "key-means")
         result = result.join(fb, result[by] == fb["__fk"], "left")
         for name in fallback_mean:
             result = result.withColumn(name, F.coalesce(F.col(name), F.col(f"__fb_{name}")))

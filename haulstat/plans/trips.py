@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from haulstat.functions.columns import any_of, bad_weather, is_weekend, weekday_mon0
 from haulstat.operators.asof import asof_cuts, asof_matches, attach_matches
 from haulstat.operators.features import drop_columns, high_quantile_flag, one_hot
-from haulstat.operators.interval import attach_interval_aggregate, plan_windows, window_size_bound
+from haulstat.operators.interval import attach_interval_aggregate, keys_unique, plan_windows, window_size_bound
 from haulstat.operators.lookup import lookup
 from haulstat.session import ensure_checkpoint_dir
+from haulstat.sources.snapshots import stored
 from haulstat.plans.bindings import (
     CATEGORICAL_COLUMNS,
     ID_COLUMNS,
@@ -33,23 +34,24 @@ def add_route_info(trips: DataFrame, routes: DataFrame) -> DataFrame:
 
 def add_traffic(trips: DataFrame, traffic: DataFrame, *, keys: Sequence[str] = TRIP_KEYS,
                 ts: str = "timestamp", bucket_hours: int = 24,
-                size_bound: tuple[int, int] | None = None) -> DataFrame:
+                size_bound: tuple[int, int] | None = None, unique: bool | None = None) -> DataFrame:
     """Mean vehicles and any accident per trip window; route mean and 0 as fallbacks."""
     return attach_interval_aggregate(
         trips, traffic, by="route_id", start="departure_date", end="estimated_arrival", ts=ts,
         aggs={"no_of_vehicles": ("avg", "no_of_vehicles"), "accident": ("max", "accident")},
         keys=keys, fallback_mean=["no_of_vehicles"], constant_fill={"accident": 0},
-        bucket_hours=bucket_hours, window_size_bound=size_bound)
+        bucket_hours=bucket_hours, window_size_bound=size_bound, unique=unique)
 
 
 def add_route_weather(trips: DataFrame, weather: DataFrame, *, keys: Sequence[str] = TRIP_KEYS,
                       ts: str = "date", cols: Sequence[str] = WEATHER_COLS,
-                      bucket_hours: int = 24, size_bound: tuple[int, int] | None = None) -> DataFrame:
+                      bucket_hours: int = 24, size_bound: tuple[int, int] | None = None,
+                      unique: bool | None = None) -> DataFrame:
     """Mean of every weather metric per trip window; each falls back to its route mean."""
     return attach_interval_aggregate(
         trips, weather, by="route_id", start="departure_date", end="estimated_arrival", ts=ts,
         aggs={c: ("avg", c) for c in cols}, keys=keys, fallback_mean=list(cols),
-        bucket_hours=bucket_hours, window_size_bound=size_bound)
+        bucket_hours=bucket_hours, window_size_bound=size_bound, unique=unique)
 
 
 def add_city_weather(trips: DataFrame, city: DataFrame, *, city_key: str = "city_id",
@@ -57,15 +59,16 @@ def add_city_weather(trips: DataFrame, city: DataFrame, *, city_key: str = "city
                      tie: str | None = None, num_buckets: int | None = None) -> DataFrame:
     """Origin weather nearest departure and destination weather nearest arrival, on the row.
 
-    Both matches are found from the trips' keys and times alone, with cuts from one sample of all three
-    sides; the trip rows then meet the two small answers.
+    Both matches are found from the trips' different keys and times alone, stored, with cuts from one sample
+    of all three sides; the trip rows then meet the two stored answers, which are broadcast if they are small.
     """
     sides = {"origin_": ("origin_id", "departure_date"), "destination_": ("destination_id", "estimated_arrival")}
-    cuts = asof_cuts([*((trips, by, on) for by, on in sides.values()), (city, city_key, ts)], num_buckets)
+    asked = {p: stored(trips.select(by, on).dropna().distinct(), "asked") for p, (by, on) in sides.items()}
+    cuts = asof_cuts([*((asked[p], by, on) for p, (by, on) in sides.items()), (city, city_key, ts)], num_buckets)
     out = trips
     for prefix, (by, on) in sides.items():
-        found = asof_matches(trips.select(by, on), city, left_by=by, right_by=city_key, left_on=on, right_on=ts,
-                             payload=cols, tie=tie, cuts=cuts)
+        found = stored(asof_matches(asked[prefix], city, left_by=by, right_by=city_key, left_on=on, right_on=ts,
+                                    payload=cols, tie=tie, cuts=cuts), "nearest")
         out = attach_matches(out, found, left_by=by, left_on=on, payload=cols, prefix=prefix)
     return out
 
@@ -81,26 +84,27 @@ def build_trips(tables: Mapping[str, DataFrame], *, keys: Sequence[str] = TRIP_K
                 checkpoint: bool = True) -> DataFrame:
     """One row per trip: routes, traffic, route weather, city weather, drivers and trucks.
 
-    The schedule is measured once: the mean window length sets the bucket
-    width (``bucket_hours="auto"``), and (rows, widest window) decides
-    whether the window joins broadcast the trips or shuffle both sides.
-    With ``checkpoint`` the trip rows are checkpointed after the two window
+    The schedule with its routes is stored and measured once: the mean window length sets
+    the bucket width (``bucket_hours="auto"``), (rows, widest window) decides
+    whether the window joins broadcast the windows' aggregates, and whether trips share ``keys``
+    is counted for both window joins.
+    With ``checkpoint`` the trip rows are stored again after the two window
     joins, so the as-of stage starts from stored rows: the plan stays small
-    and a lost executor re-reads the checkpoint instead of re-running the
+    and a lost executor re-reads them instead of re-running the
     reading joins.
     """
-    schedule = tables["truck_schedule"]
+    schedule = stored(add_route_info(tables["truck_schedule"], tables["routes"]), "schedule")
     if bucket_hours == "auto":
         bucket_hours, bound = plan_windows(schedule, "departure_date", "estimated_arrival")
     else:
         bound = window_size_bound(schedule, "departure_date", "estimated_arrival", bucket_hours)
-    df = add_route_info(schedule, tables["routes"])
-    df = add_traffic(df, tables["traffic"], keys=keys, ts=traffic_ts, bucket_hours=bucket_hours,
-                     size_bound=bound)
+    unique = keys_unique(schedule, keys)
+    df = add_traffic(schedule, tables["traffic"], keys=keys, ts=traffic_ts, bucket_hours=bucket_hours,
+                     size_bound=bound, unique=unique)
     df = add_route_weather(df, tables["routes_weather"], keys=keys, ts=weather_ts,
-                           bucket_hours=bucket_hours, size_bound=bound)
+                           bucket_hours=bucket_hours, size_bound=bound, unique=unique)
     if checkpoint:
-        df = materialize(df)
+        df = stored(df, "trips-on-road")
     df = add_city_weather(df, tables["city_weather"], ts=city_ts)
     return add_driver_and_truck(df, tables["drivers"], tables["trucks"])
 

@@ -1,5 +1,6 @@
 """Nearest as-of join: ledger cases and a brute-force property check."""
 
+import datetime as dt
 import random
 
 import pytest
@@ -143,3 +144,17 @@ def test_duplicate_left_rows_do_not_multiply(spark):
     twice = asof_nearest(once, r_df, left_by="k", right_by="rk", left_on="t", right_on="rt",
                          payload=["rid"], prefix="d_", num_buckets=4)
     assert twice.count() == 2
+
+
+def test_trips_meet_stored_city_weather(spark):
+    """Each (city, time) is asked for once; the answers are stored, so that few of them are broadcast and no trip is shuffled."""
+    from haulstat.plans.trips import add_city_weather
+    day = lambda d: dt.datetime(2024, 1, d)
+    city = spark.createDataFrame([("a", day(1), 1.0), ("a", day(4), None), ("b", day(2), 5.0)], "city_id string, timestamp timestamp_ntz, temp double")
+    trips = spark.createDataFrame([(1, "a", "b", day(1), day(2)), (1, "a", "b", day(1), day(2)), (2, "a", None, day(3), day(9)), (3, "c", "a", None, day(2))],
+                                  "trip int, origin_id string, destination_id string, departure_date timestamp_ntz, estimated_arrival timestamp_ntz")
+    out = add_city_weather(trips, city, cols=["temp"])
+    got = sorted((r["trip"], r["origin_temp"], r["destination_temp"]) for r in out.collect())
+    assert got == [(1, 1.0, 5.0), (1, 1.0, 5.0), (2, None, None), (3, None, 1.0)]
+    assert sum("/nearest-" in f for f in out.inputFiles()) >= 2
+    assert "hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()

@@ -174,3 +174,24 @@ def test_work_grows_with_rows_not_with_pairs(spark, step):
              .groupBy("trip_id").agg(F.sum("v").alias("s"), F.count("v").alias("n"), F.avg("v").alias("m"), F.min("v").alias("lo"),
                                      F.max("acc").alias("hi")))
     assert rows == sorted(map(tuple, plain.collect()), key=repr)
+
+
+def test_rows_with_keys_of_their_own_are_not_shuffled_by_them(spark):
+    """Keys that no rows share need no pooling; the rows are the same either way, null keys and bounds included."""
+    day = lambda d: dt.datetime(2024, 1, d)
+    trips = spark.createDataFrame([(1, "a", day(1), day(3)), (2, "a", day(2), day(4)), (3, "b", day(9), day(9)), (None, "a", day(1), day(3)),
+                                   (None, "a", day(1), day(3)), (4, None, day(1), day(3)), (5, "a", day(4), day(2)), (6, "b", None, day(2))], TRIPS)
+    readings = spark.createDataFrame([("a", day(d), float(d), d % 2) for d in range(1, 6)] + [("b", day(1), 7.0, 1), ("b", None, 9.0, 0)], READ)
+    kw = dict(by="route_id", start="dep", end="arr", ts="t", aggs={"v": ("avg", "v"), "n": ("count", "v"), "acc": ("max", "acc")},
+              keys=["trip_id"], fallback_mean=["v"], constant_fill={"acc": 0})
+    met = {u: attach_interval_aggregate(trips, readings, unique=u, **kw) for u in (None, False)}
+    rows = {u: sorted(map(tuple, d.collect()), key=repr) for u, d in met.items()}
+    assert rows[None] == rows[False] and len(rows[None]) == 8
+    plans = {u: d._jdf.queryExecution().executedPlan().toString() for u, d in met.items()}
+    assert "hashpartitioning(trip_id" not in plans[None] and "hashpartitioning(trip_id" in plans[False]
+
+
+def test_shared_keys_are_seen(spark):
+    from haulstat.operators.interval import keys_unique
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (None, "a"), (None, "a")], "k int, g string")
+    assert keys_unique(rows, ["k", "g"]) and not keys_unique(rows, ["k"])
