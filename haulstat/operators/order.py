@@ -12,6 +12,7 @@ the bucket.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -108,7 +109,7 @@ def _interpolated(qs: Sequence[float]) -> Column:
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, qs: Sequence[float],
-                    num_buckets: int | None = None, weight: str | None = None) -> DataFrame:
+                    num_buckets: int | None = None, weight: str | None = None, also: Sequence[Column] = ()) -> DataFrame:
     """Per group of ``by`` (columns): count ``n`` and ``qs``, the linear-interpolated quantiles of the non-null values.
 
     Two passes. The first is a mergeable sketch per group (partial per task); its
@@ -117,28 +118,38 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, qs: Sequence[f
     bracket (about four SKETCH-ths of the rows for each quantile) by their value. Ranks are running
     sums over these few rows, so neither a hot group nor a whole column is shuffled or meets in one task.
 
+    ``also`` are further aggregates of a group's non-null values, named by alias, over the column ``__x`` (the value as
+    a double): they are taken in the first pass and returned beside. They need ``by`` and no ``weight``.
+
     ``weight`` names a column that says how often a row counts; such tables are counts already
     and are dealt by value (see ``_weighted_quantiles``).
     """
     by = list(by)
+    if also and (weight is not None or not by):
+        raise ValueError("also needs by and no weight")
     if weight is not None:
         return _weighted_quantiles(df, by, value, qs, num_buckets, weight)
     rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("__x"))
     off = 2.0 / SKETCH
     probs = [min(max(p, 0.0), 1.0) for q in qs for p in (q - off, q + off)]
-    sketch = rows.groupBy(*by).agg(F.percentile_approx("__x", probs, SKETCH).alias("__p"))
-    if by:
-        sketch = stored(sketch, "quantile-brackets")
-        on = F.lit(True)
-        for c in by:
-            on = on & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
-        rows = rows.alias("l").join(sketch.alias("r"), on).select(*[F.col(f"l.{c}").alias(c) for c in by], "__x", "__p")
+    sketch = rows.groupBy(*by).agg(F.percentile_approx("__x", probs, SKETCH).alias("__p"), *also)
+
+    def on(*sides: str) -> Column:
+        same = [F.col(f"{sides[0]}.{c}").eqNullSafe(F.col(f"{sides[1]}.{c}")) for c in by]
+        return reduce(Column.__and__, same)
+
+    if by:  # the brackets' ends as plain numbers, so that a row carries no array
+        ends = [F.get("__p", F.lit(i)).alias(f"__p{i}") for i in range(len(probs))]
+        sketch = stored(sketch.select(*sketch.columns, *ends).drop("__p"), "quantile-brackets")
+        held = [f"__p{i}" for i in range(len(probs))]
+        rows = rows.alias("l").join(sketch.select(*by, *held).alias("r"), on("l", "r")).select(
+            *[F.col(f"l.{c}").alias(c) for c in by], "__x", *held)
+        end = [F.col(c) for c in held]
     else:  # one row of a few numbers
-        row = sketch.first()
-        rows = rows.withColumn("__p", F.array(*[F.lit(float(v)) for v in row["__p"] or [0.0] * len(probs)]))
+        end = [F.lit(float(v)) for v in sketch.first()["__p"] or [0.0] * len(probs)]
     x = F.col("__x")
-    low = [F.lit(-INF) if q - off <= 0 else F.get("__p", F.lit(2 * j)) for j, q in enumerate(qs)]
-    high = [F.lit(INF) if q + off >= 1 else F.get("__p", F.lit(2 * j + 1)) for j, q in enumerate(qs)]
+    low = [F.lit(-INF) if q - off <= 0 else end[2 * j] for j, q in enumerate(qs)]
+    high = [F.lit(INF) if q + off >= 1 else end[2 * j + 1] for j, q in enumerate(qs)]
     inside = F.lit(False)
     for a, b in zip(low, high):
         inside = inside | ((x >= a) & (x <= b))
@@ -154,8 +165,11 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, qs: Sequence[f
         # outside a bracket only the first and the last value are known: a rank next to a bracket
         v = F.coalesce("__in", F.when(r == start, F.col("__lo")).when(r == F.col("__end") - 1, F.col("__hi")))
         at.append(F.min(F.when((start <= r) & (r < F.col("__end")), v)).alias(f"__v{i}"))
-    got = placed.groupBy(*by).agg(F.max("n").alias("n"), *at).where("n > 0")
-    return got.select(*by, "n", _interpolated(qs))
+    got = placed.groupBy(*by).agg(F.max("n").alias("n"), *at).where("n > 0").select(*by, "n", _interpolated(qs))
+    if not also:
+        return got
+    more = [c for c in sketch.columns if c not in by and c not in held]
+    return got.alias("l").join(sketch.select(*by, *more).alias("r"), on("l", "r")).select("l.*", *[F.col(f"r.{c}") for c in more])
 
 
 def _weighted_quantiles(df: DataFrame, by: list[str], value: str, qs: Sequence[float], num_buckets: int | None,

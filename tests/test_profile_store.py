@@ -1,11 +1,13 @@
 """Profiling reports on hand-made frames and the feature table round trip."""
 
 import math
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
 from haulstat.operators import profile as PR
+from haulstat.operators.order import exact_quantiles
 from haulstat.sources.feature_store import get_or_create, latest_per_key, round_trip_counts
 
 
@@ -226,3 +228,30 @@ def test_kde_of_a_constant_column(spark):
     assert {r["x"] for r in flat} == {1.0, 0.1}
     assert all(r["density"] > 0 for r in rows if r["column"] == "x")
     assert {r["density"] for r in PR.kde_curve(df.limit(1), ["same"], grid=20).collect()} == {None}
+
+
+def test_describe_reads_its_rows_once_beside_the_sketch(spark, tmp_path):
+    rows = [(float(i % 7) if i % 5 else None, i, None) for i in range(200)]
+    spark.createDataFrame(rows, "told double, place int, never double").write.parquet(f"{tmp_path}/rows")
+    df = spark.read.parquet(f"{tmp_path}/rows")
+    out = PR.describe(df, ["never", "told", "place"])
+    reads = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+             if "Relation [" in line and "told#" in line]
+    assert len(reads) == 1  # the moments were a pass of their own
+    got = {r["column"]: r for r in out.collect()}
+    told = sorted(r[0] for r in rows if r[0] is not None)
+    assert tuple(got["never"])[1:] == (0, *[None] * 7)
+    assert (got["told"]["count"], got["told"]["min"], got["told"]["max"]) == (160, 0.0, 6.0)
+    assert got["told"]["mean"] == pytest.approx(statistics.fmean(told))
+    assert got["told"]["std"] == pytest.approx(statistics.stdev(told))
+    assert [got["told"][q] for q in ("q25", "q50", "q75")] == pytest.approx(statistics.quantiles(told, n=4, method="inclusive"))
+    assert (got["place"]["q25"], got["place"]["q50"], got["place"]["q75"]) == (49.75, 99.5, 149.25)
+    assert [tuple(r)[:3] for r in PR.describe(df.limit(0), ["told", "place"]).collect()] == [("told", 0, None), ("place", 0, None)]
+
+
+def test_quantiles_with_further_aggregates(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0), ("b", None)], "g string, x double")
+    got = exact_quantiles(df, ["g"], "x", [0.5], also=[F.max("__x").alias("top"), F.count("__x").alias("held")]).collect()
+    assert sorted(map(tuple, got), key=repr) == [("a", 1, [5.0], 5.0, 1), (None, 2, [2.0], 3.0, 2)]
+    with pytest.raises(ValueError):
+        exact_quantiles(df, [], "x", [0.5], also=[F.max("__x").alias("top")])
