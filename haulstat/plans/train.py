@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from haulstat.operators import metrics as M
 from haulstat.operators.features import Scaler, align_columns, fit_categories, fit_scaler, quantile_value
+from haulstat.operators.forest import fit_forest
 from haulstat.operators.split import time_split
 from haulstat.plans import trips as P
 from haulstat.plans.bindings import CATEGORICAL_COLUMNS, TRIP_KEYS
@@ -101,14 +102,17 @@ def train_and_evaluate(full: DataFrame, *, test_size: float = 0.2, kinds: Sequen
     train = matrix.where(F.col("split") == "train")
     test = matrix.where(F.col("split") == "test")
     scaler = fit_scaler(train, feature_cols)
-    n_train = train.count()
     assembler = VectorAssembler(inputCols=feature_cols, outputCol="features", handleInvalid="keep")
-    train_s = scaler.transform(train, fill_mean=True).withColumn(TARGET, F.col(TARGET).cast("double"))
+    # the fits and scores pass over the scaled rows many times
+    train_s = stored(scaler.transform(train, fill_mean=True).select(F.col(TARGET).cast("double").alias(TARGET), *feature_cols),
+                     "scaled-train")
+    n_train = train_s.count()
     test_s = scaler.transform(test, fill_mean=True).withColumn(TARGET, F.col(TARGET).cast("double"))
     models, rows = {}, []
     for kind in kinds:
-        model = Pipeline(stages=[assembler, make_classifier(kind, n_train, num_trees=num_trees,
-                                                             max_depth=max_depth)]).fit(train_s)
+        classifier = make_classifier(kind, n_train, num_trees=num_trees, max_depth=max_depth)
+        model = (PipelineModel([assembler, fit_forest(train_s, feature_cols, classifier)]) if kind == "random_forest"
+                 else Pipeline(stages=[assembler, classifier]).fit(train_s))
         # the training summary refers to the whole session, which tasks that score with the model cannot take along
         model.stages[-1]._java_obj.setSummary(full.sparkSession._jvm.scala.Option.apply(None))
         models[kind] = model

@@ -21,7 +21,8 @@ from haulstat.session import ensure_checkpoint_dir
 _KEPT: dict[tuple[str, str], str] = {}
 
 
-def _folder(spark: SparkSession, name: str) -> str:
+def new_folder(spark: SparkSession, name: str) -> str:
+    """The path of a folder still to be written, under the shared one."""
     path = f"{ensure_checkpoint_dir(spark)}/haulstat/{name}-{uuid.uuid4().hex}"
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
@@ -30,7 +31,7 @@ def _folder(spark: SparkSession, name: str) -> str:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back."""
-    path = _folder(df.sparkSession, name)
+    path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -52,7 +53,7 @@ def kept_folder(spark: SparkSession, name: str, paths: Mapping[str, str], parame
     key = hashlib.sha256(json.dumps([name, input_files(spark, paths), parameters], default=str).encode()).hexdigest()
     kept = (spark.sparkContext.applicationId, key)
     if kept not in _KEPT:
-        path = _folder(spark, name)
+        path = new_folder(spark, name)
         write(path)
         _KEPT[kept] = path
     return _KEPT[kept]
